@@ -20,7 +20,7 @@ WO = """wo AS (SELECT o_orderkey AS work_order_id, o_custkey AS machine_id,
          'order ' || CAST(o_orderkey AS VARCHAR) AS title,
          o_orderpriority AS description,
          'tech-' || CAST(o_custkey % 7 AS VARCHAR) AS assigned_to,
-         CAST(o_orderdate AS DATE) + 30 AS due_date,
+         CAST(CAST(o_orderdate AS DATE) + 30 AS TIMESTAMP) AS due_date,
          CASE o_orderstatus WHEN 'O' THEN 'open' WHEN 'P' THEN 'in_progress'
               WHEN 'F' THEN 'closed' END AS status,
          o_orderdate AS created_at
@@ -42,7 +42,7 @@ AM = """am AS (SELECT a.*, o.o_custkey AS machine_id FROM a JOIN orders o
 R = """r AS (SELECT event_id AS reading_id, user_id AS machine_id, ts, value AS vibration,
          CAST(json_extract_string(props, '$.k') AS INTEGER) AS temperature FROM events)"""
 
-QC = """qc AS (SELECT event_id AS check_id, CAST(NULL AS BIGINT) AS order_id,
+QC = """qc AS (SELECT event_id AS check_id, event_id AS order_id,
           user_id AS machine_id, event_type AS check_type,
           CASE WHEN value > 50 THEN 'fail' ELSE 'pass' END AS result,
           CASE WHEN value > 50 THEN 'VIB-' || CAST(user_id AS VARCHAR) END AS defect_code,

@@ -51,9 +51,20 @@ def machines(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("c_name").alias("location"))
 
 
-def tickets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """maintenance_tickets(ticket_id, machine_id, opened_at, priority, status, description)."""
-    return table(spark, sf_dir, "orders").select(
+def _codes_for(pairs: list[tuple[str, str]], value: str) -> list[str]:
+    return [code for code, v in pairs if v == value]
+
+
+def tickets(spark: SparkSession, sf_dir: str, status: str | None = None) -> DataFrame:
+    """maintenance_tickets(ticket_id, machine_id, opened_at, priority, status, description).
+
+    ``status`` (a role value such as 'open') is translated back to the raw code so that the
+    predicate reaches the parquet scan (PushedFilters) instead of a CASE expression.
+    """
+    o = table(spark, sf_dir, "orders")
+    if status is not None:
+        o = o.filter(F.col("o_orderstatus").isin(_codes_for(TICKET_STATUS, status)))
+    return o.select(
         F.col("o_orderkey").alias("ticket_id"),
         F.col("o_custkey").alias("machine_id"),
         F.col("o_orderdate").alias("opened_at"),
@@ -62,10 +73,15 @@ def tickets(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_orderpriority").alias("description"))
 
 
-def work_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+def work_orders(spark: SparkSession, sf_dir: str, exclude_status: str | None = None
+                ) -> DataFrame:
     """work_orders(work_order_id, machine_id, priority, title, description, assigned_to,
-    due_date, status, created_at) from orders."""
+    due_date, status, created_at) from orders.  ``exclude_status`` pushes ``status <> v``
+    (nulls dropped, as SQL does) down to the scan as a code predicate."""
     o = table(spark, sf_dir, "orders")
+    if exclude_status is not None:
+        o = o.filter(~F.col("o_orderstatus").isin(_codes_for(WORK_ORDER_STATUS, exclude_status))
+                     & F.col("o_orderstatus").isin([c for c, _ in WORK_ORDER_STATUS]))
     return o.select(
         F.col("o_orderkey").alias("work_order_id"),
         F.col("o_custkey").alias("machine_id"),
@@ -73,18 +89,21 @@ def work_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("order "), F.col("o_orderkey").cast("string")).alias("title"),
         F.col("o_orderpriority").alias("description"),
         F.concat(F.lit("tech-"), (F.col("o_custkey") % 7).cast("string")).alias("assigned_to"),
-        F.date_add(F.to_date("o_orderdate"), 30).alias("due_date"),
+        # a date-like column kept as a timestamp at midnight, as the analytical tables do
+        F.date_add(F.to_date("o_orderdate"), 30).cast("timestamp_ntz").alias("due_date"),
         _code_map("o_orderstatus", WORK_ORDER_STATUS, None).alias("status"),
         F.col("o_orderdate").alias("created_at"))
 
 
-def actions(spark: SparkSession, sf_dir: str) -> DataFrame:
+def actions(spark: SparkSession, sf_dir: str, status_value: str | None = None) -> DataFrame:
     """maintenance_actions from lineitem, without the machine (no join).
 
     (ticket_id, performed_at, line_no, amount) is the unique key; ``line_no`` and ``amount``
     are the tie-breakers of every newest-first order.
     """
     li = table(spark, sf_dir, "lineitem")
+    if status_value is not None:
+        li = li.filter(F.col("l_linestatus").isin(_codes_for(ACTION_STATUS, status_value)))
     status = _code_map("l_linestatus", ACTION_STATUS, None)
     return li.select(
         F.col("l_orderkey").alias("ticket_id"),
@@ -117,11 +136,11 @@ def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def quality_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """quality_checks(check_id, order_id, machine_id, check_type, result, defect_code, notes,
-    inspector, checked_at) from events."""
+    inspector, checked_at) from events (one check per event; order_id = event_id)."""
     e = table(spark, sf_dir, "events")
     return e.select(
         F.col("event_id").alias("check_id"),
-        F.lit(None).cast("bigint").alias("order_id"),
+        F.col("event_id").alias("order_id"),
         F.col("user_id").alias("machine_id"),
         F.col("event_type").alias("check_type"),
         F.when(F.col("value") > 50, "fail").otherwise("pass").alias("result"),

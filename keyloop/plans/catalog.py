@@ -239,3 +239,356 @@ def q_actor_slugs(spark, sf):
     c = V.table(spark, sf, "customer")
     return c.select("c_custkey", user_slug("c_name").alias("slug"),
                     short_name("c_name").alias("short_name"))
+
+
+# ================================================================ change history (H*, S6, S11)
+from pyspark.sql import functions as F  # noqa: E402
+
+from keyloop.operators import history as H  # noqa: E402
+from keyloop.plans import metrics, sync  # noqa: E402
+
+LOG_PK = ["entity_id"]
+AS_OF_TS = "2024-01-15 00:00:00"
+SYNC_VERSION = 4999          # version the replica of the triggered-sync query was taken at
+CHANGES_FROM, CHANGES_TO = 2500, 7499
+FIXED_TS = "2024-02-01 00:00:00"
+
+_NR = """nr AS (SELECT * FROM log WHERE _change_type IS DISTINCT FROM 'update_preimage')"""
+_CURRENT = """
+SELECT entity_id, value, props FROM (
+  SELECT nr.*, row_number() OVER (PARTITION BY entity_id ORDER BY _commit_version DESC) AS rn
+  FROM nr WHERE entity_id IS NOT NULL) x
+WHERE rn = 1 AND _change_type IS DISTINCT FROM 'delete'
+"""
+
+
+@register("current_state", O.with_(O.LOG, _NR) + _CURRENT)
+def q_current_state(spark, sf):
+    return H.current_state(V.change_log(spark, sf), LOG_PK)
+
+
+@register("as_of_timestamp", O.with_(O.LOG, _NR.replace(
+    "WHERE", f"WHERE _commit_timestamp <= TIMESTAMP '{AS_OF_TS}' AND")) + _CURRENT)
+def q_as_of(spark, sf):
+    return H.as_of(V.change_log(spark, sf), LOG_PK, timestamp=AS_OF_TS)
+
+
+@register("triggered_sync", O.with_(O.LOG, _NR) + _CURRENT)
+def q_triggered_sync(spark, sf):
+    log = V.change_log(spark, sf)
+    replica = H.as_of(log, LOG_PK, version=SYNC_VERSION)
+    return sync.triggered_sync(replica, log, LOG_PK, SYNC_VERSION)
+
+
+@register("read_changes", O.with_(O.LOG) + f"""
+SELECT * FROM log WHERE _commit_version BETWEEN {CHANGES_FROM} AND {CHANGES_TO}
+""")
+def q_read_changes(spark, sf):
+    return H.read_changes(V.change_log(spark, sf), CHANGES_FROM, CHANGES_TO)
+
+
+@register("history_read", O.with_(O.LOG) + """
+SELECT * FROM log ORDER BY _commit_timestamp DESC, _commit_version DESC
+""")
+def q_history_read(spark, sf):
+    return H.history_read(V.change_log(spark, sf))
+
+
+@register("validity_intervals", O.with_(O.LOG, _NR) + """,
+x AS (SELECT nr.*, lead(_commit_timestamp) OVER (PARTITION BY entity_id
+                                                  ORDER BY _commit_version) AS nxt FROM nr)
+SELECT entity_id, value, props, _change_type, _commit_version, _commit_timestamp,
+       _commit_timestamp AS valid_from, nxt AS valid_to, nxt IS NULL AS is_current
+FROM x WHERE _change_type IS DISTINCT FROM 'delete'
+""")
+def q_validity(spark, sf):
+    return H.validity_intervals(V.change_log(spark, sf), LOG_PK)
+
+
+@register("audit_trail", O.with_(O.LOG, _NR) + """,
+x AS (SELECT nr.*, lag(value) OVER w AS pv, lag(props) OVER w AS pp,
+             lag(_change_type) OVER w AS pct
+      FROM nr WINDOW w AS (PARTITION BY entity_id ORDER BY _commit_version))
+SELECT entity_id, _commit_version, _commit_timestamp, _change_type,
+       CASE WHEN pct IS NULL OR pct = 'delete' THEN NULL ELSE pv END AS old_value,
+       CASE WHEN _change_type = 'delete' THEN NULL ELSE value END AS new_value,
+       CASE WHEN pct IS NULL OR pct = 'delete' THEN NULL ELSE pp END AS old_props,
+       CASE WHEN _change_type = 'delete' THEN NULL ELSE props END AS new_props
+FROM x
+""")
+def q_audit(spark, sf):
+    return H.audit_trail(V.change_log(spark, sf), LOG_PK, ["value", "props"])
+
+
+def _two_histories(spark, sf):
+    return H.union_histories({"entity_log": V.change_log(spark, sf),
+                              "order_log": V.order_history(spark, sf)})
+
+
+_UNION_SQL = """
+SELECT entity_id, value, props, CAST(NULL AS BIGINT) AS order_id, CAST(NULL AS DOUBLE) AS total,
+       _change_type, _commit_version, _commit_timestamp, 'entity_log' AS table_name FROM log
+UNION ALL
+SELECT NULL, NULL, NULL, order_id, total, _change_type, _commit_version, _commit_timestamp,
+       'order_log' FROM oh
+"""
+
+
+@register("union_histories", O.with_(O.LOG, O.OH) + _UNION_SQL)
+def q_union(spark, sf):
+    return _two_histories(spark, sf)
+
+
+@register("change_counts", O.with_(O.LOG, O.OH, "u AS (" + _UNION_SQL + ")") + """
+SELECT table_name, _change_type, count(*) AS n_changes FROM u GROUP BY table_name, _change_type
+""")
+def q_change_counts(spark, sf):
+    return H.change_counts(_two_histories(spark, sf), ["table_name", "_change_type"])
+
+
+_DIFF_SQL = O.with_(O.SNAP) + f""",
+j AS (SELECT COALESCE(o.o_orderkey, n.o_orderkey) AS o_orderkey, o.o_orderkey IS NOT NULL AS in_o,
+             n.o_orderkey IS NOT NULL AS in_n,
+             o.o_custkey AS oc, o.o_orderstatus AS os, o.o_totalprice AS op, o.o_orderdate AS od,
+             o.o_orderpriority AS opr,
+             n.o_custkey AS nc, n.o_orderstatus AS ns, n.o_totalprice AS np, n.o_orderdate AS nd,
+             n.o_orderpriority AS npr
+      FROM old_s o FULL OUTER JOIN new_s n ON o.o_orderkey = n.o_orderkey),
+d AS (
+  SELECT o_orderkey, nc AS o_custkey, ns AS o_orderstatus, np AS o_totalprice,
+         nd AS o_orderdate, npr AS o_orderpriority, 'insert' AS _change_type FROM j WHERE NOT in_o
+  UNION ALL
+  SELECT o_orderkey, oc, os, op, od, opr, 'delete' FROM j WHERE NOT in_n
+  UNION ALL
+  SELECT o_orderkey, oc, os, op, od, opr, 'update_preimage' FROM j
+  WHERE in_o AND in_n AND (oc IS DISTINCT FROM nc OR os IS DISTINCT FROM ns
+        OR op IS DISTINCT FROM np OR od IS DISTINCT FROM nd OR opr IS DISTINCT FROM npr)
+  UNION ALL
+  SELECT o_orderkey, nc, ns, np, nd, npr, 'update_postimage' FROM j
+  WHERE in_o AND in_n AND (oc IS DISTINCT FROM nc OR os IS DISTINCT FROM ns
+        OR op IS DISTINCT FROM np OR od IS DISTINCT FROM nd OR opr IS DISTINCT FROM npr))
+"""
+
+
+def _diff(spark, sf):
+    old, new = V.snapshot_pair(spark, sf)
+    return H.diff_snapshots(old, new, ["o_orderkey"], version=1, timestamp=FIXED_TS)
+
+
+@register("diff_snapshots", _DIFF_SQL + f"""
+SELECT d.*, CAST(1 AS BIGINT) AS _commit_version,
+       TIMESTAMP '{FIXED_TS}' AS _commit_timestamp FROM d
+""")
+def q_diff(spark, sf):
+    return _diff(spark, sf)
+
+
+@register("diff_then_apply", O.with_(O.SNAP) + "SELECT * FROM new_s")
+def q_diff_apply(spark, sf):
+    # property: applying diff(old, new) onto old gives new
+    old, _ = V.snapshot_pair(spark, sf)
+    return H.apply_changes(old, _diff(spark, sf), ["o_orderkey"], since_version=0)
+
+
+@register("snapshot_sync", O.with_(O.SNAP) + "SELECT * FROM new_s")
+def q_snapshot_sync(spark, sf):
+    from keyloop.session import scratch_path
+    _, new = V.snapshot_pair(spark, sf)
+    return sync.snapshot_sync(new, ["o_orderkey"], scratch_path(spark, "replicas", "orders"))
+
+
+@register("reconcile", O.with_(O.SNAP) + """
+SELECT CAST(count(o.o_orderkey) AS BIGINT) AS source_rows,
+       CAST(count(n.o_orderkey) AS BIGINT) AS replica_rows,
+       CAST(count(*) FILTER (WHERE n.o_orderkey IS NULL) AS BIGINT) AS missing_in_replica,
+       CAST(count(*) FILTER (WHERE o.o_orderkey IS NULL) AS BIGINT) AS extra_in_replica,
+       CAST(count(*) FILTER (WHERE o.o_orderkey IS NOT NULL AND n.o_orderkey IS NOT NULL AND (
+            o.o_custkey IS DISTINCT FROM n.o_custkey OR o.o_orderstatus IS DISTINCT FROM
+            n.o_orderstatus OR o.o_totalprice IS DISTINCT FROM n.o_totalprice OR
+            o.o_orderdate IS DISTINCT FROM n.o_orderdate OR
+            o.o_orderpriority IS DISTINCT FROM n.o_orderpriority)) AS BIGINT) AS changed_keys
+FROM old_s o FULL OUTER JOIN new_s n ON o.o_orderkey = n.o_orderkey
+""")
+def q_reconcile(spark, sf):
+    old, new = V.snapshot_pair(spark, sf)
+    return sync.reconcile(old, new, ["o_orderkey"])
+
+
+@register("compare_keys", O.with_(O.SNAP) + """
+SELECT o_orderkey, 'both' AS side FROM (SELECT o_orderkey FROM old_s INTERSECT
+                                        SELECT o_orderkey FROM new_s)
+UNION ALL
+SELECT o_orderkey, 'left_only' FROM (SELECT o_orderkey FROM old_s EXCEPT
+                                     SELECT o_orderkey FROM new_s)
+UNION ALL
+SELECT o_orderkey, 'right_only' FROM (SELECT o_orderkey FROM new_s EXCEPT
+                                      SELECT o_orderkey FROM old_s)
+""")
+def q_compare_keys(spark, sf):
+    from keyloop.operators.keyed import compare_keys
+    old, new = V.snapshot_pair(spark, sf)
+    return compare_keys(old, new, ["o_orderkey"])
+
+
+@register("table_counts", "\nUNION ALL\n".join(
+    f"SELECT '{t}' AS table_name, count(*) AS n_rows, 'ok' AS status FROM {t}"
+    for t in V.DRIVER_TABLES))
+def q_table_counts(spark, sf):
+    return sync.table_counts(spark, {t: f"{sf.rstrip('/')}/{t}.parquet"
+                                     for t in V.DRIVER_TABLES})
+
+
+# ================================================================ metrics (Q7, Q8, Q10)
+_TTF_COLS = """am.ticket_id, am.line_no, am.amount, am.machine_id, m.model, am.performed_by,
+       am.action_type, am.description,
+       CAST(round((floor(epoch(am.completed_at)) - floor(epoch(t.opened_at))) / 3600.0, 1)
+            AS DOUBLE) AS hours_to_fix"""
+_TTF_SQL = O.with_(O.M, O.T, O.A, O.AM) + f"""
+SELECT {_TTF_COLS}
+FROM am JOIN m ON m.machine_id = am.machine_id
+LEFT JOIN t ON t.ticket_id = am.ticket_id
+WHERE am.status = 'completed'
+"""
+_TTF_KEYS = ("ticket_id", "line_no", "amount")
+
+
+def _ttf(spark, sf, ordered=True):
+    return metrics.time_to_fix(V.actions_with_machine(spark, sf), V.machines(spark, sf),
+                               V.tickets(spark, sf), _TTF_KEYS, ordered)
+
+
+@register("time_to_fix", _TTF_SQL + "ORDER BY am.completed_at DESC")
+def q_ttf(spark, sf):
+    return _ttf(spark, sf)
+
+
+@register("time_to_fix_net", O.with_(O.M, O.T, O.A, O.AM) + f""",
+latest AS (SELECT * FROM (SELECT am.*, row_number() OVER (PARTITION BY ticket_id
+             ORDER BY performed_at DESC, line_no DESC, amount DESC) AS rn FROM am) WHERE rn = 1)
+SELECT {_TTF_COLS.replace('am.', 'latest.')}
+FROM latest JOIN m ON m.machine_id = latest.machine_id
+LEFT JOIN t ON t.ticket_id = latest.ticket_id
+WHERE latest.status = 'completed'
+""".replace("latest.ticket_id, latest.line_no", "latest.ticket_id, latest.line_no"))
+def q_ttf_net(spark, sf):
+    hist = H.with_meta(V.actions_with_machine(spark, sf), H.INSERT, 0, FIXED_TS)
+    return metrics.time_to_fix_net(hist, V.machines(spark, sf), V.tickets(spark, sf),
+                                   pk=["ticket_id"], order=["performed_at"],
+                                   tie=["line_no", "amount"], keys=_TTF_KEYS)
+
+
+@register("actions_per_day", O.with_(O.A) + """
+SELECT date_trunc('day', completed_at) AS day, count(*) AS n_actions FROM a
+WHERE completed_at IS NOT NULL GROUP BY 1
+""")
+def q_actions_per_day(spark, sf):
+    return metrics.actions_per_day(V.actions(spark, sf))
+
+
+@register("avg_fix_by_model", O.with_(O.M, O.T, O.A, O.AM, "f AS (" + _TTF_SQL + ")") + """
+SELECT model, round(avg(hours_to_fix), 4) AS avg_hours_to_fix, count(hours_to_fix) AS n_fixes
+FROM f GROUP BY model
+""")
+def q_avg_fix(spark, sf):
+    return metrics.avg_fix_by_model(_ttf(spark, sf, ordered=False))
+
+
+# ================================================================ writes
+from keyloop.functions import rows as R  # noqa: E402
+from keyloop.operators import writes as Wr  # noqa: E402
+
+
+@register("insert_actions", O.with_(O.A) + f"""
+SELECT ticket_id, line_no, amount, action_type, nullif(description, '') AS description,
+       performed_by, COALESCE(performed_at, TIMESTAMP '{FIXED_TS}') AS performed_at, status,
+       CASE WHEN status = 'completed' THEN TIMESTAMP '{FIXED_TS}' END AS completed_at,
+       'insert' AS _change_type, CAST(1 AS BIGINT) AS _commit_version,
+       TIMESTAMP '{FIXED_TS}' AS _commit_timestamp
+FROM a
+""")
+def q_insert_actions(spark, sf):
+    now = F.lit(FIXED_TS).cast("timestamp_ntz")
+    _, changes = Wr.insert_rows(None, V.actions(spark, sf), {
+        "description": R.empty_to_null("description"),
+        "performed_at": R.default_now("performed_at", now),
+        "completed_at": R.completed_at_rule("status", now),
+    }, version=1, timestamp=FIXED_TS)
+    return changes
+
+
+@register("insert_work_orders", O.with_(O.WO) + f"""
+SELECT work_order_id, machine_id, priority, title, description,
+       nullif(assigned_to, '') AS assigned_to, due_date,
+       CASE WHEN COALESCE(assigned_to, '') <> '' THEN 'assigned' ELSE 'open' END AS status,
+       created_at, 'insert' AS _change_type, CAST(1 AS BIGINT) AS _commit_version,
+       TIMESTAMP '{FIXED_TS}' AS _commit_timestamp
+FROM wo
+""")
+def q_insert_work_orders(spark, sf):
+    _, changes = Wr.insert_rows(None, V.work_orders(spark, sf), {
+        "status": R.default_status("assigned_to"),
+        "assigned_to": R.empty_to_null("assigned_to"),
+    }, version=1, timestamp=FIXED_TS)
+    return changes
+
+
+@register("assign_action_ids", O.with_(O.A) + """
+SELECT count(*) AS n_rows, count(*) AS n_distinct_ids, CAST(1 AS BIGINT) AS min_id,
+       CAST(count(*) AS BIGINT) AS max_id FROM a
+""")
+def q_assign_ids(spark, sf):
+    ids = Wr.assign_keys(V.actions(spark, sf), "action_id", start_after=0)
+    return ids.agg(F.count(F.lit(1)).alias("n_rows"),
+                   F.countDistinct("action_id").alias("n_distinct_ids"),
+                   F.min("action_id").alias("min_id"), F.max("action_id").alias("max_id"))
+
+
+_UPD_PRED = "priority = 'high' AND status = 'in_progress'"
+
+
+@register("update_where", O.with_(O.T) + f"""
+SELECT ticket_id, machine_id, opened_at, priority, status, description,
+       'update_preimage' AS _change_type, CAST(2 AS BIGINT) AS _commit_version,
+       TIMESTAMP '{FIXED_TS}' AS _commit_timestamp FROM t WHERE {_UPD_PRED}
+UNION ALL
+SELECT ticket_id, machine_id, opened_at, priority, 'resolved', description,
+       'update_postimage', CAST(2 AS BIGINT), TIMESTAMP '{FIXED_TS}' FROM t WHERE {_UPD_PRED}
+""")
+def q_update_where(spark, sf):
+    _, changes = Wr.update_where(V.tickets(spark, sf), F.expr(_UPD_PRED),
+                                 {"status": F.lit("resolved")}, version=2, timestamp=FIXED_TS)
+    return changes
+
+
+_DEL_PRED = "priority = 'low' AND status = 'resolved'"
+
+
+@register("delete_where", O.with_(O.T) + f"""
+SELECT t.*, 'delete' AS _change_type, CAST(3 AS BIGINT) AS _commit_version,
+       TIMESTAMP '{FIXED_TS}' AS _commit_timestamp FROM t WHERE {_DEL_PRED}
+""")
+def q_delete_where(spark, sf):
+    _, changes = Wr.delete_where(V.tickets(spark, sf), F.expr(_DEL_PRED), version=3,
+                                 timestamp=FIXED_TS)
+    return changes
+
+
+# The note types offered by the app's form (the DDL comment lists
+# 'observation' instead of 'general', so the two sources disagree).
+APP_NOTE_TYPES = ("general", "alert", "handoff", "resolution")
+
+
+@register("validate_notes", O.with_(O.N) + """
+SELECT n.*, concat_ws('; ',
+         CASE WHEN content IS NULL OR content = '' THEN 'content is required' END,
+         CASE WHEN note_type IS NOT NULL
+               AND note_type NOT IN ('general', 'alert', 'handoff', 'resolution')
+              THEN 'note_type not in domain' END) AS reasons
+FROM n
+WHERE (content IS NULL OR content = '')
+   OR (note_type IS NOT NULL AND note_type NOT IN ('general', 'alert', 'handoff', 'resolution'))
+""")
+def q_validate_notes(spark, sf):
+    _, rejected = Wr.validate_rows(V.operator_notes(spark, sf), required=["content"],
+                                   domains={"note_type": APP_NOTE_TYPES})
+    return rejected

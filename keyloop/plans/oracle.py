@@ -19,7 +19,8 @@ WO = """wo AS (SELECT o_orderkey AS work_order_id, o_custkey AS machine_id,
               WHEN '3-MEDIUM' THEN 'medium' ELSE 'low' END AS priority,
          'order ' || CAST(o_orderkey AS VARCHAR) AS title,
          o_orderpriority AS description,
-         'tech-' || CAST(o_custkey % 7 AS VARCHAR) AS assigned_to,
+         CASE WHEN o_custkey % 7 = 0 THEN ''
+              ELSE 'tech-' || CAST(o_custkey % 7 AS VARCHAR) END AS assigned_to,
          CAST(CAST(o_orderdate AS DATE) + 30 AS TIMESTAMP) AS due_date,
          CASE o_orderstatus WHEN 'O' THEN 'open' WHEN 'P' THEN 'in_progress'
               WHEN 'F' THEN 'closed' END AS status,

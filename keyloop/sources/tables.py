@@ -88,7 +88,10 @@ def work_orders(spark: SparkSession, sf_dir: str, exclude_status: str | None = N
         _code_map("o_orderpriority", TICKET_PRIORITY, TICKET_PRIORITY_DEFAULT).alias("priority"),
         F.concat(F.lit("order "), F.col("o_orderkey").cast("string")).alias("title"),
         F.col("o_orderpriority").alias("description"),
-        F.concat(F.lit("tech-"), (F.col("o_custkey") % 7).cast("string")).alias("assigned_to"),
+        # one customer in seven has no assignee yet (empty string, as a form would send it)
+        F.when(F.col("o_custkey") % 7 == 0, F.lit(""))
+         .otherwise(F.concat(F.lit("tech-"), (F.col("o_custkey") % 7).cast("string")))
+         .alias("assigned_to"),
         # a date-like column kept as a timestamp at midnight, as the analytical tables do
         F.date_add(F.to_date("o_orderdate"), 30).cast("timestamp_ntz").alias("due_date"),
         _code_map("o_orderstatus", WORK_ORDER_STATUS, None).alias("status"),

@@ -592,3 +592,48 @@ def q_validate_notes(spark, sf):
     _, rejected = Wr.validate_rows(V.operator_notes(spark, sf), required=["content"],
                                    domains={"note_type": APP_NOTE_TYPES})
     return rejected
+
+
+# ================================================================ streaming (ST1-ST4)
+from keyloop.session import scratch_path  # noqa: E402
+from keyloop.streaming import capture as SC  # noqa: E402
+from keyloop.streaming import live as SL  # noqa: E402
+from keyloop.streaming.state import KeyedState, continuous_sync  # noqa: E402
+
+
+@register("stream_capture", O.with_(O.LOG) + "SELECT * FROM log")
+def q_stream_capture(spark, sf):
+    root = scratch_path(spark, "capture")
+    src = V.change_log_of(SC.file_stream(spark, sf, "events.parquet"))
+    SC.capture_changes(src, f"{root}/history", f"{root}/_checkpoint").awaitTermination()
+    return spark.read.parquet(f"{root}/history")
+
+
+@register("stream_current_state", O.with_(O.LOG, _NR) + _CURRENT)
+def q_stream_current_state(spark, sf):
+    root = scratch_path(spark, "state", "entity_log")
+    state = KeyedState(spark, f"{root}/state", LOG_PK)
+    src = V.change_log_of(SC.file_stream(spark, sf, "events.parquet"))
+    continuous_sync(src, state, f"{root}/_checkpoint").awaitTermination()
+    return state.current().select("entity_id", "value", "props")
+
+
+@register("stream_live_queue", _Q1_SQL)
+def q_stream_live_queue(spark, sf):
+    root = scratch_path(spark, "state", "latest_action")
+    state = KeyedState(spark, f"{root}/state", ["ticket_id"], order=["performed_at"],
+                       tie=["line_no", "amount"], nulls_first=True)
+    src = V.actions_of(SC.file_stream(spark, sf, "lineitem.parquet")).select(
+        "ticket_id", "performed_at", "performed_by", "status", "line_no", "amount")
+    SL.track_latest(src, state, f"{root}/_checkpoint").awaitTermination()
+    return SL.live_open_alerts(V.tickets(spark, sf, status="open"), V.machines(spark, sf),
+                               state)
+
+
+@register("stream_daily_counts", ORACLE["actions_per_day"])
+def q_stream_daily_counts(spark, sf):
+    root = scratch_path(spark, "state", "daily_counts")
+    state = KeyedState(spark, f"{root}/state", ["day"])
+    src = V.actions_of(SC.file_stream(spark, sf, "lineitem.parquet"))
+    SL.live_daily_counts(src, "completed_at", state, f"{root}/_checkpoint").awaitTermination()
+    return state.current().select(F.col("day").cast("timestamp_ntz").alias("day"), "n_actions")

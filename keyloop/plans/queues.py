@@ -48,7 +48,8 @@ def latest_actions(actions: DataFrame, ticket_key: str = "ticket_id",
 
 def open_alerts(tickets: DataFrame, machines: DataFrame, actions: DataFrame,
                 sort: str = "priority", priority: str | None = None,
-                tie: Sequence[str] = ("line_no", "amount"), ordered: bool = True) -> DataFrame:
+                tie: Sequence[str] = ("line_no", "amount"), ordered: bool = True,
+                actions_are_latest: bool = False) -> DataFrame:
     """Q1: open tickets with machine context and their latest action, minus tickets whose
     latest action is completed.
 
@@ -59,8 +60,9 @@ def open_alerts(tickets: DataFrame, machines: DataFrame, actions: DataFrame,
     t = priority_filter(tickets.filter(status_is("status", "open")), priority)
     t = join_dim(t.select("ticket_id", "machine_id", "priority", "description", "opened_at"),
                  machines.select("machine_id", "model", "line"), "machine_id")
-    last = latest_actions(actions.select("ticket_id", "performed_at", "performed_by", "status",
-                                         *tie), tie=tie)
+    last = actions.select("ticket_id", "performed_at", "performed_by", "status", *tie)
+    if not actions_are_latest:   # e.g. a maintained latest-action state is already one per key
+        last = latest_actions(last, tie=tie)
     last = last.select("ticket_id", F.col("performed_by").alias("actioned_by"),
                        F.col("status").alias("action_status"))
     q = (t.join(last, "ticket_id", "left")

@@ -104,7 +104,11 @@ def actions(spark: SparkSession, sf_dir: str, status_value: str | None = None) -
     (ticket_id, performed_at, line_no, amount) is the unique key; ``line_no`` and ``amount``
     are the tie-breakers of every newest-first order.
     """
-    li = table(spark, sf_dir, "lineitem")
+    return actions_of(table(spark, sf_dir, "lineitem"), status_value)
+
+
+def actions_of(li: DataFrame, status_value: str | None = None) -> DataFrame:
+    """The actions projection of a lineitem-shaped frame (batch or streaming)."""
     if status_value is not None:
         li = li.filter(F.col("l_linestatus").isin(_codes_for(ACTION_STATUS, status_value)))
     status = _code_map("l_linestatus", ACTION_STATUS, None)
@@ -172,7 +176,12 @@ def operator_notes(spark: SparkSession, sf_dir: str) -> DataFrame:
 def change_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A history table (row log) from events: key ``entity_id``, payload ``value``/``props``
     and the three change columns."""
-    return table(spark, sf_dir, "events").select(
+    return change_log_of(table(spark, sf_dir, "events"))
+
+
+def change_log_of(events: DataFrame) -> DataFrame:
+    """The change-log projection of an events-shaped frame (batch or streaming)."""
+    return events.select(
         F.col("user_id").alias("entity_id"),
         F.col("value"),
         F.col("props"),

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 # Upper bound for an explicit broadcast hint.  Beyond it (or when the size is unknown) the
 # join is left to AQE / sort-merge.
-DEFAULT_MAX_BROADCAST_BYTES = 32 * 1024 * 1024
+DEFAULT_MAX_BROADCAST_BYTES = 16 * 1024 * 1024
 
 
 def _cols(x: str | Sequence[str]) -> list[str]:
@@ -31,7 +31,7 @@ def _cols(x: str | Sequence[str]) -> list[str]:
 def estimated_bytes(df: DataFrame) -> int | None:
     """The optimizer's size estimate of ``df`` (an upper bound for scans + filters)."""
     try:
-        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     except Exception:  # noqa: BLE001 - statistics are best effort
         return None
 

@@ -43,35 +43,33 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     return spark
 
 
+_LOCAL_SCRATCH: dict[str, str] = {}
+
+
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder for checkpoints and written state.
 
-    Read from ``spark.checkpoint.dir`` (or the context's checkpoint dir).  Only when neither is
-    set, as in local tests, a fresh folder under the system temp dir is created and registered.
+    Read from the session's ``spark.checkpoint.dir``.  Only when it is unset and the master
+    is local (tests, the local benchmark) a fresh temp folder is created and registered as
+    the context's checkpoint dir.  On a cluster an unset value is an error: a machine-local
+    folder would not survive the loss of an executor.
     """
     sc = spark.sparkContext
-    d = spark.conf.get("spark.checkpoint.dir", None) or sc._jsc.sc().conf().get(
-        "spark.checkpoint.dir", "")
+    d = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
+        "spark.checkpoint.dir", None)
     if not d:
-        existing = sc.getCheckpointDir()
-        if existing:
-            return existing.rstrip("/").rsplit("/", 1)[0] if _is_uuid_leaf(existing) else existing
-        d = tempfile.mkdtemp(prefix="keyloop-")
-        spark.conf.set("spark.checkpoint.dir", d)
+        key = sc.applicationId
+        if key not in _LOCAL_SCRATCH:
+            if not sc.master.startswith("local"):
+                raise RuntimeError("set spark.checkpoint.dir to a shared folder "
+                                   "(checkpoints and keyed state are written there)")
+            _LOCAL_SCRATCH[key] = tempfile.mkdtemp(prefix="keyloop-")
+        d = _LOCAL_SCRATCH[key]
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(d)
     return d.rstrip("/")
 
 
-def _is_uuid_leaf(path: str) -> bool:
-    leaf = path.rstrip("/").rsplit("/", 1)[-1]
-    try:
-        uuid.UUID(leaf)
-        return True
-    except ValueError:
-        return False
-
-
 def scratch_path(spark: SparkSession, *parts: str, unique: bool = True) -> str:
     """A path below the shared scratch folder; ``unique`` appends a fresh id."""
     base = "/".join([scratch_root(spark), *parts])

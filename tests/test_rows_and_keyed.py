@@ -115,3 +115,31 @@ def test_queue_counters_all_values_present(spark):
     q = spark.createDataFrame([("high",), ("critical",)], "priority string")
     got = {r.priority: r.n for r in Q.queue_counters(q).collect()}
     assert got == {"high": 1, "medium": 0, "low": 0, "total": 2}
+
+
+def test_history_names_and_like_escape(spark):
+    from keyloop.functions import naming as N
+    df = spark.createDataFrame([("lb_work_orders_history",), ("lbXwork_orders_history",),
+                                ("machines",)], "t string")
+    strict = [r.t for r in df.filter(N.is_history_name("t")).collect()]
+    loose = [r.t for r in df.filter(N.is_history_name("t", literal_underscores=False)).collect()]
+    assert strict == ["lb_work_orders_history"]
+    assert sorted(loose) == ["lbXwork_orders_history", "lb_work_orders_history"]
+    assert N.history_table_name("quality_checks") == "lb_quality_checks_history"
+    slug = spark.range(1).select(N.current_user_slug().alias("s")).first().s
+    assert slug and slug == slug.lower()
+
+
+def test_seed_tables_shapes(spark):
+    from keyloop.sources.seed import seed_tables
+    t = seed_tables(spark, scale=1.0, seed=42)
+    counts = {k: v.count() for k, v in t.items()}
+    assert counts == {"machines": 50, "sensor_readings": 10000, "production_orders": 200,
+                      "maintenance_tickets": 120}
+    r = t["sensor_readings"].agg(F.min("temperature_c"), F.max("temperature_c"),
+                                 F.min("ts"), F.max("ts")).first()
+    assert 50 <= r[0] and r[1] <= 90
+    assert str(r[2]) == "2026-06-15 00:00:00" and str(r[3]).startswith("2026-07-19")
+    assert {x.priority for x in t["maintenance_tickets"].select("priority").distinct()
+            .collect()} <= {"low", "medium", "high", "critical"}
+    assert t["production_orders"].agg(F.min("order_id")).first()[0] == 1001

@@ -80,8 +80,14 @@ def _all_not_null(keys: Sequence[str]) -> Column:
 
 
 def without_match(left: DataFrame, right: DataFrame, on: str | Sequence[str]) -> DataFrame:
-    """Rows of ``left`` with no row in ``right`` on the key (left anti join)."""
-    return left.join(right, _cols(on), "left_anti")
+    """Rows of ``left`` with no row in ``right`` on the key (left anti join).
+
+    Only key existence matters, so ``right`` is reduced to its distinct keys first: the
+    map-side combine turns a hot key (say a ticket with a third of all actions) into one row
+    per map task before the shuffle, and the anti join reuses that hash partitioning.
+    """
+    keys = _cols(on)
+    return left.join(right.select(*keys).distinct(), keys, "left_anti")
 
 
 def top_k(df: DataFrame, k: int, order: str | Sequence[str], tie: str | Sequence[str] = (),

@@ -51,8 +51,10 @@ def time_to_fix_net(history: DataFrame, machines: DataFrame, tickets: DataFrame,
 
 
 def actions_per_day(actions: DataFrame, ts: str = "completed_at") -> DataFrame:
-    """A3: number of actions per day of completion; a null day is excluded."""
-    day = F.date_trunc("day", F.col(ts))
+    """A3: number of actions per day of completion; a null day is excluded.  The day is the
+    wall-clock midnight (``to_date`` of a timestamp_ntz does not depend on the session zone,
+    unlike ``date_trunc``, which returns a zoned timestamp)."""
+    day = F.to_date(F.col(ts)).cast("timestamp_ntz")
     return (actions.filter(F.col(ts).isNotNull())
                    .groupBy(day.alias("day")).agg(F.count(F.lit(1)).alias("n_actions")))
 

@@ -51,14 +51,23 @@ def live_daily_counts(stream: DataFrame, ts_col: str, state: KeyedState, checkpo
     watermark, in update mode; each micro-batch upserts the updated days into ``state``
     (pk ``day``; the batch id is the version, so the latest cumulative count wins).
 
-    ``withWatermark`` needs a session-zone timestamp, so ``timestamp_ntz`` input is cast.
+    ``withWatermark`` needs a timestamp with time zone.  A ``timestamp_ntz`` column is
+    turned into the instant whose UTC rendering is its wall-clock value, so the 1-day windows
+    (aligned to UTC days) are wall-clock days whatever the session time zone; ``day`` is
+    returned as a wall-clock ``timestamp_ntz`` again.
     """
+    tz = stream.sparkSession.conf.get("spark.sql.session.timeZone")
+    is_ntz = dict(stream.dtypes).get(ts_col) == "timestamp_ntz"
     ts = F.col(ts_col).cast("timestamp")
+    if is_ntz:
+        ts = F.from_utc_timestamp(ts, tz)
+    start = F.col("w.start")
+    day = F.to_utc_timestamp(start, tz).cast("timestamp_ntz") if is_ntz else start
     agg = (stream.filter(F.col(ts_col).isNotNull()).withColumn("__ts", ts)
            .withWatermark("__ts", delay)
            .groupBy(F.window("__ts", "1 day").alias("w"))
            .agg(F.count(F.lit(1)).alias(name))
-           .select(F.col("w.start").alias("day"), F.col(name)))
+           .select(day.alias("day"), F.col(name)))
     w = (agg.writeStream.outputMode("update")
          .foreachBatch(lambda df, bid: state.apply_batch(_stamp(df, POSTIMAGE, int(bid)),
                                                          int(bid)))

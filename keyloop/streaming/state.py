@@ -20,6 +20,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
@@ -56,25 +57,32 @@ class KeyedState:
         except AnalysisException:
             return self.spark.createDataFrame([], MANIFEST_SCHEMA)
 
+    def _manifest_summary(self, batch_id: int = -1) -> tuple[dict[int, int], bool]:
+        """({bucket: current batch_id}, whether ``batch_id`` is committed) in one small job;
+        at most one row per bucket reaches the driver (bounded by the bucket count)."""
+        rows = self._manifest().groupBy("bucket").agg(
+            F.max("batch_id").alias("b"),
+            F.max((F.col("batch_id") == batch_id).cast("int")).alias("hit")).collect()
+        return ({int(r["bucket"]): int(r["b"]) for r in rows},
+                any(r["hit"] == 1 for r in rows))
+
     def committed(self, batch_id: int) -> bool:
-        return bool(self._manifest().filter(F.col("batch_id") == batch_id).limit(1).collect())
+        return self._manifest_summary(batch_id)[1]
 
-    def _latest_versions(self, buckets: list[int] | None = None) -> list[tuple[int, int]]:
-        """(bucket, batch_id) of the current version of each bucket; at most ``buckets``
-        rows, so collecting them is bounded by the bucket count, not by the data."""
-        m = self._manifest()
-        if buckets is not None:
-            m = m.filter(F.col("bucket").isin(buckets))
-        rows = m.groupBy("bucket").agg(F.max("batch_id").alias("b")).collect()
-        return [(int(r["bucket"]), int(r["b"])) for r in rows]
+    def _latest_versions(self, buckets: list[int] | None = None,
+                         summary: dict[int, int] | None = None) -> list[tuple[int, int]]:
+        """(bucket, batch_id) of the current version of each (requested) bucket."""
+        cur = summary if summary is not None else self._manifest_summary()[0]
+        return [(k, b) for k, b in cur.items() if buckets is None or k in set(buckets)]
 
     def bucket_of(self) -> F.Column:
         return F.pmod(F.xxhash64(*[F.col(k) for k in self.pk]), F.lit(self.buckets))
 
     # -------------------------------------------------------------- read
     def read(self, include_tombstones: bool = False, schema: StructType | None = None,
-             buckets: list[int] | None = None) -> DataFrame | None:
-        versions = self._latest_versions(buckets)
+             buckets: list[int] | None = None,
+             summary: dict[int, int] | None = None) -> DataFrame | None:
+        versions = self._latest_versions(buckets, summary)
         if not versions:
             return None
         paths = [f"{self._data(b)}/{BUCKET}={k}" for k, b in versions]
@@ -94,13 +102,22 @@ class KeyedState:
     # -------------------------------------------------------------- write
     def apply_batch(self, changes: DataFrame, batch_id: int) -> None:
         """Merge one micro-batch of change rows (any order, any duplicates)."""
-        if self.committed(batch_id):
+        summary, done = self._manifest_summary(batch_id)
+        if done:
             return
-        rows = not_preimage(changes).withColumn(BUCKET, self.bucket_of())
+        # the micro-batch is read twice (touched buckets, merge): keep it for this batch only
+        rows = not_preimage(changes).withColumn(BUCKET, self.bucket_of()) \
+            .persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            self._merge(rows, batch_id, summary)
+        finally:
+            rows.unpersist()
+
+    def _merge(self, rows: DataFrame, batch_id: int, summary: dict[int, int]) -> None:
         touched = [int(r[0]) for r in rows.select(BUCKET).distinct().collect()]
         if not touched:
             return
-        old = self.read(include_tombstones=True, schema=None, buckets=touched)
+        old = self.read(include_tombstones=True, buckets=touched, summary=summary)
         cols = [c for c in rows.columns if c != BUCKET]
         merged_in = rows.select(*cols)
         if old is not None:

@@ -7,6 +7,7 @@ Usage: python tests/oracle_harness.py [sf_dir] [name ...]
 from __future__ import annotations
 
 import math
+import os
 import sys
 import time
 from pathlib import Path
@@ -101,6 +102,8 @@ if __name__ == "__main__":
     from keyloop.session import build_session
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     spark = build_session(shuffle_partitions=8)
+    if os.environ.get("HARNESS_TZ"):   # check that results do not depend on the session zone
+        spark.conf.set("spark.sql.session.timeZone", os.environ["HARNESS_TZ"])
     res = compare(spark, sf, sys.argv[2:] or None)
     bad = [k for k, v in res.items() if v.get("ok") is False]
     print("FAILED:", bad)

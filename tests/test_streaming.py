@@ -50,3 +50,21 @@ def test_capture_is_exactly_once(spark, sf_small):
     src2 = V.change_log_of(SC.file_stream(spark, sf_small, "events.parquet"))
     SC.capture_changes(src2, f"{root}/h", f"{root}/c").awaitTermination()
     assert spark.read.parquet(f"{root}/h").count() == 1000
+
+
+def test_daily_counts_independent_of_session_zone(spark, sf_small):
+    from keyloop.plans import metrics as M
+    from keyloop.streaming import live as SL
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        root = tempfile.mkdtemp(prefix="keyloop-daily-")
+        state = KeyedState(spark, f"{root}/state", ["day"], buckets=4)
+        src = V.actions_of(SC.file_stream(spark, sf_small, "lineitem.parquet"))
+        SL.live_daily_counts(src, "completed_at", state, f"{root}/c").awaitTermination()
+        got = sorted((str(r.day), r.n_actions) for r in state.current().collect())
+        want = sorted((str(r.day), r.n_actions)
+                      for r in M.actions_per_day(V.actions(spark, sf_small)).collect())
+        assert got == want
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)

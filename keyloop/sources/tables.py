@@ -16,9 +16,25 @@ DRIVER_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "
                  "conversations")
 
 
+_SCANS: dict[tuple[str, str], DataFrame] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Scan one driver table (S2). Preview with ``.limit(n)`` at the call site."""
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """Scan one driver table (S2). Preview with ``.limit(n)`` at the call site.
+
+    The driver tables are read-only, so one lazy scan per (session, path) is reused: the
+    parquet schema is resolved once instead of by a footer job per call.  ``clear_scans()``
+    forgets them (e.g. after the files were replaced).
+    """
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (spark.sparkContext.applicationId, path)
+    if key not in _SCANS:
+        _SCANS[key] = spark.read.parquet(path)
+    return _SCANS[key]
+
+
+def clear_scans() -> None:
+    _SCANS.clear()
 
 
 def _code_map(col: str, pairs: list[tuple[str, str]], default: str | None) -> Column:

@@ -20,7 +20,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
@@ -105,13 +104,11 @@ class KeyedState:
         summary, done = self._manifest_summary(batch_id)
         if done:
             return
-        # the micro-batch is read twice (touched buckets, merge): keep it for this batch only
-        rows = not_preimage(changes).withColumn(BUCKET, self.bucket_of()) \
-            .persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            self._merge(rows, batch_id, summary)
-        finally:
-            rows.unpersist()
+        # The micro-batch is read twice (touched buckets, then the merge).  Micro-batches of
+        # file or offset-based sources re-read deterministically, and re-reading measured
+        # cheaper than building a cache of the batch, so it is not persisted.
+        rows = not_preimage(changes).withColumn(BUCKET, self.bucket_of())
+        self._merge(rows, batch_id, summary)
 
     def _merge(self, rows: DataFrame, batch_id: int, summary: dict[int, int]) -> None:
         touched = [int(r[0]) for r in rows.select(BUCKET).distinct().collect()]

@@ -3,8 +3,9 @@
 A history is any DataFrame with key column(s), payload columns and three metadata columns:
 ``_change_type`` ('insert', 'update_preimage', 'update_postimage', 'delete'),
 ``_commit_version`` (bigint, totally orders the changes of a key together with optional tie
-columns) and ``_commit_timestamp``.  Histories with or without preimages are accepted:
-every operator that needs row images ignores preimages and uses the previous postimage.
+columns) and ``_commit_timestamp``.  Histories with or without preimages are accepted: the state
+operators ignore preimages; the audit trail uses a same-version preimage when there is one
+and the key's previous image otherwise.
 
 Scale notes
 -----------
@@ -191,16 +192,27 @@ def audit_trail(history: DataFrame, pk: str | Sequence[str], payload: Sequence[s
                 order: Sequence[str] = (VER,),
                 bucket_width: int = DEFAULT_BUCKET_WIDTH) -> DataFrame:
     """H5: who changed what and when: every non-preimage change with the row image before
-    (``old_*``: the previous image of the key, null after a delete or for an insert) and
-    after (``new_*``: null for a delete)."""
+    (``old_*``) and after (``new_*``: null for a delete).
+
+    The before image is the preimage of the same key and version when the history has one
+    (a change feed with preimages, also correct on a truncated range of versions); otherwise
+    it is the previous image of the key (null for the first change or after a delete).
+    """
     pk = _cols(pk)
     rows = not_preimage(history)
     rows = prev_in_key(rows, pk, list(order), [*payload, CT], "__prev_", bucket_width)
+    pre = history.filter(F.col(CT) == PREIMAGE).select(
+        *pk, F.col(VER), F.lit(True).alias("__has_pre"),
+        *[F.col(c).alias(f"__pre_{c}") for c in payload])
+    rows = rows.join(pre, [*pk, VER], "left")
     gone = F.col(f"__prev_{CT}").isNull() | (F.col(f"__prev_{CT}") == DELETE)
+    has_pre = F.col("__has_pre").isNotNull()
     is_del = F.col(CT).eqNullSafe(DELETE)
     sel = [*[F.col(k) for k in pk], F.col(VER), F.col(TS), F.col(CT)]
     for c in payload:
-        sel.append(F.when(gone, F.lit(None)).otherwise(F.col(f"__prev_{c}")).alias(f"old_{c}"))
+        old = (F.when(has_pre, F.col(f"__pre_{c}"))
+                .when(gone, F.lit(None)).otherwise(F.col(f"__prev_{c}")))
+        sel.append(old.alias(f"old_{c}"))
         sel.append(F.when(is_del, F.lit(None)).otherwise(F.col(c)).alias(f"new_{c}"))
     return rows.select(*sel)
 

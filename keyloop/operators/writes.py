@@ -41,12 +41,33 @@ def assign_keys(new: DataFrame, key: str, start_after: int | Column = 0) -> Data
 
 
 def insert_rows(current: DataFrame | None, new: DataFrame, rules: Mapping[str, Column],
-                version: int, timestamp=None) -> tuple[DataFrame, DataFrame]:
-    """H1: apply column rules (P8-P11 expressions) to the new rows, append them to
-    ``current`` and emit one 'insert' change row each."""
+                version: int, timestamp=None, defaults: Mapping[str, Column] | None = None,
+                key: str | None = None, required: Sequence[str] = (),
+                domains: Mapping[str, Sequence[str]] | None = None
+                ) -> tuple[DataFrame, DataFrame]:
+    """H1: insert rows.
+
+    Order of the steps: ``defaults`` fill columns *absent* from ``new`` (a DDL default: an
+    explicit null stays null, P11); ``rules`` rewrite columns (P8-P10); rows failing
+    ``required`` / ``domains`` are left out (P12, see ``validate_rows`` for the rejects);
+    ``key`` gets fresh ids above the current maximum (P16).  Returns the new table and one
+    'insert' change row per inserted row.
+    """
     rows = new
+    for c, expr in (defaults or {}).items():
+        if c not in rows.columns:
+            rows = rows.withColumn(c, expr)
     for c, expr in rules.items():
         rows = rows.withColumn(c, expr)
+    if required or domains:
+        rows, _ = validate_rows(rows, required, domains)
+    if key is not None:
+        top = 0
+        if current is not None:
+            # one scalar from a distributed aggregate
+            top = current.agg(F.max(key)).first()[0] or 0
+        rows = assign_keys(rows.drop(key) if key in rows.columns else rows, key,
+                           start_after=int(top))
     changes = with_meta(rows, INSERT, version, timestamp)
     merged = rows if current is None else current.unionByName(rows, allowMissingColumns=True)
     return merged, changes

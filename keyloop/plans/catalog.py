@@ -500,7 +500,7 @@ from keyloop.operators import writes as Wr  # noqa: E402
 
 @register("insert_actions", O.with_(O.A) + f"""
 SELECT ticket_id, line_no, amount, action_type, nullif(description, '') AS description,
-       performed_by, COALESCE(performed_at, TIMESTAMP '{FIXED_TS}') AS performed_at, status,
+       performed_by, performed_at, status,
        CASE WHEN status = 'completed' THEN TIMESTAMP '{FIXED_TS}' END AS completed_at,
        'insert' AS _change_type, CAST(1 AS BIGINT) AS _commit_version,
        TIMESTAMP '{FIXED_TS}' AS _commit_timestamp
@@ -510,9 +510,8 @@ def q_insert_actions(spark, sf):
     now = F.lit(FIXED_TS).cast("timestamp_ntz")
     _, changes = Wr.insert_rows(None, V.actions(spark, sf), {
         "description": R.empty_to_null("description"),
-        "performed_at": R.default_now("performed_at", now),
         "completed_at": R.completed_at_rule("status", now),
-    }, version=1, timestamp=FIXED_TS)
+    }, version=1, timestamp=FIXED_TS, defaults={"performed_at": now})
     return changes
 
 
@@ -573,9 +572,10 @@ def q_delete_where(spark, sf):
     return changes
 
 
-# The note types offered by the app's form (the DDL comment lists
-# 'observation' instead of 'general', so the two sources disagree).
-APP_NOTE_TYPES = ("general", "alert", "handoff", "resolution")
+from keyloop.functions import domains as D  # noqa: E402
+
+# the app's note types (the DDL comment lists 'observation' instead of 'general')
+APP_NOTE_TYPES = D.APP["note_type"]
 
 
 @register("validate_notes", O.with_(O.N) + """
@@ -589,7 +589,8 @@ WHERE (content IS NULL OR content = '')
    OR (note_type IS NOT NULL AND note_type NOT IN ('general', 'alert', 'handoff', 'resolution'))
 """)
 def q_validate_notes(spark, sf):
-    _, rejected = Wr.validate_rows(V.operator_notes(spark, sf), required=["content"],
+    _, rejected = Wr.validate_rows(V.operator_notes(spark, sf),
+                                   required=D.APP_REQUIRED["operator_notes"],
                                    domains={"note_type": APP_NOTE_TYPES})
     return rejected
 

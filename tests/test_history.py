@@ -160,18 +160,49 @@ def test_queue_properties(spark, sf_small):
 
 def test_write_read_back(spark):
     """Q12: write one action, read it back by performer, newest first."""
-    acts = spark.createDataFrame([], ACTIONS)
-    new = spark.createDataFrame([(None, 1, 7, "inspection", "smoke test", "tester@x.io", None,
-                                  "completed", None)], ACTIONS)
-    now = F.lit(NOW).cast("timestamp")
-    acts, _ = W.insert_rows(acts, new, {
+    acts = spark.createDataFrame([(41, 1, 7, "corrective", "old", "tester", NOW, "completed",
+                                   NOW)], ACTIONS)
+    # the form does not send performed_at or an id: the defaults and the key fill them
+    new = spark.createDataFrame([(1, 7, "inspection", "smoke test", "tester@x.io", "completed",
+                                  None)], "machine_id long, ticket_id long, action_type string, "
+                                "description string, performed_by string, status string, "
+                                "completed_at timestamp")
+    now = F.lit(datetime(2026, 7, 15, 10)).cast("timestamp")
+    acts, changes = W.insert_rows(acts, new, {
         "performed_by": R.short_name("performed_by"),
-        "performed_at": R.default_now("performed_at", now),
-        "completed_at": R.completed_at_rule("status", now)}, version=1, timestamp=NOW)
+        "completed_at": R.completed_at_rule("status", now)}, version=1, timestamp=NOW,
+        defaults={"performed_at": now}, key="action_id", required=["description"])
     back = (acts.filter(F.col("performed_by") == "tester")
                 .orderBy(F.desc_nulls_first("performed_at")).first())
     assert back.status == "completed" and back.description == "smoke test"
-    assert back.completed_at == NOW
+    assert back.completed_at == datetime(2026, 7, 15, 10) and back.action_id == 42
+    assert changes.count() == 1
+
+
+def test_default_keeps_explicit_null(spark):
+    new = spark.createDataFrame([(1, None)], "k long, performed_at timestamp")
+    now = F.lit(NOW).cast("timestamp")
+    rows, _ = W.insert_rows(None, new, {}, version=1, defaults={"performed_at": now})
+    assert rows.first().performed_at is None          # present but null: stays null
+    rows2, _ = W.insert_rows(None, new.drop("performed_at"), {}, version=1,
+                             defaults={"performed_at": now})
+    assert rows2.first().performed_at == NOW          # absent: the default fills it
+
+
+def test_audit_prefers_same_version_preimage(spark):
+    rows = [(1, "a", "insert", 1), (1, "a", "update_preimage", 2), (1, "b", "update_postimage", 2),
+            (1, "b", "update_preimage", 3), (1, "c", "update_postimage", 3), (1, "c", "delete", 4)]
+    log = spark.createDataFrame([(*r, None) for r in rows], LOG)
+    full = {r._commit_version: (r.old_v, r.new_v)
+            for r in H.audit_trail(log, ["k"], ["v"]).collect()}
+    assert full == {1: (None, "a"), 2: ("a", "b"), 3: ("b", "c"), 4: ("c", None)}
+    # on a truncated range the preimage still gives the before image
+    part = {r._commit_version: (r.old_v, r.new_v)
+            for r in H.audit_trail(H.read_changes(log, 3), ["k"], ["v"]).collect()}
+    assert part[3] == ("b", "c")
+
+
+LOG = "k long, v string, _change_type string, _commit_version long, _commit_timestamp timestamp"
 
 
 def test_assign_keys_unique_dense(spark):

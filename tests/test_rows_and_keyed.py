@@ -143,3 +143,9 @@ def test_seed_tables_shapes(spark):
     assert {x.priority for x in t["maintenance_tickets"].select("priority").distinct()
             .collect()} <= {"low", "medium", "high", "critical"}
     assert t["production_orders"].agg(F.min("order_id")).first()[0] == 1001
+
+
+def test_alert_order_fallback(spark):
+    a = [str(c) for c in Q.alert_order("nonsense")]
+    b = [str(c) for c in Q.alert_order("priority")]
+    assert a == b and len(Q.alert_order("machine")) == 2

@@ -68,3 +68,41 @@ def test_daily_counts_independent_of_session_zone(spark, sf_small):
         assert got == want
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_state_survives_crash_before_manifest(spark, sf_small, monkeypatch):
+    log = V.change_log(spark, sf_small)
+    root = tempfile.mkdtemp(prefix="keyloop-crash-")
+    state = KeyedState(spark, f"{root}/state", ["entity_id"], buckets=4)
+    state.apply_batch(log.filter("_commit_version < 500"), 0)
+    calls = {"n": 0}
+    real = state.spark.createDataFrame
+
+    def boom(*a, **k):               # fail when the manifest entry is about to be written
+        calls["n"] += 1
+        raise RuntimeError("lost the driver before the manifest was written")
+    monkeypatch.setattr(state.spark, "createDataFrame", boom)
+    try:
+        state.apply_batch(log.filter("_commit_version >= 500"), 1)
+    except RuntimeError:
+        pass
+    monkeypatch.setattr(state.spark, "createDataFrame", real)
+    assert calls["n"] == 1 and not state.committed(1)
+    # the half-written batch is invisible; re-running it completes the state
+    state.apply_batch(log.filter("_commit_version >= 500"), 1)
+    got = sorted(state.current().select("entity_id", "value", "props").collect())
+    assert got == sorted(H.current_state(log, ["entity_id"]).collect())
+
+
+def test_stream_resumes_from_checkpoint(spark, sf_small):
+    log, flat = _split_log(spark, sf_small)
+    root = tempfile.mkdtemp(prefix="keyloop-resume-")
+    state = KeyedState(spark, f"{root}/state", ["entity_id"], buckets=4)
+    src = SC.file_stream(spark, flat, "*.parquet", max_files_per_trigger=1)
+    q = (src.writeStream.foreachBatch(lambda df, bid: state.apply_batch(df, int(bid)))
+         .option("checkpointLocation", f"{root}/_chk").trigger(once=True).start())
+    q.awaitTermination()                       # one file only, then "crash"
+    src2 = SC.file_stream(spark, flat, "*.parquet", max_files_per_trigger=1)
+    continuous_sync(src2, state, f"{root}/_chk").awaitTermination()
+    got = sorted(state.current().select("entity_id", "value", "props").collect())
+    assert got == sorted(H.current_state(log, ["entity_id"]).collect())

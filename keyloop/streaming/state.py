@@ -2,93 +2,119 @@
 
 Layout under ``root`` (a folder on shared storage, below ``spark.checkpoint.dir``)::
 
-    data/batch=<id>/__bucket=<b>/part-*.parquet   new version of the touched buckets only
-    manifest/                                      parquet rows (batch_id, bucket), appended
-                                                   after the data of a batch is complete
-
-The current state of a bucket is its version with the highest ``batch_id`` in the manifest.
-A micro-batch therefore rewrites only the buckets its keys hash to; the other buckets keep
-their files.  Every batch reads its input from written files, so lineage never grows.
-
-Replay safety: a batch id already in the manifest is skipped; a batch that failed after
-writing data but before the manifest is simply rewritten.  Order safety: rows carry their
-``_commit_version``; the merge keeps the highest version per key and keeps deleted keys as
-tombstones, so a late, older change can neither overwrite a newer row nor resurrect a key.
+    data/batch=<id>/__bucket=<b>/   delta: the latest change per key of micro-batch <id>
+    data/base=<id>/__bucket=<b>/    base: the whole bucket, compacted at batch <id>
+    manifest/                       parquet rows (batch_id, bucket, kind), appended after
+                                    the files they name are complete
+
+A bucket's current content is its newest base plus the deltas written after it, merged by
+version (latest row per key).  So a micro-batch writes only its own changes (O(batch), not
+O(state)); a bucket is compacted into a new base once it has ``max_deltas`` deltas; a read
+merges only the buckets that have deltas and reads the others as they are.  Every batch
+reads its input from files, so lineage never grows.
+
+Replay safety: a batch id already in the manifest is skipped; files written by a batch that
+failed before its manifest entry are invisible and simply rewritten on the retry.  Order
+safety: rows carry their version; the merge keeps the highest version per key and keeps
+deleted keys as tombstones, so a late, older change can neither overwrite a newer row nor
+resurrect a deleted key.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 from pyspark.sql.utils import AnalysisException
 
 from keyloop.operators.history import CT, DELETE, META, VER, not_preimage
 from keyloop.operators.keyed import latest_per_key
 
 MANIFEST_SCHEMA = StructType([StructField("batch_id", LongType()),
-                              StructField("bucket", LongType())])
+                              StructField("bucket", LongType()),
+                              StructField("kind", StringType())])
 BUCKET = "__bucket"
+_BUCKET_IN_PATH = re.compile(rf"/{BUCKET}=(\d+)/")
 
 
 class KeyedState:
-    """A versioned, bucketed keyed table (see module docstring)."""
+    """A versioned, bucketed, merge-on-read keyed table (see module docstring)."""
 
     def __init__(self, spark: SparkSession, root: str, pk: Sequence[str],
                  order: Sequence[str] = (VER,), tie: Sequence[str] = (), buckets: int = 64,
-                 nulls_first: bool = False, files_per_bucket: int = 1):
+                 nulls_first: bool = False, files_per_bucket: int = 1, max_deltas: int = 8):
         self.spark, self.root = spark, root.rstrip("/")
         self.pk, self.order, self.tie, self.buckets = list(pk), list(order), list(tie), buckets
         self.nulls_first = nulls_first
-        # At scale: many buckets (so a batch touching few keys rewrites little) and several
-        # files per bucket (so no single task writes a whole bucket).
+        # At scale: many buckets (a compaction rewrites one bucket) and several files per
+        # bucket (no single task writes a whole bucket).
         self.files_per_bucket = files_per_bucket
+        self.max_deltas = max_deltas
 
-    # -------------------------------------------------------------- paths and manifest
-    def _data(self, batch_id: int) -> str:
-        return f"{self.root}/data/batch={batch_id}"
-
+    # -------------------------------------------------------------- manifest
     def _manifest(self) -> DataFrame:
         try:
             return self.spark.read.schema(MANIFEST_SCHEMA).parquet(f"{self.root}/manifest")
         except AnalysisException:
             return self.spark.createDataFrame([], MANIFEST_SCHEMA)
 
-    def _manifest_summary(self, batch_id: int = -1) -> tuple[dict[int, int], bool]:
-        """({bucket: current batch_id}, whether ``batch_id`` is committed) in one small job;
-        at most one row per bucket reaches the driver (bounded by the bucket count)."""
-        rows = self._manifest().groupBy("bucket").agg(
-            F.max("batch_id").alias("b"),
-            F.max((F.col("batch_id") == batch_id).cast("int")).alias("hit")).collect()
-        return ({int(r["bucket"]): int(r["b"]) for r in rows},
-                any(r["hit"] == 1 for r in rows))
+    def _layout(self, batch_id: int = -1) -> tuple[dict[int, tuple[int, list[int]]], bool]:
+        """{bucket: (base batch id or -1, [delta batch ids after it])} and whether
+        ``batch_id`` is committed.  At most buckets x max_deltas small rows reach the driver
+        (bounded by the layout, not by the data)."""
+        m = self._manifest()
+        per_bucket = m.groupBy("bucket").agg(
+            F.max(F.when(F.col("kind") == "base", F.col("batch_id"))).alias("base"),
+            F.collect_list(F.when(F.col("kind") == "delta", F.col("batch_id"))).alias("deltas"),
+            F.max(((F.col("kind") == "delta") & (F.col("batch_id") == batch_id))
+                  .cast("int")).alias("hit")).collect()
+        layout, done = {}, False
+        for r in per_bucket:
+            base = -1 if r["base"] is None else int(r["base"])
+            layout[int(r["bucket"])] = (base, sorted(int(d) for d in r["deltas"] if d > base))
+            done = done or r["hit"] == 1
+        return layout, done
 
     def committed(self, batch_id: int) -> bool:
-        return self._manifest_summary(batch_id)[1]
+        return self._layout(batch_id)[1]
+
+    def _append_manifest(self, entries: list[tuple[int, int, str]]) -> None:
+        if entries:
+            self.spark.createDataFrame(entries, MANIFEST_SCHEMA).coalesce(1) \
+                .write.mode("append").parquet(f"{self.root}/manifest")
 
-    def _latest_versions(self, buckets: list[int] | None = None,
-                         summary: dict[int, int] | None = None) -> list[tuple[int, int]]:
-        """(bucket, batch_id) of the current version of each (requested) bucket."""
-        cur = summary if summary is not None else self._manifest_summary()[0]
-        return [(k, b) for k, b in cur.items() if buckets is None or k in set(buckets)]
+    def _path(self, kind: str, batch_id: int, bucket: int) -> str:
+        return f"{self.root}/data/{kind}={batch_id}/{BUCKET}={bucket}"
 
     def bucket_of(self) -> F.Column:
         return F.pmod(F.xxhash64(*[F.col(k) for k in self.pk]), F.lit(self.buckets))
 
+    def _latest(self, df: DataFrame) -> DataFrame:
+        return latest_per_key(df, self.pk, self.order, self.tie, self.nulls_first)
+
     # -------------------------------------------------------------- read
-    def read(self, include_tombstones: bool = False, schema: StructType | None = None,
-             buckets: list[int] | None = None,
-             summary: dict[int, int] | None = None) -> DataFrame | None:
-        versions = self._latest_versions(buckets, summary)
-        if not versions:
+    def read(self, include_tombstones: bool = False, buckets: Sequence[int] | None = None,
+             layout: dict | None = None) -> DataFrame | None:
+        layout = layout if layout is not None else self._layout()[0]
+        if buckets is not None:
+            wanted = set(buckets)
+            layout = {b: v for b, v in layout.items() if b in wanted}
+        clean = [self._path("base", base, b) for b, (base, ds) in layout.items()
+                 if base >= 0 and not ds]
+        dirty = [p for b, (base, ds) in layout.items() if ds
+                 for p in ([self._path("base", base, b)] if base >= 0 else [])
+                 + [self._path("batch", d, b) for d in ds]]
+        parts = []
+        if clean:
+            parts.append(self.spark.read.parquet(*clean))
+        if dirty:
+            parts.append(self._latest(self.spark.read.parquet(*dirty)))
+        if not parts:
             return None
-        paths = [f"{self._data(b)}/{BUCKET}={k}" for k, b in versions]
-        reader = self.spark.read
-        if schema is not None:
-            reader = reader.schema(schema)
-        df = reader.parquet(*paths)
+        df = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
         if not include_tombstones:
             df = df.filter(~F.col(CT).eqNullSafe(DELETE))
         return df
@@ -99,34 +125,45 @@ class KeyedState:
         return None if df is None else df.drop(*[c for c in META if c in df.columns])
 
     # -------------------------------------------------------------- write
+    def _write(self, df: DataFrame, path: str) -> list[int]:
+        """Write ``df`` partitioned by bucket; returns the buckets written (from the file
+        listing, no extra pass over the data)."""
+        spread = F.pmod(F.xxhash64(*[F.col(k) for k in self.pk], F.lit(7)),
+                        F.lit(self.files_per_bucket))
+        (df.repartition(BUCKET, spread).write.mode("overwrite").partitionBy(BUCKET)
+           .parquet(path))
+        try:
+            files = self.spark.read.parquet(path).inputFiles()
+        except AnalysisException:      # an empty batch writes no data files
+            return []
+        return sorted({int(m.group(1)) for f in files for m in [_BUCKET_IN_PATH.search(f)] if m})
+
     def apply_batch(self, changes: DataFrame, batch_id: int) -> None:
-        """Merge one micro-batch of change rows (any order, any duplicates)."""
-        summary, done = self._manifest_summary(batch_id)
+        """Merge one micro-batch of change rows (any order, any duplicates): write its latest
+        change per key as a delta, then compact the buckets that reached ``max_deltas``."""
+        layout, done = self._layout(batch_id)
         if done:
             return
-        # The micro-batch is read twice (touched buckets, then the merge).  Micro-batches of
-        # file or offset-based sources re-read deterministically, and re-reading measured
-        # cheaper than building a cache of the batch, so it is not persisted.
-        rows = not_preimage(changes).withColumn(BUCKET, self.bucket_of())
-        self._merge(rows, batch_id, summary)
-
-    def _merge(self, rows: DataFrame, batch_id: int, summary: dict[int, int]) -> None:
-        touched = [int(r[0]) for r in rows.select(BUCKET).distinct().collect()]
-        if not touched:
+        rows = self._latest(not_preimage(changes)).withColumn(BUCKET, self.bucket_of())
+        touched = self._write(rows, f"{self.root}/data/batch={batch_id}")
+        self._append_manifest([(batch_id, b, "delta") for b in touched])
+        for b in touched:
+            base, ds = layout.get(b, (-1, []))
+            layout[b] = (base, ds + [batch_id])
+        full = [b for b in touched if len(layout[b][1]) >= self.max_deltas]
+        if full:
+            self.compact(full, batch_id, layout)
+
+    def compact(self, buckets: Sequence[int], batch_id: int, layout: dict | None = None
+                ) -> None:
+        """Fold the deltas of ``buckets`` into a new base (tombstones kept)."""
+        layout = layout if layout is not None else self._layout()[0]
+        merged = self.read(include_tombstones=True, buckets=buckets, layout=layout)
+        if merged is None:
             return
-        old = self.read(include_tombstones=True, buckets=touched, summary=summary)
-        cols = [c for c in rows.columns if c != BUCKET]
-        merged_in = rows.select(*cols)
-        if old is not None:
-            merged_in = merged_in.unionByName(old.select(*cols))
-        merged = latest_per_key(merged_in, self.pk, self.order, self.tie,
-                                self.nulls_first).withColumn(BUCKET, self.bucket_of())
-        spread = F.pmod(F.xxhash64(*[F.col(k) for k in self.pk], F.lit(7)),
-                        F.lit(self.files_per_bucket))
-        (merged.repartition(BUCKET, spread).write.mode("overwrite").partitionBy(BUCKET)
-               .parquet(self._data(batch_id)))
-        self.spark.createDataFrame([(batch_id, b) for b in touched], MANIFEST_SCHEMA) \
-            .coalesce(1).write.mode("append").parquet(f"{self.root}/manifest")
+        written = self._write(merged.withColumn(BUCKET, self.bucket_of()),
+                              f"{self.root}/data/base={batch_id}")
+        self._append_manifest([(batch_id, b, "base") for b in written])
 
 
 def continuous_sync(changes_stream: DataFrame, state: KeyedState, checkpoint: str,

@@ -27,7 +27,7 @@ def _split_log(spark, sf_small, parts=4):
 def test_stream_equals_batch_out_of_order(spark, sf_small):
     log, flat = _split_log(spark, sf_small)
     root = tempfile.mkdtemp(prefix="keyloop-state-")
-    state = KeyedState(spark, f"{root}/state", ["entity_id"], buckets=8)
+    state = KeyedState(spark, f"{root}/state", ["entity_id"], buckets=8, max_deltas=2)
     src = SC.file_stream(spark, flat, "*.parquet", max_files_per_trigger=1)
     continuous_sync(src, state, f"{root}/_chk").awaitTermination()
     want = sorted(H.current_state(log, ["entity_id"]).collect())

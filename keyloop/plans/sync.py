@@ -16,27 +16,39 @@ class PrimaryKeyError(ValueError):
     pass
 
 
-def check_primary_key(df: DataFrame, pk: Sequence[str]) -> None:
-    """Reject a null or duplicated key.  Distributed: a partial-aggregated count per key and
-    at most one offending row reaches the driver."""
+def check_primary_key(df: DataFrame, pk: Sequence[str]) -> int:
+    """Reject a null or duplicated key; returns the row count.  One distributed pass over the
+    key columns only (column pruning): a partial-aggregated count per key, then one global
+    row with the total, the largest group and the null keys."""
     if not pk:
         raise PrimaryKeyError("a primary key (list of columns) is required")
     null_key = F.lit(False)
     for k in pk:
         null_key = null_key | F.col(k).isNull()
-    bad = (df.groupBy(*pk).agg(F.count(F.lit(1)).alias("__n"))
-             .filter((F.col("__n") > 1) | null_key).limit(1).collect())
-    if bad:
-        raise PrimaryKeyError(f"primary key {list(pk)} is null or not unique: {bad[0]}")
-
-
-def snapshot_sync(df: DataFrame, pk: Sequence[str], target: str,
-                  fmt: str = "parquet") -> DataFrame:
-    """Full keyed copy of ``df`` to ``target`` (overwrite replaces data and schema),
-    after a primary-key check; returns the replica as read back."""
-    check_primary_key(df, list(pk))
-    df.write.mode("overwrite").format(fmt).save(target)
-    return df.sparkSession.read.format(fmt).load(target)
+    per_key = df.groupBy(*pk).agg(F.count(F.lit(1)).alias("__n"))
+    r = per_key.agg(F.sum("__n").alias("rows"), F.max("__n").alias("most"),
+                    F.sum(F.when(null_key, 1).otherwise(0)).alias("nulls")).first()
+    if (r["most"] or 0) > 1 or (r["nulls"] or 0) > 0:
+        raise PrimaryKeyError(f"primary key {list(pk)} is null or not unique "
+                              f"(largest group {r['most']}, null keys {r['nulls']})")
+    return int(r["rows"] or 0)
+
+
+def snapshot_sync(df: DataFrame, pk: Sequence[str], target: str | None,
+                  fmt: str = "parquet", options: dict | None = None,
+                  verify: bool = True) -> DataFrame:
+    """S5 (with S1): full keyed copy of ``df`` after a primary-key check; overwrite replaces
+    data and schema; with ``verify`` the replica's row count (parquet metadata, no data scan)
+    must equal the source's.  ``fmt`` / ``options`` select any Spark writer (e.g. a JDBC
+    table with ``target=None``).  Returns the replica as read back."""
+    n = check_primary_key(df, list(pk))
+    w = df.write.mode("overwrite").format(fmt).options(**(options or {}))
+    w.save(target) if target is not None else w.save()
+    r = df.sparkSession.read.format(fmt).options(**(options or {}))
+    replica = r.load(target) if target is not None else r.load()
+    if verify and replica.count() != n:
+        raise RuntimeError(f"replica has {replica.count()} rows, source {n}")
+    return replica
 
 
 def triggered_sync(replica: DataFrame, changes: DataFrame, pk: Sequence[str],

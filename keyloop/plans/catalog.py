@@ -453,8 +453,9 @@ _TTF_KEYS = ("ticket_id", "line_no", "amount")
 
 
 def _ttf(spark, sf, ordered=True):
-    return metrics.time_to_fix(V.actions_with_machine(spark, sf), V.machines(spark, sf),
-                               V.tickets(spark, sf), _TTF_KEYS, ordered)
+    # Q7 keeps only completed rows: that predicate is pushed to the lineitem scan
+    return metrics.time_to_fix(V.actions_with_machine(spark, sf, status_value="completed"),
+                               V.machines(spark, sf), V.tickets(spark, sf), _TTF_KEYS, ordered)
 
 
 @register("time_to_fix", _TTF_SQL + "ORDER BY am.completed_at DESC")
@@ -469,7 +470,7 @@ SELECT {_TTF_COLS.replace('am.', 'latest.')}
 FROM latest JOIN m ON m.machine_id = latest.machine_id
 LEFT JOIN t ON t.ticket_id = latest.ticket_id
 WHERE latest.status = 'completed'
-""".replace("latest.ticket_id, latest.line_no", "latest.ticket_id, latest.line_no"))
+""")
 def q_ttf_net(spark, sf):
     hist = H.with_meta(V.actions_with_machine(spark, sf), H.INSERT, 0, FIXED_TS)
     return metrics.time_to_fix_net(hist, V.machines(spark, sf), V.tickets(spark, sf),

@@ -111,15 +111,15 @@ def apply_changes(snapshot: DataFrame, changes: DataFrame, pk: str | Sequence[st
     """
     pk = _cols(pk)
     cols = [c for c in snapshot.columns if c not in META]
+    ts_type = dict(changes.dtypes).get(TS, "timestamp")
     base = snapshot.select(*cols,
                            (F.col(CT) if CT in snapshot.columns else F.lit(INSERT)).alias(CT),
                            (F.col(VER) if VER in snapshot.columns
-                            else F.lit(since_version).cast("bigint")).alias(VER),
+                            else F.lit(since_version)).cast("bigint").alias(VER),
                            (F.col(TS) if TS in snapshot.columns
-                            else F.lit(None).cast("timestamp")).alias(TS))
+                            else F.lit(None)).cast(ts_type).alias(TS))
     newer = changes.filter(F.col(VER) > F.lit(since_version)).select(
-        *cols, F.col(CT), F.col(VER).cast("bigint").alias(VER),
-        F.col(TS).cast("timestamp").alias(TS))
+        *cols, F.col(CT), F.col(VER).cast("bigint").alias(VER), F.col(TS))
     latest = latest_changes(base.unionByName(newer), pk)
     if keep_tombstones:
         return latest
@@ -255,7 +255,7 @@ def diff_snapshots(old: DataFrame, new: DataFrame, pk: str | Sequence[str],
             .when(F.col("__n").isNull(), F.array(img("__o", DELETE)))
             .when(changed, F.array(img("__o", PREIMAGE), img("__n", POSTIMAGE))))
     x = j.select(*pk, F.explode(arr).alias("__c"))
-    ts = F.lit(timestamp).cast("timestamp") if timestamp is not None else F.current_timestamp()
+    ts = _commit_ts(timestamp)
     return x.select(*pk, *[F.col("__c.img")[c].alias(c) for c in allc],
                     F.col("__c.t").alias(CT), F.lit(version).cast("bigint").alias(VER),
                     ts.alias(TS))
@@ -271,5 +271,12 @@ def with_meta(df: DataFrame, change_type: str | Column, version: int | Column,
     """Stamp change metadata onto rows (used by the writers)."""
     ct = F.lit(change_type) if isinstance(change_type, str) else change_type
     ver = F.lit(version).cast("bigint") if isinstance(version, int) else version
-    ts = F.lit(timestamp).cast("timestamp") if timestamp is not None else F.current_timestamp()
-    return df.select(*df.columns, ct.alias(CT), ver.alias(VER), ts.alias(TS))
+    return df.select(*df.columns, ct.alias(CT), ver.alias(VER), _commit_ts(timestamp).alias(TS))
+
+
+def _commit_ts(timestamp=None) -> Column:
+    """A commit timestamp as a wall-clock ``timestamp_ntz`` (the type of the tables'
+    timestamps): the given value, or now in the session time zone."""
+    if timestamp is None:
+        return F.localtimestamp()
+    return F.lit(timestamp).cast("timestamp_ntz")

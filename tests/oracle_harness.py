@@ -62,7 +62,8 @@ def compare(spark, sf_dir: str, names=None, verbose=True) -> dict:
         t0 = time.time()
         try:
             sdf = qs[name](spark, sf_dir)
-            pdf = sdf.toPandas()
+            sarrow = sdf.toArrow()
+            pdf = sarrow.to_pandas()
         except Exception as e:  # noqa: BLE001
             results[name] = {"ok": False, "error": f"spark: {e}"[:500]}
             if verbose:
@@ -75,13 +76,18 @@ def compare(spark, sf_dir: str, names=None, verbose=True) -> dict:
                 print(f"{name}: rows={len(pdf)} (no oracle) {ts:.1f}s")
             continue
         try:
-            odf = con.execute(sqls[name]).df()
+            oarrow = con.execute(sqls[name]).to_arrow_table()
+            odf = oarrow.to_pandas()
         except Exception as e:  # noqa: BLE001
             results[name] = {"ok": False, "error": f"duckdb: {e}"[:500]}
             if verbose:
                 print(name, "DUCKDB ERROR", str(e)[:800])
             continue
         same_cols = sorted(pdf.columns) == sorted(odf.columns)
+        st = {f.name: str(f.type) for f in sarrow.schema}
+        ot = {f.name: str(f.type) for f in oarrow.schema}
+        type_diff = {k: (st.get(k), ot.get(k)) for k in set(st) | set(ot) if st.get(k) != ot.get(k)}
+        same_cols = same_cols and not type_diff
         same_n = len(pdf) == len(odf)
         same_vals = same_cols and same_n and _rows(pdf) == _rows(odf)
         ok = same_cols and same_n and same_vals
@@ -90,6 +96,8 @@ def compare(spark, sf_dir: str, names=None, verbose=True) -> dict:
             print(f"{name}: ok={ok} rows={len(pdf)}/{len(odf)} cols={same_cols} {ts:.1f}s")
             if not ok:
                 print("  spark cols", sorted(pdf.columns), "\n  duck cols ", sorted(odf.columns))
+                if type_diff:
+                    print("  type differences (spark, duckdb):", type_diff)
                 if same_cols and same_n:
                     a, b = _rows(pdf), _rows(odf)
                     diff = [(x, y) for x, y in zip(a, b) if x != y][:3]

@@ -9,10 +9,20 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-
+from pyspark.sql import functions as F
+
+from keyloop.functions import domains as D
+from keyloop.functions import rows as R
+from keyloop.operators import history as H
+from keyloop.operators import writes as Wr
+from keyloop.operators.keyed import compare_keys, join_dim
+from keyloop.plans import metrics, queues, sync
 from keyloop.plans import oracle as O
-from keyloop.plans import queues
+from keyloop.session import scratch_path
 from keyloop.sources import tables as V
+from keyloop.streaming import capture as SC
+from keyloop.streaming import live as SL
+from keyloop.streaming.state import KeyedState, continuous_sync
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -174,8 +184,7 @@ SELECT reading_id, machine_id, ts, vibration, temperature FROM r
 WHERE vibration > 80 AND temperature > 60
 """)
 def q_readings_over(spark, sf):
-    from keyloop.functions.rows import threshold_filter
-    return V.readings(spark, sf).filter(threshold_filter(RISK_BOUNDS))
+    return V.readings(spark, sf).filter(R.threshold_filter(RISK_BOUNDS))
 
 
 @register("at_risk_machines", O.with_(O.R, _RISKY) + "SELECT * FROM risky")
@@ -218,12 +227,9 @@ SELECT n.order_id, n.line_no, n.amount, n.machine_id,
 FROM n LEFT JOIN m ON m.machine_id = n.machine_id
 """)
 def q_note_labels(spark, sf):
-    from keyloop.functions.rows import machine_label
-    from keyloop.operators.keyed import join_dim
-    from pyspark.sql import functions as F
     n = join_dim(V.operator_notes(spark, sf), V.machines(spark, sf), "machine_id", how="left")
     return n.select("order_id", "line_no", "amount", "machine_id",
-                    machine_label("machine_id", "model", "line").alias("machine_label"),
+                    R.machine_label("machine_id", "model", "line").alias("machine_label"),
                     F.upper("note_type").alias("note_type_label"))
 
 
@@ -235,17 +241,13 @@ SELECT c_custkey, regexp_replace(lower(split_part(c_name, '@', 1)), '[^a-z0-9]',
 FROM customer
 """)
 def q_actor_slugs(spark, sf):
-    from keyloop.functions.rows import short_name, user_slug
     c = V.table(spark, sf, "customer")
-    return c.select("c_custkey", user_slug("c_name").alias("slug"),
-                    short_name("c_name").alias("short_name"))
+    return c.select("c_custkey", R.user_slug("c_name").alias("slug"),
+                    R.short_name("c_name").alias("short_name"))
 
 
 # ================================================================ change history (H*, S6, S11)
-from pyspark.sql import functions as F  # noqa: E402
 
-from keyloop.operators import history as H  # noqa: E402
-from keyloop.plans import metrics, sync  # noqa: E402
 
 LOG_PK = ["entity_id"]
 AS_OF_TS = "2024-01-15 00:00:00"
@@ -392,7 +394,6 @@ def q_diff_apply(spark, sf):
 
 @register("snapshot_sync", O.with_(O.SNAP) + "SELECT * FROM new_s")
 def q_snapshot_sync(spark, sf):
-    from keyloop.session import scratch_path
     _, new = V.snapshot_pair(spark, sf)
     return sync.snapshot_sync(new, ["o_orderkey"], scratch_path(spark, "replicas", "orders"))
 
@@ -425,7 +426,6 @@ SELECT o_orderkey, 'right_only' FROM (SELECT o_orderkey FROM new_s EXCEPT
                                       SELECT o_orderkey FROM old_s)
 """)
 def q_compare_keys(spark, sf):
-    from keyloop.operators.keyed import compare_keys
     old, new = V.snapshot_pair(spark, sf)
     return compare_keys(old, new, ["o_orderkey"])
 
@@ -495,8 +495,6 @@ def q_avg_fix(spark, sf):
 
 
 # ================================================================ writes
-from keyloop.functions import rows as R  # noqa: E402
-from keyloop.operators import writes as Wr  # noqa: E402
 
 
 @register("insert_actions", O.with_(O.A) + f"""
@@ -573,7 +571,6 @@ def q_delete_where(spark, sf):
     return changes
 
 
-from keyloop.functions import domains as D  # noqa: E402
 
 # the app's note types (the DDL comment lists 'observation' instead of 'general')
 APP_NOTE_TYPES = D.APP["note_type"]
@@ -597,10 +594,6 @@ def q_validate_notes(spark, sf):
 
 
 # ================================================================ streaming (ST1-ST4)
-from keyloop.session import scratch_path  # noqa: E402
-from keyloop.streaming import capture as SC  # noqa: E402
-from keyloop.streaming import live as SL  # noqa: E402
-from keyloop.streaming.state import KeyedState, continuous_sync  # noqa: E402
 
 
 @register("stream_capture", O.with_(O.LOG) + "SELECT * FROM log")

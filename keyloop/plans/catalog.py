@@ -252,7 +252,6 @@ def q_actor_slugs(spark, sf):
 LOG_PK = ["entity_id"]
 AS_OF_TS = "2024-01-15 00:00:00"
 SYNC_VERSION = 4999          # version the replica of the triggered-sync query was taken at
-CHANGES_FROM, CHANGES_TO = 2500, 7499
 FIXED_TS = "2024-02-01 00:00:00"
 
 _NR = """nr AS (SELECT * FROM log WHERE _change_type IS DISTINCT FROM 'update_preimage')"""
@@ -283,10 +282,11 @@ def q_triggered_sync(spark, sf):
 
 
 @register("read_changes", O.with_(O.LOG) + f"""
-SELECT * FROM log WHERE _commit_version BETWEEN {CHANGES_FROM} AND {CHANGES_TO}
+SELECT * FROM log WHERE _commit_version > {SYNC_VERSION}
 """)
 def q_read_changes(spark, sf):
-    return H.read_changes(V.change_log(spark, sf), CHANGES_FROM, CHANGES_TO)
+    # the changes a replica taken at SYNC_VERSION still has to apply (open-ended range)
+    return H.read_changes(V.change_log(spark, sf), from_version=SYNC_VERSION + 1)
 
 
 @register("history_read", O.with_(O.LOG) + """

@@ -15,14 +15,14 @@ from keyloop.functions import domains as D
 from keyloop.functions import rows as R
 from keyloop.operators import history as H
 from keyloop.operators import writes as Wr
-from keyloop.operators.keyed import compare_keys, join_dim
+from keyloop.operators.keyed import compare_keys, estimated_bytes, join_dim
 from keyloop.plans import metrics, queues, sync
 from keyloop.plans import oracle as O
 from keyloop.session import scratch_path
 from keyloop.sources import tables as V
 from keyloop.streaming import capture as SC
 from keyloop.streaming import live as SL
-from keyloop.streaming.state import KeyedState, continuous_sync
+from keyloop.streaming.state import KeyedState, continuous_sync, suggest_layout
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -607,7 +607,8 @@ def q_stream_capture(spark, sf):
 @register("stream_current_state", O.with_(O.LOG, _NR) + _CURRENT)
 def q_stream_current_state(spark, sf):
     root = scratch_path(spark, "state", "entity_log")
-    state = KeyedState(spark, f"{root}/state", LOG_PK)
+    b, f = suggest_layout(estimated_bytes(V.table(spark, sf, "events")))
+    state = KeyedState(spark, f"{root}/state", LOG_PK, buckets=b, files_per_bucket=f)
     src = V.change_log_of(SC.file_stream(spark, sf, "events.parquet"))
     continuous_sync(src, state, f"{root}/_checkpoint").awaitTermination()
     return state.current().select("entity_id", "value", "props")
@@ -616,8 +617,10 @@ def q_stream_current_state(spark, sf):
 @register("stream_live_queue", _Q1_SQL)
 def q_stream_live_queue(spark, sf):
     root = scratch_path(spark, "state", "latest_action")
+    b, f = suggest_layout(estimated_bytes(V.table(spark, sf, "lineitem")))
     state = KeyedState(spark, f"{root}/state", ["ticket_id"], order=["performed_at"],
-                       tie=["line_no", "amount"], nulls_first=True)
+                       tie=["line_no", "amount"], nulls_first=True, buckets=b,
+                       files_per_bucket=f)
     src = V.actions_of(SC.file_stream(spark, sf, "lineitem.parquet")).select(
         "ticket_id", "performed_at", "performed_by", "status", "line_no", "amount")
     SL.track_latest(src, state, f"{root}/_checkpoint").awaitTermination()
@@ -628,7 +631,7 @@ def q_stream_live_queue(spark, sf):
 @register("stream_daily_counts", ORACLE["actions_per_day"])
 def q_stream_daily_counts(spark, sf):
     root = scratch_path(spark, "state", "daily_counts")
-    state = KeyedState(spark, f"{root}/state", ["day"])
+    state = KeyedState(spark, f"{root}/state", ["day"], buckets=8)   # one row per day
     src = V.actions_of(SC.file_stream(spark, sf, "lineitem.parquet"))
     SL.live_daily_counts(src, "completed_at", state, f"{root}/_checkpoint").awaitTermination()
     return state.current().select(F.col("day").cast("timestamp_ntz").alias("day"), "n_actions")

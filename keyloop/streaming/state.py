@@ -40,6 +40,19 @@ BUCKET = "__bucket"
 _BUCKET_IN_PATH = re.compile(rf"/{BUCKET}=(\d+)/")
 
 
+def suggest_layout(size_bytes: int | None, target_bytes: int = 128 << 20,
+                   min_buckets: int = 8, max_buckets: int = 4096) -> tuple[int, int]:
+    """(buckets, files_per_bucket) so that one state file holds about ``target_bytes``:
+    enough buckets that a compaction rewrites a small slice of the state, few enough that the
+    manifest stays small; very large states get several files per bucket instead."""
+    if not size_bytes or size_bytes <= 0:
+        return min_buckets, 1
+    files = max(1, -(-size_bytes // target_bytes))
+    buckets = min(max(files, min_buckets), max_buckets)
+    per_bucket = min(256, max(1, -(-files // buckets)))
+    return int(buckets), int(per_bucket)
+
+
 class KeyedState:
     """A versioned, bucketed, merge-on-read keyed table (see module docstring)."""
 

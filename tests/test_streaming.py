@@ -106,3 +106,12 @@ def test_stream_resumes_from_checkpoint(spark, sf_small):
     continuous_sync(src2, state, f"{root}/_chk").awaitTermination()
     got = sorted(state.current().select("entity_id", "value", "props").collect())
     assert got == sorted(H.current_state(log, ["entity_id"]).collect())
+
+
+def test_suggest_layout_bounds():
+    from keyloop.streaming.state import suggest_layout
+    assert suggest_layout(None) == (8, 1)
+    assert suggest_layout(10 << 20) == (8, 1)
+    assert suggest_layout(1 << 40) == (4096, 2)            # 1 TiB: 8192 files of 128 MiB
+    b, f = suggest_layout(100 << 40)                       # 100 TiB
+    assert b == 4096 and f == 200

@@ -51,6 +51,10 @@ def live_daily_counts(stream: DataFrame, ts_col: str, state: KeyedState, checkpo
     watermark, in update mode; each micro-batch upserts the updated days into ``state``
     (pk ``day``; the batch id is the version, so the latest cumulative count wins).
 
+    Late data policy: a row older than the watermark (newest event time seen minus
+    ``delay``) when its micro-batch runs is dropped, as Structured Streaming does; the
+    registered query reads the table as one ``availableNow`` batch, so nothing is late there.
+
     ``withWatermark`` needs a timestamp with time zone.  A ``timestamp_ntz`` column is
     turned into the instant whose UTC rendering is its wall-clock value, so the 1-day windows
     (aligned to UTC days) are wall-clock days whatever the session time zone; ``day`` is

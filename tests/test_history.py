@@ -220,3 +220,18 @@ def test_validate_rows(spark):
     assert ok.count() == 1
     reasons = sorted(r.reasons for r in bad.collect())
     assert reasons == ["content is required", "content is required; note_type not in domain"]
+
+
+def test_union_histories_with_json_payload(spark):
+    a = spark.createDataFrame([(1, "x", "insert", 1, None)], LOG)
+    b = spark.createDataFrame([(7, 2.5, "delete", 3, None)],
+                              "order_id long, total double, _change_type string, "
+                              "_commit_version long, _commit_timestamp timestamp")
+    u = H.union_histories({"a": a, "b": b}, with_json=True)
+    rows = {r.table_name: r for r in u.collect()}
+    assert set(u.columns) >= {"k", "v", "order_id", "total", "table_name", "row_json"}
+    assert rows["a"].row_json == '{"k":1,"v":"x"}' and rows["a"].order_id is None
+    assert rows["b"].row_json == '{"order_id":7,"total":2.5}'
+    counts = {(r.table_name, r._change_type): r.n_changes
+              for r in H.change_counts(u, ["table_name", "_change_type"]).collect()}
+    assert counts == {("a", "insert"): 1, ("b", "delete"): 1}

@@ -196,22 +196,42 @@ def audit_trail(history: DataFrame, pk: str | Sequence[str], payload: Sequence[s
 
     The before image is the preimage of the same key and version when the history has one
     (a change feed with preimages, also correct on a truncated range of versions); otherwise
-    it is the previous image of the key (null for the first change or after a delete).
+    it is the key's previous non-preimage image (null for the first change or after a
+    delete).
+
+    One pass in the (key, version bucket) layout of ``next_in_key``: preimages sort just
+    before the postimage of their version, so the same window finds both the same-version
+    preimage (``lag``) and the previous image (``last`` non-preimage, ignoring nulls); only
+    the first row of a bucket looks at the previous bucket's summary row.
     """
-    pk = _cols(pk)
-    rows = not_preimage(history)
-    rows = prev_in_key(rows, pk, list(order), [*payload, CT], "__prev_", bucket_width)
-    pre = history.filter(F.col(CT) == PREIMAGE).select(
-        *pk, F.col(VER), F.lit(True).alias("__has_pre"),
-        *[F.col(c).alias(f"__pre_{c}") for c in payload])
-    rows = rows.join(pre, [*pk, VER], "left")
-    gone = F.col(f"__prev_{CT}").isNull() | (F.col(f"__prev_{CT}") == DELETE)
-    has_pre = F.col("__has_pre").isNotNull()
+    pk, order = _cols(pk), list(order)
+    b = "__bucket"
+    is_pre = F.col(CT).eqNullSafe(PREIMAGE)
+    img = F.struct(*[F.col(c) for c in payload], F.col(CT).alias(CT))
+    d = (history.withColumn(b, F.floor(F.col(order[0]) / F.lit(bucket_width)))
+                .withColumn("__pre", is_pre.cast("int")))
+    w = Window.partitionBy(*pk, b).orderBy(*[F.col(c) for c in order], F.desc("__pre"))
+    d = (d.withColumn("__lag_pre", F.lag("__pre").over(w))
+          .withColumn("__lag_ver", F.lag(F.col(order[0])).over(w))
+          .withColumn("__lag_img", F.lag(img).over(w))
+          .withColumn("__last_np", F.last(F.when(~is_pre, img), ignorenulls=True)
+                      .over(w.rowsBetween(Window.unboundedPreceding, -1)))
+          .filter(~is_pre))
+    # the last non-preimage row of every (key, bucket), linked to the next bucket
+    edge = F.struct(*[F.col(c) for c in order], img.alias("__img"))
+    summ = (not_preimage(history).withColumn(b, F.floor(F.col(order[0]) / F.lit(bucket_width)))
+            .groupBy(*pk, b).agg(F.max(edge).alias("__edge")))
+    summ = summ.select(*pk, b, F.lag("__edge").over(
+        Window.partitionBy(*pk).orderBy(b)).alias("__nb"))
+    rows = d.join(summ, [*pk, b], "left")
+    prev = F.coalesce(F.col("__last_np"), F.col("__nb")["__img"])
+    has_pre = (F.col("__lag_pre") == 1) & (F.col("__lag_ver") == F.col(order[0]))
+    gone = prev.isNull() | prev[CT].eqNullSafe(DELETE)
     is_del = F.col(CT).eqNullSafe(DELETE)
     sel = [*[F.col(k) for k in pk], F.col(VER), F.col(TS), F.col(CT)]
     for c in payload:
-        old = (F.when(has_pre, F.col(f"__pre_{c}"))
-                .when(gone, F.lit(None)).otherwise(F.col(f"__prev_{c}")))
+        old = (F.when(has_pre, F.col("__lag_img")[c])
+                .when(gone, F.lit(None)).otherwise(prev[c]))
         sel.append(old.alias(f"old_{c}"))
         sel.append(F.when(is_del, F.lit(None)).otherwise(F.col(c)).alias(f"new_{c}"))
     return rows.select(*sel)

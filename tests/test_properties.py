@@ -118,3 +118,32 @@ def test_audit_trail_matches_brute_force(spark, rows, width):
     got = {(r.k, r._commit_version, r._change_type, r.old_v, r.new_v)
            for r in H.audit_trail(log, ["k"], ["v"], bucket_width=width).collect()}
     assert got == _audit_brute(rows)
+
+
+def _with_ts(rows):
+    from datetime import datetime, timedelta
+    return [(k, v, t, ver, datetime(2024, 1, 1) + timedelta(seconds=ver))
+            for k, v, t, ver, _ in rows]
+
+
+def _intervals_brute(rows):
+    out = set()
+    for k in {r[0] for r in rows}:
+        mine = sorted((r for r in rows if r[0] == k and r[2] != "update_preimage"),
+                      key=lambda r: r[3])
+        for i, r in enumerate(mine):
+            if r[2] == "delete":
+                continue
+            nxt = mine[i + 1][4] if i + 1 < len(mine) else None
+            out.add((k, r[3], r[4], nxt, nxt is None))
+    return out
+
+
+@SETTINGS
+@given(rows=histories(), width=st.sampled_from([3, 64, 1 << 40]))
+def test_validity_intervals_match_brute_force(spark, rows, width):
+    rows = _with_ts(rows)
+    log = spark.createDataFrame(rows, LOG_SCHEMA)
+    got = {(r.k, r._commit_version, r.valid_from, r.valid_to, r.is_current)
+           for r in H.validity_intervals(log, ["k"], bucket_width=width).collect()}
+    assert got == _intervals_brute(rows)

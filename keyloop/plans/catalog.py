@@ -434,8 +434,7 @@ def q_compare_keys(spark, sf):
     f"SELECT '{t}' AS table_name, count(*) AS n_rows, 'ok' AS status FROM {t}"
     for t in V.DRIVER_TABLES))
 def q_table_counts(spark, sf):
-    return sync.table_counts(spark, {t: f"{sf.rstrip('/')}/{t}.parquet"
-                                     for t in V.DRIVER_TABLES})
+    return sync.table_counts(spark, {t: V.table(spark, sf, t) for t in V.DRIVER_TABLES})
 
 
 # ================================================================ metrics (Q7, Q8, Q10)

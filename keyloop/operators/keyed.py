@@ -53,6 +53,19 @@ def join_dim(fact: DataFrame, dim: DataFrame, on: str | Sequence[str], how: str
     return fact.join(broadcast_if_small(dim, max_broadcast_bytes), _cols(on), how)
 
 
+def reduce_to_keys(df: DataFrame, keys: DataFrame, on: str | Sequence[str],
+                   max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> DataFrame:
+    """Keep only rows of ``df`` whose key occurs in ``keys`` when that key set is provably
+    small: a broadcast left-semi join runs map-side, before any shuffle of ``df``.  Beyond the
+    bound ``df`` is returned unchanged (the later join does the matching)."""
+    on = _cols(on)
+    k = keys.select(*on)
+    size = estimated_bytes(k)
+    if size is not None and 0 <= size <= max_broadcast_bytes:
+        return df.join(F.broadcast(k), on, "left_semi")
+    return df
+
+
 def latest_per_key(df: DataFrame, keys: str | Sequence[str], order: str | Sequence[str],
                    tie: str | Sequence[str] = (), nulls_first: bool = True,
                    drop_null_keys: bool = True) -> DataFrame:

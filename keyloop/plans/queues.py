@@ -15,7 +15,7 @@ from keyloop.functions.rows import (QUEUE_FILTER_PRIORITIES, QUEUE_SEVERITY,
                                     WORK_ORDER_SEVERITY_DEFAULT, not_in_state, severity_rank,
                                     status_is, status_not, threshold_filter)
 from keyloop.operators.keyed import (first_k_keys, join_dim, latest_per_key,
-                                     overwrite_first_k, top_k, without_match)
+                                     overwrite_first_k, reduce_to_keys, top_k, without_match)
 
 
 def alert_order(sort: str) -> list[Column]:
@@ -57,10 +57,15 @@ def open_alerts(tickets: DataFrame, machines: DataFrame, actions: DataFrame,
     broadcast), then left-join the newest action per ticket.  The window output is already
     hash-partitioned by ticket, so the left join shuffles the ticket side only.
     """
-    t = priority_filter(tickets.filter(status_is("status", "open")), priority)
-    t = join_dim(t.select("ticket_id", "machine_id", "priority", "description", "opened_at"),
+    open_t = priority_filter(tickets.filter(status_is("status", "open")), priority)
+    t = join_dim(open_t.select("ticket_id", "machine_id", "priority", "description",
+                               "opened_at"),
                  machines.select("machine_id", "model", "line"), "machine_id")
     last = actions.select("ticket_id", "performed_at", "performed_by", "status", *tie)
+    # Only the queue's tickets need their latest action: when the open-ticket keys are
+    # provably small, a broadcast semi join drops the other actions map-side.  (The keys are
+    # taken before the machine join, whose size estimate would be the product of its sides.)
+    last = reduce_to_keys(last, open_t, "ticket_id")
     if not actions_are_latest:   # e.g. a maintained latest-action state is already one per key
         last = latest_actions(last, tie=tie)
     last = last.select("ticket_id", F.col("performed_by").alias("actioned_by"),
@@ -78,10 +83,11 @@ def open_alert_tickets_no_completion(tickets: DataFrame, machines: DataFrame,
                                      actions: DataFrame) -> DataFrame:
     """Q9 list form (J4): open tickets (with a known machine) that have no completed action
     at all.  A subset of ``open_alerts``."""
-    t = join_dim(tickets.filter(status_is("status", "open"))
-                 .select("ticket_id", "machine_id", "priority"),
+    open_t = tickets.filter(status_is("status", "open"))
+    t = join_dim(open_t.select("ticket_id", "machine_id", "priority"),
                  machines.select("machine_id"), "machine_id")
     done = actions.filter(status_is("status", "completed")).select("ticket_id")
+    done = reduce_to_keys(done, open_t, "ticket_id")   # only open tickets can be excluded
     return without_match(t, done, "ticket_id")
 
 

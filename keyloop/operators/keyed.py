@@ -138,7 +138,8 @@ def overwrite_first_k(target: DataFrame, key: str, order: str | Sequence[str],
              .orderBy(*order).limit(k)
              .withColumn("pos", F.row_number().over(Window.orderBy(*order)))
              .select(key, "pos"))
-    patch = first.join(replacements, "pos").select(
+    # both sides hold at most k rows: broadcasting them is bounded by k, not by the data
+    patch = first.join(F.broadcast(replacements), "pos").select(
         F.col(key), F.lit(True).alias("__hit"),
         *[expr.alias(f"__new_{c}") for c, expr in values.items()])
     joined = target.join(F.broadcast(patch), key, "left")

@@ -76,7 +76,7 @@ def compare(spark, sf_dir: str, names=None, verbose=True) -> dict:
                 print(f"{name}: rows={len(pdf)} (no oracle) {ts:.1f}s")
             continue
         try:
-            oarrow = con.execute(sqls[name]).to_arrow_table()
+            oarrow = con.sql(sqls[name]).to_arrow_table()
             odf = oarrow.to_pandas()
         except Exception as e:  # noqa: BLE001
             results[name] = {"ok": False, "error": f"duckdb: {e}"[:500]}

@@ -4,9 +4,16 @@ Layout under ``root`` (a folder on shared storage, below ``spark.checkpoint.dir`
 
     data/batch=<id>/__bucket=<b>/   delta: the latest change per key of micro-batch <id>
     data/base=<id>/__bucket=<b>/    base: the whole bucket, compacted at batch <id>
-    manifest/                       parquet rows (batch_id, bucket, kind), appended after
+    manifest/epoch=<e>/             parquet rows (batch_id, bucket, kind), appended after
                                     the files they name are complete
 
+Every ``consolidate_after`` appends, the live rows of the manifest (each bucket's base and
+later deltas) and a 'mark' row with the highest committed batch id are written as one file
+into the next epoch; from then on only that epoch is read and appended to, so the manifest a
+batch reads stays bounded however long the stream runs.  An epoch counts only once its
+consolidation file (the one with the mark) is complete; the current epoch is found by
+binary search over the contiguous epoch numbers.
+
 A bucket's current content is its newest base plus the deltas written after it, merged by
 version (latest row per key).  So a micro-batch writes only its own changes (O(batch), not
 O(state)); a bucket is compacted into a new base once it has ``max_deltas`` deltas; a read
@@ -58,7 +65,8 @@ class KeyedState:
 
     def __init__(self, spark: SparkSession, root: str, pk: Sequence[str],
                  order: Sequence[str] = (VER,), tie: Sequence[str] = (), buckets: int = 64,
-                 nulls_first: bool = False, files_per_bucket: int = 1, max_deltas: int = 8):
+                 nulls_first: bool = False, files_per_bucket: int = 1, max_deltas: int = 8,
+                 consolidate_after: int = 64):
         self.spark, self.root = spark, root.rstrip("/")
         self.pk, self.order, self.tie, self.buckets = list(pk), list(order), list(tie), buckets
         self.nulls_first = nulls_first
@@ -66,13 +74,40 @@ class KeyedState:
         # bucket (no single task writes a whole bucket).
         self.files_per_bucket = files_per_bucket
         self.max_deltas = max_deltas
+        self.consolidate_after = consolidate_after
+        self._epoch: int | None = None
 
     # -------------------------------------------------------------- manifest
-    def _manifest(self) -> DataFrame:
+    def _epoch_path(self, epoch: int) -> str:
+        return f"{self.root}/manifest/epoch={epoch}"
+
+    def _read_epoch(self, epoch: int) -> DataFrame | None:
         try:
-            return self.spark.read.schema(MANIFEST_SCHEMA).parquet(f"{self.root}/manifest")
+            return self.spark.read.schema(MANIFEST_SCHEMA).parquet(self._epoch_path(epoch))
         except AnalysisException:
-            return self.spark.createDataFrame([], MANIFEST_SCHEMA)
+            return None
+
+    def _epoch_valid(self, epoch: int) -> bool:
+        if epoch == 0:
+            return True
+        m = self._read_epoch(epoch)
+        return m is not None and bool(m.filter(F.col("kind") == "mark").limit(1).collect())
+
+    def _current_epoch(self) -> int:
+        """The newest complete epoch (cached; found once by exponential + binary search)."""
+        if self._epoch is None:
+            lo, hi = 0, 1
+            while self._epoch_valid(hi):
+                lo, hi = hi, hi * 2
+            while hi - lo > 1:
+                mid = (lo + hi) // 2
+                lo, hi = (mid, hi) if self._epoch_valid(mid) else (lo, mid)
+            self._epoch = lo
+        return self._epoch
+
+    def _manifest(self) -> DataFrame:
+        m = self._read_epoch(self._current_epoch())
+        return m if m is not None else self.spark.createDataFrame([], MANIFEST_SCHEMA)
 
     def _layout(self, batch_id: int = -1) -> tuple[dict[int, tuple[int, list[int]]], bool]:
         """{bucket: (base batch id or -1, [delta batch ids after it])} and whether
@@ -82,10 +117,14 @@ class KeyedState:
         per_bucket = m.groupBy("bucket").agg(
             F.max(F.when(F.col("kind") == "base", F.col("batch_id"))).alias("base"),
             F.collect_list(F.when(F.col("kind") == "delta", F.col("batch_id"))).alias("deltas"),
+            F.max(F.when(F.col("kind") == "mark", F.col("batch_id"))).alias("mark"),
             F.max(((F.col("kind") == "delta") & (F.col("batch_id") == batch_id))
                   .cast("int")).alias("hit")).collect()
         layout, done = {}, False
         for r in per_bucket:
+            if r["mark"] is not None:      # batches up to the mark were committed earlier
+                done = done or 0 <= batch_id <= int(r["mark"])
+                continue
             base = -1 if r["base"] is None else int(r["base"])
             layout[int(r["bucket"])] = (base, sorted(int(d) for d in r["deltas"] if d > base))
             done = done or r["hit"] == 1
@@ -97,7 +136,21 @@ class KeyedState:
     def _append_manifest(self, entries: list[tuple[int, int, str]]) -> None:
         if entries:
             self.spark.createDataFrame(entries, MANIFEST_SCHEMA).coalesce(1) \
-                .write.mode("append").parquet(f"{self.root}/manifest")
+                .write.mode("append").parquet(self._epoch_path(self._current_epoch()))
+
+    def consolidate(self) -> None:
+        """Write the live manifest rows and the committed high-water mark as one file into
+        the next epoch (a single-file write: it appears complete or not at all)."""
+        e = self._current_epoch()
+        m = self._manifest()
+        top = m.agg(F.max("batch_id")).first()[0]
+        layout, _ = self._layout()
+        rows = [(base, b, "base") for b, (base, _ds) in layout.items() if base >= 0]
+        rows += [(d, b, "delta") for b, (_base, ds) in layout.items() for d in ds]
+        rows.append((-1 if top is None else int(top), -1, "mark"))
+        self.spark.createDataFrame(rows, MANIFEST_SCHEMA).coalesce(1) \
+            .write.mode("overwrite").parquet(self._epoch_path(e + 1))
+        self._epoch = e + 1
 
     def _path(self, kind: str, batch_id: int, bucket: int) -> str:
         return f"{self.root}/data/{kind}={batch_id}/{BUCKET}={bucket}"
@@ -153,7 +206,10 @@ class KeyedState:
 
     def apply_batch(self, changes: DataFrame, batch_id: int) -> None:
         """Merge one micro-batch of change rows (any order, any duplicates): write its latest
-        change per key as a delta, then compact the buckets that reached ``max_deltas``."""
+        change per key as a delta, then compact the buckets that reached ``max_deltas``.
+
+        Batch ids must increase, as Structured Streaming's do: after a consolidation, ids up
+        to the recorded mark count as committed."""
         layout, done = self._layout(batch_id)
         if done:
             return
@@ -166,6 +222,8 @@ class KeyedState:
         full = [b for b in touched if len(layout[b][1]) >= self.max_deltas]
         if full:
             self.compact(full, batch_id, layout)
+        if len(self._manifest().inputFiles()) >= self.consolidate_after:
+            self.consolidate()
 
     def compact(self, buckets: Sequence[int], batch_id: int, layout: dict | None = None
                 ) -> None:

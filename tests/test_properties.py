@@ -65,7 +65,8 @@ def test_state_batches_in_any_order(spark, rows, order):
     log = spark.createDataFrame(rows, LOG_SCHEMA)
     parts = [log.filter(f"_commit_version % 3 = {i}") for i in range(3)]
     state = KeyedState(spark, tempfile.mkdtemp(prefix="keyloop-prop-"), ["k"], buckets=3,
-                       max_deltas=2)   # compaction after every second delta of a bucket
+                       max_deltas=2,     # compaction after every second delta of a bucket
+                       consolidate_after=2)   # and a new manifest epoch every second append
     for bid, i in enumerate(order):
         state.apply_batch(parts[i], bid)
     state.apply_batch(parts[order[0]], 99)            # a late replay of old changes

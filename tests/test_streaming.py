@@ -27,7 +27,8 @@ def _split_log(spark, sf_small, parts=4):
 def test_stream_equals_batch_out_of_order(spark, sf_small):
     log, flat = _split_log(spark, sf_small)
     root = tempfile.mkdtemp(prefix="keyloop-state-")
-    state = KeyedState(spark, f"{root}/state", ["entity_id"], buckets=8, max_deltas=2)
+    state = KeyedState(spark, f"{root}/state", ["entity_id"], buckets=8, max_deltas=2,
+                       consolidate_after=2)
     src = SC.file_stream(spark, flat, "*.parquet", max_files_per_trigger=1)
     continuous_sync(src, state, f"{root}/_chk").awaitTermination()
     want = sorted(H.current_state(log, ["entity_id"]).collect())
@@ -115,3 +116,26 @@ def test_suggest_layout_bounds():
     assert suggest_layout(1 << 40) == (4096, 2)            # 1 TiB: 8192 files of 128 MiB
     b, f = suggest_layout(100 << 40)                       # 100 TiB
     assert b == 4096 and f == 200
+
+
+def test_manifest_epochs_found_again_and_bounded(spark, sf_small):
+    log = V.change_log(spark, sf_small)
+    root = tempfile.mkdtemp(prefix="keyloop-epochs-")
+    state = KeyedState(spark, f"{root}/state", ["entity_id"], buckets=4, max_deltas=3,
+                       consolidate_after=3)
+    for bid in range(10):
+        state.apply_batch(log.filter(F.col("_commit_version") % 10 == bid), bid)
+    assert state._current_epoch() >= 2
+    assert len(state._manifest().inputFiles()) < 3 + 1
+    # a new object on the same folder finds the newest epoch and the committed batches
+    again = KeyedState(spark, f"{root}/state", ["entity_id"], buckets=4, max_deltas=3,
+                       consolidate_after=3)
+    assert again._current_epoch() == state._current_epoch()
+    assert again.committed(0) and again.committed(9) and not again.committed(10)
+    want = sorted(H.current_state(log, ["entity_id"]).collect())
+    assert sorted(again.current().select("entity_id", "value", "props").collect()) == want
+    # an epoch whose consolidation file never completed does not count
+    spark.createDataFrame([(5, 1, "delta")], "batch_id long, bucket long, kind string") \
+        .write.parquet(f"{root}/state/manifest/epoch={state._current_epoch() + 1}")
+    third = KeyedState(spark, f"{root}/state", ["entity_id"], buckets=4)
+    assert third._current_epoch() == state._current_epoch()

@@ -4,6 +4,7 @@ time-to-fix per model (Q10)."""
 from __future__ import annotations
 
 from collections.abc import Sequence
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -19,7 +20,8 @@ def hours_between(start: str | Column, end: str | Column) -> Column:
     s = F.col(start) if isinstance(start, str) else start
     e = F.col(end) if isinstance(end, str) else end
     diff = F.unix_timestamp(e) - F.unix_timestamp(s)
-    return F.round(diff / F.lit(3600.0), 1).cast("double")
+    # the SQL literal 3600.0 is a decimal: exact decimal division, half-up rounding
+    return F.round(diff / F.lit(Decimal("3600.0")), 1).cast("double")
 
 
 def time_to_fix(history: DataFrame, machines: DataFrame, tickets: DataFrame,

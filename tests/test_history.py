@@ -235,3 +235,11 @@ def test_union_histories_with_json_payload(spark):
     counts = {(r.table_name, r._change_type): r.n_changes
               for r in H.change_counts(u, ["table_name", "_change_type"]).collect()}
     assert counts == {("a", "insert"): 1, ("b", "delete"): 1}
+
+
+def test_hours_rounding_half_up_and_seconds(spark):
+    df = spark.createDataFrame([(0, 180), (0, 5580), (0, -180), (0, 19620), (0, 179)],
+                               "a long, b long").select(
+        F.timestamp_seconds("a").alias("s"), F.timestamp_seconds("b").alias("e"))
+    got = [r.h for r in df.select(M.hours_between("s", "e").alias("h")).collect()]
+    assert got == [0.1, 1.6, -0.1, 5.5, 0.0]

@@ -139,3 +139,19 @@ def test_manifest_epochs_found_again_and_bounded(spark, sf_small):
         .write.parquet(f"{root}/state/manifest/epoch={state._current_epoch() + 1}")
     third = KeyedState(spark, f"{root}/state", ["entity_id"], buckets=4)
     assert third._current_epoch() == state._current_epoch()
+
+
+def test_continuous_trigger_mode(spark, sf_small):
+    """S7 with a processing-time trigger: run, drain what is there, stop."""
+    root = tempfile.mkdtemp(prefix="keyloop-cont-")
+    state = KeyedState(spark, f"{root}/state", ["entity_id"], buckets=4)
+    src = V.change_log_of(SC.file_stream(spark, sf_small, "events.parquet"))
+    q = continuous_sync(src, state, f"{root}/_chk", available_now=False,
+                        processing_time="1 second")
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    log = V.change_log(spark, sf_small)
+    got = sorted(state.current().select("entity_id", "value", "props").collect())
+    assert got == sorted(H.current_state(log, ["entity_id"]).collect())

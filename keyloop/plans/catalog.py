@@ -54,22 +54,24 @@ WHERE t.status = 'open'
 _Q1_SQL = O.with_(O.M, O.T, O.A) + _Q1_BODY
 
 
+def _queue_inputs(spark, sf):
+    return V.tickets(spark, sf, status="open"), V.machines(spark, sf), V.actions(spark, sf)
+
+
 @register("open_alerts", _Q1_SQL)
 def q_open_alerts(spark, sf):
-    return queues.open_alerts(V.tickets(spark, sf, status="open"), V.machines(spark, sf), V.actions(spark, sf))
+    return queues.open_alerts(*_queue_inputs(spark, sf))
 
 
 @register("open_alerts_high", _Q1_SQL + "  AND t.priority = 'high'\n")
 def q_open_alerts_high(spark, sf):
-    return queues.open_alerts(V.tickets(spark, sf, status="open"), V.machines(spark, sf), V.actions(spark, sf),
-                              sort="oldest", priority="high")
+    return queues.open_alerts(*_queue_inputs(spark, sf), sort="oldest", priority="high")
 
 
 @register("open_alerts_critical_unfiltered", _Q1_SQL)
 def q_open_alerts_critical(spark, sf):
     # P6: 'critical' is not an accepted filter value, so the whole queue comes back
-    return queues.open_alerts(V.tickets(spark, sf, status="open"), V.machines(spark, sf), V.actions(spark, sf),
-                              sort="machine", priority="critical")
+    return queues.open_alerts(*_queue_inputs(spark, sf), sort="machine", priority="critical")
 
 
 @register("queue_counters", O.with_(O.M, O.T, O.A, "q AS (" + _Q1_BODY + ")") + """

@@ -11,7 +11,8 @@ from keyloop.streaming.state import KeyedState
 
 SETTINGS = settings(max_examples=12, deadline=None,
                     suppress_health_check=[HealthCheck.function_scoped_fixture])
-LOG_SCHEMA = "k long, v string, _change_type string, _commit_version long, _commit_timestamp timestamp"
+LOG_SCHEMA = ("k long, v string, _change_type string, _commit_version long, "
+              "_commit_timestamp timestamp")
 TYPES = ["insert", "update_preimage", "update_postimage", "delete"]
 
 

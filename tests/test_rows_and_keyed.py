@@ -11,7 +11,8 @@ from keyloop.plans import queues as Q
 
 
 def test_severity_presets(spark):
-    df = spark.createDataFrame([("critical",), ("high",), ("medium",), ("low",), (None,)], "p string")
+    df = spark.createDataFrame([("critical",), ("high",), ("medium",), ("low",), (None,)],
+                               "p string")
     got = {r.p: (r.q, r.w) for r in df.select(
         "p", R.severity_rank("p").alias("q"),
         R.severity_rank("p", R.WORK_ORDER_SEVERITY, R.WORK_ORDER_SEVERITY_DEFAULT).alias("w"))

@@ -417,6 +417,33 @@ def q_reconcile(spark, sf):
     return sync.reconcile(old, new, ["o_orderkey"])
 
 
+@register("reconcile_tables", O.with_(O.SNAP, O.LOG, _NR) + """,
+cur AS (""" + _CURRENT + """)
+SELECT 'orders' AS table_name,
+       CAST(count(o.o_orderkey) AS BIGINT) AS source_rows,
+       CAST(count(n.o_orderkey) AS BIGINT) AS replica_rows,
+       CAST(count(*) FILTER (WHERE n.o_orderkey IS NULL) AS BIGINT) AS missing_in_replica,
+       CAST(count(*) FILTER (WHERE o.o_orderkey IS NULL) AS BIGINT) AS extra_in_replica,
+       CAST(count(*) FILTER (WHERE o.o_orderkey IS NOT NULL AND n.o_orderkey IS NOT NULL AND (
+            o.o_custkey IS DISTINCT FROM n.o_custkey OR o.o_orderstatus IS DISTINCT FROM
+            n.o_orderstatus OR o.o_totalprice IS DISTINCT FROM n.o_totalprice OR
+            o.o_orderdate IS DISTINCT FROM n.o_orderdate OR
+            o.o_orderpriority IS DISTINCT FROM n.o_orderpriority)) AS BIGINT) AS changed_keys
+FROM old_s o FULL OUTER JOIN new_s n ON o.o_orderkey = n.o_orderkey
+UNION ALL
+SELECT 'entity_state', CAST(count(*) AS BIGINT), CAST(count(*) AS BIGINT), CAST(0 AS BIGINT),
+       CAST(0 AS BIGINT), CAST(0 AS BIGINT) FROM cur
+""")
+def q_reconcile_tables(spark, sf):
+    old, new = V.snapshot_pair(spark, sf)
+    log = V.change_log(spark, sf)
+    source = H.current_state(log, LOG_PK)
+    replica = sync.triggered_sync(H.as_of(log, LOG_PK, version=SYNC_VERSION), log, LOG_PK,
+                                  SYNC_VERSION)
+    return sync.reconcile_tables({"orders": (old, new, ["o_orderkey"]),
+                                  "entity_state": (source, replica, LOG_PK)})
+
+
 @register("compare_keys", O.with_(O.SNAP) + """
 SELECT o_orderkey, 'both' AS side FROM (SELECT o_orderkey FROM old_s INTERSECT
                                         SELECT o_orderkey FROM new_s)

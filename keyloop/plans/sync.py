@@ -109,3 +109,14 @@ def reconcile_keys(source: DataFrame, replica: DataFrame, pk: Sequence[str]) ->
     """S10 detail / U1: the keys present on one side only, with ``side``."""
     from keyloop.operators.keyed import compare_keys
     return compare_keys(source, replica, list(pk)).filter(F.col("side") != "both")
+
+
+def reconcile_tables(pairs: Mapping[str, tuple[DataFrame, DataFrame, Sequence[str]]]
+                     ) -> DataFrame:
+    """S10 for several tables: one summary row per table (``table_name`` first)."""
+    out = None
+    for name, (source, replica, pk) in pairs.items():
+        r = reconcile(source, replica, pk)
+        r = r.select(F.lit(name).alias("table_name"), *r.columns)
+        out = r if out is None else out.unionByName(r)
+    return out

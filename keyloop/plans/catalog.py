@@ -276,6 +276,12 @@ def q_as_of(spark, sf):
     return H.as_of(V.change_log(spark, sf), LOG_PK, timestamp=AS_OF_TS)
 
 
+@register("as_of_version", O.with_(O.LOG, _NR.replace(
+    "WHERE", f"WHERE _commit_version <= {SYNC_VERSION} AND")) + _CURRENT)
+def q_as_of_version(spark, sf):
+    return H.as_of(V.change_log(spark, sf), LOG_PK, version=SYNC_VERSION)
+
+
 @register("triggered_sync", O.with_(O.LOG, _NR) + _CURRENT)
 def q_triggered_sync(spark, sf):
     log = V.change_log(spark, sf)

@@ -4,7 +4,6 @@ time-to-fix per model (Q10)."""
 from __future__ import annotations
 
 from collections.abc import Sequence
-from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -20,8 +19,12 @@ def hours_between(start: str | Column, end: str | Column) -> Column:
     s = F.col(start) if isinstance(start, str) else start
     e = F.col(end) if isinstance(end, str) else end
     diff = F.unix_timestamp(e) - F.unix_timestamp(s)
-    # the SQL literal 3600.0 is a decimal: exact decimal division, half-up rounding
-    return F.round(diff / F.lit(Decimal("3600.0")), 1).cast("double")
+    # In SQL, 3600.0 is a decimal literal.  Double division rounds identically here: for an
+    # integral number of seconds n, n/3600 is either exactly k/20 (which Spark's half-up
+    # round of a double sees as its shortest decimal form, exactly k/20) or at least 1/3600
+    # away from any rounding boundary, far beyond double error.  Doubles stay in generated
+    # code; the wide decimal quotient would use BigDecimal arithmetic per row.
+    return F.round(diff / F.lit(3600.0), 1)
 
 
 def time_to_fix(history: DataFrame, machines: DataFrame, tickets: DataFrame,

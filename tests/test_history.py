@@ -243,3 +243,14 @@ def test_hours_rounding_half_up_and_seconds(spark):
         F.timestamp_seconds("a").alias("s"), F.timestamp_seconds("b").alias("e"))
     got = [r.h for r in df.select(M.hours_between("s", "e").alias("h")).collect()]
     assert got == [0.1, 1.6, -0.1, 5.5, 0.0]
+
+
+def test_hours_double_path_equals_decimal_half_up(spark):
+    from decimal import ROUND_HALF_UP, Decimal
+    df = spark.range(-200_000, 200_000, 37).select(
+        F.col("id").alias("n"), F.timestamp_seconds(F.lit(0)).alias("s"),
+        F.timestamp_seconds("id").alias("e"))
+    rows = df.select("n", M.hours_between("s", "e").alias("h")).collect()
+    for r in rows:
+        want = (Decimal(r.n) / Decimal("3600.0")).quantize(Decimal("0.1"), ROUND_HALF_UP)
+        assert Decimal(str(r.h)) == want, (r.n, r.h, want)

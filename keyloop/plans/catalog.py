@@ -569,7 +569,9 @@ SELECT count(*) AS n_rows, count(*) AS n_distinct_ids, CAST(1 AS BIGINT) AS min_
        CAST(count(*) AS BIGINT) AS max_id FROM a
 """)
 def q_assign_ids(spark, sf):
-    ids = Wr.assign_keys(V.actions(spark, sf), "action_id", start_after=0)
+    # ids for every action row, identified by its natural key (what the checkpoint stores)
+    rows = V.actions(spark, sf).select("ticket_id", "performed_at", "line_no", "amount")
+    ids = Wr.assign_keys(rows, "action_id", start_after=0)
     return ids.agg(F.count(F.lit(1)).alias("n_rows"),
                    F.countDistinct("action_id").alias("n_distinct_ids"),
                    F.min("action_id").alias("min_id"), F.max("action_id").alias("max_id"))

@@ -16,7 +16,7 @@ DRIVER_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "
                  "conversations")
 
 
-_SCANS: dict[tuple[str, str], DataFrame] = {}
+_SCANS: dict[tuple[str, int, str], DataFrame] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -27,7 +27,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     forgets them (e.g. after the files were replaced).
     """
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (spark.sparkContext.applicationId, path)
+    key = (spark.sparkContext.applicationId, id(spark), path)   # per session, per path
     if key not in _SCANS:
         _SCANS[key] = spark.read.parquet(path)
     return _SCANS[key]

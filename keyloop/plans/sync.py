@@ -36,15 +36,30 @@ def check_primary_key(df: DataFrame, pk: Sequence[str]) -> int:
 
 def snapshot_sync(df: DataFrame, pk: Sequence[str], target: str | None,
                   fmt: str = "parquet", options: dict | None = None,
-                  verify: bool = True) -> DataFrame:
+                  verify: bool = True, table: str | None = None,
+                  buckets: int | None = None) -> DataFrame:
     """S5 (with S1): full keyed copy of ``df`` after a primary-key check; overwrite replaces
     data and schema; with ``verify`` the replica's row count (parquet metadata, no data scan)
     must equal the source's.  ``fmt`` / ``options`` select any Spark writer (e.g. a JDBC
-    table with ``target=None``).  Returns the replica as read back."""
+    table with ``target=None``).
+
+    With ``table`` (a catalog table) and ``buckets``, the replica is bucketed and sorted by
+    the primary key: later key joins between replicas with the same bucket count (diff,
+    reconcile, apply) read co-partitioned data and need no shuffle.  Returns the replica."""
     n = check_primary_key(df, list(pk))
+    spark = df.sparkSession
+    if table is not None:
+        w = df.write.mode("overwrite").format(fmt).options(**(options or {}))
+        if buckets:
+            w = w.bucketBy(buckets, *pk).sortBy(*pk)
+        w.saveAsTable(table)
+        replica = spark.table(table)
+        if verify and replica.count() != n:
+            raise RuntimeError(f"replica has {replica.count()} rows, source {n}")
+        return replica
     w = df.write.mode("overwrite").format(fmt).options(**(options or {}))
     w.save(target) if target is not None else w.save()
-    r = df.sparkSession.read.format(fmt).options(**(options or {}))
+    r = spark.read.format(fmt).options(**(options or {}))
     replica = r.load(target) if target is not None else r.load()
     if verify and replica.count() != n:
         raise RuntimeError(f"replica has {replica.count()} rows, source {n}")

@@ -13,8 +13,9 @@ def spark():
     from keyloop.session import build_session
     # tests set their own checkpoint folder (it is unset in a local session)
     chk = tempfile.mkdtemp(prefix="keyloop-test-")
+    wh = tempfile.mkdtemp(prefix="keyloop-warehouse-")
     s = build_session(master="local[4]", shuffle_partitions=4,
-                      extra={"spark.checkpoint.dir": chk})
+                      extra={"spark.checkpoint.dir": chk, "spark.sql.warehouse.dir": wh})
     yield s
     s.stop()
 

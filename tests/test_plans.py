@@ -42,3 +42,25 @@ def test_no_python_udfs_anywhere(spark):
             continue   # these run jobs while being built; covered by their own tests
         p = _plan(fn(spark, SF))
         assert "BatchEvalPython" not in p and "ArrowEvalPython" not in p, name
+
+
+def test_bucketed_replicas_join_without_shuffle(spark):
+    from keyloop.operators import history as H
+    from keyloop.plans import sync
+    from keyloop.sources import tables as V
+    old, new = V.snapshot_pair(spark, SF)
+    a = sync.snapshot_sync(old, ["o_orderkey"], None, table="orders_old", buckets=8)
+    b = sync.snapshot_sync(new, ["o_orderkey"], None, table="orders_new", buckets=8)
+    conf = "spark.sql.autoBroadcastJoinThreshold"
+    saved = spark.conf.get(conf)
+    spark.conf.set(conf, "-1")           # plan as for large replicas
+    try:
+        for df in (sync.reconcile(a, b, ["o_orderkey"]),
+                   H.diff_snapshots(a, b, ["o_orderkey"], version=1)):
+            p = _plan(df)
+            assert "SortMergeJoin" in p and "BroadcastHashJoin" not in p
+            assert "hashpartitioning(o_orderkey" not in p, p     # co-partitioned: no shuffle
+        r = sync.reconcile(a, b, ["o_orderkey"]).first()
+        assert r.missing_in_replica > 0 and r.extra_in_replica > 0 and r.changed_keys > 0
+    finally:
+        spark.conf.set(conf, saved)

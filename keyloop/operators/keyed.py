@@ -112,6 +112,31 @@ def top_k(df: DataFrame, k: int, order: str | Sequence[str], tie: str | Sequence
     return df.orderBy(*sort).limit(k)
 
 
+def top_k_through_joins(fact: DataFrame, k: int, order: str | Sequence[str],
+                        tie: str | Sequence[str], joins, oversample: int = 4,
+                        nulls_first: bool = True, dims: Sequence[DataFrame] = (),
+                        max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> DataFrame:
+    """O3 over ``joins(fact)``, where ``joins`` only adds columns or drops rows (inner joins to
+    dimensions with unique keys: each fact row gives at most one output row).
+
+    Exact without joining the whole fact table: the newest ``k * oversample`` fact rows are
+    taken first (a distributed top-k) and joined; if at least ``k`` of them survive, no older
+    row can enter the result, so their top k is the answer.  Otherwise (many orphans among the
+    newest rows) the full join is used.  The only driver-side value is a count of at most
+    ``k * oversample`` rows.
+
+    When every dimension in ``dims`` is provably small, the joins are broadcast (map-side, no
+    shuffle) and one top-k over the joined rows is cheaper than the two-step plan.
+    """
+    if dims and all((b := estimated_bytes(d)) is not None and 0 <= b <= max_broadcast_bytes
+                    for d in dims):
+        return top_k(joins(fact), k, order, tie, nulls_first)
+    cand = joins(top_k(fact, k * oversample, order, tie, nulls_first))
+    if cand.count() >= k:
+        return top_k(cand, k, order, tie, nulls_first)
+    return top_k(joins(fact), k, order, tie, nulls_first)
+
+
 def first_k_keys(df: DataFrame, key: str, order: str, k: int) -> DataFrame:
     """A5: the first k distinct keys in order of first appearance (``order`` ascending).
 

@@ -131,7 +131,8 @@ ORDER BY am.performed_at DESC NULLS FIRST, am.ticket_id DESC, am.line_no DESC, a
 LIMIT 15
 """)
 def q_recent_actions(spark, sf):
-    return queues.recent_actions(V.actions_with_machine(spark, sf), V.machines(spark, sf), 15)
+    return queues.recent_actions(V.actions(spark, sf), V.machines(spark, sf), 15,
+                                 machine_of=V.ticket_machines(spark, sf))
 
 
 @register("open_work_orders", O.with_(O.M, O.WO) + """

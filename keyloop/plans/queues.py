@@ -15,7 +15,8 @@ from keyloop.functions.rows import (QUEUE_FILTER_PRIORITIES, QUEUE_SEVERITY,
                                     WORK_ORDER_SEVERITY_DEFAULT, not_in_state, severity_rank,
                                     status_is, status_not, threshold_filter)
 from keyloop.operators.keyed import (first_k_keys, join_dim, latest_per_key,
-                                     overwrite_first_k, reduce_to_keys, top_k, without_match)
+                                     overwrite_first_k, reduce_to_keys, top_k,
+                                     top_k_through_joins, without_match)
 
 
 def alert_order(sort: str) -> list[Column]:
@@ -111,13 +112,25 @@ def queue_counters(queue: DataFrame, values: Sequence[str] = ("high", "medium",
     return one.selectExpr(f"stack({len(values) + 1}, {pairs}) as ({col}, n)")
 
 
-def recent_actions(actions_with_machine: DataFrame, machines: DataFrame, k: int = 15
-                   ) -> DataFrame:
-    """Q2: newest k actions with the machine model (inner join drops orphans)."""
-    a = join_dim(actions_with_machine, machines.select("machine_id", "model"), "machine_id")
-    a = a.select("ticket_id", "line_no", "amount", "machine_id", "model", "action_type",
-                 "description", "performed_by", "status", "performed_at", "completed_at")
-    return top_k(a, k, "performed_at", ["ticket_id", "line_no", "amount"])
+def recent_actions(actions: DataFrame, machines: DataFrame, k: int = 15,
+                   machine_of: DataFrame | None = None) -> DataFrame:
+    """Q2: newest k actions with the machine model (inner join drops orphans).
+
+    ``machine_of`` (ticket_id -> machine_id) supplies the machine when the actions do not
+    carry it.  The joins run on the newest candidates only (exact, see
+    ``top_k_through_joins``)."""
+    def joins(a: DataFrame) -> DataFrame:
+        if machine_of is not None:
+            a = a.join(machine_of, "ticket_id")
+        a = join_dim(a, machines.select("machine_id", "model"), "machine_id")
+        return a.select("ticket_id", "line_no", "amount", "machine_id", "model",
+                        "action_type", "description", "performed_by", "status",
+                        "performed_at", "completed_at")
+    dims = [machines.select("machine_id", "model")]
+    if machine_of is not None:
+        dims.append(machine_of)
+    return top_k_through_joins(actions, k, "performed_at", ["ticket_id", "line_no", "amount"],
+                               joins, dims=dims)
 
 
 def open_work_orders(work_orders: DataFrame, machines: DataFrame,
@@ -135,17 +148,21 @@ def open_work_orders(work_orders: DataFrame, machines: DataFrame,
 
 
 def recent_quality_checks(checks: DataFrame, machines: DataFrame, k: int = 15) -> DataFrame:
-    """Q4: newest k quality checks with the machine model."""
-    q = join_dim(checks, machines.select("machine_id", "model"), "machine_id")
-    q = q.select("check_id", "order_id", "machine_id", "model", "check_type", "result",
-                 "defect_code", "notes", "inspector", "checked_at")
-    return top_k(q, k, "checked_at", ["check_id"])
+    """Q4: newest k quality checks with the machine model (joins on the candidates only)."""
+    def joins(q: DataFrame) -> DataFrame:
+        q = join_dim(q, machines.select("machine_id", "model"), "machine_id")
+        return q.select("check_id", "order_id", "machine_id", "model", "check_type", "result",
+                        "defect_code", "notes", "inspector", "checked_at")
+    return top_k_through_joins(checks, k, "checked_at", ["check_id"], joins,
+                               dims=[machines.select("machine_id", "model")])
 
 
 def recent_notes(notes: DataFrame, machines: DataFrame, k: int = 20,
                  tie: Sequence[str] = ("order_id", "line_no", "amount")) -> DataFrame:
-    """Q5: newest k operator notes; the machine is optional (left join keeps unknown ones)."""
-    n = join_dim(notes, machines.select("machine_id", "model"), "machine_id", how="left")
+    """Q5: newest k operator notes; the machine is optional.  A left join to a dimension
+    keeps every note exactly once, so the newest k are taken before the join."""
+    n = top_k(notes, k, "created_at", list(tie))
+    n = join_dim(n, machines.select("machine_id", "model"), "machine_id", how="left")
     n = n.select(*tie, "machine_id", "model", "note_type", "content", "created_by",
                  "created_at")
     return top_k(n, k, "created_at", list(tie))

@@ -140,12 +140,17 @@ def actions_of(li: DataFrame, status_value: str | None = None) -> DataFrame:
         F.when(F.col("l_linestatus") == "F", F.col("l_shipdate")).alias("completed_at"))
 
 
+def ticket_machines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ticket_id -> machine_id (unique key)."""
+    return table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("ticket_id"), F.col("o_custkey").alias("machine_id"))
+
+
 def actions_with_machine(spark: SparkSession, sf_dir: str, status_value: str | None = None
                          ) -> DataFrame:
     """Actions plus ``machine_id`` = the customer of the action's order (key join)."""
-    o = table(spark, sf_dir, "orders").select(
-        F.col("o_orderkey").alias("ticket_id"), F.col("o_custkey").alias("machine_id"))
-    return actions(spark, sf_dir, status_value).join(o, "ticket_id")
+    return actions(spark, sf_dir, status_value).join(ticket_machines(spark, sf_dir),
+                                                     "ticket_id")
 
 
 def readings(spark: SparkSession, sf_dir: str) -> DataFrame:

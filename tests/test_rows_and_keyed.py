@@ -150,3 +150,24 @@ def test_alert_order_fallback(spark):
     a = [str(c) for c in Q.alert_order("nonsense")]
     b = [str(c) for c in Q.alert_order("priority")]
     assert a == b and len(Q.alert_order("machine")) == 2
+
+
+def test_top_k_through_joins_exact_with_fallback(spark):
+    fact = spark.range(100).select(F.col("id").alias("k"), F.col("id").alias("ts"))
+
+    def joins_factory(dim):
+        return lambda df: df.join(dim, "k")
+
+    def brute(dim, k):
+        return [r.k for r in K.top_k(fact.join(dim, "k"), k, "ts", ["k"]).collect()]
+
+    # fast path: every third key has a dimension row, plenty survive among the candidates
+    dim = spark.range(0, 100, 3).select(F.col("id").alias("k"), F.lit("d").alias("v"))
+    got = [r.k for r in K.top_k_through_joins(fact, 5, "ts", ["k"], joins_factory(dim),
+                                              oversample=4).collect()]
+    assert got == brute(dim, 5)
+    # fallback: the newest 60 rows are all orphans, the candidates cannot fill k
+    dim2 = spark.range(0, 40).select(F.col("id").alias("k"), F.lit("d").alias("v"))
+    got2 = [r.k for r in K.top_k_through_joins(fact, 5, "ts", ["k"], joins_factory(dim2),
+                                               oversample=4).collect()]
+    assert got2 == brute(dim2, 5) == [39, 38, 37, 36, 35]

@@ -121,7 +121,7 @@ def recent_actions(actions: DataFrame, machines: DataFrame, k: int = 15,
     ``top_k_through_joins``)."""
     def joins(a: DataFrame) -> DataFrame:
         if machine_of is not None:
-            a = a.join(machine_of, "ticket_id")
+            a = join_dim(a, machine_of, "ticket_id")
         a = join_dim(a, machines.select("machine_id", "model"), "machine_id")
         return a.select("ticket_id", "line_no", "amount", "machine_id", "model",
                         "action_type", "description", "performed_by", "status",

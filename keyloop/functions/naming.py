@@ -13,6 +13,7 @@ HISTORY_SUFFIX = "_history"
 
 
 def history_table_name(table: str) -> str:
+    """The history table of an operational table: lb_<table>_history."""
     return f"{HISTORY_PREFIX}{table}{HISTORY_SUFFIX}"
 
 

@@ -96,6 +96,7 @@ def short_name(email: str | Column) -> Column:
 
 
 def all_of(conditions: Sequence[Column]) -> Column:
+    """AND of the conditions (true for none)."""
     out = F.lit(True)
     for c in conditions:
         out = out & c

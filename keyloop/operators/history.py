@@ -48,11 +48,13 @@ def _cols(x: str | Sequence[str]) -> list[str]:
 
 def payload_columns(history: DataFrame, pk: Sequence[str], extra: Sequence[str] = ()
                     ) -> list[str]:
+    """The row-image columns of a history (neither key nor change metadata)."""
     skip = set(pk) | set(META) | set(extra)
     return [c for c in history.columns if c not in skip]
 
 
 def not_preimage(history: DataFrame) -> DataFrame:
+    """Drop update preimages (a null change type is kept)."""
     return history.filter(~F.col(CT).eqNullSafe(PREIMAGE))
 
 

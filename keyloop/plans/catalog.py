@@ -29,6 +29,7 @@ ORACLE: dict[str, str] = {}
 
 
 def register(name: str, sql: str | None = None):
+    """Register a query under ``name`` with its DuckDB oracle SQL (None: rows-only check)."""
     def deco(fn):
         QUERIES[name] = fn
         if sql is not None:

@@ -80,4 +80,5 @@ new_s AS (SELECT o_orderkey, o_custkey,
 
 
 def with_(*ctes: str) -> str:
+    """A WITH clause of the given CTEs."""
     return "WITH " + ",\n".join(ctes) + "\n"

@@ -13,7 +13,7 @@ from keyloop.operators.history import apply_changes
 
 
 class PrimaryKeyError(ValueError):
-    pass
+    """A snapshot's primary key is missing, null or not unique."""
 
 
 def check_primary_key(df: DataFrame, pk: Sequence[str]) -> int:

@@ -34,6 +34,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def clear_scans() -> None:
+    """Forget the reused driver-table scans."""
     _SCANS.clear()
 
 

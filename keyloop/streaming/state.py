@@ -131,6 +131,7 @@ class KeyedState:
         return layout, done
 
     def committed(self, batch_id: int) -> bool:
+        """Whether micro-batch ``batch_id`` was applied."""
         return self._layout(batch_id)[1]
 
     def _append_manifest(self, entries: list[tuple[int, int, str]]) -> None:
@@ -156,6 +157,7 @@ class KeyedState:
         return f"{self.root}/data/{kind}={batch_id}/{BUCKET}={bucket}"
 
     def bucket_of(self) -> F.Column:
+        """The state bucket of a row: pmod(xxhash64(pk), buckets)."""
         return F.pmod(F.xxhash64(*[F.col(k) for k in self.pk]), F.lit(self.buckets))
 
     def _latest(self, df: DataFrame) -> DataFrame:
@@ -164,6 +166,8 @@ class KeyedState:
     # -------------------------------------------------------------- read
     def read(self, include_tombstones: bool = False, buckets: Sequence[int] | None = None,
              layout: dict | None = None) -> DataFrame | None:
+        """The state rows (with change metadata); buckets with pending deltas are merged by
+        key, the others are read as they are.  None while the state is empty."""
         layout = layout if layout is not None else self._layout()[0]
         if buckets is not None:
             wanted = set(buckets)

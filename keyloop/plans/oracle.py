@@ -19,8 +19,8 @@ WO = """wo AS (SELECT o_orderkey AS work_order_id, o_custkey AS machine_id,
               WHEN '3-MEDIUM' THEN 'medium' ELSE 'low' END AS priority,
          'order ' || CAST(o_orderkey AS VARCHAR) AS title,
          o_orderpriority AS description,
-         CASE WHEN o_custkey % 7 = 0 THEN ''
-              ELSE 'tech-' || CAST(o_custkey % 7 AS VARCHAR) END AS assigned_to,
+         CASE WHEN o_orderpriority = '4-NOT SPECIFIED' THEN ''
+              ELSE 'tech-' || substr(o_orderpriority, 1, 1) END AS assigned_to,
          CAST(CAST(o_orderdate AS DATE) + 30 AS TIMESTAMP) AS due_date,
          CASE o_orderstatus WHEN 'O' THEN 'open' WHEN 'P' THEN 'in_progress'
               WHEN 'F' THEN 'closed' END AS status,
@@ -47,7 +47,7 @@ QC = """qc AS (SELECT event_id AS check_id, event_id AS order_id,
           user_id AS machine_id, event_type AS check_type,
           CASE WHEN value > 50 THEN 'fail' ELSE 'pass' END AS result,
           CASE WHEN value > 50 THEN 'VIB-' || CAST(user_id AS VARCHAR) END AS defect_code,
-          props AS notes, 'qa-' || CAST(user_id % 5 AS VARCHAR) AS inspector,
+          props AS notes, 'qa-' || event_type AS inspector,
           ts AS checked_at FROM events)"""
 
 N = """n AS (SELECT l_orderkey AS order_id, l_linenumber AS line_no, l_extendedprice AS amount,

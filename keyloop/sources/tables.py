@@ -105,9 +105,10 @@ def work_orders(spark: SparkSession, sf_dir: str, exclude_status: str | None = N
         _code_map("o_orderpriority", TICKET_PRIORITY, TICKET_PRIORITY_DEFAULT).alias("priority"),
         F.concat(F.lit("order "), F.col("o_orderkey").cast("string")).alias("title"),
         F.col("o_orderpriority").alias("description"),
-        # one customer in seven has no assignee yet (empty string, as a form would send it)
-        F.when(F.col("o_custkey") % 7 == 0, F.lit(""))
-         .otherwise(F.concat(F.lit("tech-"), (F.col("o_custkey") % 7).cast("string")))
+        # orders of unspecified priority have no assignee yet (an empty string, as a form
+        # sends it); the others go to the technician of their priority level
+        F.when(F.col("o_orderpriority") == "4-NOT SPECIFIED", F.lit(""))
+         .otherwise(F.concat(F.lit("tech-"), F.substring("o_orderpriority", 1, 1)))
          .alias("assigned_to"),
         # a date-like column kept as a timestamp at midnight, as the analytical tables do
         F.date_add(F.to_date("o_orderdate"), 30).cast("timestamp_ntz").alias("due_date"),
@@ -177,7 +178,7 @@ def quality_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("value") > 50, F.concat(F.lit("VIB-"), F.col("user_id").cast("string")))
          .alias("defect_code"),
         F.col("props").alias("notes"),
-        F.concat(F.lit("qa-"), (F.col("user_id") % 5).cast("string")).alias("inspector"),
+        F.concat(F.lit("qa-"), F.col("event_type")).alias("inspector"),
         F.col("ts").alias("checked_at"))
 
 

@@ -27,7 +27,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from keyloop.operators.keyed import latest_per_key
+from keyloop.operators.keyed import (DEFAULT_MAX_BROADCAST_BYTES, estimated_bytes,
+                                     latest_per_key)
 
 # The change types of a change feed.
 INSERT = "insert"
@@ -103,13 +104,19 @@ def history_read(history: DataFrame, order: str = TS) -> DataFrame:
 
 # ------------------------------------------------------------------------ S6 apply
 def apply_changes(snapshot: DataFrame, changes: DataFrame, pk: str | Sequence[str],
-                  since_version: int, keep_tombstones: bool = False) -> DataFrame:
+                  since_version: int, keep_tombstones: bool = False,
+                  max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> DataFrame:
     """Bring a keyed snapshot taken at ``since_version`` up to date with the changes of
     higher versions: upsert the latest non-preimage change per key, remove deleted keys.
 
     Expressed as union + latest-per-key (the snapshot rows carry ``since_version``), so a
     replayed or out-of-order batch changes nothing: versions decide, not arrival.  With
     ``keep_tombstones`` the deleted keys stay as 'delete' rows (state for later batches).
+
+    When the changed keys are provably small, only their snapshot rows take part in the
+    merge: the key set is broadcast, untouched snapshot rows pass through a map-side anti
+    join, and just the touched rows and the changes are shuffled.  Otherwise the whole
+    snapshot is merged.
     """
     pk = _cols(pk)
     cols = [c for c in snapshot.columns if c not in META]
@@ -122,7 +129,14 @@ def apply_changes(snapshot: DataFrame, changes: DataFrame, pk: str | Sequence[st
                             else F.lit(None)).cast(ts_type).alias(TS))
     newer = changes.filter(F.col(VER) > F.lit(since_version)).select(
         *cols, F.col(CT), F.col(VER).cast("bigint").alias(VER), F.col(TS))
-    latest = latest_changes(base.unionByName(newer), pk)
+    size = estimated_bytes(newer.select(*pk))
+    if size is not None and 0 <= size <= max_broadcast_bytes:
+        keys = F.broadcast(not_preimage(newer).select(*pk).distinct())
+        untouched = base.join(keys, pk, "left_anti")
+        touched = base.join(keys, pk, "left_semi")
+        latest = untouched.unionByName(latest_changes(touched.unionByName(newer), pk))
+    else:
+        latest = latest_changes(base.unionByName(newer), pk)
     if keep_tombstones:
         return latest
     return latest.filter(~F.col(CT).eqNullSafe(DELETE)).select(*cols)

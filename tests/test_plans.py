@@ -31,9 +31,11 @@ def test_validity_window_is_spread_by_bucket(spark):
     assert "hashpartitioning(entity_id" in p and "__bucket" in p
 
 
-def test_apply_changes_is_not_a_join(spark):
+def test_apply_changes_does_not_shuffle_join_the_snapshot(spark):
     p = _plan(entry.queries()["triggered_sync"](spark, SF))
-    assert "Join" not in p and "WindowGroupLimit" in p
+    # small change sets: untouched snapshot rows pass broadcast anti/semi joins, map-side
+    assert "SortMergeJoin" not in p and "WindowGroupLimit" in p
+    assert "LeftAnti" in p and "LeftSemi" in p
 
 
 def test_no_python_udfs_anywhere(spark):

@@ -44,6 +44,10 @@ def test_sync_from_any_version_equals_current_state(spark, rows, cut):
     replica = H.as_of(log, ["k"], version=cut)
     got = sorted(H.apply_changes(replica, log, ["k"], since_version=cut).collect())
     assert got == want
+    # the same through the whole-snapshot merge (no key broadcast)
+    full = sorted(H.apply_changes(replica, log, ["k"], since_version=cut,
+                                  max_broadcast_bytes=-1).collect())
+    assert full == want
 
 
 @SETTINGS

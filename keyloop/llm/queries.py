@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from keyloop.llm.decontaminate import ORACLE as DECONTAMINATE_SQL
+from keyloop.llm.decontaminate import contamination_digest
 from keyloop.llm.line_dedup import ORACLE as LINE_SQL
 from keyloop.llm.line_dedup import dedup_digest
 from keyloop.llm.text import tables
@@ -11,5 +13,9 @@ def op1_line_dedup(spark, sf_dir):
     return dedup_digest(tables(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_line_dedup,)}
-ORACLE = {"op1_line_dedup": LINE_SQL}
+def op2_decontaminate(spark, sf_dir):
+    return contamination_digest(tables(spark, sf_dir, "documents"), tables(spark, sf_dir, "benchmark"))
+
+
+QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_decontaminate)}
+ORACLE = {"op1_line_dedup": LINE_SQL, "op2_decontaminate": DECONTAMINATE_SQL}

@@ -6,6 +6,8 @@ from keyloop.llm.decontaminate import ORACLE as DECONTAMINATE_SQL
 from keyloop.llm.decontaminate import contamination_digest
 from keyloop.llm.line_dedup import ORACLE as LINE_SQL
 from keyloop.llm.line_dedup import dedup_digest
+from keyloop.llm.ngram_jaccard import ORACLE as JACCARD_SQL
+from keyloop.llm.ngram_jaccard import jaccard_digest
 from keyloop.llm.substring_dedup import ORACLE as SUBSTRING_SQL
 from keyloop.llm.substring_dedup import substring_digest
 from keyloop.llm.text import tables
@@ -19,10 +21,14 @@ def op2_decontaminate(spark, sf_dir):
     return contamination_digest(tables(spark, sf_dir, "documents"), tables(spark, sf_dir, "benchmark"))
 
 
+def op6_ngram_jaccard(spark, sf_dir):
+    return jaccard_digest(tables(spark, sf_dir, "documents"))
+
+
 def op10_substring_dedup(spark, sf_dir):
     return substring_digest(tables(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_decontaminate, op10_substring_dedup)}
+QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_decontaminate, op6_ngram_jaccard, op10_substring_dedup)}
 ORACLE = {"op1_line_dedup": LINE_SQL, "op2_decontaminate": DECONTAMINATE_SQL,
-          "op10_substring_dedup": SUBSTRING_SQL}
+          "op6_ngram_jaccard": JACCARD_SQL, "op10_substring_dedup": SUBSTRING_SQL}

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import public_tokenizers
+
+from keyloop.llm.byte_bpe import load_ranks, tokens_digest
 from keyloop.llm.decontaminate import ORACLE as DECONTAMINATE_SQL
 from keyloop.llm.decontaminate import contamination_digest
 from keyloop.llm.line_dedup import ORACLE as LINE_SQL
@@ -21,6 +24,11 @@ def op2_decontaminate(spark, sf_dir):
     return contamination_digest(tables(spark, sf_dir, "documents"), tables(spark, sf_dir, "benchmark"))
 
 
+def op4_byte_bpe(spark, sf_dir, name="byte_bpe_multi_50k.tiktoken"):
+    ranks = load_ranks(public_tokenizers.path(name))
+    return tokens_digest(tables(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
+
+
 def op6_ngram_jaccard(spark, sf_dir):
     return jaccard_digest(tables(spark, sf_dir, "documents"))
 
@@ -29,6 +37,7 @@ def op10_substring_dedup(spark, sf_dir):
     return substring_digest(tables(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_decontaminate, op6_ngram_jaccard, op10_substring_dedup)}
+QUERIES = {f.__name__: f for f in (
+    op1_line_dedup, op2_decontaminate, op4_byte_bpe, op6_ngram_jaccard, op10_substring_dedup)}
 ORACLE = {"op1_line_dedup": LINE_SQL, "op2_decontaminate": DECONTAMINATE_SQL,
           "op6_ngram_jaccard": JACCARD_SQL, "op10_substring_dedup": SUBSTRING_SQL}

@@ -11,9 +11,12 @@ from keyloop.llm.line_dedup import ORACLE as LINE_SQL
 from keyloop.llm.line_dedup import dedup_digest
 from keyloop.llm.ngram_jaccard import ORACLE as JACCARD_SQL
 from keyloop.llm.ngram_jaccard import jaccard_digest
+from keyloop.llm.quality_classifier import quality_scores
+from keyloop.llm.quality_rules import rules_digest
 from keyloop.llm.substring_dedup import ORACLE as SUBSTRING_SQL
 from keyloop.llm.substring_dedup import substring_digest
 from keyloop.llm.text import tables
+from keyloop.llm.toxicity import toxicity_scores
 
 
 def op1_line_dedup(spark, sf_dir):
@@ -29,15 +32,28 @@ def op4_byte_bpe(spark, sf_dir, name="byte_bpe_multi_50k.tiktoken"):
     return tokens_digest(tables(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
 
 
+def op5_quality_rules(spark, sf_dir):
+    return rules_digest(tables(spark, sf_dir, "documents"), tables(spark, sf_dir, "labels"))
+
+
 def op6_ngram_jaccard(spark, sf_dir):
     return jaccard_digest(tables(spark, sf_dir, "documents"))
 
 
+def op7_quality_classifier(spark, sf_dir):
+    return quality_scores(tables(spark, sf_dir, "documents"), tables(spark, sf_dir, "labels"))
+
+
+def op9_toxicity(spark, sf_dir):
+    return toxicity_scores(tables(spark, sf_dir, "documents"), tables(spark, sf_dir, "labels"))
+
+
 def op10_substring_dedup(spark, sf_dir):
     return substring_digest(tables(spark, sf_dir, "documents"))
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_line_dedup, op2_decontaminate, op4_byte_bpe, op6_ngram_jaccard, op10_substring_dedup)}
+    op1_line_dedup, op2_decontaminate, op4_byte_bpe, op5_quality_rules, op6_ngram_jaccard,
+    op7_quality_classifier, op9_toxicity, op10_substring_dedup)}
 ORACLE = {"op1_line_dedup": LINE_SQL, "op2_decontaminate": DECONTAMINATE_SQL,
           "op6_ngram_jaccard": JACCARD_SQL, "op10_substring_dedup": SUBSTRING_SQL}

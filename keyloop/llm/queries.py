@@ -9,6 +9,7 @@ from keyloop.llm.decontaminate import ORACLE as DECONTAMINATE_SQL
 from keyloop.llm.decontaminate import contamination_digest
 from keyloop.llm.line_dedup import ORACLE as LINE_SQL
 from keyloop.llm.line_dedup import dedup_digest
+from keyloop.llm.lm_scoring import lm_scores
 from keyloop.llm.ngram_jaccard import ORACLE as JACCARD_SQL
 from keyloop.llm.ngram_jaccard import jaccard_digest
 from keyloop.llm.quality_classifier import quality_scores
@@ -44,6 +45,10 @@ def op7_quality_classifier(spark, sf_dir):
     return quality_scores(tables(spark, sf_dir, "documents"), tables(spark, sf_dir, "labels"))
 
 
+def op8_lm_scoring(spark, sf_dir):
+    return lm_scores(tables(spark, sf_dir, "documents"))
+
+
 def op9_toxicity(spark, sf_dir):
     return toxicity_scores(tables(spark, sf_dir, "documents"), tables(spark, sf_dir, "labels"))
 
@@ -54,6 +59,6 @@ def op10_substring_dedup(spark, sf_dir):
 
 QUERIES = {f.__name__: f for f in (
     op1_line_dedup, op2_decontaminate, op4_byte_bpe, op5_quality_rules, op6_ngram_jaccard,
-    op7_quality_classifier, op9_toxicity, op10_substring_dedup)}
+    op7_quality_classifier, op8_lm_scoring, op9_toxicity, op10_substring_dedup)}
 ORACLE = {"op1_line_dedup": LINE_SQL, "op2_decontaminate": DECONTAMINATE_SQL,
           "op6_ngram_jaccard": JACCARD_SQL, "op10_substring_dedup": SUBSTRING_SQL}

@@ -7,6 +7,7 @@ import public_tokenizers
 from keyloop.llm.byte_bpe import load_ranks, tokens_digest
 from keyloop.llm.decontaminate import ORACLE as DECONTAMINATE_SQL
 from keyloop.llm.decontaminate import contamination_digest
+from keyloop.llm.html_extract import pages_digest
 from keyloop.llm.line_dedup import ORACLE as LINE_SQL
 from keyloop.llm.line_dedup import dedup_digest
 from keyloop.llm.lm_scoring import lm_scores
@@ -28,6 +29,10 @@ def op2_decontaminate(spark, sf_dir):
     return contamination_digest(tables(spark, sf_dir, "documents"), tables(spark, sf_dir, "benchmark"))
 
 
+def op3_html_extract(spark, sf_dir):
+    return pages_digest(tables(spark, sf_dir, "pages"))
+
+
 def op4_byte_bpe(spark, sf_dir, name="byte_bpe_multi_50k.tiktoken"):
     ranks = load_ranks(public_tokenizers.path(name))
     return tokens_digest(tables(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
@@ -58,7 +63,8 @@ def op10_substring_dedup(spark, sf_dir):
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_line_dedup, op2_decontaminate, op4_byte_bpe, op5_quality_rules, op6_ngram_jaccard,
+    op1_line_dedup, op2_decontaminate, op3_html_extract, op4_byte_bpe,
+    op5_quality_rules, op6_ngram_jaccard,
     op7_quality_classifier, op8_lm_scoring, op9_toxicity, op10_substring_dedup)}
 ORACLE = {"op1_line_dedup": LINE_SQL, "op2_decontaminate": DECONTAMINATE_SQL,
           "op6_ngram_jaccard": JACCARD_SQL, "op10_substring_dedup": SUBSTRING_SQL}

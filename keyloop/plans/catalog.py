@@ -22,7 +22,8 @@ from keyloop.session import scratch_path
 from keyloop.sources import tables as V
 from keyloop.streaming import capture as SC
 from keyloop.streaming import live as SL
-from keyloop.streaming.state import KeyedState, continuous_sync, suggest_layout
+from keyloop.streaming.state import (AdditiveState, KeyedState, continuous_sync,
+                                     suggest_layout)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -649,7 +650,7 @@ def q_stream_current_state(spark, sf):
     state = KeyedState(spark, f"{root}/state", LOG_PK, buckets=b, files_per_bucket=f)
     src = V.change_log_of(SC.file_stream(spark, sf, "events.parquet"))
     continuous_sync(src, state, f"{root}/_checkpoint").awaitTermination()
-    return state.current().select("entity_id", "value", "props")
+    return state.current(_LOG_ROW).select("entity_id", "value", "props")
 
 
 @register("stream_live_queue", _Q1_SQL)
@@ -669,7 +670,74 @@ def q_stream_live_queue(spark, sf):
 @register("stream_daily_counts", ORACLE["actions_per_day"])
 def q_stream_daily_counts(spark, sf):
     root = scratch_path(spark, "state", "daily_counts")
-    state = KeyedState(spark, f"{root}/state", ["day"], buckets=8)   # one row per day
+    state = AdditiveState(spark, f"{root}/state", ["day"], ["n_actions"], buckets=8)
     src = V.actions_of(SC.file_stream(spark, sf, "lineitem.parquet"))
     SL.live_daily_counts(src, "completed_at", state, f"{root}/_checkpoint").awaitTermination()
-    return state.current().select(F.col("day").cast("timestamp_ntz").alias("day"), "n_actions")
+    return state.current(_DAYS)
+
+
+# ---- the same over many micro-batches, newest rows first, read through an older reader
+_LOG_ROW = "entity_id bigint, value double, props string"
+_DAYS = "day timestamp_ntz, n_actions bigint"
+STREAM_FILES = 12
+
+
+def _in_files(spark, df, order: str, root: str):
+    """The whole frame written again in STREAM_FILES parts, the rows latest by ``order`` first,
+    and a stream over these files in that order, about one part a micro-batch."""
+    path = f"{root}/input"
+    first, last = df.agg(F.min(order), F.max(order)).first()
+    step = max(1, ((last or 0) - (first or 0)) // STREAM_FILES + 1)
+    part = F.lit(STREAM_FILES - 1) - F.floor((F.col(order) - F.lit(first or 0)) / F.lit(step))
+    parts = df.withColumn("__part", F.coalesce(part, F.lit(0)).cast("int"))
+    for i in range(STREAM_FILES):   # one write after the other: file times give the order
+        parts.filter(F.col("__part") == i).drop("__part").write.mode("append").parquet(path)
+    files = len(spark.read.parquet(path).inputFiles())
+    return (spark.readStream.schema(df.schema)
+            .option("maxFilesPerTrigger", max(1, files // STREAM_FILES)).parquet(path))
+
+
+@register("stream_state_batches", ORACLE["stream_current_state"])
+def q_stream_state_batches(spark, sf):
+    """Deletes, late and replayed changes, compactions and a consolidation on the way."""
+    root = scratch_path(spark, "state", "entity_log_batches")
+    options = dict(buckets=4, max_deltas=4, consolidate_after=6)
+    reader = KeyedState(spark, f"{root}/state", LOG_PK, **options)   # opened before the stream
+    reader.current()
+    state = KeyedState(spark, f"{root}/state", LOG_PK, **options)
+    src = V.change_log_of(_in_files(spark, V.table(spark, sf, "events"), "event_id", root))
+    continuous_sync(src, state, f"{root}/_checkpoint").awaitTermination()
+    # everything once more, from a new checkpoint: replays change nothing
+    continuous_sync(src, state, f"{root}/_checkpoint2").awaitTermination()
+    state.vacuum(retain_seconds=0)
+    return reader.current(_LOG_ROW).select("entity_id", "value", "props")
+
+
+@register("stream_daily_counts_batches", ORACLE["actions_per_day"])
+def q_stream_daily_counts_batches(spark, sf):
+    root = scratch_path(spark, "state", "daily_counts_batches")
+    options = dict(buckets=4, max_deltas=4, consolidate_after=6)
+    reader = AdditiveState(spark, f"{root}/state", ["day"], ["n_actions"], **options)
+    reader.current()
+    state = AdditiveState(spark, f"{root}/state", ["day"], ["n_actions"], **options)
+    li = V.table(spark, sf, "lineitem").withColumn(
+        "__at", F.unix_timestamp(F.col("l_shipdate")))
+    src = V.actions_of(_in_files(spark, li, "__at", root))
+    SL.live_daily_counts(src, "completed_at", state, f"{root}/_checkpoint").awaitTermination()
+    state.vacuum(retain_seconds=0)
+    return reader.current(_DAYS)
+
+
+@register("stream_live_queue_batches", _Q1_SQL)
+def q_stream_live_queue_batches(spark, sf):
+    """The queue published after every micro-batch; the last one published."""
+    root = scratch_path(spark, "state", "latest_action_batches")
+    state = KeyedState(spark, f"{root}/state", ["ticket_id"], order=["performed_at"],
+                       tie=["line_no", "amount"], nulls_first=True, buckets=4, max_deltas=6)
+    li = V.table(spark, sf, "lineitem").withColumn("__at", F.unix_timestamp(F.col("l_shipdate")))
+    src = V.actions_of(_in_files(spark, li, "__at", root)).select(
+        "ticket_id", "performed_at", "performed_by", "status", "line_no", "amount")
+    SL.live_queue(src, state, f"{root}/_checkpoint", V.tickets(spark, sf, status="open"),
+                  V.machines(spark, sf),
+                  lambda queue, _b: queue.write.mode("overwrite").parquet(f"{root}/queue")).awaitTermination()
+    return spark.read.parquet(f"{root}/queue")

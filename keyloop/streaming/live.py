@@ -7,9 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from keyloop.operators.history import CT, INSERT, POSTIMAGE, TS, VER
+from keyloop.operators.history import CT, INSERT, TS, VER
+from keyloop.plans.metrics import actions_per_day
 from keyloop.plans.queues import open_alerts
-from keyloop.streaming.state import KeyedState
+from keyloop.streaming.state import AdditiveState, KeyedState, start_sync
 
 
 def _stamp(df: DataFrame, change_type: str, batch_id: int) -> DataFrame:
@@ -22,11 +23,25 @@ def track_latest(stream: DataFrame, state: KeyedState, checkpoint: str,
                  available_now: bool = True, processing_time: str = "15 seconds"):
     """ST3 (state part): keep the newest row per key of an append-only stream (e.g. the
     latest action per ticket, ordered by ``state.order`` / ``state.tie``)."""
-    w = (stream.writeStream
-         .foreachBatch(lambda df, bid: state.apply_batch(_stamp(df, INSERT, int(bid)), int(bid)))
-         .option("checkpointLocation", checkpoint))
-    w = w.trigger(availableNow=True) if available_now else w.trigger(
-        processingTime=processing_time)
+    return start_sync(stream, state, checkpoint, lambda df, bid: _stamp(df, INSERT, bid),
+                      available_now, processing_time)
+
+
+def live_queue(stream: DataFrame, state: KeyedState, checkpoint: str, tickets: DataFrame,
+               machines: DataFrame, publish, available_now: bool = True,
+               processing_time: str = "15 seconds", **queue_options):
+    """ST3: the alert queue refreshed after every micro-batch: the batch goes into the
+    latest-action state, then ``publish(queue, batch_id)`` gets the queue over that state
+    (write it to a table, say).  A replayed batch changes nothing and publishes again."""
+    from keyloop.streaming.state import stream_id
+
+    def apply(df: DataFrame, batch_id: int) -> None:
+        state.apply_batch(_stamp(df, INSERT, int(batch_id)), int(batch_id),
+                          stream_id(df.sparkSession, checkpoint))
+        publish(live_open_alerts(tickets, machines, state, **queue_options), int(batch_id))
+
+    w = stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
+    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time)
     return w.start()
 
 
@@ -44,38 +59,12 @@ def live_open_alerts(tickets: DataFrame, machines: DataFrame, latest_actions: Ke
                        actions_are_latest=True)
 
 
-def live_daily_counts(stream: DataFrame, ts_col: str, state: KeyedState, checkpoint: str,
-                      delay: str = "1 day", available_now: bool = True,
-                      processing_time: str = "15 seconds", name: str = "n_actions"):
-    """ST4: rows per day of ``ts_col`` (null excluded) as a tumbling 1-day window with a
-    watermark, in update mode; each micro-batch upserts the updated days into ``state``
-    (pk ``day``; the batch id is the version, so the latest cumulative count wins).
-
-    Late data policy: a row older than the watermark (newest event time seen minus
-    ``delay``) when its micro-batch runs is dropped, as Structured Streaming does; the
-    registered query reads the table as one ``availableNow`` batch, so nothing is late there.
-
-    ``withWatermark`` needs a timestamp with time zone.  A ``timestamp_ntz`` column is
-    turned into the instant whose UTC rendering is its wall-clock value, so the 1-day windows
-    (aligned to UTC days) are wall-clock days whatever the session time zone; ``day`` is
-    returned as a wall-clock ``timestamp_ntz`` again.
+def live_daily_counts(stream: DataFrame, ts_col: str, state: AdditiveState, checkpoint: str,
+                      available_now: bool = True, processing_time: str = "15 seconds"):
+    """ST4: rows per day of ``ts_col`` (null excluded).  Each micro-batch is reduced to (day,
+    n_actions) and added to ``state`` (key ``day``, value ``n_actions``) exactly once, so the
+    counts equal those of one pass over all rows however late or out of order a row arrives.
+    ``day`` is the wall-clock midnight, as in the batch query.
     """
-    tz = stream.sparkSession.conf.get("spark.sql.session.timeZone")
-    is_ntz = dict(stream.dtypes).get(ts_col) == "timestamp_ntz"
-    ts = F.col(ts_col).cast("timestamp")
-    if is_ntz:
-        ts = F.from_utc_timestamp(ts, tz)
-    start = F.col("w.start")
-    day = F.to_utc_timestamp(start, tz).cast("timestamp_ntz") if is_ntz else start
-    agg = (stream.filter(F.col(ts_col).isNotNull()).withColumn("__ts", ts)
-           .withWatermark("__ts", delay)
-           .groupBy(F.window("__ts", "1 day").alias("w"))
-           .agg(F.count(F.lit(1)).alias(name))
-           .select(day.alias("day"), F.col(name)))
-    w = (agg.writeStream.outputMode("update")
-         .foreachBatch(lambda df, bid: state.apply_batch(_stamp(df, POSTIMAGE, int(bid)),
-                                                         int(bid)))
-         .option("checkpointLocation", checkpoint))
-    w = w.trigger(availableNow=True) if available_now else w.trigger(
-        processingTime=processing_time)
-    return w.start()
+    return start_sync(stream, state, checkpoint, lambda df, _bid: actions_per_day(df, ts_col),
+                      available_now, processing_time)

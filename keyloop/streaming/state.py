@@ -2,29 +2,32 @@
 
 Layout under ``root`` (a folder on shared storage, below ``spark.checkpoint.dir``)::
 
-    data/batch=<id>/__bucket=<b>/   delta: the latest change per key of micro-batch <id>
-    data/base=<id>/__bucket=<b>/    base: the whole bucket, compacted at batch <id>
-    manifest/epoch=<e>/             parquet rows (batch_id, bucket, kind), appended after
-                                    the files they name are complete
+    data/batch=<seq>/__bucket=<b>/  delta: what one micro-batch leaves per key
+    data/base=<seq>/__bucket=<b>/   base: the whole bucket, compacted at <seq>
+    manifest/epoch=<e>/             parquet rows (seq, bucket, kind, stream, batch_id), appended
+                                    as one file after the files they name are complete
+
+``seq`` is the state's own running number.  A micro-batch is known by its stream's id and its
+batch id together, so a second stream, or a stream restarted with a new checkpoint, is never
+mistaken for one already applied.
 
 Every ``consolidate_after`` appends, the live rows of the manifest (each bucket's base and
-later deltas) and a 'mark' row with the highest committed batch id are written as one file
-into the next epoch; from then on only that epoch is read and appended to, so the manifest a
-batch reads stays bounded however long the stream runs.  An epoch counts only once its
-consolidation file (the one with the mark) is complete; the current epoch is found by
-binary search over the contiguous epoch numbers.
+later deltas), the last batch of each stream and a 'mark' row are written as one file into the
+next epoch; from then on only that epoch is appended to.  The newest epoch with a mark is the
+current one; it is looked up on every read, so any reader sees the latest committed batch, and
+older epochs may be gone (``vacuum``).
 
 A bucket's current content is its newest base plus the deltas written after it, merged by
 version (latest row per key).  So a micro-batch writes only its own changes (O(batch), not
-O(state)); a bucket is compacted into a new base once it has ``max_deltas`` deltas; a read
-merges only the buckets that have deltas and reads the others as they are.  Every batch
-reads its input from files, so lineage never grows.
+O(state)); a bucket is compacted into a new base once it has enough deltas (a limit staggered by
+bucket, so that not all are rewritten in the same batch); a read merges only the buckets that
+have deltas and reads the others as they are.  Lineage never grows, as every batch reads files.
 
-Replay safety: a batch id already in the manifest is skipped; files written by a batch that
+Replay safety: a batch already in the manifest is skipped; files written by a batch that
 failed before its manifest entry are invisible and simply rewritten on the retry.  Order
 safety: rows carry their version; the merge keeps the highest version per key and keeps
 deleted keys as tombstones, so a late, older change can neither overwrite a newer row nor
-resurrect a deleted key.
+resurrect a deleted key.  One writer at a time; any number of readers.
 """
 
 from __future__ import annotations
@@ -40,9 +43,11 @@ from pyspark.sql.utils import AnalysisException
 from keyloop.operators.history import CT, DELETE, META, VER, not_preimage
 from keyloop.operators.keyed import latest_per_key
 
-MANIFEST_SCHEMA = StructType([StructField("batch_id", LongType()),
+MANIFEST_SCHEMA = StructType([StructField("seq", LongType()),
                               StructField("bucket", LongType()),
-                              StructField("kind", StringType())])
+                              StructField("kind", StringType()),
+                              StructField("stream", StringType()),
+                              StructField("batch_id", LongType())])
 BUCKET = "__bucket"
 _BUCKET_IN_PATH = re.compile(rf"/{BUCKET}=(\d+)/")
 
@@ -75,100 +80,111 @@ class KeyedState:
         self.files_per_bucket = files_per_bucket
         self.max_deltas = max_deltas
         self.consolidate_after = consolidate_after
-        self._epoch: int | None = None
 
     # -------------------------------------------------------------- manifest
-    def _epoch_path(self, epoch: int) -> str:
-        return f"{self.root}/manifest/epoch={epoch}"
-
-    def _read_epoch(self, epoch: int) -> DataFrame | None:
+    def _manifest(self) -> tuple[int, DataFrame]:
+        """(current epoch, its rows).  The newest epoch that holds a mark counts, else epoch 0;
+        which epochs exist is read from the folder, so old ones may be missing."""
+        schema = StructType([*MANIFEST_SCHEMA.fields, StructField("epoch", LongType())])
         try:
-            return self.spark.read.schema(MANIFEST_SCHEMA).parquet(self._epoch_path(epoch))
+            rows = self.spark.read.schema(schema).parquet(f"{self.root}/manifest")
         except AnalysisException:
-            return None
-
-    def _epoch_valid(self, epoch: int) -> bool:
-        if epoch == 0:
-            return True
-        m = self._read_epoch(epoch)
-        return m is not None and bool(m.filter(F.col("kind") == "mark").limit(1).collect())
-
-    def _current_epoch(self) -> int:
-        """The newest complete epoch (cached; found once by exponential + binary search)."""
-        if self._epoch is None:
-            lo, hi = 0, 1
-            while self._epoch_valid(hi):
-                lo, hi = hi, hi * 2
-            while hi - lo > 1:
-                mid = (lo + hi) // 2
-                lo, hi = (mid, hi) if self._epoch_valid(mid) else (lo, mid)
-            self._epoch = lo
-        return self._epoch
-
-    def _manifest(self) -> DataFrame:
-        m = self._read_epoch(self._current_epoch())
-        return m if m is not None else self.spark.createDataFrame([], MANIFEST_SCHEMA)
-
-    def _layout(self, batch_id: int = -1) -> tuple[dict[int, tuple[int, list[int]]], bool]:
-        """{bucket: (base batch id or -1, [delta batch ids after it])} and whether
-        ``batch_id`` is committed.  At most buckets x max_deltas small rows reach the driver
-        (bounded by the layout, not by the data)."""
-        m = self._manifest()
+            return 0, self.spark.createDataFrame([], MANIFEST_SCHEMA)
+        top = rows.filter(F.col("kind") == "mark").agg(F.max("epoch")).first()[0]
+        epoch = 0 if top is None else int(top)
+        return epoch, self.spark.read.schema(MANIFEST_SCHEMA).parquet(
+            f"{self.root}/manifest/epoch={epoch}")
+
+    def _layout(self) -> tuple[int, int, dict[int, tuple[int, list[int]]], dict[str, int]]:
+        """(epoch, last seq, {bucket: (base seq or -1, [delta seqs after it])}, {stream: last
+        batch id}).  At most buckets x max_deltas small rows reach the driver (bounded by the
+        layout, not by the data)."""
+        epoch, m = self._manifest()
         per_bucket = m.groupBy("bucket").agg(
-            F.max(F.when(F.col("kind") == "base", F.col("batch_id"))).alias("base"),
-            F.collect_list(F.when(F.col("kind") == "delta", F.col("batch_id"))).alias("deltas"),
-            F.max(F.when(F.col("kind") == "mark", F.col("batch_id"))).alias("mark"),
-            F.max(((F.col("kind") == "delta") & (F.col("batch_id") == batch_id))
-                  .cast("int")).alias("hit")).collect()
-        layout, done = {}, False
+            F.max(F.when(F.col("kind") == "base", F.col("seq"))).alias("base"),
+            F.collect_set(F.when(F.col("kind") == "delta", F.col("seq"))).alias("deltas"),
+            F.max("seq").alias("seq")).collect()
+        last = {r["stream"]: int(r["b"]) for r in m.filter(F.col("kind") == "commit")
+                .groupBy("stream").agg(F.max("batch_id").alias("b")).collect()}
+        layout, seq = {}, -1
         for r in per_bucket:
-            if r["mark"] is not None:      # batches up to the mark were committed earlier
-                done = done or 0 <= batch_id <= int(r["mark"])
+            seq = max(seq, int(r["seq"]))
+            if int(r["bucket"]) < 0:       # commits and marks name no bucket
                 continue
             base = -1 if r["base"] is None else int(r["base"])
             layout[int(r["bucket"])] = (base, sorted(int(d) for d in r["deltas"] if d > base))
-            done = done or r["hit"] == 1
-        return layout, done
+        return epoch, seq, layout, last
 
-    def committed(self, batch_id: int) -> bool:
-        """Whether micro-batch ``batch_id`` was applied."""
-        return self._layout(batch_id)[1]
+    def committed(self, batch_id: int, stream: str = "") -> bool:
+        """Whether micro-batch ``batch_id`` of ``stream`` was applied."""
+        return batch_id <= self._layout()[3].get(stream, -1)
 
-    def _append_manifest(self, entries: list[tuple[int, int, str]]) -> None:
+    def _append_manifest(self, epoch: int, entries: list[tuple]) -> None:
         if entries:
             self.spark.createDataFrame(entries, MANIFEST_SCHEMA).coalesce(1) \
-                .write.mode("append").parquet(self._epoch_path(self._current_epoch()))
+                .write.mode("append").parquet(f"{self.root}/manifest/epoch={epoch}")
 
     def consolidate(self) -> None:
-        """Write the live manifest rows and the committed high-water mark as one file into
+        """Write the live manifest rows, each stream's last batch and the mark as one file into
         the next epoch (a single-file write: it appears complete or not at all)."""
-        e = self._current_epoch()
-        m = self._manifest()
-        top = m.agg(F.max("batch_id")).first()[0]
-        layout, _ = self._layout()
-        rows = [(base, b, "base") for b, (base, _ds) in layout.items() if base >= 0]
-        rows += [(d, b, "delta") for b, (_base, ds) in layout.items() for d in ds]
-        rows.append((-1 if top is None else int(top), -1, "mark"))
+        epoch, seq, layout, last = self._layout()
+        rows = [(base, b, "base", "", -1) for b, (base, _ds) in layout.items() if base >= 0]
+        rows += [(d, b, "delta", "", -1) for b, (_base, ds) in layout.items() for d in ds]
+        rows += [(seq, -1, "commit", s, i) for s, i in last.items()]
+        rows.append((seq, -1, "mark", "", -1))
         self.spark.createDataFrame(rows, MANIFEST_SCHEMA).coalesce(1) \
-            .write.mode("overwrite").parquet(self._epoch_path(e + 1))
-        self._epoch = e + 1
-
-    def _path(self, kind: str, batch_id: int, bucket: int) -> str:
-        return f"{self.root}/data/{kind}={batch_id}/{BUCKET}={bucket}"
+            .write.mode("overwrite").parquet(f"{self.root}/manifest/epoch={epoch + 1}")
+
+    def vacuum(self, retain_seconds: float = 7 * 86400) -> int:
+        """Delete files that no read of the current state needs and that are older than
+        ``retain_seconds`` (readers that began earlier may still use them): bucket folders of
+        superseded deltas and bases, and manifest epochs before the current one.  Returns the
+        number of folders deleted."""
+        epoch, _seq, layout, _last = self._layout()
+        live = {self._path("base", base, b) for b, (base, _d) in layout.items() if base >= 0}
+        live |= {self._path("batch", d, b) for b, (_base, ds) in layout.items() for d in ds}
+        sc = self.spark.sparkContext
+        path = sc._jvm.org.apache.hadoop.fs.Path
+        fs = path(self.root).getFileSystem(sc._jsc.hadoopConfiguration())
+        before = sc._jvm.System.currentTimeMillis() - 1000 * retain_seconds
+        gone = 0
+
+        def folders(at: str) -> list:
+            p = path(at)
+            return [f for f in fs.listStatus(p) if f.isDirectory()] if fs.exists(p) else []
+
+        for top in folders(f"{self.root}/data"):
+            for f in folders(f"{self.root}/data/{top.getPath().getName()}"):
+                own = f"{self.root}/data/{top.getPath().getName()}/{f.getPath().getName()}"
+                if own not in live and f.getModificationTime() <= before:
+                    gone += bool(fs.delete(f.getPath(), True))
+        for f in folders(f"{self.root}/manifest"):
+            if (int(f.getPath().getName().rpartition("=")[2]) < epoch
+                    and f.getModificationTime() <= before):
+                gone += bool(fs.delete(f.getPath(), True))
+        return gone
+
+    def _path(self, kind: str, seq: int, bucket: int) -> str:
+        return f"{self.root}/data/{kind}={seq}/{BUCKET}={bucket}"
 
     def bucket_of(self) -> F.Column:
         """The state bucket of a row: pmod(xxhash64(pk), buckets)."""
         return F.pmod(F.xxhash64(*[F.col(k) for k in self.pk]), F.lit(self.buckets))
 
-    def _latest(self, df: DataFrame) -> DataFrame:
+    def _merge(self, df: DataFrame) -> DataFrame:
+        """One row per key out of several images of it."""
         return latest_per_key(df, self.pk, self.order, self.tie, self.nulls_first)
 
+    def _limit(self, bucket: int) -> int:
+        """Deltas from which a bucket is compacted; staggered, so buckets take turns."""
+        return max(1, self.max_deltas - bucket % max(1, self.max_deltas // 2))
+
     # -------------------------------------------------------------- read
     def read(self, include_tombstones: bool = False, buckets: Sequence[int] | None = None,
              layout: dict | None = None) -> DataFrame | None:
         """The state rows (with change metadata); buckets with pending deltas are merged by
         key, the others are read as they are.  None while the state is empty."""
-        layout = layout if layout is not None else self._layout()[0]
+        layout = layout if layout is not None else self._layout()[2]
         if buckets is not None:
             wanted = set(buckets)
             layout = {b: v for b, v in layout.items() if b in wanted}
@@ -181,18 +197,21 @@ class KeyedState:
         if clean:
             parts.append(self.spark.read.parquet(*clean))
         if dirty:
-            parts.append(self._latest(self.spark.read.parquet(*dirty)))
+            parts.append(self._merge(self.spark.read.parquet(*dirty)))
         if not parts:
             return None
         df = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
-        if not include_tombstones:
+        if not include_tombstones and CT in df.columns:
             df = df.filter(~F.col(CT).eqNullSafe(DELETE))
         return df
 
-    def current(self) -> DataFrame | None:
-        """The net table: live rows, change metadata dropped."""
+    def current(self, schema: str | None = None) -> DataFrame | None:
+        """The net table: live rows, change metadata dropped.  While the state is empty: an
+        empty table of ``schema`` (DDL), or None without one."""
         df = self.read()
-        return None if df is None else df.drop(*[c for c in META if c in df.columns])
+        if df is None:
+            return None if schema is None else self.spark.createDataFrame([], schema)
+        return df.drop(*[c for c in META if c in df.columns])
 
     # -------------------------------------------------------------- write
     def _write(self, df: DataFrame, path: str) -> list[int]:
@@ -201,44 +220,83 @@ class KeyedState:
         spread = F.pmod(F.xxhash64(*[F.col(k) for k in self.pk], F.lit(7)),
                         F.lit(self.files_per_bucket))
         (df.repartition(BUCKET, spread).write.mode("overwrite").partitionBy(BUCKET)
-           .parquet(path))
+           .option("partitionOverwriteMode", "dynamic").parquet(path))
         try:
             files = self.spark.read.parquet(path).inputFiles()
         except AnalysisException:      # an empty batch writes no data files
             return []
         return sorted({int(m.group(1)) for f in files for m in [_BUCKET_IN_PATH.search(f)] if m})
 
-    def apply_batch(self, changes: DataFrame, batch_id: int) -> None:
-        """Merge one micro-batch of change rows (any order, any duplicates): write its latest
-        change per key as a delta, then compact the buckets that reached ``max_deltas``.
+    def _changes(self, changes: DataFrame) -> DataFrame:
+        return not_preimage(changes)
 
-        Batch ids must increase, as Structured Streaming's do: after a consolidation, ids up
-        to the recorded mark count as committed."""
-        layout, done = self._layout(batch_id)
-        if done:
+    def apply_batch(self, changes: DataFrame, batch_id: int, stream: str = "") -> None:
+        """Merge one micro-batch of change rows (any order, any duplicates): write what it
+        leaves per key as a delta, then compact the buckets that have enough deltas.
+
+        The batch ids of one ``stream`` must increase, as Structured Streaming's do: ids up to
+        the stream's last committed one are taken for replays and skipped."""
+        epoch, seq, layout, last = self._layout()
+        if batch_id <= last.get(stream, -1):
             return
-        rows = self._latest(not_preimage(changes)).withColumn(BUCKET, self.bucket_of())
-        touched = self._write(rows, f"{self.root}/data/batch={batch_id}")
-        self._append_manifest([(batch_id, b, "delta") for b in touched])
+        seq += 1
+        rows = self._merge(self._changes(changes)).withColumn(BUCKET, self.bucket_of())
+        touched = self._write(rows, f"{self.root}/data/batch={seq}")
+        self._append_manifest(epoch, [(seq, b, "delta", stream, batch_id) for b in touched]
+                              + [(seq, -1, "commit", stream, batch_id)])
         for b in touched:
             base, ds = layout.get(b, (-1, []))
-            layout[b] = (base, ds + [batch_id])
-        full = [b for b in touched if len(layout[b][1]) >= self.max_deltas]
+            layout[b] = (base, ds + [seq])
+        full = [b for b in touched if len(layout[b][1]) >= self._limit(b)]
         if full:
-            self.compact(full, batch_id, layout)
-        if len(self._manifest().inputFiles()) >= self.consolidate_after:
+            self.compact(full)
+        if len(self._manifest()[1].inputFiles()) >= self.consolidate_after:
             self.consolidate()
 
-    def compact(self, buckets: Sequence[int], batch_id: int, layout: dict | None = None
-                ) -> None:
+    def compact(self, buckets: Sequence[int]) -> None:
         """Fold the deltas of ``buckets`` into a new base (tombstones kept)."""
-        layout = layout if layout is not None else self._layout()[0]
+        epoch, seq, layout, _last = self._layout()
+        buckets = [b for b in buckets if layout.get(b, (-1, []))[1]]
         merged = self.read(include_tombstones=True, buckets=buckets, layout=layout)
         if merged is None:
             return
-        written = self._write(merged.withColumn(BUCKET, self.bucket_of()),
-                              f"{self.root}/data/base={batch_id}")
-        self._append_manifest([(batch_id, b, "base") for b in written])
+        written = self._write(merged.drop(BUCKET).withColumn(BUCKET, self.bucket_of()),
+                              f"{self.root}/data/base={seq}")
+        self._append_manifest(epoch, [(seq, b, "base", "", -1) for b in written])
+
+
+class AdditiveState(KeyedState):
+    """State whose value columns are sums: a batch adds to them, in any order, exactly once."""
+
+    def __init__(self, spark: SparkSession, root: str, pk: Sequence[str], values: Sequence[str],
+                 **options):
+        super().__init__(spark, root, pk, order=(), **options)
+        self.values = list(values)
+
+    def _changes(self, changes: DataFrame) -> DataFrame:
+        return changes
+
+    def _merge(self, df: DataFrame) -> DataFrame:
+        return df.groupBy(*self.pk).agg(*[F.sum(v).alias(v) for v in self.values])
+
+
+def stream_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id that Structured Streaming gave the query of this checkpoint: another for each
+    checkpoint, also for one that was deleted and begun again at the same place."""
+    return spark.read.text(f"{checkpoint.rstrip('/')}/metadata").first()[0]
+
+
+def start_sync(stream: DataFrame, state: KeyedState, checkpoint: str, prepare=None,
+               available_now: bool = True, processing_time: str | None = None):
+    """Start a query that applies each micro-batch, after ``prepare(batch, batch_id)``, to the state."""
+    def apply(df: DataFrame, batch_id: int) -> None:
+        rows = prepare(df, int(batch_id)) if prepare else df
+        state.apply_batch(rows, int(batch_id), stream_id(df.sparkSession, checkpoint))
+
+    writer = stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
+    writer = (writer.trigger(availableNow=True) if available_now or not processing_time
+              else writer.trigger(processingTime=processing_time))
+    return writer.start()
 
 
 def continuous_sync(changes_stream: DataFrame, state: KeyedState, checkpoint: str,
@@ -248,9 +306,4 @@ def continuous_sync(changes_stream: DataFrame, state: KeyedState, checkpoint: st
     ``available_now`` processes what is there and stops (tests, scheduled runs); otherwise
     ``processing_time`` (e.g. '15 seconds') runs continuously.
     """
-    writer = (changes_stream.writeStream
-              .foreachBatch(lambda df, bid: state.apply_batch(df, int(bid)))
-              .option("checkpointLocation", checkpoint))
-    writer = (writer.trigger(availableNow=True) if available_now or not processing_time
-              else writer.trigger(processingTime=processing_time))
-    return writer.start()
+    return start_sync(changes_stream, state, checkpoint, None, available_now, processing_time)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from keyloop.operators import history as H
 from keyloop.sources import tables as V
 from keyloop.streaming import capture as SC
-from keyloop.streaming.state import KeyedState, continuous_sync
+from keyloop.streaming.state import AdditiveState, KeyedState, continuous_sync
 
 
 def _split_log(spark, sf_small, parts=4):
@@ -60,7 +60,7 @@ def test_daily_counts_independent_of_session_zone(spark, sf_small):
     spark.conf.set("spark.sql.session.timeZone", "America/New_York")
     try:
         root = tempfile.mkdtemp(prefix="keyloop-daily-")
-        state = KeyedState(spark, f"{root}/state", ["day"], buckets=4)
+        state = AdditiveState(spark, f"{root}/state", ["day"], ["n_actions"], buckets=4)
         src = V.actions_of(SC.file_stream(spark, sf_small, "lineitem.parquet"))
         SL.live_daily_counts(src, "completed_at", state, f"{root}/c").awaitTermination()
         got = sorted((str(r.day), r.n_actions) for r in state.current().collect())
@@ -125,20 +125,21 @@ def test_manifest_epochs_found_again_and_bounded(spark, sf_small):
                        consolidate_after=3)
     for bid in range(10):
         state.apply_batch(log.filter(F.col("_commit_version") % 10 == bid), bid)
-    assert state._current_epoch() >= 2
-    assert len(state._manifest().inputFiles()) < 3 + 1
+    assert state._manifest()[0] >= 2
+    assert len(state._manifest()[1].inputFiles()) < 3 + 1
     # a new object on the same folder finds the newest epoch and the committed batches
     again = KeyedState(spark, f"{root}/state", ["entity_id"], buckets=4, max_deltas=3,
                        consolidate_after=3)
-    assert again._current_epoch() == state._current_epoch()
+    assert again._manifest()[0] == state._manifest()[0]
     assert again.committed(0) and again.committed(9) and not again.committed(10)
     want = sorted(H.current_state(log, ["entity_id"]).collect())
     assert sorted(again.current().select("entity_id", "value", "props").collect()) == want
     # an epoch whose consolidation file never completed does not count
-    spark.createDataFrame([(5, 1, "delta")], "batch_id long, bucket long, kind string") \
-        .write.parquet(f"{root}/state/manifest/epoch={state._current_epoch() + 1}")
+    spark.createDataFrame([(5, 1, "delta", "", 5)],
+                          "seq long, bucket long, kind string, stream string, batch_id long") \
+        .write.parquet(f"{root}/state/manifest/epoch={state._manifest()[0] + 1}")
     third = KeyedState(spark, f"{root}/state", ["entity_id"], buckets=4)
-    assert third._current_epoch() == state._current_epoch()
+    assert third._manifest()[0] == state._manifest()[0]
 
 
 def test_continuous_trigger_mode(spark, sf_small):
@@ -155,3 +156,51 @@ def test_continuous_trigger_mode(spark, sf_small):
     log = V.change_log(spark, sf_small)
     got = sorted(state.current().select("entity_id", "value", "props").collect())
     assert got == sorted(H.current_state(log, ["entity_id"]).collect())
+
+
+def test_a_new_checkpoint_is_another_stream(spark, sf_small):
+    """Batch ids start at 0 again with a new checkpoint; nothing of it is taken for a replay."""
+    log, _ = _split_log(spark, sf_small)
+    root = tempfile.mkdtemp(prefix="keyloop-restart-")
+    state = KeyedState(spark, f"{root}/state", ["entity_id"], buckets=4, max_deltas=2,
+                       consolidate_after=3)
+    reader = KeyedState(spark, f"{root}/state", ["entity_id"], buckets=4)
+    assert reader.current() is None            # opened before anything was written
+    for i in range(3):
+        log.filter(F.col("_commit_version") % 3 == i).write.parquet(f"{root}/in{i}")
+        src = spark.readStream.schema(log.schema).parquet(f"{root}/in{i}")
+        continuous_sync(src, state, f"{root}/checkpoint{i}").awaitTermination()
+    want = sorted(H.current_state(log, ["entity_id"]).collect())
+    assert sorted(reader.current().select("entity_id", "value", "props").collect()) == want
+
+
+def test_vacuum_leaves_what_is_read(spark, sf_small):
+    log = V.change_log(spark, sf_small)
+    root = tempfile.mkdtemp(prefix="keyloop-vacuum-")
+    state = KeyedState(spark, f"{root}/state", ["entity_id"], buckets=4, max_deltas=2,
+                       consolidate_after=2)
+    for bid in range(6):
+        state.apply_batch(log.filter(F.col("_commit_version") % 6 == bid), bid)
+    assert state.vacuum(retain_seconds=3600) == 0
+    assert state.vacuum(retain_seconds=0) > 0 and state.vacuum(retain_seconds=0) == 0
+    again = KeyedState(spark, f"{root}/state", ["entity_id"], buckets=4, max_deltas=2)
+    again.apply_batch(log.limit(0), 6)         # and goes on from there
+    assert again.committed(6) and not again.committed(7)
+    got = sorted(again.current().select("entity_id", "value", "props").collect())
+    assert got == sorted(H.current_state(log, ["entity_id"]).collect())
+
+
+def test_sums_are_added_once(spark):
+    root = tempfile.mkdtemp(prefix="keyloop-sums-")
+    state = AdditiveState(spark, f"{root}/state", ["day"], ["n"], buckets=2, max_deltas=2,
+                          consolidate_after=3)
+    batch = spark.createDataFrame([("a", 1), ("b", 2), ("a", 3)], "day string, n long")
+    for bid in (0, 1, 1, 0, 2, 3):             # replays among them
+        state.apply_batch(batch, bid, "s")
+    state.apply_batch(batch, 0, "another stream")
+    assert sorted((r.day, r.n) for r in state.current().collect()) == [("a", 20), ("b", 10)]
+
+
+def test_empty_state_has_its_schema(spark):
+    root = tempfile.mkdtemp(prefix="keyloop-none-")
+    assert KeyedState(spark, root, ["k"]).current("k long, v string").columns == ["k", "v"]

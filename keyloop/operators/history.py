@@ -11,7 +11,9 @@ Scale notes
 -----------
 * ``current_state`` / ``as_of`` / ``apply_changes`` are one keyed ``row_number() = 1``: a
   partial WindowGroupLimit runs before the shuffle, so a key with a third of all rows is
-  reduced map-side.  ``apply_changes`` is a union + that window, not a join.
+  reduced map-side.  ``apply_changes`` is a union + that window, or, over a replica whose key
+  is known to be unique, one left join that leaves the replica where it is.
+* Rows with a null key take part in no keyed operator (a null key matches nothing).
 * ``next_in_key`` / ``prev_in_key`` (validity intervals, audit trail) split every key into
   version buckets: the window runs per (key, bucket), and only one summary row per bucket
   goes through the per-key window that links buckets.  A hot key is therefore spread over
@@ -27,8 +29,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from keyloop.operators.keyed import (DEFAULT_MAX_BROADCAST_BYTES, estimated_bytes,
-                                     latest_per_key)
+from keyloop.operators.keyed import (DEFAULT_MAX_BROADCAST_BYTES, _all_not_null,
+                                     broadcast_if_small, latest_per_key)
 
 # The change types of a change feed.
 INSERT = "insert"
@@ -105,36 +107,46 @@ def history_read(history: DataFrame, order: str = TS) -> DataFrame:
 # ------------------------------------------------------------------------ S6 apply
 def apply_changes(snapshot: DataFrame, changes: DataFrame, pk: str | Sequence[str],
                   since_version: int, keep_tombstones: bool = False,
+                  snapshot_is_keyed: bool = False,
                   max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> DataFrame:
     """Bring a keyed snapshot taken at ``since_version`` up to date with the changes of
     higher versions: upsert the latest non-preimage change per key, remove deleted keys.
 
     Expressed as union + latest-per-key (the snapshot rows carry ``since_version``), so a
-    replayed or out-of-order batch changes nothing: versions decide, not arrival.  With
-    ``keep_tombstones`` the deleted keys stay as 'delete' rows (state for later batches).
-
-    When the changed keys are provably small, only their snapshot rows take part in the
-    merge: the key set is broadcast, untouched snapshot rows pass through a map-side anti
-    join, and just the touched rows and the changes are shuffled.  Otherwise the whole
-    snapshot is merged.
+    replayed or out-of-order batch changes nothing: versions decide, not arrival.  Rows with a
+    null key and stored preimages are left out, a key that the snapshot repeats comes out once.
+    With ``keep_tombstones`` the deleted keys stay as 'delete' rows (state for later batches).
+
+    ``snapshot_is_keyed``: the caller vouches that the snapshot's key is unique (a replica
+    that ``snapshot_sync`` checked).  Then the snapshot is not shuffled for its own sake: one
+    left join with the latest changes (broadcast behind a size check) decides each row, and the
+    keys new to it are added.  The result is the same either way, whatever the sizes.
     """
     pk = _cols(pk)
     cols = [c for c in snapshot.columns if c not in META]
     ts_type = dict(changes.dtypes).get(TS, "timestamp")
-    base = snapshot.select(*cols,
-                           (F.col(CT) if CT in snapshot.columns else F.lit(INSERT)).alias(CT),
-                           (F.col(VER) if VER in snapshot.columns
-                            else F.lit(since_version)).cast("bigint").alias(VER),
-                           (F.col(TS) if TS in snapshot.columns
-                            else F.lit(None)).cast(ts_type).alias(TS))
+    base = not_preimage(snapshot.select(
+        *cols,
+        (F.col(CT) if CT in snapshot.columns else F.lit(INSERT)).alias(CT),
+        (F.col(VER) if VER in snapshot.columns else F.lit(since_version)).cast("bigint").alias(VER),
+        (F.col(TS) if TS in snapshot.columns else F.lit(None)).cast(ts_type).alias(TS)))
     newer = changes.filter(F.col(VER) > F.lit(since_version)).select(
         *cols, F.col(CT), F.col(VER).cast("bigint").alias(VER), F.col(TS))
-    size = estimated_bytes(newer.select(*pk))
-    if size is not None and 0 <= size <= max_broadcast_bytes:
-        keys = F.broadcast(not_preimage(newer).select(*pk).distinct())
-        untouched = base.join(keys, pk, "left_anti")
-        touched = base.join(keys, pk, "left_semi")
-        latest = untouched.unionByName(latest_changes(touched.unionByName(newer), pk))
+    if snapshot_is_keyed:
+        base = base.filter(_all_not_null(pk))
+        latest_new = latest_changes(newer, pk)
+        new = latest_new.select(*[F.col(k).alias(f"__k_{k}") for k in pk],
+                                F.struct(*latest_new.columns).alias("__new"))
+        new = broadcast_if_small(new, max_broadcast_bytes)
+        on = F.lit(True)
+        for k in pk:
+            on = on & (F.col(k) == F.col(f"__k_{k}"))
+        # of two images of a key the one of the higher version counts, as in the merge
+        wins = F.col("__new").isNotNull() & (F.col("__new")[VER] > F.coalesce(F.col(VER), F.lit(since_version)))
+        decided = base.join(new, on, "left").select(*[
+            F.when(wins, F.col("__new")[c]).otherwise(F.col(c)).alias(c) for c in base.columns])
+        added = latest_new.join(base.select(*pk), pk, "left_anti").select(*base.columns)
+        latest = decided.unionByName(added)
     else:
         latest = latest_changes(base.unionByName(newer), pk)
     if keep_tombstones:
@@ -143,108 +155,139 @@ def apply_changes(snapshot: DataFrame, changes: DataFrame, pk: str | Sequence[st
 
 
 # ------------------------------------------------------------------------ W3 neighbours
+def _order_by(order: Sequence[str], tie: Sequence[str]) -> list[Column]:
+    return [F.asc_nulls_first(c) for c in (*order, *tie)]
+
+
+def _bucket_of(order: Sequence[str], width: int) -> Column:
+    return F.floor(F.col(order[0]) / F.lit(width))
+
+
+def _null_safe(keys: Sequence[str], prefix: str) -> Column:
+    on = F.lit(True)
+    for k in keys:
+        on = on & F.col(k).eqNullSafe(F.col(prefix + k))
+    return on
+
+
 def _neighbour(df: DataFrame, keys: Sequence[str], order: Sequence[str],
                values: Sequence[str], direction: str, prefix: str,
-               bucket_width: int) -> DataFrame:
-    """Add ``prefix + v`` = value of the next (or previous) row of the same key in ``order``.
+               bucket_width: int, tie: Sequence[str] = ()) -> DataFrame:
+    """Add ``prefix + v`` = value of the next (or previous) row of the same key in ``order``,
+    then ``tie`` (nulls first), and ``prefix + "has"`` = whether there is one.  Null keys are
+    a key like any other; the result does not depend on ``bucket_width``.
 
     ``order[0]`` must be an integral version; rows are bucketed by ``order[0] // width``.
     """
-    keys, order, values = list(keys), list(order), list(values)
+    keys, order, values, tie = list(keys), list(order), list(values), list(tie)
     b = "__bucket"
-    d = df.withColumn(b, F.floor(F.col(order[0]) / F.lit(bucket_width)))
-    w_in = Window.partitionBy(*keys, b).orderBy(*order)
+    sort = _order_by(order, tie)
+    w_in = Window.partitionBy(*keys, b).orderBy(*sort)
     fn = F.lead if direction == "next" else F.lag
-    d = d.withColumn("__has", fn(F.lit(True)).over(w_in))
-    for v in values:
-        d = d.withColumn(f"__in_{v}", fn(F.col(v)).over(w_in))
-    # One row per (key, bucket): its first row (for 'next') or last row (for 'prev').
-    edge = F.struct(*[F.col(c) for c in order], *[F.col(v).alias(f"__e_{v}") for v in values])
-    summ = df.withColumn(b, F.floor(F.col(order[0]) / F.lit(bucket_width))).groupBy(*keys, b) \
-        .agg((F.min(edge) if direction == "next" else F.max(edge)).alias("__edge"))
-    w_b = Window.partitionBy(*keys).orderBy(b)
-    summ = summ.select(*keys, b, fn(F.col("__edge")).over(w_b).alias("__nb"))
-    joined = d.join(summ, [*keys, b], "left")
-    out = joined
+    d = df.withColumn(b, _bucket_of(order, bucket_width))
+    # the row of each (key, bucket) that a neighbouring bucket sees: its first or last in the
+    # same order as the rows, cut down before the shuffle (WindowGroupLimit)
+    outer = sort if direction == "next" else [F.desc_nulls_last(c) for c in (*order, *tie)]
+    edge = (d.select(*keys, b, *dict.fromkeys([*order, *tie, *values]))
+            .withColumn("__rn", F.row_number().over(Window.partitionBy(*keys, b).orderBy(*outer)))
+            .filter("__rn = 1")
+            .select(*keys, b, F.struct(F.lit(True).alias("__has"), *[F.col(v).alias(f"__e_{v}") for v in values])
+                    .alias("__edge")))
+    w_b = Window.partitionBy(*keys).orderBy(F.asc_nulls_first(b))
+    summ = edge.select(*[F.col(k).alias(f"__s_{k}") for k in keys], F.col(b).alias(f"__s_{b}"),
+                       fn(F.col("__edge")).over(w_b).alias("__nb"))
+    d = d.withColumn("__in", fn(F.struct(F.lit(True).alias("__has"), *[
+        F.col(v).alias(f"__e_{v}") for v in values])).over(w_in))
+    out = d.join(summ, _null_safe([*keys, b], "__s_"), "left")
+    near = F.coalesce(F.col("__in"), F.col("__nb"))
     for v in values:
-        out = out.withColumn(prefix + v, F.when(F.col("__has"), F.col(f"__in_{v}"))
-                             .otherwise(F.col("__nb")[f"__e_{v}"]))
-    return out.drop(b, "__has", "__nb", *[f"__in_{v}" for v in values])
+        out = out.withColumn(prefix + v, near[f"__e_{v}"])
+    return out.withColumn(prefix + "has", near.isNotNull()).drop(
+        b, "__in", "__nb", *[f"__s_{k}" for k in (*keys, b)])
 
 
 def next_in_key(df: DataFrame, keys: Sequence[str], order: Sequence[str],
                 values: Sequence[str], prefix: str = "next_",
-                bucket_width: int = DEFAULT_BUCKET_WIDTH) -> DataFrame:
+                bucket_width: int = DEFAULT_BUCKET_WIDTH, tie: Sequence[str] = ()) -> DataFrame:
     """``lead`` per key, skew-safe (see module notes)."""
-    return _neighbour(df, keys, order, values, "next", prefix, bucket_width)
+    return _neighbour(df, keys, order, values, "next", prefix, bucket_width, tie)
 
 
 def prev_in_key(df: DataFrame, keys: Sequence[str], order: Sequence[str],
                 values: Sequence[str], prefix: str = "prev_",
-                bucket_width: int = DEFAULT_BUCKET_WIDTH) -> DataFrame:
+                bucket_width: int = DEFAULT_BUCKET_WIDTH, tie: Sequence[str] = ()) -> DataFrame:
     """``lag`` per key, skew-safe (see module notes)."""
-    return _neighbour(df, keys, order, values, "prev", prefix, bucket_width)
+    return _neighbour(df, keys, order, values, "prev", prefix, bucket_width, tie)
 
 
 # ------------------------------------------------------------------------ H4, H5
 def validity_intervals(history: DataFrame, pk: str | Sequence[str],
                        order: Sequence[str] = (VER,),
-                       bucket_width: int = DEFAULT_BUCKET_WIDTH) -> DataFrame:
+                       bucket_width: int = DEFAULT_BUCKET_WIDTH,
+                       tie: Sequence[str] = ()) -> DataFrame:
     """H4 (SCD type 2): one row per row version with ``valid_from`` (its commit time),
-    ``valid_to`` (the next change's commit time, null while current) and ``is_current``.
-    A delete closes the previous interval and opens none."""
+    ``valid_to`` (the next change's commit time) and ``is_current`` (there is no next change;
+    a next change without a commit time leaves ``valid_to`` null all the same).
+    A delete closes the previous interval and opens none.  Rows with a null key are left out,
+    as in ``current_state``; ``tie`` orders the changes of one version."""
     pk = _cols(pk)
-    rows = not_preimage(history)
-    rows = next_in_key(rows, pk, list(order), [TS], "__next", bucket_width)
+    rows = not_preimage(history).filter(_all_not_null(pk))
+    rows = next_in_key(rows, pk, list(order), [TS], "__next", bucket_width, tie)
     out = (rows.filter(~F.col(CT).eqNullSafe(DELETE))
                .withColumn("valid_from", F.col(TS))
                .withColumn("valid_to", F.col(f"__next{TS}"))
-               .withColumn("is_current", F.col(f"__next{TS}").isNull())
-               .drop(f"__next{TS}"))
+               .withColumn("is_current", ~F.col("__nexthas"))
+               .drop(f"__next{TS}", "__nexthas"))
     return out
 
 
 def audit_trail(history: DataFrame, pk: str | Sequence[str], payload: Sequence[str],
                 order: Sequence[str] = (VER,),
-                bucket_width: int = DEFAULT_BUCKET_WIDTH) -> DataFrame:
+                bucket_width: int = DEFAULT_BUCKET_WIDTH,
+                tie: Sequence[str] = (), actor: str | None = None) -> DataFrame:
     """H5: who changed what and when: every non-preimage change with the row image before
-    (``old_*``) and after (``new_*``: null for a delete).
+    (``old_*``) and after (``new_*``: null for a delete), and its ``actor`` (a column of the
+    history) where there is one.
 
     The before image is the preimage of the same key and version when the history has one
     (a change feed with preimages, also correct on a truncated range of versions); otherwise
     it is the key's previous non-preimage image (null for the first change or after a
-    delete).
+    delete).  Rows with a null key are left out; ``tie`` orders the changes of one version
+    (its preimage comes first).
 
-    One pass in the (key, version bucket) layout of ``next_in_key``: preimages sort just
-    before the postimage of their version, so the same window finds both the same-version
-    preimage (``lag``) and the previous image (``last`` non-preimage, ignoring nulls); only
-    the first row of a bucket looks at the previous bucket's summary row.
+    The previous image is found in the (key, version bucket) layout of ``prev_in_key``: the
+    window runs per bucket, only the first row of a bucket looks at the bucket before.
     """
-    pk, order = _cols(pk), list(order)
+    pk, order, tie = _cols(pk), list(order), list(tie)
     b = "__bucket"
     is_pre = F.col(CT).eqNullSafe(PREIMAGE)
     img = F.struct(*[F.col(c) for c in payload], F.col(CT).alias(CT))
-    d = (history.withColumn(b, F.floor(F.col(order[0]) / F.lit(bucket_width)))
+    d = (history.filter(_all_not_null(pk)).withColumn(b, _bucket_of(order, bucket_width))
                 .withColumn("__pre", is_pre.cast("int")))
-    w = Window.partitionBy(*pk, b).orderBy(*[F.col(c) for c in order], F.desc("__pre"))
-    d = (d.withColumn("__lag_pre", F.lag("__pre").over(w))
-          .withColumn("__lag_ver", F.lag(F.col(order[0])).over(w))
-          .withColumn("__lag_img", F.lag(img).over(w))
-          .withColumn("__last_np", F.last(F.when(~is_pre, img), ignorenulls=True)
-                      .over(w.rowsBetween(Window.unboundedPreceding, -1)))
-          .filter(~is_pre))
-    # the last non-preimage row of every (key, bucket), linked to the next bucket
-    edge = F.struct(*[F.col(c) for c in order], img.alias("__img"))
-    summ = (not_preimage(history).withColumn(b, F.floor(F.col(order[0]) / F.lit(bucket_width)))
-            .groupBy(*pk, b).agg(F.max(edge).alias("__edge")))
-    summ = summ.select(*pk, b, F.lag("__edge").over(
-        Window.partitionBy(*pk).orderBy(b)).alias("__nb"))
-    rows = d.join(summ, [*pk, b], "left")
-    prev = F.coalesce(F.col("__last_np"), F.col("__nb")["__img"])
-    has_pre = (F.col("__lag_pre") == 1) & (F.col("__lag_ver") == F.col(order[0]))
+    first = [F.asc_nulls_first(c) for c in order] + [F.desc("__pre")] + _order_by((), tie)
+    w = Window.partitionBy(*pk, b).orderBy(*first)
+    rows = (d.withColumn("__lag_pre", F.lag("__pre").over(w))
+             .withColumn("__lag_ver", F.lag(F.col(order[0])).over(w))
+             .withColumn("__lag_img", F.lag(img).over(w))
+             .withColumn("__last_np", F.last(F.when(~is_pre, img), ignorenulls=True)
+                         .over(w.rowsBetween(Window.unboundedPreceding, -1)))
+             .filter(~is_pre))
+    # the last non-preimage row of every (key, bucket) in the same order, seen by the next one
+    last = Window.partitionBy(*pk, b).orderBy(*[F.desc_nulls_last(c) for c in (*order, *tie)])
+    edge = (not_preimage(d).select(*pk, b, *dict.fromkeys([*order, *tie, *payload, CT]))
+            .withColumn("__rn", F.row_number().over(last)).filter("__rn = 1")
+            .select(*pk, b, img.alias("__edge")))
+    summ = edge.select(*[F.col(k).alias(f"__s_{k}") for k in pk], F.col(b).alias(f"__s_{b}"),
+                       F.lag("__edge").over(Window.partitionBy(*pk).orderBy(F.asc_nulls_first(b)))
+                       .alias("__nb"))
+    rows = rows.join(summ, _null_safe([*pk, b], "__s_"), "left")
+    prev = F.coalesce(F.col("__last_np"), F.col("__nb"))
+    has_pre = (F.col("__lag_pre") == 1) & F.col("__lag_ver").eqNullSafe(F.col(order[0]))
     gone = prev.isNull() | prev[CT].eqNullSafe(DELETE)
     is_del = F.col(CT).eqNullSafe(DELETE)
     sel = [*[F.col(k) for k in pk], F.col(VER), F.col(TS), F.col(CT)]
+    if actor is not None:
+        sel.append(F.col(actor).alias("actor"))
     for c in payload:
         old = (F.when(has_pre, F.col("__lag_img")[c])
                 .when(gone, F.lit(None)).otherwise(prev[c]))
@@ -253,6 +296,24 @@ def audit_trail(history: DataFrame, pk: str | Sequence[str], payload: Sequence[s
     return rows.select(*sel)
 
 
+def audit_histories(histories: Mapping[str, tuple[DataFrame, Sequence[str], Sequence[str], str | None]]
+                    ) -> DataFrame:
+    """H5 over several histories, name -> (history, key, payload, actor column or None): one
+    row a change with table_name, the key, the image before and after as JSON, and who did it."""
+    out = None
+    for name, (history, pk, payload, actor) in histories.items():
+        t = audit_trail(history, list(pk), list(payload), actor=actor)
+        image = lambda side, t=t, payload=payload: F.when(
+            F.coalesce(*[F.col(f"{side}_{c}").cast("string") for c in payload]).isNotNull(),
+            F.to_json(F.struct(*[F.col(f"{side}_{c}").alias(c) for c in payload])))
+        t = t.select(F.lit(name).alias("table_name"),
+                     F.concat_ws("/", *[F.col(k).cast("string") for k in pk]).alias("row_key"),
+                     (F.col("actor") if actor else F.lit(None).cast("string")).alias("actor"),
+                     VER, TS, CT, image("old").alias("old_row"), image("new").alias("new_row"))
+        out = t if out is None else out.unionByName(t)
+    return out
+
+
 def union_histories(histories: Mapping[str, DataFrame], table_col: str = "table_name",
                     with_json: bool = False) -> DataFrame:
     """One audit stream over several history tables of different schemas."""

@@ -19,9 +19,11 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from keyloop.session import scratch_root
+
 # Upper bound for an explicit broadcast hint.  Beyond it (or when the size is unknown) the
 # join is left to AQE / sort-merge.
-DEFAULT_MAX_BROADCAST_BYTES = 16 * 1024 * 1024
+DEFAULT_MAX_BROADCAST_BYTES = 8 * 1024 * 1024
 
 
 def _cols(x: str | Sequence[str]) -> list[str]:
@@ -29,7 +31,9 @@ def _cols(x: str | Sequence[str]) -> list[str]:
 
 
 def estimated_bytes(df: DataFrame) -> int | None:
-    """The optimizer's size estimate of ``df`` (an upper bound for scans + filters)."""
+    """The optimizer's size estimate of ``df``: for a scan, file sizes times the share of the
+    columns read.  Rows in memory may be several times larger, so bounds on it are kept low;
+    joins multiply their sides.  None if there is no estimate."""
     try:
         return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     except Exception:  # noqa: BLE001 - statistics are best effort
@@ -55,8 +59,8 @@ def join_dim(fact: DataFrame, dim: DataFrame, on: str | Sequence[str], how: str
 
 def reduce_to_keys(df: DataFrame, keys: DataFrame, on: str | Sequence[str],
                    max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> DataFrame:
-    """Keep only rows of ``df`` whose key occurs in ``keys`` when that key set is provably
-    small: a broadcast left-semi join runs map-side, before any shuffle of ``df``.  Beyond the
+    """Keep only rows of ``df`` whose key occurs in ``keys`` when that key set is small
+    by that estimate: a broadcast left-semi join runs map-side, before any shuffle of ``df``.  Beyond the
     bound ``df`` is returned unchanged (the later join does the matching)."""
     on = _cols(on)
     k = keys.select(*on)
@@ -122,8 +126,8 @@ def top_k_through_joins(fact: DataFrame, k: int, order: str | Sequence[str],
     Exact without joining the whole fact table: the newest ``k * oversample`` fact rows are
     taken first (a distributed top-k) and joined; if at least ``k`` of them survive, no older
     row can enter the result, so their top k is the answer.  Otherwise (many orphans among the
-    newest rows) the full join is used.  The only driver-side value is a count of at most
-    ``k * oversample`` rows.
+    newest rows) the full join is used.  The candidates, at most ``k * oversample`` rows, are
+    checkpointed, so the fact table is read once for the count and the answer.
 
     When every dimension in ``dims`` is provably small, the joins are broadcast (map-side, no
     shuffle) and one top-k over the joined rows is cheaper than the two-step plan.
@@ -131,7 +135,8 @@ def top_k_through_joins(fact: DataFrame, k: int, order: str | Sequence[str],
     if dims and all((b := estimated_bytes(d)) is not None and 0 <= b <= max_broadcast_bytes
                     for d in dims):
         return top_k(joins(fact), k, order, tie, nulls_first)
-    cand = joins(top_k(fact, k * oversample, order, tie, nulls_first))
+    scratch_root(fact.sparkSession)   # sets the context's checkpoint folder
+    cand = joins(top_k(fact, k * oversample, order, tie, nulls_first)).checkpoint(eager=True)
     if cand.count() >= k:
         return top_k(cand, k, order, tie, nulls_first)
     return top_k(joins(fact), k, order, tie, nulls_first)

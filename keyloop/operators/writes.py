@@ -11,6 +11,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from keyloop.functions.rows import short_name
 from keyloop.operators.history import DELETE, INSERT, POSTIMAGE, PREIMAGE, with_meta
 
 
@@ -20,13 +21,18 @@ def assign_keys(new: DataFrame, key: str, start_after: int | Column = 0) -> Data
     Distributed, no single-partition window: each row gets (partition id, index within the
     partition) from ``monotonically_increasing_id``; the per-partition row counts (one small
     row per partition, never per data row) give dense offsets.  The input is checkpointed
-    first when a checkpoint dir is set, so a recomputed partition keeps its ids.
+    first, so that a recomputed partition keeps its ids; without a checkpoint folder that is
+    refused.
     """
     spark = new.sparkSession
+    if not spark.sparkContext.getCheckpointDir():
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if not folder:
+            raise RuntimeError("set spark.checkpoint.dir: ids must survive a recomputation")
+        spark.sparkContext.setCheckpointDir(folder)
     mid = F.monotonically_increasing_id()
     tagged = new.withColumn("__mid", mid).withColumn("__pid", F.spark_partition_id())
-    if spark.sparkContext.getCheckpointDir():
-        tagged = tagged.checkpoint(eager=True)
+    tagged = tagged.checkpoint(eager=True)
     counts = tagged.groupBy("__pid").agg(F.count(F.lit(1)).alias("__n"),
                                          F.min("__mid").alias("__base"))
     # offsets: running total of the (small) per-partition counts
@@ -78,15 +84,17 @@ def update_where(current: DataFrame, predicate: Column, assignments: Mapping[str
     """Conditional update.  Matched rows (predicate true; null is no match) get the
     assignments and emit a preimage and a postimage; no match is no error and no change."""
     hit = F.coalesce(predicate, F.lit(False))
-    tagged = current.withColumn("__hit", hit)
     cols = current.columns
-    updated = tagged.select(*[(F.when(F.col("__hit"), assignments[c]).otherwise(F.col(c))
-                               .alias(c)) if c in assignments else F.col(c) for c in cols],
-                            "__hit")
-    new_current = updated.drop("__hit")
-    pre = with_meta(tagged.filter("__hit").select(*cols), PREIMAGE, version, timestamp)
-    post = with_meta(updated.filter("__hit").select(*cols), POSTIMAGE, version, timestamp)
-    return new_current, pre.unionByName(post)
+    new_image = [F.when(hit, assignments[c]).otherwise(F.col(c)).alias(c) if c in assignments
+                 else F.col(c) for c in cols]
+    # both images of a matched row out of one scan
+    images = F.explode(F.array(
+        F.struct(F.lit(PREIMAGE).alias("t"), F.struct(*cols).alias("row")),
+        F.struct(F.lit(POSTIMAGE).alias("t"), F.struct(*new_image).alias("row"))))
+    both = current.filter(hit).select(images.alias("__i")).select(
+        *[F.col("__i.row")[c].alias(c) for c in cols], F.col("__i.t").alias("__t"))
+    changes = with_meta(both, F.col("__t"), version, timestamp).drop("__t")
+    return current.select(*new_image), changes
 
 
 def delete_where(current: DataFrame, predicate: Column, version: int,
@@ -113,3 +121,10 @@ def validate_rows(df: DataFrame, required: Sequence[str] = (),
     tagged = df.withColumn("reasons", reasons)
     return (tagged.filter(F.col("reasons") == "").drop("reasons"),
             tagged.filter(F.col("reasons") != ""))
+
+
+def stamp_actor(df: DataFrame, email: str | Column, column: str = "changed_by") -> DataFrame:
+    """The rows with who wrote them: the part of the e-mail before ``@`` (all of a name
+    without one).  ``email`` is a column expression, or a value (the signed-in user's)."""
+    who = F.lit(email) if isinstance(email, str) else email
+    return df.withColumn(column, short_name(who))

@@ -28,15 +28,23 @@ def hours_between(start: str | Column, end: str | Column) -> Column:
 
 
 def time_to_fix(history: DataFrame, machines: DataFrame, tickets: DataFrame,
-                keys: Sequence[str] = ("ticket_id", "line_no"), ordered: bool = True
-                ) -> DataFrame:
+                keys: Sequence[str] = ("ticket_id", "line_no"), ordered: bool = True,
+                machine_from_ticket: bool = False) -> DataFrame:
     """Q7 / T1 (faithful): every history row whose status is completed (whatever its change
     type), inner-joined to its machine and left-joined to its ticket; hours_to_fix is null
-    when the ticket or completed_at is missing."""
+    when the ticket or completed_at is missing.
+
+    ``machine_from_ticket``: the history has no machine, its ticket's is used.  The ticket is
+    joined once for both, straight from the scan of the history, so adaptive execution can
+    split a ticket with very many actions."""
     h = history.filter(status_is("status", "completed"))
-    h = join_dim(h, machines.select("machine_id", "model"), "machine_id")
-    t = tickets.select("ticket_id", "opened_at")
-    j = h.join(t, "ticket_id", "left")
+    models = machines.select("machine_id", "model")
+    if machine_from_ticket:
+        h = h.join(tickets.select("ticket_id", "machine_id", "opened_at"), "ticket_id", "left")
+        j = join_dim(h, models, "machine_id")
+    else:
+        j = join_dim(h, models, "machine_id").join(
+            tickets.select("ticket_id", "opened_at"), "ticket_id", "left")
     out = j.select(*keys, "machine_id", "model", "performed_by", "action_type", "description",
                    hours_between("opened_at", "completed_at").alias("hours_to_fix"),
                    "completed_at")
@@ -47,12 +55,13 @@ def time_to_fix(history: DataFrame, machines: DataFrame, tickets: DataFrame,
 
 def time_to_fix_net(history: DataFrame, machines: DataFrame, tickets: DataFrame,
                     pk: Sequence[str], order: Sequence[str], tie: Sequence[str] = (),
-                    keys: Sequence[str] = ("ticket_id", "line_no"), ordered: bool = True
-                    ) -> DataFrame:
+                    keys: Sequence[str] = ("ticket_id", "line_no"), ordered: bool = True,
+                    machine_from_ticket: bool = False) -> DataFrame:
     """Q8 (corrected metric): Q7 over the net state of the history (preimages, superseded
-    and deleted rows removed)."""
+    and deleted rows removed).  The net state comes before any join, so its limit per key
+    runs map-side."""
     net = current_state(history, pk, order, tie)
-    return time_to_fix(net, machines, tickets, keys, ordered)
+    return time_to_fix(net, machines, tickets, keys, ordered, machine_from_ticket)
 
 
 def actions_per_day(actions: DataFrame, ts: str = "completed_at") -> DataFrame:

@@ -64,6 +64,20 @@ LOG = """log AS (SELECT user_id AS entity_id, value, props,
                 WHEN 'error' THEN 'delete' END AS _change_type,
            event_id AS _commit_version, ts AS _commit_timestamp FROM events)"""
 
+NEWEST = """newest AS (SELECT ticket_id, performed_by, status FROM a WHERE ticket_id IS NOT NULL
+    QUALIFY row_number() OVER (PARTITION BY ticket_id
+        ORDER BY performed_at DESC NULLS FIRST, line_no DESC, amount DESC) = 1)"""
+
+AH = """ah AS (SELECT user_id AS action_id, event_id AS ticket_id, user_id AS machine_id,
+          'tech-' || event_type AS performed_by, event_type AS action_type,
+          props AS description,
+          CASE WHEN value > 25 THEN 'completed' ELSE 'in_progress' END AS status,
+          CASE WHEN value > 25 THEN ts END AS completed_at,
+          CASE event_type WHEN 'signup' THEN 'insert' WHEN 'view' THEN 'update_preimage'
+               WHEN 'click' THEN 'update_postimage' WHEN 'purchase' THEN 'update_postimage'
+               WHEN 'error' THEN 'delete' END AS _change_type,
+          event_id AS _commit_version FROM events)"""
+
 OH = """oh AS (SELECT o_orderkey AS order_id, o_totalprice AS total,
           CASE o_orderstatus WHEN 'O' THEN 'insert' WHEN 'P' THEN 'update_postimage'
                ELSE 'delete' END AS _change_type,

@@ -3,6 +3,8 @@ counts (S9) and reconciliation (S10)."""
 
 from __future__ import annotations
 
+import uuid
+
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -38,8 +40,9 @@ def snapshot_sync(df: DataFrame, pk: Sequence[str], target: str | None,
                   fmt: str = "parquet", options: dict | None = None,
                   verify: bool = True, table: str | None = None,
                   buckets: int | None = None) -> DataFrame:
-    """S5 (with S1): full keyed copy of ``df`` after a primary-key check; overwrite replaces
-    data and schema; with ``verify`` the replica's row count (parquet metadata, no data scan)
+    """S5 (with S1): full keyed copy of ``df`` after a primary-key check; each sync writes a new
+    version below ``target`` and then moves the pointer (``read_replica``), data and schema are
+    replaced as one; with ``verify`` the replica's row count (parquet metadata, no data scan)
     must equal the source's.  ``fmt`` / ``options`` select any Spark writer (e.g. a JDBC
     table with ``target=None``).
 
@@ -57,20 +60,37 @@ def snapshot_sync(df: DataFrame, pk: Sequence[str], target: str | None,
         if verify and replica.count() != n:
             raise RuntimeError(f"replica has {replica.count()} rows, source {n}")
         return replica
-    w = df.write.mode("overwrite").format(fmt).options(**(options or {}))
-    w.save(target) if target is not None else w.save()
     r = spark.read.format(fmt).options(**(options or {}))
-    replica = r.load(target) if target is not None else r.load()
+    if target is None:
+        df.write.mode("overwrite").format(fmt).options(**(options or {})).save()
+        replica = r.load()
+    else:
+        # a new version folder, then the pointer: readers see the old replica until the new
+        # one is complete, and a replica can be synced from itself
+        version = f"v{uuid.uuid4().hex}"
+        df.write.format(fmt).options(**(options or {})).save(f"{target}/{version}")
+        replica = r.load(f"{target}/{version}")
     if verify and replica.count() != n:
         raise RuntimeError(f"replica has {replica.count()} rows, source {n}")
+    if target is not None:
+        spark.range(1).select(F.lit(version).alias("version"), F.lit(fmt).alias("fmt"),
+                              F.current_timestamp().alias("at")).coalesce(1) \
+            .write.mode("append").parquet(f"{target}/_current")
     return replica
 
 
+def read_replica(spark: SparkSession, target: str, options: dict | None = None) -> DataFrame:
+    """The replica that the pointer of ``snapshot_sync`` names: the newest complete version."""
+    last = spark.read.parquet(f"{target}/_current").orderBy(F.desc("at"), F.desc("version")).first()
+    return spark.read.format(last["fmt"]).options(**(options or {})).load(f"{target}/{last['version']}")
+
+
 def triggered_sync(replica: DataFrame, changes: DataFrame, pk: Sequence[str],
                    last_version: int) -> DataFrame:
     """Refresh a replica taken at ``last_version`` with the changes after it: the latest
-    non-preimage change per key is upserted, deletes remove the key."""
-    return apply_changes(replica, changes, list(pk), last_version)
+    non-preimage change per key is upserted, deletes remove the key.  The replica's key is
+    unique (``snapshot_sync`` checks it)."""
+    return apply_changes(replica, changes, list(pk), last_version, snapshot_is_keyed=True)
 
 
 def table_counts(spark: SparkSession, tables: Mapping[str, str | DataFrame],

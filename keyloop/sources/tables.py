@@ -214,6 +214,22 @@ def change_log_of(events: DataFrame) -> DataFrame:
         F.col("ts").alias("_commit_timestamp"))
 
 
+def action_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A history of maintenance actions with preimages, superseded rows and deletes, from
+    events: key ``action_id`` (the user), one ticket an event."""
+    e = table(spark, sf_dir, "events")
+    done = F.col("value") > 25
+    return e.select(
+        F.col("user_id").alias("action_id"), F.col("event_id").alias("ticket_id"),
+        F.col("user_id").alias("machine_id"),
+        F.concat(F.lit("tech-"), F.col("event_type")).alias("performed_by"),
+        F.col("event_type").alias("action_type"), F.col("props").alias("description"),
+        F.when(done, "completed").otherwise("in_progress").alias("status"),
+        F.when(done, F.col("ts")).alias("completed_at"),
+        _code_map("event_type", CHANGE_TYPE, None).alias("_change_type"),
+        F.col("event_id").alias("_commit_version"), F.col("ts").alias("_commit_timestamp"))
+
+
 def order_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A second history table with a different schema (for the union / audit trail)."""
     return table(spark, sf_dir, "orders").select(

@@ -2,6 +2,7 @@
 skew-spread windows)."""
 
 import __spark_entry__ as entry
+from keyloop.plans import catalog
 
 SF = "/root/testdata/sf0.001"
 
@@ -31,16 +32,35 @@ def test_validity_window_is_spread_by_bucket(spark):
     assert "hashpartitioning(entity_id" in p and "__bucket" in p
 
 
-def test_apply_changes_does_not_shuffle_join_the_snapshot(spark):
+def test_apply_changes_leaves_the_replica_in_place(spark):
     p = _plan(entry.queries()["triggered_sync"](spark, SF))
-    # small change sets: untouched snapshot rows pass broadcast anti/semi joins, map-side
+    # a small change set is broadcast to the replica; the new keys come from an anti join
     assert "SortMergeJoin" not in p and "WindowGroupLimit" in p
-    assert "LeftAnti" in p and "LeftSemi" in p
+    assert "LeftOuter" in p and "LeftAnti" in p
+
+
+def test_windows_that_link_buckets_need_no_sort_aggregate(spark):
+    for q in ("validity_intervals", "audit_trail"):
+        p = _plan(entry.queries()[q](spark, SF))
+        assert "SortAggregate" not in p, q
+
+
+def test_time_to_fix_joins_the_ticket_once(spark):
+    for q in ("time_to_fix", "time_to_fix_net", "avg_fix_by_model"):
+        p = _plan(entry.queries()[q](spark, SF))
+        assert p.count("orders.parquet") <= 1, q
+    p = _plan(entry.queries()["time_to_fix_net"](spark, SF))
+    assert p.count("WindowGroupLimit") >= 2      # before and after the shuffle
+
+
+def test_update_reads_its_table_once(spark):
+    assert _plan(entry.queries()["update_where"](spark, SF)).count("FileScan") == 1
 
 
 def test_no_python_udfs_anywhere(spark):
-    for name, fn in entry.queries().items():
-        if name.startswith("stream_") or name in ("snapshot_sync", "assign_action_ids"):
+    for name, fn in catalog.QUERIES.items():
+        if name.startswith("stream_") or "places" in name or name in (
+                "snapshot_sync", "assign_action_ids", "insert_notes"):
             continue   # these run jobs while being built; covered by their own tests
         p = _plan(fn(spark, SF))
         assert "BatchEvalPython" not in p and "ArrowEvalPython" not in p, name

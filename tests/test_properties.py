@@ -2,6 +2,7 @@
 runs Spark jobs)."""
 
 import tempfile
+from datetime import datetime
 
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -44,10 +45,64 @@ def test_sync_from_any_version_equals_current_state(spark, rows, cut):
     replica = H.as_of(log, ["k"], version=cut)
     got = sorted(H.apply_changes(replica, log, ["k"], since_version=cut).collect())
     assert got == want
-    # the same through the whole-snapshot merge (no key broadcast)
-    full = sorted(H.apply_changes(replica, log, ["k"], since_version=cut,
-                                  max_broadcast_bytes=-1).collect())
-    assert full == want
+    # the same over a replica whose key is vouched for, with and without a broadcast (the
+    # frames are files, so that sizes are known)
+    log, replica = on_disk(spark, log), on_disk(spark, replica)
+    for bound in (1 << 30, -1):
+        keyed = H.apply_changes(replica, log, ["k"], since_version=cut, snapshot_is_keyed=True,
+                                max_broadcast_bytes=bound)
+        assert ("BroadcastHashJoin" in keyed._jdf.queryExecution().executedPlan().toString()) or bound < 0
+        assert sorted(keyed.collect()) == want
+
+
+def on_disk(spark, df):
+    path = tempfile.mkdtemp(prefix="keyloop-disk-") + "/t"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+@st.composite
+def messy_histories(draw):
+    """Null keys, several changes of one version (told apart by ``line``), null commit times."""
+    rows = []
+    for line in range(draw(st.integers(1, 30))):
+        at = draw(st.one_of(st.none(), st.integers(0, 9)))
+        rows.append((draw(st.one_of(st.none(), st.integers(0, 3))), draw(st.sampled_from(["a", "b", None])),
+                     draw(st.sampled_from(["insert", "update_postimage", "delete"])),
+                     draw(st.integers(0, 200)), None if at is None else datetime(2024, 1, 1 + at), line))
+    return rows
+
+
+@SETTINGS
+@given(rows=messy_histories())
+def test_intervals_and_trail_do_not_depend_on_the_buckets(spark, rows):
+    log = on_disk(spark, spark.createDataFrame(rows, LOG_SCHEMA + ", line long"))
+    by_key = {}
+    for r in sorted((r for r in rows if r[0] is not None), key=lambda r: (r[3], r[5])):
+        by_key.setdefault(r[0], []).append(r)
+    intervals, trail = [], []
+    for k, own in by_key.items():
+        for i, r in enumerate(own):
+            nxt = own[i + 1] if i + 1 < len(own) else None
+            if r[2] != "delete":
+                intervals.append((k, r[5], r[4], nxt[4] if nxt else None, nxt is None))
+            old = own[i - 1][1] if i and own[i - 1][2] != "delete" else None
+            trail.append((k, r[3], r[2], old, None if r[2] == "delete" else r[1]))
+    for width in (1, 7, 64, 1 << 16, 1 << 40):
+        got = H.validity_intervals(log, ["k"], bucket_width=width, tie=["line"])
+        assert sorted(((r.k, r.line, r.valid_from, r.valid_to, r.is_current) for r in got.collect()),
+                      key=repr) == sorted(intervals, key=repr)
+        got = H.audit_trail(log, ["k"], ["v"], bucket_width=width, tie=["line"])
+        assert sorted(((r.k, r._commit_version, r._change_type, r.old_v, r.new_v) for r in got.collect()),
+                      key=repr) == sorted(trail, key=repr)
+
+
+def test_repeated_and_null_keys_of_a_snapshot(spark):
+    snapshot = on_disk(spark, spark.createDataFrame(
+        [(1, "a"), (1, "a"), (None, "b"), (2, "c")], "k long, v string"))
+    change = spark.createDataFrame([(2, "d", "update_postimage", 9, None)], LOG_SCHEMA)
+    got = H.apply_changes(snapshot, on_disk(spark, change), ["k"], since_version=1)
+    assert sorted(got.collect()) == [(1, "a"), (2, "d")]
 
 
 @SETTINGS

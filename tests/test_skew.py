@@ -50,3 +50,40 @@ def test_hot_key_spread_over_tasks(spark):
         assert max(psizes) >= sum(psizes) / 3
     finally:
         spark.conf.set(conf, old)
+
+
+def test_hot_ticket_is_split(spark):
+    """A ticket with a third of all actions: the join of time-to-fix is split by adaptive
+    execution, and the net state is cut down before its shuffle."""
+    from keyloop.plans import metrics as M
+    n = 60_000
+    actions = spark.range(n, numPartitions=8).select(
+        F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id") % 5000 + 1).alias("ticket_id"),
+        F.col("id").alias("line_no"), F.lit("t").alias("performed_by"), F.lit("r").alias("action_type"),
+        F.sha2(F.col("id").cast("string"), 256).alias("description"), F.lit("completed").alias("status"),
+        F.timestamp_seconds(F.col("id")).cast("timestamp_ntz").alias("completed_at"),
+        F.lit("insert").alias("_change_type"), F.col("id").alias("_commit_version"),
+        F.lit(None).cast("timestamp_ntz").alias("_commit_timestamp"))
+    tickets = spark.range(5001).select(F.col("id").alias("ticket_id"), (F.col("id") % 50).alias("machine_id"),
+                                       F.lit("2020-01-01").cast("timestamp_ntz").alias("opened_at"))
+    machines = spark.range(50).select(F.col("id").alias("machine_id"), F.lit("m").alias("model"))
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "20",
+                "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20k",
+                "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20k",
+                "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2"}
+    old = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        fixes = M.time_to_fix(actions, machines, tickets, ordered=False, machine_from_ticket=True)
+        assert fixes.count() == n
+        rows = fixes.collect()
+        assert len(rows) == n
+        plan = fixes._jdf.queryExecution().executedPlan().toString()
+        assert "skew" in plan.lower()
+        net = M.time_to_fix_net(actions, machines, tickets, ["ticket_id"], ["_commit_version"],
+                                ordered=False, machine_from_ticket=True)
+        assert net.count() == 5001
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)

@@ -108,6 +108,8 @@ def walk(html: str):
                 if stack[i].tag in SCOPE:
                     break
         if tag in VOID:
+            if tag == "br":
+                yield stack[-1], " "
             continue
         names = {k.lower(): a or b or c for k, a, b, c in _ATTR.findall(m["attrs"] or "")}
         marked = " ".join(names.values())
@@ -237,11 +239,7 @@ def extract(html: str, main: str | None = None, texts: frozenset = frozenset())
     for node, text in walk(html):
         if node is None:
             flush()
-        elif text is None:
-            if node.tag == "br":
-                for own in parts.values():
-                    own.append(" ")
-        elif not node.out:
+        elif text is not None and not node.out:
             slot = main is not None and (node.path == main or node.path.startswith(main + "/"))
             if node.article:
                 parts["article"].append(text)

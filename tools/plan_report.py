@@ -2,8 +2,9 @@
 shuffles, join strategies, partial window limits, top-k, pushed filters and pruned scans.
 
 Usage: python tools/plan_report.py [sf_dir] > PLANS.md
-The plans are taken with broadcast-by-statistics disabled, i.e. as if every table were large;
-explicit, size-checked hints of the library still apply.
+Every query of the catalog appears twice, both with Spark's broadcast-by-statistics off: first with
+the library's own size-checked hints, then ("large") without them, as over tables whose estimate
+is above every bound.
 """
 
 from __future__ import annotations
@@ -35,20 +36,24 @@ def summarise(plan: str) -> dict:
 
 
 def main() -> None:
+    from keyloop.operators import keyed
+    from keyloop.plans import catalog
     from keyloop.session import build_session
-    sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
+    sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     spark = build_session()
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    import __spark_entry__ as entry
-    print("| query | shuffles | broadcasts | joins | partial limit | top-k | pushed filters |"
+    estimate = keyed.estimated_bytes
+    print("| query | sizes | shuffles | broadcasts | joins | partial limit | top-k | pushed filters |"
           " Python UDF |")
-    print("|---|---|---|---|---|---|---|---|")
-    for name, fn in entry.queries().items():
-        df = fn(spark, sf)
-        plan = df._jdf.queryExecution().executedPlan().toString()
-        s = summarise(plan)
-        print(f"| {name} | {s['shuffles']} | {s['broadcasts']} | {s['joins']} | "
-              f"{s['partial_limit']} | {s['top_k']} | {s['pushed']} | {s['python_udf']} |")
+    print("|---|---|---|---|---|---|---|---|---|")
+    for name, fn in catalog.QUERIES.items():
+        for sizes, known in (("given", estimate), ("large", lambda df: None)):
+            keyed.estimated_bytes = known
+            df = fn(spark, sf)
+            plan = df._jdf.queryExecution().executedPlan().toString()
+            s = summarise(plan)
+            print(f"| {name} | {sizes} | {s['shuffles']} | {s['broadcasts']} | {s['joins']} | "
+                  f"{s['partial_limit']} | {s['top_k']} | {s['pushed']} | {s['python_udf']} |")
     spark.stop()
 
 

@@ -16,10 +16,11 @@ from __future__ import annotations
 
 import base64
 import heapq
-from itertools import chain
+from array import array
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -30,8 +31,9 @@ CHUNK = 1 << 15
 OVERLAP = 1 << 9
 #: Longest literal of the pattern and one more: a match may depend on so much behind it.
 LOOK_AHEAD = 4
-#: Distinct pieces whose ids a task remembers.
+#: Distinct pieces beyond which a task forgets the ids it remembers.
 REMEMBERED = 1 << 17
+_NONE = 1 << 40  # rank of a pair that does not merge
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -40,26 +42,77 @@ def load_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
 
 
-def merge(piece: bytes, ranks: dict[bytes, int]) -> tuple[int, ...]:
-    """Ids of a piece: the adjacent pair of least rank is merged first, the leftmost of equals."""
-    if piece in ranks:
-        return (ranks[piece],)
-    if len(piece) > 48:
-        return _merge_long(piece, ranks)
-    parts = [piece[i:i + 1] for i in range(len(piece))]
-    while len(parts) > 1:
-        best, at = None, 0
-        for i in range(len(parts) - 1):
-            rank = ranks.get(parts[i] + parts[i + 1])
-            if rank is not None and (best is None or rank < best):
-                best, at = rank, i
-        if best is None:
-            break
-        parts[at:at + 2] = [parts[at] + parts[at + 1]]
-    return tuple(ranks[p] for p in parts)
-
+class Vocabulary:
+    """Ranks of tokens and of pairs; what is broadcast has the size of the vocabulary file."""
 
-def _merge_long(piece: bytes, ranks: dict[bytes, int]) -> tuple[int, ...]:
+    def __init__(self, ranks: dict[bytes, int]):
+        self.ranks = ranks
+        self.single = np.array([ranks[bytes([b])] for b in range(256)])
+        pairs = sorted((ranks[t[:i]] << 32 | ranks[t[i:]], rank) for t, rank in ranks.items()
+                       for i in range(1, len(t)) if t[:i] in ranks and t[i:] in ranks)
+        self.keys = np.array([k for k, _ in pairs] + [1 << 62])
+        self.merged = np.array([r for _, r in pairs] + [_NONE])
+
+    def pair(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """What adjacent ids merge into; _NONE if into nothing."""
+        key = a << 32 | b
+        at = np.searchsorted(self.keys, key)
+        return np.where(self.keys[at] == key, self.merged[at], _NONE)
+
+
+def merge(pieces: list[bytes], vocabulary: Vocabulary) -> list[bytes]:
+    """The int32 ids of each piece, as bytes: of adjacent pairs that of least rank is merged first, the
+    leftmost of equals.  Pieces of about the same length are merged side by side."""
+    out: list = [None] * len(pieces)
+    sizes = np.fromiter(map(len, pieces), np.int64, len(pieces))
+    for low, high in ((0, 6), (6, 10), (10, 16), (16, 32), (32, 64)):
+        own = np.flatnonzero((sizes > low) & (sizes <= high))
+        for a in range(0, len(own), 1 << 14):
+            _merge_matrix(own[a:a + (1 << 14)], pieces, sizes, high, vocabulary, out)
+    for i in np.flatnonzero((sizes > 64) | (sizes == 0)):
+        out[i] = array("i", _merge_long(pieces[i], vocabulary.ranks) if pieces[i] else []).tobytes()
+    return out
+
+
+def _merge_matrix(rows, pieces, sizes, width, vocabulary, out):
+    """One merge a step in every row of a matrix of ids, as long as any row has one."""
+    raw = np.frombuffer(b"".join(pieces[i].ljust(width, b"\0") for i in rows), np.uint8).reshape(-1, width)
+    size = sizes[rows].copy()
+    col = np.arange(width)
+    ids = np.where(col < size[:, None], vocabulary.single[raw], 0)
+    ranks = np.where(col[1:] < size[:, None], vocabulary.pair(ids[:, :-1], ids[:, 1:]), _NONE)
+    # a piece that is a token is that token, however its bytes would merge
+    whole = np.array([vocabulary.ranks.get(pieces[i], -1) for i in rows])
+    ids[whole >= 0, 0] = whole[whole >= 0]
+    size[whole >= 0] = 1
+    live = np.flatnonzero((whole < 0) & (size > 1))
+    while len(live):
+        at = ranks[live].argmin(axis=1)
+        best = ranks[live, at]
+        go = best != _NONE
+        live, at, best = live[go], at[go], best[go]
+        if not len(live):
+            break
+        now, r = ids[live], ranks[live]
+        # drop the right part of the pair and what stood between it and its neighbour
+        now = np.take_along_axis(now, np.minimum(col + (col > at[:, None]), width - 1), axis=1)
+        r = np.take_along_axis(r, np.minimum(col[:-1] + (col[:-1] >= at[:, None]), width - 2), axis=1)
+        n = np.arange(len(live))
+        now[n, at] = best
+        size[live] -= 1
+        left = at > 0
+        r[n[left], at[left] - 1] = vocabulary.pair(now[n[left], at[left] - 1], best[left])
+        right = at + 1 < size[live]
+        r[n[right], at[right]] = vocabulary.pair(best[right], now[n[right], at[right] + 1])
+        r[col[:-1] + 1 >= size[live][:, None]] = _NONE
+        ids[live], ranks[live] = now, r
+    flat = ids[col < size[:, None]].astype(np.int32).tobytes()
+    ends = 4 * np.cumsum(size)
+    for i, a, b in zip(rows.tolist(), (ends - 4 * size).tolist(), ends.tolist()):
+        out[i] = flat[a:b]
+
+
+def _merge_long(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
     """The same in n log n: a heap of pairs over a linked list of parts, by their starts."""
     n = len(piece)
     end = list(range(1, n + 1)) + [n]  # of the part that starts here; 0 once it is merged away
@@ -88,34 +141,33 @@ def _merge_long(piece: bytes, ranks: dict[bytes, int]) -> tuple[int, ...]:
     while i < n:
         out.append(ranks[piece[i:end[i]]])
         i = end[i]
-    return tuple(out)
+    return out
 
 
 class _Ids(dict):
-    """piece -> ids, filled on demand."""
+    """piece -> bytes of its int32 ids, for the pieces of the texts last learned."""
 
-    def __init__(self, ranks):
+    def __init__(self, vocabulary: Vocabulary):
         super().__init__()
-        self.ranks = ranks
+        self.vocabulary = vocabulary
 
-    def __missing__(self, piece):
-        if len(self) >= REMEMBERED:
+    def learn(self, pieces: set[str]) -> None:
+        if len(self) > REMEMBERED:
             self.clear()
-        self[piece] = out = merge(piece.encode(), self.ranks)
-        return out
-
-
-def _ids_of(known: _Ids, pieces) -> np.ndarray:
-    return np.fromiter(chain.from_iterable(map(known.__getitem__, pieces)), np.int32)
+        new = list(pieces - self.keys())
+        self.update(zip(new, merge([p.encode() for p in new], self.vocabulary)))
 
 
 def _whole(text: str, pattern: str, ranks):
     def run(batches):
         split, known = regex.compile(pattern), _Ids(ranks.value)
         for part in slices(batches, text):
-            ids = [_ids_of(known, split.findall(t or "")) for t in part.column(text).to_pylist()]
-            ends = np.cumsum([0, *map(len, ids)]).astype(np.int32)
-            rows = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(ids)))
+            pieces = [split.findall(t or "") for t in part.column(text).to_pylist()]
+            known.learn(set().union(*pieces))
+            ids = [b"".join(map(known.__getitem__, p)) for p in pieces]
+            ends = np.cumsum([0, *map(len, ids)]) // 4
+            rows = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)),
+                                            pa.array(np.frombuffer(b"".join(ids), np.int32)))
             yield part.append_column("ids", rows)
     return run
 
@@ -128,10 +180,11 @@ def _chunks(pattern: str, ranks):
             starts, counts, ids = [], [], []
             for t in part.column("part").to_pylist():
                 pieces = split.findall(t)
+                known.learn(set(pieces))
                 own = [known[p] for p in pieces]
                 starts.append(np.cumsum([0, *map(len, pieces)])[:-1].astype("<i4").tobytes())
-                counts.append(np.array([len(x) for x in own], "<i4").tobytes())
-                ids.append(np.fromiter(chain.from_iterable(own), "<i4").tobytes())
+                counts.append(np.array([len(x) // 4 for x in own], "<i4").tobytes())
+                ids.append(b"".join(own))
             for name, col in (("starts", starts), ("counts", counts), ("ids", ids)):
                 part = part.append_column(name, pa.array(col, pa.binary()))
             yield part
@@ -155,9 +208,10 @@ class _Chunk:
 
 def _split(at, text, split, known) -> _Chunk:
     pieces = split.findall(text)
+    known.learn(set(pieces))
     own = [known[p] for p in pieces]
-    return _Chunk(at, text, np.cumsum([0, *map(len, pieces)], dtype=np.int64)[:-1], [len(x) for x in own],
-                  np.fromiter(chain.from_iterable(own), np.int32))
+    return _Chunk(at, text, np.cumsum([0, *map(len, pieces)], dtype=np.int64)[:-1], [len(x) // 4 for x in own],
+                  np.frombuffer(b"".join(own), np.int32))
 
 
 def stitch(chunks, split, known) -> np.ndarray:
@@ -201,7 +255,7 @@ def _stitch(pattern: str, ranks, size: int):
                     now, chunks = r["key"], []
                 chunks.append(_Chunk(r["k"] * size, r["part"], *(
                     np.frombuffer(r[c], "<i4").astype(np.int64) for c in ("starts", "counts")),
-                    np.frombuffer(r["ids"], "<i4")))
+                    np.frombuffer(r["ids"], np.int32)))
         if chunks:
             yield row()
     return run
@@ -217,7 +271,7 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text: str = "
     if chunk < 1 or overlap <= LOOK_AHEAD:
         raise ValueError("chunk must be positive and overlap over LOOK_AHEAD")
     docs = without(docs, "ids", "__key")
-    vocabulary = docs.sparkSession.sparkContext.broadcast(ranks)
+    vocabulary = docs.sparkSession.sparkContext.broadcast(Vocabulary(ranks))
     is_long = F.coalesce(F.length(text) > chunk + overlap, F.lit(False))
     short = docs.where(~is_long).mapInArrow(
         _whole(text, pattern, vocabulary), ddl(docs) + ", ids array<int>")
@@ -245,11 +299,16 @@ def decode(docs: DataFrame, ranks: dict[bytes, int], ids: str = "ids", into: str
     tokens = docs.sparkSession.sparkContext.broadcast(table)
 
     def run(batches):
-        of = tokens.value.__getitem__
+        known = pa.array(tokens.value, pa.large_binary())
         for batch in batches:
-            raw = [b"".join(map(of, row.values.to_pylist() if row.is_valid else ()))
-                   for row in batch.column(ids)]
-            yield batch.append_column(into, pa.array(raw, pa.binary()))
+            col = batch.column(ids)
+            size = np.nan_to_num(pc.list_value_length(col).to_numpy(zero_copy_only=False)).astype(np.int64)
+            raw = known.take(col.flatten())  # side by side in one buffer
+            ends = np.frombuffer(raw.buffers()[1], np.int64)[raw.offset:raw.offset + len(raw) + 1]
+            cuts = np.ascontiguousarray(ends[np.concatenate([[0], np.cumsum(size)])])
+            joined = pa.Array.from_buffers(pa.large_binary(), len(size), [
+                None, pa.py_buffer(cuts), raw.buffers()[2]])
+            yield batch.append_column(into, joined.cast(pa.binary()))
 
     return docs.mapInArrow(run, f"{ddl(docs)}, `{into}` binary")
 

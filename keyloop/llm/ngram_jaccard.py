@@ -6,13 +6,15 @@ The order puts shingles first that a two-layer Bloom filter proves to be in one
 these need no tile, so text without copies leaves no trace.  Shingles of many rows come last.
 
 1. Tiles: a shared prefix shingle and a size band (sizes of linked sets differ by at most t).
-   Within a tile each node is paired with the tile's smallest node only.
+   Each node is paired with the smallest node of its tiles only.
 2. A pair is dropped if its bitmap signatures exclude it: each shingle flips one bit, so the bits
    that differ bound the symmetric difference from below, hence the overlap from above.  What
    remains is intersected exactly as sorted arrays.
 3. Nodes linked so far form components.  Only tiles that still hold several components (bands
-   aside, sizes checked) are searched again, for all pairs across components, under the same
-   bound; these are intersected too.  After that no link between components can exist.
+   aside, sizes checked) are searched again under the same bound: first each node outside a
+   tile's largest component with its nearest node of another component, then, with the
+   components that gave, all pairs across components.  All are intersected exactly, so after that
+   no link between components can exist.
 
 So a group of copies of any size costs one pair a node, and no pair is skipped but those whose
 ends are already connected.  The filter covers the shingles of the lowest quarter of the hash
@@ -35,16 +37,18 @@ from pyspark.sql import functions as F
 
 from keyloop.llm.components import components
 from keyloop.llm.frequency import PAYLOAD, payloads, seen_filter
-from keyloop.llm.text import (ascii_lower_table, inside, mix, ngram_hashes, owners, slices,
-                              split_words, stored, word_hashes)
+from keyloop.llm.text import (ascii_lower_table, bucketed, inside, mix, ngram_hashes, owners,
+                              slices, split_words, stored, word_hashes)
 
 _LOWER = ascii_lower_table()
 _FILTERED = np.uint64(1 << 62)  # hashes below are in the filter
 #: Rows from which a shingle counts as frequent (it then comes last in the order).
 FREQUENT = 64
 SIGNATURE_BITS = 1024
-#: Rows of a tile's largest component that one task compares at once.
-CHUNK = 4096
+#: Nodes of a large component that one task compares with others at once.
+CHUNK = 512
+#: Pairs that a task holds before it drops repeated ones.
+GATHER = 1 << 22
 
 
 def shingle_sets(col: pa.Array, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -139,55 +143,125 @@ def _exact(num: int, den: int):
     return run
 
 
-def _links(pairs: DataFrame, nodes: DataFrame, num: int, den: int) -> DataFrame:
-    """Those of ``pairs(a, b, na, nb)`` that link: signatures first, then sorted arrays."""
-    sig = nodes.select("node", "sig")
-    near = (pairs.join(sig.toDF("a", "sa"), "a").join(sig.toDF("b", "sb"), "b")
-            .where(_may_link(num, den, F.aggregate(
-                F.zip_with("sa", "sb", lambda x, y: F.bit_count(x.bitwiseXOR(y))),
-                F.lit(0), lambda s, x: s + x))).select("a", "b"))
-    grams = nodes.select("node", "grams")
-    both = near.join(grams.toDF("b", "xb"), "b").join(grams.toDF("a", "xa"), "a")
+def _links(pairs: DataFrame, column, num: int, den: int) -> DataFrame:
+    """Those of ``pairs(a, b, na, nb)`` that link: signatures first, then sorted arrays.
+
+    ``column(name, *more)`` gives (node, ...) without moving the nodes.  Only the arrays of b
+    travel, with their pair, to those of the few a; a hot a is split by adaptive execution."""
+    near = stored(
+        pairs.join(column("sig").toDF("a", "sa"), "a").join(column("sig").toDF("b", "sb"), "b")
+        .where(_may_link(num, den, F.aggregate(
+            F.zip_with("sa", "sb", lambda x, y: F.bit_count(x.bitwiseXOR(y))),
+            F.lit(0), lambda s, x: s + x))).select("a", "b"), "near")
+    firsts = near.select(F.col("a").alias("node")).distinct().join(column("grams"), "node").toDF("a", "xa")
+    both = near.join(column("grams").toDF("b", "xb"), "b").join(firsts, "a")
     return both.select("a", "b", "xa", "xb").mapInArrow(_exact(num, den), "a binary, b binary")
 
 
-def _across(num: int, den: int):
-    """Pairs across components within a tile's chunk that sizes and signatures allow."""
-    def pairs(rows):
-        node = [r["node"] for r in rows]
-        n = np.array([r["n"] for r in rows], np.int64)
-        main = np.array([r["main"] for r in rows])
-        group = np.unique(np.array([r["label"] for r in rows], object), return_inverse=True)[1]
-        sig = np.array([r["sig"] for r in rows], np.int64)
-        first = rows[0]["chunk"] == 0
-        for i in np.flatnonzero(~main):
-            to = (group != group[i]) & (main | first)
-            to[:i + 1] &= main[:i + 1]  # pairs of others once
-            j = np.flatnonzero(to & (den * np.minimum(n, n[i]) >= num * np.maximum(n, n[i])))
-            over = (n[i] + n[j] - np.bitwise_count(sig[j] ^ sig[i]).sum(axis=1, dtype=np.int64)) // 2
-            for x in j[den * over >= num * (n[i] + n[j] - over)]:
-                yield node[i], node[x], int(n[i]), int(n[x])
-
-    def out(rows):
-        a, b, na, nb = zip(*found) if (found := list(pairs(rows))) else ((), (), (), ())
+def _across(num: int, den: int, nearest: bool):
+    """Distinct pairs across components within a chunk's tiles that sizes and signatures allow;
+    with ``nearest`` only the likeliest of each node outside the largest component.
+
+    Rows come sorted by (most, chunk, key): ``main`` rows are of the tiles' largest component,
+    the chunk's share of it; the others are in every chunk and paired with each other in the first."""
+    def candidates(key, node, label, n, main, first):
+        cuts = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+        found, size = [], 0
+        for a, b in zip(cuts.tolist(), np.append(cuts[1:], len(key)).tolist()):
+            at = np.arange(a, b)
+            for other in np.array_split(at[~main[a:b]], max(1, (b - a) ** 2 // GATHER)):
+                to = (label[other][:, None] != label[a:b]) & (
+                    den * np.minimum(n[other][:, None], n[a:b]) >= num * np.maximum(n[other][:, None], n[a:b]))
+                to &= main[a:b] | (first & (at > other[:, None]))
+                i, j = np.nonzero(to)
+                x, y = node[other[i]], node[at[j]]
+                found.append(np.minimum(x, y) << 32 | np.maximum(x, y))
+                size += len(i)
+            if size > GATHER:
+                found = [np.unique(np.concatenate(found))]
+                size = len(found[0])
+        return np.unique(np.concatenate(found)) if found else np.zeros(0, np.int64)
+
+    def out(parts):
+        rows = pa.Table.from_batches(parts).combine_chunks()
+        names = rows.column("node").combine_chunks().dictionary_encode()
+        node = names.indices.to_numpy().astype(np.int64)
+        label = rows.column("label").combine_chunks().dictionary_encode().indices.to_numpy()
+        n = rows.column("n").to_numpy()
+        main = rows.column("main").to_numpy()
+        pairs = candidates(rows.column("key").to_numpy(), node, label, n, main, rows.column("chunk")[0].as_py() == 0)
+        where = np.zeros(len(names.dictionary), np.int64)
+        where[node] = np.arange(len(node))
+        sig = rows.column("sig").combine_chunks().flatten().to_numpy().view(np.uint64).reshape(len(n), -1)
+        x, y = where[pairs >> 32], where[pairs & 0xFFFFFFFF]
+        keep, score = [np.zeros(0, np.int64)], [np.zeros(0)]
+        for a in range(0, len(pairs), 1 << 16):
+            i, j = x[a:a + (1 << 16)], y[a:a + (1 << 16)]
+            over = (n[i] + n[j] - np.bitwise_count(sig[i] ^ sig[j]).sum(axis=1, dtype=np.int64)) // 2
+            ok = np.flatnonzero(den * over >= num * (n[i] + n[j] - over))
+            keep.append(a + ok)
+            score.append(over[ok] / (n[i] + n[j] - over)[ok])
+        keep = np.concatenate(keep)
+        x, y = x[keep], y[keep]
+        if nearest and len(x):
+            outside = np.where(main[x], y, x)
+            order = np.lexsort((-np.concatenate(score), outside))
+            first = order[np.append(True, outside[order][1:] != outside[order][:-1])]
+            x, y = x[first], y[first]
+        take = rows.column("node").combine_chunks().take
         return pa.RecordBatch.from_arrays(
-            [pa.array(a, pa.binary()), pa.array(b, pa.binary()), pa.array(na, pa.int64()),
-             pa.array(nb, pa.int64())], names=["a", "b", "na", "nb"])
+            [take(pa.array(x)), take(pa.array(y)), pa.array(n[x]), pa.array(n[y])],
+            names=["a", "b", "na", "nb"])
 
     def run(batches):
-        now, rows = None, []
+        now, parts = None, []
         for batch in batches:
-            for r in batch.to_pylist():
-                if (key := (r["key"], r["chunk"])) != now:
-                    if rows:
-                        yield out(rows)
-                    now, rows = key, []
-                rows.append(r)
-        if rows:
-            yield out(rows)
+            most, chunk = batch.column("most").to_pylist(), batch.column("chunk").to_pylist()
+            a = 0
+            for i in range(batch.num_rows + 1):
+                if i == batch.num_rows or (most[i], chunk[i]) != now:
+                    if i > a:
+                        parts.append(batch.slice(a, i - a))
+                    a = i
+                    if i < batch.num_rows:
+                        if parts:
+                            yield out(parts)
+                        now, parts = (most[i], chunk[i]), []
+        if parts:
+            yield out(parts)
     return run
 
 
+def _open_pairs(tiles: DataFrame, labels: DataFrame, column, num: int, den: int,
+                nearest: bool) -> DataFrame:
+    """(a, b, na, nb) of tiles that hold several components of ``labels(node, label)``.
+
+    A component that is large is dealt out in chunks of nodes, the tiles' other nodes go to all
+    chunks of the component that is most frequent there; all tiles of it meet in these tasks,
+    so a pair that shares many tiles comes out once."""
+    named = tiles.join(labels, "node", "left").select(
+        "key", "node", "n", F.coalesce("label", "node").alias("label"))
+    counts = named.groupBy("key", "label").agg(F.count("*").alias("c"))
+    sizes = labels.groupBy("label").agg(F.ceil(F.count("*") / CHUNK).cast("int").alias("chunks"))
+    mixed = (counts.groupBy("key").agg(F.max(F.struct("c", "label")).alias("top"),
+                                       F.count("*").alias("labels")).where("labels > 1")
+             .select("key", F.col("top.label").alias("most"))
+             .join(sizes.withColumnRenamed("label", "most"), "most", "left").fillna(1, ["chunks"]))
+    rows = (named.join(mixed, "key").withColumn("main", F.col("label") == F.col("most"))
+            .withColumn("chunk", F.explode(F.when(
+                F.col("main"), F.array(F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int")))
+                .otherwise(F.sequence(F.lit(0), F.col("chunks") - 1))))
+            .join(column("sig"), "node"))
+    swap = F.col("a") > F.col("b")
+    return (rows.repartition("most", "chunk").sortWithinPartitions("most", "chunk", "key")
+            .select("most", "chunk", "key", "node", "n", "label", "main", "sig")
+            .mapInArrow(_across(num, den, nearest), "a binary, b binary, na long, nb long")
+            .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"),
+                    F.when(swap, F.col("nb")).otherwise(F.col("na")).alias("na"),
+                    F.when(swap, F.col("na")).otherwise(F.col("nb")).alias("nb"))
+            .distinct())
+
+
 def jaccard_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100,
                        ident: str = "doc_id", text: str = "text") -> DataFrame:
     """(id, fp, n_shingles, component_id, kept) for each row of ``docs``: the id column under its own name, a hash of
@@ -202,43 +276,34 @@ def jaccard_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 10
     slim = docs.select(F.col(ident).alias("id"), F.col(text).alias("text"),
                        F.xxhash64(F.col(text)).alias("fp"))
     filt = seen_filter(slim.select("text").mapInArrow(_sketch("text", k), PAYLOAD), (2, FREQUENT))
-    sets = stored(slim.mapInArrow(
+    sets = bucketed(slim.mapInArrow(
         _prefixes("text", k, num, den, filt),
-        f"id {kind}, fp long, n long, node binary, prefix array<long>, sig array<long>, grams binary"), "sets")
-    nodes = stored(sets.where("prefix IS NOT NULL").select("node", "n", "prefix", "sig", "grams")
-                   .dropDuplicates(["node"]), "nodes")
+        f"id {kind}, fp long, n long, node binary, prefix array<long>, sig array<long>, grams binary"),
+        "sets", "node")
+
+    def column(*names):
+        """Each node once with these columns; the sets are dealt by node, so nothing moves."""
+        return (sets.where("prefix IS NOT NULL").groupBy("node")
+                .agg(*[F.first(c).alias(c) for c in names]))
+
     band = F.floor(F.log("n") / math.log(den / num)) if num < den else F.col("n")
-    tiles = stored(nodes.select(F.explode("prefix").alias("key"), "node", "n",
-                                band.cast("long").alias("band")), "tiles")
+    tiles = stored(column("n", "prefix").select(F.explode("prefix").alias("key"), "node", "n",
+                                                band.cast("long").alias("band")), "tiles")
 
     # 1: each node with the smallest of its tile
     pivots = (tiles.groupBy("key", "band")
               .agg(F.min(F.struct("node", "n")).alias("p"), F.count("*").alias("m")).where("m > 1"))
     stars = (tiles.join(pivots, ["key", "band"]).where("node <> p.node")
-             .select(F.col("p.node").alias("a"), F.col("node").alias("b"),
-                     F.col("p.n").alias("na"), F.col("n").alias("nb")).distinct())
-    links = stored(_links(stars, nodes, num, den), "links")
-    labels = components(links)
+             .groupBy(F.col("node").alias("b"), F.col("n").alias("nb")).agg(F.min("p").alias("p"))
+             .select(F.col("p.node").alias("a"), "b", F.col("p.n").alias("na"), "nb"))
+    labels = components(stored(_links(stars, column, num, den), "links"))
 
     # 2: pairs across components, in tiles that hold several
-    named = tiles.join(labels, "node", "left").select(
-        "key", "node", "n", F.coalesce("label", "node").alias("label"))
-    counts = named.groupBy("key", "label").agg(F.count("*").alias("c"))
-    mixed = (counts.groupBy("key").agg(F.max(F.struct("c", "label")).alias("top"),
-                                       F.count("*").alias("labels")).where("labels > 1")
-             .select("key", F.col("top.label").alias("most"),
-                     F.ceil(F.col("top.c") / CHUNK).cast("int").alias("chunks")))
-    rows = (named.join(mixed, "key").withColumn("main", F.col("label") == F.col("most"))
-            .withColumn("chunk", F.explode(F.when(
-                F.col("main"), F.array(F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int")))
-                .otherwise(F.sequence(F.lit(0), F.col("chunks") - 1))))
-            .join(nodes.select("node", "sig"), "node"))
-    more = (rows.repartition("key", "chunk").sortWithinPartitions("key", "chunk")
-            .select("key", "chunk", "node", "n", "label", "main", "sig")
-            .mapInArrow(_across(num, den), "a binary, b binary, na long, nb long").distinct())
-    late = stored(_links(more, nodes, num, den), "links")
-    if not late.isEmpty():
-        labels = components(late.union(labels.toDF("a", "b")))
+    for nearest in (True, False):
+        late = stored(_links(_open_pairs(tiles, labels, column, num, den, nearest), column, num, den),
+                      "links")
+        if not late.isEmpty():
+            labels = components(late.union(labels.toDF("a", "b")))
 
     placed = (sets.select("id", "fp", "n", "node").join(labels, "node", "left")
               .withColumn("label", F.coalesce("label", "node")))

@@ -136,6 +136,21 @@ def tables(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def bucketed(df: DataFrame, name: str, key: str) -> DataFrame:
+    """Like ``stored``, dealt and sorted by a key, so that later joins and aggregates by it do
+    not move the rows again.  The table's name is dropped; its files stay in the shared folder."""
+    spark = df.sparkSession
+    path = shared_path(spark, name)
+    table = "t" + path.rpartition("-")[2]
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    (df.repartition(n, key).write.bucketBy(n, key).sortBy(key)
+     .option("path", path).format("parquet").saveAsTable(table))
+    back = spark.table(table)
+    back.schema  # resolved while the name exists
+    spark.sql(f"DROP TABLE {table}")
+    return back
+
+
 def without(df: DataFrame, *names: str) -> DataFrame:
     """The frame less the columns that the operator is about to add (names in any case)."""
     gone = {n.lower() for n in names}

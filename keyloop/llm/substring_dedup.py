@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from keyloop.llm.frequency import PAYLOAD, payloads, seen_filter
 from keyloop.llm.text import (covered, ddl, inside, ngram_hashes, owners, slices, split_words,
-                              stored, without, word_hashes)
+                              without, word_hashes)
 
 WINDOW = 13
 ANCHOR_WORDS = 4
@@ -130,7 +130,10 @@ def _emit(text: str, ident: str, window: int, filt):
             take = pa.array(text_of)
             yield pa.RecordBatch.from_arrays([
                 part.column(ident).take(take), part.column("__fp").take(take),
-                pa.array(np.concatenate([np.zeros(len(f2), np.uint64), anchors[first[keep]]]).view(np.int64)),
+                # decided spans are dealt out by their text, they need no block
+                pa.array(np.concatenate([
+                    part.column("__fp").take(take).to_numpy()[:len(f2)],
+                    anchors[first[keep]].view(np.int64)])),
                 pa.array((start - offsets[text_of]).astype(np.int32)),
                 pa.array(count.astype(np.int32)), pa.array(blobs, pa.binary())],
                 names=["id", "fp", "anchor", "start", "n", "wins"])
@@ -143,7 +146,11 @@ def _factor(batches):
     for batch in batches:
         ids, fps, out = batch.column("id").to_pylist(), batch.column("fp"), []
         anchors, starts = batch.column("anchor").to_pylist(), batch.column("start").to_pylist()
+        sizes = batch.column("n").to_pylist()
         for i, blob in enumerate(batch.column("wins").to_pylist()):
+            if blob is None:  # a span that its slice has decided
+                out.append((i, starts[i], sizes[i]))
+                continue
             if anchors[i] != now:
                 now, index = anchors[i], {}
             ident, begin, n = ids[i], None, len(blob) // 8
@@ -204,12 +211,10 @@ def dedup_substrings(docs: DataFrame, window: int = WINDOW, ident: str = "doc_id
     kind = docs.schema[ident].dataType.simpleString()
     filt = seen_filter(docs.select(text).mapInArrow(_sketch(text, window), PAYLOAD))
     keyed = docs.withColumn("__fp", F.xxhash64(text))  # rows may repeat an id with other text
-    pieces = stored(keyed.select(ident, text, "__fp").mapInArrow(
-        _emit(text, ident, window, filt), _PIECE.format(kind)), "pieces")
-    judged = (pieces.where("wins IS NOT NULL").repartition("anchor")
-              .sortWithinPartitions("anchor", "id")
-              .mapInArrow(_factor, f"id {kind}, fp long, start int, n int"))
-    spans = (pieces.where("wins IS NULL").select("id", "fp", "start", "n").union(judged)
+    spans = (keyed.select(ident, text, "__fp")
+             .mapInArrow(_emit(text, ident, window, filt), _PIECE.format(kind))
+             .repartition("anchor").sortWithinPartitions("anchor", "id")
+             .mapInArrow(_factor, f"id {kind}, fp long, start int, n int")
              .groupBy("id", "fp").agg(F.collect_list(F.struct("start", "n")).alias("__spans")))
     marked = keyed.join(spans, (keyed[ident] == spans["id"]) & (keyed["__fp"] == spans["fp"]),
                         "left").drop("id", "fp") if ident != "id" else keyed.join(

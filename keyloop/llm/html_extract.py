@@ -1,7 +1,7 @@
 """HTML extraction: template deduction by equivalence classes of tokens over a host's pages.
 
-A token is an element told apart by its path (tags with first class or id), or a text node with its
-path.  Tokens with the same occurrence vector over the pages of a host (how often each page
+A token is an element told apart by its path (tags with first class or id), or, outside marked regions,
+a text node with its path.  Tokens with the same occurrence vector over the pages of a host (how often each page
 has them) form an equivalence class.  Classes of wide support are the host's template; nesting is by
 path.  Their once-a-page elements delimit slots, their texts are boilerplate.  The slot that
 is marked as, or holds the bulk of, the text is the article; its blocks are the result.
@@ -143,14 +143,15 @@ def page_tokens(html: str) -> dict[tuple[str, bool], list]:
                 entry = found.setdefault((node.path, False), [0, 0, False])
                 entry[0] += 1
                 entry[2] = entry[2] or (node.article and node.tag in ("article", "main"))
-        elif (text := " ".join(text.split())):
-            found.setdefault((f"{node.path}\0{text}", True), [0, 0, False])[0] += 1
-            if not node.out:
-                at = node.path
-                while at:
-                    if (at, False) in found:
-                        found[at, False][1] += len(text)
-                    at = at.rpartition("/")[0]
+        elif not node.out and (text := " ".join(text.split())):
+            # what an article holds stays and what is marked goes, whatever the template says
+            if not node.article:
+                found.setdefault((f"{node.path}\0{text}", True), [0, 0, False])[0] += 1
+            at = node.path
+            while at:
+                if (at, False) in found:
+                    found[at, False][1] += len(text)
+                at = at.rpartition("/")[0]
     return found
 
 

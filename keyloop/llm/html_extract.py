@@ -44,12 +44,21 @@ INLINE = frozenset(
 DROPPED = frozenset(
     "aside button canvas datalist dialog embed fieldset footer form frame frameset head header iframe "
     "input menu nav noscript object option script select style svg template textarea title audio video".split())
+# Marks hold for a whole class name, with a usual first or last part; "no-sidebar" or "comments-open" tell
+# about the layout and mark nothing.
 MARKS = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|adsense|sponsor\w*|promo\w*|banner\w*|nav|navbar|navigation|menu\w*|"
+    r"(?:(?:site|page|main|top|bottom|left|right|primary|secondary|global|mobile|sticky|cookie|post|entry|blog|"
+    r"social|skip)[_-])?"
+    r"(?:ads?|advert\w*|adsense|sponsor\w*|promo\w*|banner\w*|nav|navbar|navigation|menu\w*|"
     r"side-?bar\w*|widget\w*|footer\w*|header|masthead|topbar|breadcrumbs?|cookies?|consent|gdpr|notices?|"
     r"popup|modal|overlay|newsletter|subscribe\w*|subscription|share|sharing|social|comments?|disqus|"
     r"replies|respond|related|recommend\w*|pagination|pager|toolbar|login|signup|search\w*|skip-?link|"
-    r"copyright|legal|disclaimer|contentinfo|complementary|alert\w*|dialog)(?=$|[\s_-])", re.I)
+    r"copyright|legal|disclaimer|contentinfo|complementary|alert\w*|dialog)"
+    r"(?:[_-](?:area|bar|box|button|buttons|container|content|form|inner|item|items|links?|list|menu|notice|posts|"
+    r"section|thread|text|unit|wrap|wrapper|\d+))?", re.I)
+#: What no mark drops, and tags that may wrap a page: they go unless they hold most of its text.
+KEPT = frozenset("html body main article".split())
+WRAPPERS = frozenset("form header fieldset dialog".split())
 ARTICLE = re.compile(r"(?:^|[\s_-])(?:article|articlebody|post|entry|story|main|content)(?=$|[\s_-])", re.I)
 #: Which open elements a start tag ends.
 ENDS = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"},
@@ -72,27 +81,28 @@ _CLOSES_P = frozenset(
 class Node:
     """An open element: its path, and whether it or an ancestor is not part of an article."""
 
-    __slots__ = ("tag", "path", "out", "article")
+    __slots__ = ("tag", "path", "up", "marked", "article", "chars", "out")
 
-    def __init__(self, tag, path, out, article):
-        self.tag, self.path, self.out, self.article = tag, path, out, article
+    def __init__(self, tag, path, up, marked, article):
+        self.tag, self.path, self.up, self.marked, self.article = tag, path, up, marked, article
+        self.chars, self.out = 0, False
 
 
-def walk(html: str):
-    """Yields (node, None) for each element opened, (node, text) for each text, (None, None) for
+def walk(html: str) -> list[tuple]:
+    """(node, None) for each element opened, (node, text) for each text, (None, None) for
     each block boundary."""
-    root = Node("", "", False, False)
-    stack = [root]
+    root = Node("", "", None, False, False)
+    stack, events, nodes = [root], [], []
     for m in _TOKEN.finditer(html):
         if (text := m["text"]) is not None:
-            yield stack[-1], text
+            events.append((stack[-1], text))
             continue
         tag = m["tag"] or m["tag2"]
         if not tag:
             continue
         tag = tag.lower()
         if tag not in INLINE:
-            yield None, None
+            events.append((None, None))
         if m["end"] or m["end2"]:
             for i in range(len(stack) - 1, 0, -1):
                 if stack[i].tag == tag:
@@ -109,22 +119,51 @@ def walk(html: str):
                     break
         if tag in VOID:
             if tag == "br":
-                yield stack[-1], " "
+                events.append((stack[-1], " "))
             continue
         names = {k.lower(): a or b or c for k, a, b, c in _ATTR.findall(m["attrs"] or "")}
-        marked = " ".join(names.values())
+        said = " ".join(names.values())
         up = stack[-1]
-        article = tag in ("article", "main") or bool(marked and ARTICLE.search(marked))
+        article = tag in ("article", "main") or bool(said and ARTICLE.search(said))
         # the header of an article is part of it
-        out = (up.out or tag in DROPPED and not (tag == "header" and up.article)
-               or bool(marked and MARKS.search(marked)))
+        marked = (tag in DROPPED and not (tag == "header" and up.article)
+                  or any(MARKS.fullmatch(name) for name in said.split()))
         own = tag
         if tag not in INLINE and (names.get("class") or names.get("id")):
             own += "." + (names.get("class") or names["id"]).split(" ")[0].strip()
-        node = Node(tag, up.path if tag in INLINE else f"{up.path}/{own}", out,
-                    (up.article or article) and not out)
+        # an article within an article may be a comment, others are not dropped by a mark
+        node = Node(tag, up.path if tag in INLINE else f"{up.path}/{own}", up,
+                    marked and (tag not in KEPT or tag == "article" and any(n.tag == tag for n in stack)),
+                    up.article or article)
         stack.append(node)
-        yield node, None
+        nodes.append(node)
+        events.append((node, None))
+    _drop(nodes, events)
+    return events
+
+
+def _drop(nodes: list[Node], events: list[tuple]):
+    """Decides what the marks take out: no element that holds most of the page's text, where the page
+    has articles most of theirs, unless its tag says what it is."""
+    if not any(node.marked for node in nodes):
+        return
+    focus = any(node.tag in ("article", "main") for node in nodes)
+    total = 0
+    for node, text in events:
+        if text is not None and (n := len("".join(text.split()))):
+            inside, at = not focus, node
+            while at is not None and not (at.marked and at.tag in DROPPED - WRAPPERS):
+                inside = inside or at.tag in ("article", "main")
+                at = at.up
+            if at is None and inside:
+                total += n
+                while node is not None:
+                    node.chars += n
+                    node = node.up
+    for node in nodes:
+        hard = node.tag in DROPPED and node.tag not in WRAPPERS
+        node.out = node.up.out or node.marked and (hard or 2 * node.chars <= total)
+        node.article = node.article and not node.out
 
 
 def _key(*parts: str) -> int:

@@ -104,3 +104,15 @@ def test_main_slot():
     assert main_slot([]) is None
     assert main_slot([element("/html", 100), element("/html/body/div", 90), element("/html/body/p", 10)]) == "/html/body/div"
     assert main_slot([element("/html", 100), element("/html/article", 20, True)]) == "/html/article"
+
+
+def test_marks_on_wrappers_keep_the_article():
+    """A class name about the layout, or a form around the page, does not take the text out."""
+    body = "<p>The story of the day is long enough to hold most of the text.</p>"
+    side = "<div class='sidebar'>Side</div><div class='site-footer'>Foot</div>"
+    for page in (f"<body class='single no-sidebar'>{body}{side}</body>",
+                 f"<body><div id='content' class='with-sidebar'>{body}</div>{side}</body>",
+                 f"<body><article class='post comments-open'>{body}</article>{side}</body>",
+                 f"<body class='sidebar'><form action='/'>{body}{side}</form></body>",
+                 f"<body><div class='widget'>{body}</div>{side}</body>"):
+        assert extract(page) == "The story of the day is long enough to hold most of the text."

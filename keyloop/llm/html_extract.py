@@ -1,13 +1,15 @@
 """HTML extraction: template deduction by equivalence classes of tokens over a host's pages.
 
-A token is an element told apart by its path (tags with first class or id), or, outside marked regions,
-a text node with its path.  Tokens with the same occurrence vector over the pages of a host (how often each page
-has them) form an equivalence class.  Classes of wide support are the host's template; nesting is by
-path.  Their once-a-page elements delimit slots, their texts are boilerplate.  The slot that
-is marked as, or holds the bulk of, the text is the article; its blocks are the result.
-
-Occurrence vectors are never collected: a vector is the XOR of a hash of (page, count) over its
-pages, summed up map-side and shuffled by (host, token), so a host with a third of all pages is
+A token is an element told apart by its path (tags with first class or id), or, outside marked regions
+and article elements, a text node with its path.  Tokens with the same occurrence vector over the pages of a host
+(how often each page has them) form an equivalence class.  A class is valid on a page with enough tokens and pages
+and its once-a-page elements in the same order there; elements of all valid classes nest by their
+paths.  They delimit slots; the texts of valid classes are boilerplate.  Of the slots the deepest with most of the
+text is the article, article and main elements coming first; its blocks are the result.  Only where
+that is the whole page, or a host gives no class, do tags and class words choose a part of it.
+
+Occurrence vectors are never collected: a vector is the two sums of the halves of a hash of (page, count) over
+its pages, summed up map-side and shuffled by (host, token), so a host with a third of all pages is
 spread by token.  A template holds at most ``1 / SUPPORT`` times the tokens of an average page.
 
 Definitions: null html is empty and gives an empty text.  Blocks are the runs of text between
@@ -30,8 +32,9 @@ from keyloop.llm.text import ddl, slices, without
 
 #: Share of a host's pages that a template token is on at least.
 SUPPORT = 0.5
-#: Pages from which a repeated text is boilerplate.
+#: Pages and tokens of a valid class at least (a host of fewer pages: all its pages).
 LEAST_PAGES = 3
+LEAST_TOKENS = 2
 #: Rows that a task gathers before it hands them on.
 GATHER = 100_000
 
@@ -79,7 +82,8 @@ _CLOSES_P = frozenset(
 
 
 class Node:
-    """An open element: its path, and whether it or an ancestor is not part of an article."""
+    """An open element: its path, whether it or an ancestor is not part of an article, and whether one is an
+    article by its tag (2) or by a word in its names (1)."""
 
     __slots__ = ("tag", "path", "up", "marked", "article", "chars", "out")
 
@@ -91,7 +95,7 @@ class Node:
 def walk(html: str) -> list[tuple]:
     """(node, None) for each element opened, (node, text) for each text, (None, None) for
     each block boundary."""
-    root = Node("", "", None, False, False)
+    root = Node("", "", None, False, 0)
     stack, events, nodes = [root], [], []
     for m in _TOKEN.finditer(html):
         if (text := m["text"]) is not None:
@@ -124,7 +128,7 @@ def walk(html: str) -> list[tuple]:
         names = {k.lower(): a or b or c for k, a, b, c in _ATTR.findall(m["attrs"] or "")}
         said = " ".join(names.values())
         up = stack[-1]
-        article = tag in ("article", "main") or bool(said and ARTICLE.search(said))
+        article = 2 if tag in ("article", "main") else int(bool(said and ARTICLE.search(said)))
         # the header of an article is part of it
         marked = (tag in DROPPED and not (tag == "header" and up.article)
                   or any(MARKS.fullmatch(name) for name in said.split()))
@@ -134,7 +138,7 @@ def walk(html: str) -> list[tuple]:
         # an article within an article may be a comment, others are not dropped by a mark
         node = Node(tag, up.path if tag in INLINE else f"{up.path}/{own}", up,
                     marked and (tag not in KEPT or tag == "article" and any(n.tag == tag for n in stack)),
-                    up.article or article)
+                    max(up.article, article))
         stack.append(node)
         nodes.append(node)
         events.append((node, None))
@@ -163,29 +167,29 @@ def _drop(nodes: list[Node], events: list[tuple]):
     for node in nodes:
         hard = node.tag in DROPPED and node.tag not in WRAPPERS
         node.out = node.up.out or node.marked and (hard or 2 * node.chars <= total)
-        node.article = node.article and not node.out
+        node.article = 0 if node.out else node.article
 
 
 def _key(*parts: str) -> int:
     return xxhash.xxh3_64_intdigest("\0".join(parts)) - (1 << 63)
 
 
-def page_tokens(html: str) -> dict[tuple[str, bool], list]:
-    """(path or path and text, is a text) -> [count, characters of article text under the
-    element, whether it is marked as an article]."""
+def page_tokens(html: str, events: list | None = None) -> dict[tuple[str, bool], list]:
+    """(path or path and text, is a text) -> [count, characters of text under the element, whether it is an
+    article by its tag, place on the page], in the order of the page."""
     found: dict = {}
-    for node, text in walk(html):
-        if node is None:
+    for node, text in walk(html) if events is None else events:
+        if node is None or node.out:
             continue
         if text is None:
             if node.tag not in INLINE:
-                entry = found.setdefault((node.path, False), [0, 0, False])
+                entry = found.setdefault((node.path, False), [0, 0, False, len(found)])
                 entry[0] += 1
-                entry[2] = entry[2] or (node.article and node.tag in ("article", "main"))
-        elif not node.out and (text := " ".join(text.split())):
-            # what an article holds stays and what is marked goes, whatever the template says
-            if not node.article:
-                found.setdefault((f"{node.path}\0{text}", True), [0, 0, False])[0] += 1
+                entry[2] = entry[2] or node.tag in ("article", "main")
+        elif text := " ".join(text.split()):
+            # what an article element holds is never a template's text
+            if node.article < 2:
+                found.setdefault((f"{node.path}\0{text}", True), [0, 0, False, len(found)])[0] += 1
             at = node.path
             while at:
                 if (at, False) in found:
@@ -194,7 +198,8 @@ def page_tokens(html: str) -> dict[tuple[str, bool], list]:
     return found
 
 
-_TOKENS = "host string, token long, is_text boolean, path string, pages long, n long, chars long, article boolean, sig long"
+_TOKENS = ("host string, token long, is_text boolean, path string, pages long, n long, chars long, total long, "
+           "article boolean, place long, low long, high long")
 
 
 def _tokens(html: str):
@@ -204,21 +209,26 @@ def _tokens(html: str):
         def out():
             rows = [(h, _key(t), x, None if x else t, *v) for (h, t, x), v in table.items()]
             names = [c.split()[0] for c in _TOKENS.split(", ")]
-            types = [pa.string(), pa.int64(), pa.bool_(), pa.string(), pa.int64(), pa.int64(), pa.int64(),
-                     pa.bool_(), pa.int64()]
+            types = [pa.string(), pa.int64(), pa.bool_(), pa.string(), *[pa.int64()] * 4, pa.bool_(),
+                     *[pa.int64()] * 3]
             return pa.RecordBatch.from_arrays(
                 [pa.array(c, t) for c, t in zip(zip(*rows), types)], names=names)
 
         for part in slices(batches, html):
             for host, text, page in zip(*(part.column(c).to_pylist() for c in ("__host", html, "__page"))):
-                for (token, is_text), (n, chars, article) in page_tokens(text or "").items():
-                    sig = xxhash.xxh3_64_intdigest(f"{page} {n}") - (1 << 63)
-                    row = table.setdefault((host, token, is_text), [0, 0, 0, False, 0])
+                tokens = page_tokens(text or "")
+                total = max((v[1] for v in tokens.values()), default=0)
+                for (token, is_text), (n, chars, article, place) in tokens.items():
+                    vector = xxhash.xxh3_64_intdigest(f"{page} {n}")
+                    row = table.setdefault((host, token, is_text), [0, 0, 0, 0, False, 0, 0, 0])
                     row[0] += 1
                     row[1] += n
                     row[2] += chars
-                    row[3] = row[3] or article
-                    row[4] ^= sig
+                    row[3] += total
+                    row[4] = row[4] or article
+                    row[5] += place
+                    row[6] += vector & 0xFFFFFFFF
+                    row[7] += vector >> 32
                 if len(table) >= GATHER:
                     yield out()
                     table.clear()
@@ -228,79 +238,118 @@ def _tokens(html: str):
 
 
 def templates(pages: DataFrame, html: str = "html") -> DataFrame:
-    """(host, main, texts) of each host: path of the article's slot, keys of boilerplate texts.
+    """(host, classes) of each host: its valid classes, each with its once-a-page elements in the order of the
+    pages (path, share of the pages' text, article by its tag) and the keys of its texts.
 
     ``pages`` has __host, __page (a number for each page) and the html."""
+    sums = ("pages", "n", "chars", "total", "place", "low", "high")
     tokens = (pages.select("__host", "__page", html).mapInArrow(_tokens(html), _TOKENS)
               .groupBy("host", "token", "is_text")
-              .agg(F.max("path").alias("path"), F.sum("pages").alias("pages"), F.sum("n").alias("n"),
-                   F.sum("chars").alias("chars"), F.max("article").alias("article"),
-                   F.bit_xor("sig").alias("sig")))
+              .agg(F.max("path").alias("path"), F.max("article").alias("article"),
+                   *[F.sum(c).alias(c) for c in sums]))
     size = pages.groupBy(F.col("__host").alias("host")).agg(F.count("*").alias("size"))
     wide = tokens.join(size, "host").where(F.col("pages") >= SUPPORT * F.col("size"))
-    # classes: equal vectors; the template keeps each class once, with its tokens
-    classes = wide.groupBy("host", "sig", "pages", "size").agg(
-        F.collect_list(F.when(~F.col("is_text"), F.struct("path", "n", "chars", "article"))).alias("elements"),
-        F.collect_list(F.when(F.col("is_text"), F.col("token"))).alias("texts"))
-    once = F.filter("elements", lambda e: e["n"] == F.col("pages"))
-    return (classes.select(
-        "host", F.when((F.col("pages") >= LEAST_PAGES), F.col("texts")).alias("texts"), once.alias("once"))
-        .groupBy("host").agg(F.flatten(F.collect_list("once")).alias("once"),
-                             F.flatten(F.collect_list("texts")).alias("texts")))
+    # a host of fewer pages has no repeated texts, but elements
+    wide = wide.where(F.col("pages") >= F.least(F.lit(LEAST_PAGES), F.col("size")))
+    element = ~F.col("is_text") & (F.col("n") == F.col("pages"))
+    classes = wide.groupBy("host", "low", "high", "pages").agg(
+        F.count("*").alias("tokens"),
+        F.sort_array(F.collect_list(F.when(element, F.struct(
+            "place", "path", (F.col("chars") / F.greatest("total", F.lit(1))).alias("chars"), "article"))))
+        .alias("once"),
+        F.collect_list(F.when(F.col("is_text") & (F.col("pages") >= LEAST_PAGES), F.col("token"))).alias("texts"))
+    valid = classes.where((F.col("tokens") >= LEAST_TOKENS) & (F.size("once") + F.size("texts") > 0))
+    return valid.groupBy("host").agg(F.collect_list(F.struct("once", "texts")).alias("classes"))
 
 
 def main_slot(once: list[dict]) -> str | None:
-    """Of the elements that are once on a page: the marked article with most text, else the
-    deepest that holds most of the text of all."""
+    """Of the elements that are once on a page: the deepest that holds most of the text, of the articles by
+    their tag if there are some."""
     full = [e for e in once if e["chars"] > 0]
     if not full:
         return None
-    marked = [e for e in full if e["article"]]
-    if marked:
-        return max(marked, key=lambda e: (e["chars"], -len(e["path"]), e["path"]))["path"]
+    full = [e for e in full if e["article"]] or full
     most = max(e["chars"] for e in full)
     return max((e for e in full if e["chars"] >= 0.6 * most),
                key=lambda e: (e["path"].count("/"), e["chars"], e["path"]))["path"]
 
 
-def extract(html: str, main: str | None = None, texts: frozenset = frozenset()) -> str:
+class Template:
+    """The valid classes of a host, found by one of their tokens: a page with one has them all."""
+
+    def __init__(self, classes: list[dict]):
+        self.by_element, self.by_text = {}, {}
+        for c in classes:
+            if c["once"]:
+                self.by_element[c["once"][0]["path"]] = c
+            else:
+                self.by_text[c["texts"][0]] = c
+
+    def of(self, tokens: dict) -> tuple[str | None, frozenset, list[frozenset]]:
+        """(path of the article's slot, boilerplate texts, texts of classes without an element) by the classes
+        that a page holds: all tokens there, elements once and in order."""
+        at = {t: v[3] for (t, is_text), v in tokens.items() if not is_text and v[0] == 1}
+        texts = {_key(t) for t, is_text in tokens if is_text}
+        slots, plain, alone = [], set(), []
+        for path in at:
+            if c := self.by_element.get(path):
+                places = [at.get(e["path"], -1) for e in c["once"]]
+                if places[0] >= 0 and all(a < b for a, b in zip(places, places[1:])) and texts.issuperset(c["texts"]):
+                    slots += c["once"]
+                    plain.update(c["texts"])
+        for key in texts:
+            if (c := self.by_text.get(key)) and texts.issuperset(c["texts"]):
+                alone.append(frozenset(c["texts"]))
+        return main_slot(slots), frozenset(plain), alone
+
+
+def extract(html: str, template: Template | None = None) -> str:
     """The article's text of one page, given its host's template."""
-    blocks: dict[str, list[str]] = {"slot": [], "article": [], "page": []}
-    parts: dict[str, list[str]] = {k: [] for k in blocks}
-
-    def flush():
-        for name, own in parts.items():
-            if own:
-                block = " ".join(entities.unescape("".join(own)).split())
-                if block:
-                    blocks[name].append(block)
-                own.clear()
-
-    for node, text in walk(html):
+    events = walk(html)
+    main, plain, alone = template.of(page_tokens(html, events)) if template else (None, frozenset(), [])
+    # texts under the slot: (key, is marked, text), None at the end of a block
+    kept: list = []
+    for node, text in events:
         if node is None:
-            flush()
-        elif text is not None and not node.out:
-            slot = main is not None and (node.path == main or node.path.startswith(main + "/"))
-            if node.article:
-                parts["article"].append(text)
-            elif texts and _key(f"{node.path}\0{' '.join(text.split())}") in texts:
-                continue  # boilerplate that the template holds
-            if slot:
-                parts["slot"].append(text)
-            parts["page"].append(text)
-    flush()
-    if blocks["article"]:
-        return "\n\n".join(blocks["article"])
-    return "\n\n".join(blocks["slot"] or blocks["page"])
+            kept.append(None)
+        elif text is not None and not node.out and (
+                main is None or node.path == main or node.path.startswith(main + "/")):
+            key = _key(f"{node.path}\0{' '.join(text.split())}") if (plain or alone) and node.article < 2 else None
+            kept.append((key, node.article, text))
+    # tags and words only choose where the template leaves the whole page
+    if main is None or main.rpartition("/")[2].partition(".")[0] in ("html", "body"):
+        size = [sum(len(k[2].strip()) for k in kept if k and k[1] >= least) for least in (0, 1, 2)]
+        if size[2]:
+            kept = [k for k in kept if not k or k[1] == 2]
+        elif 2 * size[1] >= size[0]:
+            kept = [k for k in kept if not k or k[1]]
+    # texts repeated together, without an element of their own, may be a copied article: not if they are most
+    length = sum(len(k[2].strip()) for k in kept if k and k[0] not in plain)
+    for texts in alone:
+        if 2 * sum(len(k[2].strip()) for k in kept if k and k[0] in texts) < length:
+            plain |= texts
+    return _blocks([k for k in kept if not k or k[0] not in plain]) or _blocks(kept)
+
+
+def _blocks(kept: list) -> str:
+    blocks, own = [], []
+    for k in [*kept, None]:
+        if k:
+            own.append(k[2])
+        elif own:
+            if block := " ".join(entities.unescape("".join(own)).split()):
+                blocks.append(block)
+            own.clear()
+    return "\n\n".join(blocks)
 
 
 def extract_pages(pages: DataFrame, url: str = "url", html: str = "html", into: str = "text") -> DataFrame:
     """``pages`` plus the article's text.  Rows without a url, or one without a host, are one host's;
     a column of the new name is replaced, others pass through."""
-    pages = without(pages, into, "__host", "__page", "__once", "__texts")
+    pages = without(pages, into, "__host", "__page", "__classes")
     host = F.coalesce(F.lower(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)", 1)), F.lit(""))
     keyed = pages.withColumn("__host", host).withColumn("__page", F.xxhash64(url, html))
-    own = templates(keyed, html).toDF("__of", "__once", "__texts")
+    own = templates(keyed, html).toDF("__of", "__classes")
     # few and small rows are broadcast, else joined by host, a hot one in pieces (adaptive execution)
     joined = keyed.drop("__page").join(own, keyed["__host"] == own["__of"], "left").drop("__of")
     kept = [c for c in pages.columns]
@@ -314,9 +363,8 @@ def extract_pages(pages: DataFrame, url: str = "url", html: str = "html", into:
                 if h not in known:
                     if len(known) > 256:
                         known.clear()
-                    known[h] = (main_slot(part.column("__once")[i].as_py() or []),
-                                frozenset(part.column("__texts")[i].as_py() or ()))
-                texts.append(extract(page or "", *known[h]))
+                    known[h] = Template(part.column("__classes")[i].as_py() or [])
+                texts.append(extract(page or "", known[h]))
             yield part.select(kept).append_column(into, pa.array(texts, pa.string()))
 
     return joined.mapInArrow(run, f"{ddl(pages)}, `{into}` string")

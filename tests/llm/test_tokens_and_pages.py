@@ -116,3 +116,17 @@ def test_marks_on_wrappers_keep_the_article():
                  f"<body class='sidebar'><form action='/'>{body}{side}</form></body>",
                  f"<body><div class='widget'>{body}</div>{side}</body>"):
         assert extract(page) == "The story of the day is long enough to hold most of the text."
+
+
+def test_template_decides_without_and_against_marks(spark):
+    """The slot follows from the classes: a unique element that a page alone has, and words for an article
+    around a menu, do not move it."""
+    def page(i):
+        teaser = "<section class='post'><p>teaser</p></section>" * (i % 3)
+        return (f"<html><body><div class='content'><b>Sections of the site</b></div><div id='t'>"
+                f"<p>Story {i} tells of {i * 7}</p><p>and of much more, {i}</p></div>{teaser}</body></html>")
+
+    rows = [(i, f"http://host.example/{i}", page(i)) for i in range(12)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in extract_pages(df).collect()}
+    assert got == {i: f"Story {i} tells of {i * 7}\n\nand of much more, {i}" for i in range(12)}

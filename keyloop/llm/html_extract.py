@@ -10,7 +10,9 @@ that is the whole page, or a host gives no class, do tags and class words choose
 
 Occurrence vectors are never collected: a vector is the two sums of the halves of a hash of (page, count) over
 its pages, summed up map-side and shuffled by (host, token), so a host with a third of all pages is
-spread by token.  A template holds at most ``1 / SUPPORT`` times the tokens of an average page.
+spread by token.  A class counts whatever its share of the pages, and the template of a page are the classes it
+holds: a host with several layouts has one for each.  A host's classes hold at most ``1 / LEAST_PAGES`` of the
+tokens that its pages have in all.
 
 Definitions: null html is empty and gives an empty text.  Blocks are the runs of text between
 block-level tags; their white space becomes one space, empty ones go, the rest is joined by a
@@ -30,8 +32,6 @@ from pyspark.sql import functions as F
 
 from keyloop.llm.text import ddl, slices, without
 
-#: Share of a host's pages that a template token is on at least.
-SUPPORT = 0.5
 #: Pages and tokens of a valid class at least (a host of fewer pages: all its pages).
 LEAST_PAGES = 3
 LEAST_TOKENS = 2
@@ -248,9 +248,9 @@ def templates(pages: DataFrame, html: str = "html") -> DataFrame:
               .agg(F.max("path").alias("path"), F.max("article").alias("article"),
                    *[F.sum(c).alias(c) for c in sums]))
     size = pages.groupBy(F.col("__host").alias("host")).agg(F.count("*").alias("size"))
-    wide = tokens.join(size, "host").where(F.col("pages") >= SUPPORT * F.col("size"))
-    # a host of fewer pages has no repeated texts, but elements
-    wide = wide.where(F.col("pages") >= F.least(F.lit(LEAST_PAGES), F.col("size")))
+    # whatever the share of the host's pages, so that each layout has its classes; a host of fewer pages has no
+    # repeated texts, but elements
+    wide = tokens.join(size, "host").where(F.col("pages") >= F.least(F.lit(LEAST_PAGES), F.col("size")))
     element = ~F.col("is_text") & (F.col("n") == F.col("pages"))
     classes = wide.groupBy("host", "low", "high", "pages").agg(
         F.count("*").alias("tokens"),

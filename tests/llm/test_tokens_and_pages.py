@@ -130,3 +130,31 @@ def test_template_decides_without_and_against_marks(spark):
     df = spark.createDataFrame(rows, "page_id long, url string, html string")
     got = {r.page_id: r.text for r in extract_pages(df).collect()}
     assert got == {i: f"Story {i} tells of {i * 7}\n\nand of much more, {i}" for i in range(12)}
+
+
+def test_each_layout_has_its_template(spark):
+    """Three page types at a third each: menus and footers of every one go."""
+    def page(i):
+        kind = i % 3
+        tag, inner = (("table", "td"), ("dl", "dd"), ("ul", "li"))[kind]
+        return (f"<html><body><p>Menu of kind {kind}</p><{tag}><{inner}>Story {i} tells much about {i * 7} and a lot "
+                f"of other things</{inner}></{tag}><p>Footer of kind {kind}</p></body></html>")
+
+    rows = [(i, f"http://host.example/{i}", page(i)) for i in range(12)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in extract_pages(df).collect()}
+    assert got == {i: f"Story {i} tells much about {i * 7} and a lot of other things" for i in range(12)}
+
+
+def test_layouts_that_differ_by_texts_only(spark):
+    def page(i):
+        kind = "abc"[i % 3]
+        return (f"<html><body><p>Menu {kind}</p><p>Story {i} tells much about {i * 7} and a lot of other things</p>"
+                f"<p>Footer {kind}</p></body></html>")
+
+    rows = [(i, f"http://host.example/{i}", page(i)) for i in range(12)]
+    rows += [(100 + i, f"http://host.example/copy{i}", "<html><body><p>One text<p>copied whole</body></html>") for i in range(4)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in extract_pages(df).collect()}
+    assert all(got[i] == f"Story {i} tells much about {i * 7} and a lot of other things" for i in range(12))
+    assert all(got[100 + i] == "One text\n\ncopied whole" for i in range(4))

@@ -2,16 +2,18 @@
 
 View one reads a text's content: shares of byte pairs (hashed), of symbols, capitals, repeated and distinct
 words.  View two reads what is known about the page: language, source (hashed), length and the layout
-of its lines.  Each view has a logistic regression.  Over ``ROUNDS`` rounds each labels the
-unlabelled rows it is surest of for the other, in the proportion of the labels.  Then each
-view's score is calibrated on labelled rows that training never saw, and a logistic regression
+of its lines.  Each view has a logistic regression.  In each of ``ROUNDS`` rounds both score all
+unlabelled documents, and each labels those it is surest of for the other, in the proportion of the labels.
+Then each view's score is calibrated on labelled rows that training never saw, and a logistic regression
 over the two calibrated log-odds, fitted there as well, combines them for all documents.
 
-Only the bounded samples reach the driver, as feature vectors; scoring is one pass without a
-shuffle.
+The labelled sample is bounded and reaches the driver as feature vectors.  The unlabelled documents' vectors
+are stored once; a round counts their log-odds in bins, whose cuts give the surest share, then fits by Newton
+steps whose gradients and Hessians the tasks sum.  The driver gets vectors of a fixed size only; nothing but
+the vectors and the ids of labelled documents is joined.  Scoring is one pass without a shuffle.
 
 Definitions: null texts are empty, null languages and sources one more value; documents with a
-null id are scored, not learned from.  Without rows of both labels every score is constant.
+null id are scored, not learned from; every row of an unlabelled id counts.  Without rows of both labels every score is constant.
 """
 
 from __future__ import annotations
@@ -23,16 +25,21 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from keyloop.llm.learning import fit_dense, labelled_sample, sigmoid
+from keyloop.llm.learning import fit_dense, labelled_sample, sigmoid, vector_sum
 from keyloop.llm.text import (ascii_lower_table, ddl, owners, raw_bytes, slices, split_words,
                               stored, without, word_hashes)
 
-#: Rows of the labelled and of the unlabelled sample at most.
+#: Rows of the labelled sample at most.
 SAMPLE = 8_000
-POOL = 8_000
 ROUNDS = 4
-#: Share of the pool that a view labels for the other in a round.
+#: Share of the unlabelled rows that a view labels for the other, more by it in every round.
 SURE = 0.05
+#: Weight of such a row; all of them together count at most as much as the labelled rows.
+GIVEN = 0.5
+L2 = 1e-2
+STEPS = 8
+#: Bins of the log-odds from -30 to 30.
+BINS = 1 << 14
 THRESHOLD = 0.5
 _PAIRS = 256
 _LANGS, _SOURCES = 8, 16
@@ -87,10 +94,11 @@ def features(part: pa.RecordBatch, text: str = "text") -> tuple[np.ndarray, np.n
 
 
 class QualityModel:
-    """Per view: centre, scale, weights, calibration (slope, shift); then the combination."""
+    """Per view: centre, scale, weights, calibration (slope, shift); then the combination, and the number of
+    unlabelled rows met."""
 
-    def __init__(self, views, combine):
-        self.views, self.combine = views, combine
+    def __init__(self, views, combine, met=0):
+        self.views, self.combine, self.met = views, combine, met
 
     def score(self, part: pa.RecordBatch, text: str = "text"):
         """(probability that the label is 1, of content alone, of the page alone)."""
@@ -108,8 +116,8 @@ def _odds(x, view):
     return np.clip(slope * np.clip(_margin(x, centre, scale, w), -30, 30) + shift, -12, 12)
 
 
-def _collected(rows: DataFrame):
-    """Feature matrices and labels of a bounded sample."""
+def _vectors(rows: DataFrame) -> DataFrame:
+    """id, label and both views of each row."""
     def run(batches):
         for part in slices(batches):
             a, b = features(part)
@@ -120,58 +128,159 @@ def _collected(rows: DataFrame):
                 names=["id", "label", "a", "b"])
 
     kind = rows.schema["id"].dataType.simpleString()
-    got = rows.repartition(8).mapInArrow(run, f"id {kind}, label int, a binary, b binary").orderBy(
-        F.xxhash64("id"), "id").toArrow()
+    return rows.mapInArrow(run, f"id {kind}, label int, a binary, b binary")
+
+
+def _collected(rows: DataFrame):
+    """Feature matrices and labels of a bounded sample."""
+    got = _vectors(rows.repartition(8)).orderBy(F.xxhash64("id"), "id").toArrow()
     mats = [np.array([np.frombuffer(v, "<f4") for v in got.column(c).to_pylist()]) for c in ("a", "b")]
     return mats, got.column("label").to_numpy().astype(float)
 
 
-def fit(docs: DataFrame, labels: DataFrame, learn=None, sample: int = SAMPLE, pool: int = POOL) -> QualityModel:
-    """Co-training on at most ``sample`` labelled rows (a fifth only to calibrate) and at most
-    ``pool`` unlabelled ones, those of least id hash.  ``learn``: a condition on ``id``."""
+def _matrices(batch: pa.RecordBatch, views):
+    """Both views' scaled features of stored vectors, with the constant."""
+    for name, (centre, scale) in zip(("a", "b"), views):
+        x = np.frombuffer(raw_bytes(batch.column(name))[1], "<f4").reshape(batch.num_rows, len(centre))
+        yield np.hstack([(x - centre) / scale, np.ones((len(x), 1))])
+
+
+def _bins(x: np.ndarray, w: np.ndarray) -> np.ndarray:
+    return ((np.clip(x @ w, -30, 30) + 30) * ((BINS - 1) / 60)).astype(np.int64)
+
+
+def _summed(rows: DataFrame, shared, add) -> np.ndarray:
+    """Sum over all batches of the vector that ``add(batch, state)`` gives."""
+    def run(batches):
+        total = None
+        for batch in batches:
+            if batch.num_rows:
+                v = add(batch, shared.value)
+                total = v if total is None else total + v
+        if total is not None:
+            yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], names=["v"])
+    return vector_sum(rows.select("a", "b").mapInArrow(run, "v binary"), 4)
+
+
+def _histogram(batch, state):
+    views, weights = state
+    return np.concatenate([np.bincount(_bins(x, w), minlength=BINS).astype(float)
+                           for x, w in zip(_matrices(batch, views), weights)])
+
+
+def shares(counts: np.ndarray, n_low: int, n_high: int) -> tuple[np.ndarray, np.ndarray]:
+    """Of each bin the share of rows labelled 0 and 1: the ``n_low`` of least and the ``n_high`` of most
+    log-odds, as far as they are sure.  A bin at the cut counts by a share of all its rows, so rows of equal
+    features count equally."""
+    odds = np.arange(BINS) * (60 / (BINS - 1)) - 30
+    sure = np.log(9)  # 0.1 and 0.9
+    many = np.maximum(counts, 1)
+    low = np.clip((n_low - (np.cumsum(counts) - counts)) / many, 0, 1) * (odds < -sure)
+    back = counts[::-1]
+    high = np.clip((n_high - (np.cumsum(back) - back)) / many[::-1], 0, 1)[::-1] * (odds > sure)
+    return low, high
+
+
+def _newton(x, y, weight, w) -> tuple[float, np.ndarray, np.ndarray]:
+    """Loss, gradient and Hessian of a logistic regression's rows."""
+    m = np.clip(x @ w, -30, 30)
+    p = sigmoid(m)
+    s = np.maximum(weight * p * (1 - p), 1e-9)
+    return (weight * (np.logaddexp(0, m) - y * m)).sum(), x.T @ (weight * (p - y)), (x * s[:, None]).T @ x
+
+
+def _slopes(batch, state):
+    """Of each view: loss, gradient and Hessian over the rows that the other view has labelled."""
+    views, labelling, given, weights = state
+    mats = list(_matrices(batch, views))
+    out = []
+    for view in (0, 1):
+        low, high = (table[_bins(mats[1 - view], labelling[1 - view])] for table in given[1 - view])
+        own = (low > 0) | (high > 0)
+        loss, grad, hess = _newton(mats[view][own], (high > 0)[own].astype(float), (low + high)[own], weights[view])
+        out += [np.array([loss]), grad, hess[np.triu_indices(len(grad))]]
+    return np.concatenate(out)
+
+
+def refit(rows: DataFrame, views, labelled, labelling, given, factor, weights, steps: int = STEPS):
+    """Weights of both views by Newton steps over the labelled rows and the given labels; a step that does
+    not lower the loss is halved."""
+    context = rows.sparkSession.sparkContext
+    weights, best, step = list(weights), [None, None], [None, None]
+    for _ in range(steps):
+        shared = context.broadcast((views, labelling, given, weights))
+        total, at = _summed(rows, shared, _slopes), 0
+        shared.unpersist()
+        moved = 0.0
+        for view, (x, y) in enumerate(labelled):
+            d = x.shape[1]
+            part = total[at:at + 1 + d + d * (d + 1) // 2]
+            at += len(part)
+            given_hess = np.zeros((d, d))
+            given_hess[np.triu_indices(d)] = part[1 + d:]
+            given_hess += np.triu(given_hess, 1).T
+            w = weights[view]
+            ridge = np.full(d, L2 * (len(y) + factor[view][1]))
+            ridge[-1] = 1e-9
+            loss, grad, hess = _newton(x, y, np.ones(len(y)), w)
+            f = factor[view][0]
+            loss += f * part[0] + (ridge * w * w).sum() / 2
+            if best[view] is not None and loss > best[view] + 1e-9 * abs(best[view]):
+                step[view] = step[view] / 2
+                weights[view] = w + step[view]  # half the way back
+            else:
+                best[view] = loss
+                step[view] = np.linalg.solve(hess + f * given_hess + np.diag(ridge),
+                                             grad + f * part[1:1 + d] + ridge * w)
+                weights[view] = w - step[view]
+            moved = max(moved, np.abs(step[view]).max())
+        if moved < 1e-2:  # the next step would be near its square
+            break
+    return weights
+
+
+def fit(docs: DataFrame, labels: DataFrame, learn=None, sample: int = SAMPLE) -> QualityModel:
+    """Co-training on at most ``sample`` labelled rows (a fifth only to calibrate), those of least id
+    hash, and all unlabelled ones.  ``learn``: a condition on ``id``."""
     own = tuple(c for c in ("text", "lang", "source") if c in docs.columns)
     known = labelled_sample(docs, labels, "quality", sample, learn, columns=own)
-    (xa, xb), y = _collected(known.select("id", "label", *own))
+    mats, y = _collected(known.select("id", "label", *own))
     if not len(y) or y.min() == y.max():
         zero = [(0.0, 1.0, np.zeros(1), (0.0, 0.0))] * 2
         return _Constant(zero, 0.5 if not len(y) else float(y[0]))
-    free = docs.where("doc_id IS NOT NULL").join(
-        labels.select("doc_id").distinct(), "doc_id", "left_anti").select(F.col("doc_id").alias("id"))
-    ids = free.orderBy(F.xxhash64("id"), "id").limit(pool)
-    rows = docs.select(F.col("doc_id").alias("id"), *own).join(F.broadcast(ids.distinct()), "id")
-    one = rows.groupBy("id").agg(F.min(F.struct(*own)).alias("r")).select("id", "r.*")
-    (ua, ub), _ = _collected(stored(one.withColumn("label", F.lit(0)), "pool"))
+    # the vectors are smaller than the texts, so they are what is dealt by id; labels may be as many as documents
+    every = _vectors(docs.where("doc_id IS NOT NULL").select(F.col("doc_id").alias("id"), F.lit(0).alias("label"), *own))
+    ids = labels.select(F.col("doc_id").alias("id")).distinct().hint("merge")
+    rows = stored(every.join(ids, "id", "left_anti").select("a", "b"), "pool")
 
     test = np.arange(len(y)) % 5 == 0
     train = ~test
-    views = []
-    for x, u in ((xa, ua), (xb, ub)):
-        centre, scale = x.mean(axis=0), x.std(axis=0) + 1e-3
-        views.append([centre, scale, (x - centre) / scale, (u - centre) / scale if len(u) else x[:0]])
-    given = [(np.zeros(0, np.int64), np.zeros(0))] * 2  # pseudo-labels that each view has received
-    for turn in range(ROUNDS + 1):
-        weights = []
-        for (_, _, x, u), (at, label) in zip(views, given):
-            weights.append(fit_dense(np.vstack([x[train], u[at]]), np.append(y[train], label),
-                                     weight=np.append(np.ones(train.sum()), np.full(len(at), 0.5))))
-        if turn == ROUNDS or not len(ua):
+    views = [(x.mean(axis=0), x.std(axis=0) + 1e-3) for x in mats]
+    scaled = [(x - centre) / scale for x, (centre, scale) in zip(mats, views)]
+    weights = [fit_dense(x[train], y[train], L2) for x in scaled]
+    labelled = [(np.hstack([x[train], np.ones((train.sum(), 1))]), y[train]) for x in scaled]
+    met = 0
+    for turn in range(ROUNDS):
+        shared = docs.sparkSession.sparkContext.broadcast((views, weights))
+        counts = _summed(rows, shared, _histogram)
+        shared.unpersist()
+        if not len(counts):
             break
-        for view, other in ((0, 1), (1, 0)):
-            u = views[view][3]
-            p = sigmoid(np.hstack([u, np.ones((len(u), 1))]) @ weights[view])
-            order = np.argsort(p, kind="stable")
-            n = int(SURE * (turn + 1) * len(u))
-            n_ones = int(round(n * y.mean()))
-            low, high = order[:n - n_ones], order[len(order) - n_ones:]
-            low, high = low[p[low] < 0.1], high[p[high] > 0.9]
-            given[other] = (np.concatenate([low, high]),
-                            np.concatenate([np.zeros(len(low)), np.ones(len(high))]))
+        counts = counts.reshape(2, BINS)
+        met = int(counts[0].sum())
+        n = int(SURE * (turn + 1) * met)
+        n_ones = int(round(n * y.mean()))
+        given = [shares(c, n - n_ones, n_ones) for c in counts]
+        # (weight of a given label, weight of all) for the view that receives them
+        mass = [float(((low + high) * c).sum()) for c, (low, high) in zip(counts, given)][::-1]
+        factor = [(f, f * m) for m in mass for f in (min(GIVEN, train.sum() / max(m, 1)),)]
+        weights = refit(rows, views, labelled, list(weights), given, factor, weights)
     done = []
-    for (centre, scale, x, _), w in zip(views, weights):
+    for (centre, scale), x, w in zip(views, scaled, weights):
         margin = np.clip(np.hstack([x[test], np.ones((test.sum(), 1))]) @ w, -30, 30)
         done.append((centre, scale, w, fit_dense(margin[:, None], y[test], 1e-3)))
-    odds = np.stack([_odds(x[test], v) for x, v in zip((xa, xb), done)], axis=1)
-    return QualityModel(done, fit_dense(odds, y[test], 1e-3))
+    odds = np.stack([_odds(x[test], v) for x, v in zip(mats, done)], axis=1)
+    return QualityModel(done, fit_dense(odds, y[test], 1e-3), met)
 
 
 class _Constant(QualityModel):

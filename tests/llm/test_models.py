@@ -66,6 +66,38 @@ def test_rules_separate(spark):
     assert good.kept.mean() > 0.98 and got[got.quality == 0].kept.mean() < 0.05
 
 
+def test_classifier_meets_all_unlabelled_rows(spark):
+    df = (spark.range(9_000).select(F.col("id").alias("doc_id"), F.when(
+        F.col("id") % 2 == 0, F.concat(F.lit("plain words of text "), "id")).otherwise(
+        F.concat(F.lit("#$% || BUY "), "id")).alias("text"), F.lit("en").alias("lang"), F.lit("web").alias("source")))
+    labels = df.where("doc_id < 400").select("doc_id", (1 - F.col("doc_id") % 2).cast("int").alias("quality"))
+    assert qc.fit(df, labels).met == 8_600
+
+
+def test_classifier_summed_steps(spark):
+    """Steps over tasks' sums end where the fit in one place ends; a bin at the cut counts by a share."""
+    rng = np.random.default_rng(3)
+    xs = [rng.normal(size=(300, d)).astype("<f4") for d in (3, 2)]
+    y = (xs[0][:, 0] + xs[1][:, 0] + rng.normal(size=300) > 0).astype(float)
+    rows = spark.createDataFrame([(bytearray(a.tobytes()), bytearray(b.tobytes())) for a, b in zip(*xs)],
+                                 "a binary, b binary").repartition(3)
+    views = [(np.zeros(d), np.ones(d)) for d in (3, 2)]
+    labelled = [(np.hstack([x[:100], np.ones((100, 1))]), y[:100]) for x in xs]
+    labelling = [np.array([2.0, 0.5, 0, 0]), np.array([1.5, 0, 0.1])]
+    ones = [np.hstack([x, np.ones((300, 1))]) for x in xs]
+    counts = [np.bincount(qc._bins(x, w), minlength=qc.BINS).astype(float) for x, w in zip(ones, labelling)]
+    given = [qc.shares(c, 30, 20) for c in counts]
+    got = qc.refit(rows, views, labelled, labelling, given, [(0.5, 10.0)] * 2, [np.zeros(4), np.zeros(3)], 30)
+    for view in (0, 1):
+        low, high = (t[qc._bins(ones[1 - view], labelling[1 - view])] for t in given[1 - view])
+        own = low + high > 0
+        want = qc.fit_dense(np.vstack([xs[view][:100], xs[view][own]]), np.append(y[:100], high[own] > 0),
+                            qc.L2 * 110 / (100 + own.sum()), weight=np.append(np.ones(100), 0.5 * (low + high)[own]))
+        assert got[view] == pytest.approx(want, abs=1e-3)
+    low, high = qc.shares(np.bincount([0, 0, 0, 0, 5, qc.BINS - 1], minlength=qc.BINS), 2, 3)
+    assert low[0] == 0.5 and not low[1:5].any() and high[-1] == 1 and not high[5]
+
+
 def test_classifier_on_held_out_rows(spark):
     got = QUERIES["op7_quality_classifier"](spark, SF).join(
         tables(spark, SF, "labels").withColumnRenamed("quality", "label"), "doc_id").toPandas()

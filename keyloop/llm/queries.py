@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import public_tokenizers
-
 from keyloop.llm.byte_bpe import load_ranks, tokens_digest
 from keyloop.llm.decontaminate import ORACLE as DECONTAMINATE_SQL
 from keyloop.llm.decontaminate import contamination_digest
@@ -13,6 +11,7 @@ from keyloop.llm.line_dedup import dedup_digest
 from keyloop.llm.lm_scoring import lm_scores
 from keyloop.llm.ngram_jaccard import ORACLE as JACCARD_SQL
 from keyloop.llm.ngram_jaccard import jaccard_digest
+from keyloop.llm.periodic_runs import runs_digest
 from keyloop.llm.quality_classifier import quality_scores
 from keyloop.llm.quality_rules import rules_digest
 from keyloop.llm.substring_dedup import ORACLE as SUBSTRING_SQL
@@ -34,6 +33,8 @@ def op3_html_extract(spark, sf_dir):
 
 
 def op4_byte_bpe(spark, sf_dir, name="byte_bpe_multi_50k.tiktoken"):
+    import public_tokenizers  # needed here alone: the other queries register without it
+
     ranks = load_ranks(public_tokenizers.path(name))
     return tokens_digest(tables(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
 
@@ -62,9 +63,14 @@ def op10_substring_dedup(spark, sf_dir):
     return substring_digest(tables(spark, sf_dir, "documents"))
 
 
+def op13_periodic_runs(spark, sf_dir):
+    return runs_digest(tables(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_line_dedup, op2_decontaminate, op3_html_extract, op4_byte_bpe,
     op5_quality_rules, op6_ngram_jaccard,
-    op7_quality_classifier, op8_lm_scoring, op9_toxicity, op10_substring_dedup)}
+    op7_quality_classifier, op8_lm_scoring, op9_toxicity, op10_substring_dedup,
+    op13_periodic_runs)}
 ORACLE = {"op1_line_dedup": LINE_SQL, "op2_decontaminate": DECONTAMINATE_SQL,
           "op6_ngram_jaccard": JACCARD_SQL, "op10_substring_dedup": SUBSTRING_SQL}

@@ -14,6 +14,8 @@ from keyloop.llm.ngram_jaccard import jaccard_digest
 from keyloop.llm.periodic_runs import runs_digest
 from keyloop.llm.quality_classifier import quality_scores
 from keyloop.llm.quality_rules import rules_digest
+from keyloop.llm.source_mix import ORACLE as MIX_SQL
+from keyloop.llm.source_mix import mix_digest
 from keyloop.llm.substring_dedup import ORACLE as SUBSTRING_SQL
 from keyloop.llm.substring_dedup import substring_digest
 from keyloop.llm.text import tables
@@ -63,6 +65,10 @@ def op10_substring_dedup(spark, sf_dir):
     return substring_digest(tables(spark, sf_dir, "documents"))
 
 
+def op11_source_mix(spark, sf_dir):
+    return mix_digest(tables(spark, sf_dir, "documents"))
+
+
 def op13_periodic_runs(spark, sf_dir):
     return runs_digest(tables(spark, sf_dir, "documents"))
 
@@ -71,6 +77,7 @@ QUERIES = {f.__name__: f for f in (
     op1_line_dedup, op2_decontaminate, op3_html_extract, op4_byte_bpe,
     op5_quality_rules, op6_ngram_jaccard,
     op7_quality_classifier, op8_lm_scoring, op9_toxicity, op10_substring_dedup,
-    op13_periodic_runs)}
+    op11_source_mix, op13_periodic_runs)}
 ORACLE = {"op1_line_dedup": LINE_SQL, "op2_decontaminate": DECONTAMINATE_SQL,
-          "op6_ngram_jaccard": JACCARD_SQL, "op10_substring_dedup": SUBSTRING_SQL}
+          "op6_ngram_jaccard": JACCARD_SQL, "op10_substring_dedup": SUBSTRING_SQL,
+          "op11_source_mix": MIX_SQL}

@@ -12,6 +12,14 @@ import llm_data as D
 from keyloop.llm import periodic_runs as P
 
 
+@pytest.fixture
+def many_ranges(spark):
+    """Small tables in as many partitions as large ones."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    yield
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
 def sha(text):
     return hashlib.sha256(text.encode()).hexdigest()
 
@@ -109,3 +117,109 @@ def test_runs_of_long_texts(spark):
     assert [tuple(r) for r in got[1].runs] == [(0, 20_000, 1)] and got[1].collapsed == "w"
     assert (0, 20_000, 5000) in [tuple(r) for r in got[3].runs]
     assert max(r.length for r in got[2].runs) >= got[2].n_words - 1
+
+
+# ---------------------------------------------------------------- mixing
+def brute_shares(sizes, weights, share=1.5, most=2):
+    """{source: target} by dividing again what full sources leave."""
+    left, full = share * sum(sizes.values()), set()
+    while True:
+        own = [s for s in sizes if s not in full]
+        total = sum(weights[s] for s in own)
+        rest = left - most * sum(sizes[s] for s in full)
+        above = {s for s in own if total and rest * weights[s] / total > most * sizes[s]}
+        if not above:
+            return {s: most * sizes[s] if s in full else rest * weights[s] / total if total else 0.0 for s in sizes}
+        full |= above
+
+
+def brute_mix(rows):
+    """[(doc_id, size, source_size, target, taken)] of (doc_id, text, source) rows."""
+    sized = [(i, len(D.words(t)), s) for i, t, s in rows]
+    names = sorted({s for _, _, s in sized}, key=lambda s: (s is None, (s or "").encode()))
+    sizes = {s: sum(n for _, n, x in sized if x == s) for s in names}
+    target = brute_shares(sizes, {s: (5, 2, 1)[i % 3] for i, s in enumerate(names)})
+    out = []
+    for s in names:
+        key = lambda r: (hashlib.md5(f"0:{'' if r[0] is None else r[0]}".encode()).hexdigest(),
+                         r[0] is not None, r[0] or 0, r[1])
+        own = sorted((r for r in sized if r[2] == s), key=key)
+        epochs = int(target[s]) // sizes[s] if sizes[s] else 0
+        rest = int(target[s]) - epochs * sizes[s]
+        while own:
+            alike = [r for r in own if key(r) == key(own[0])]
+            own = own[len(alike):]
+            all_words = sum(r[1] for r in alike)
+            part = max(0, min(all_words, rest)) // len(alike)
+            rest -= all_words
+            out += [(r[0], r[1], sizes[s], target[s], epochs * r[1] + part) for r in alike]
+    return out
+
+
+def mixed_docs(spark, seed=1):
+    rng = random.Random(seed)
+    rows = [(i, t, rng.choice(["a", "a", "a", "a", "b", "ä", "Z", "c", None, "tiny"] if i % 7 else ["b"]))
+            for i, t in enumerate(D.texts(seed))]
+    rows += [rows[20]] * 5 + [(None, "null id here", "b"), (None, "null id here", "b"), (9999, None, "empty")]
+    return rows, spark.createDataFrame(rows, "doc_id long, text string, source string").withColumns(
+        {"Size": F.lit("own"), "taken": F.lit("own"), "rest": F.lit(1), "key": F.lit(2)})
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_mix_against_brute_force(spark, seed, many_ranges):
+    from keyloop.llm import source_mix as M
+    rows, docs = mixed_docs(spark, seed)
+    want = sorted(brute_mix(rows), key=str)
+    got = M.mix_digest(docs)
+    assert got.columns == ["doc_id", "size", "source_size", "target", "taken"]
+    assert sorted(map(tuple, got.collect()), key=str) == want
+    for n, parts in ((0, 1), (0, 7)):  # the salted join; other splits
+        again = M.mix(docs.repartition(parts), broadcast_sources=n).select("doc_id", "size", "source_size",
+                                                                           "target", "taken")
+        assert sorted(map(tuple, again.collect()), key=str) == want
+    by = {}
+    for r in got.collect():
+        assert r.taken <= 2 * r.size
+        by.setdefault((r.source_size, r.target), []).append(r.taken)
+    assert all(abs(sum(t) - target) < 7 for (_, target), t in by.items())
+
+
+def test_mixed_texts_hold_the_words_taken(spark):
+    from keyloop.llm import source_mix as M
+    rows, docs = mixed_docs(spark)
+    taken = {}
+    for r in M.mix(docs).collect():
+        taken[r.doc_id] = taken.get(r.doc_id, 0) + r.taken
+    whole = {}
+    for i, t, _ in rows:
+        whole.setdefault(i, t)
+    held = {}
+    for r in M.mixed_texts(docs).collect():
+        held[r.doc_id] = held.get(r.doc_id, 0) + len(D.words(r.text))
+        assert whole[r.doc_id].startswith(r.text)
+    assert held == {k: v for k, v in taken.items() if v}
+
+
+def test_mix_with_named_weights_and_empty(spark):
+    from keyloop.llm import source_mix as M
+    _, docs = mixed_docs(spark)
+    got = M.mix(docs, weights={"a": 1, None: 1}, share=0.2, most=3.0)
+    assert {r.source for r in got.where("taken > 0").collect()} == {"a", None}
+    assert M.mix(docs.limit(0)).count() == 0 and M.mixed_texts(docs.limit(0)).count() == 0
+    assert M.mix(docs.withColumn("text", F.lit(" "))).agg(F.sum("taken")).first()[0] == 0
+
+
+def test_running_sums_over_many_ranges(spark, many_ranges):
+    """One group in all ranges, small groups, ties and null keys."""
+    from keyloop.llm import ordering as O
+    rng = random.Random(4)
+    rows = [(rng.choice(["hot"] * 9 + ["x", None]), rng.randrange(40), i, rng.randrange(5)) for i in range(900)]
+    df = spark.createDataFrame(rows, "g string, k int, i int, v int")
+    order = [F.asc("k"), F.asc("i")]
+    got = O.running(O.dealt(df, [F.col("g"), *order], "test-order"), ["g"], order, F.col("v"), "before").collect()
+    sums = {}
+    for g, k, i, v in sorted(rows, key=lambda r: (str(r[0]), r[1], r[2])):
+        sums[(g, i)] = sums.get(g, 0)
+        sums[g] = sums.get(g, 0) + v
+    assert len(got) == 900 and all(r.before == sums[(r.g, r.i)] for r in got)
+    assert len({r["__range"] for r in got if r.g == "hot"}) > 1

@@ -12,6 +12,8 @@ from keyloop.llm.lm_scoring import lm_scores
 from keyloop.llm.ngram_jaccard import ORACLE as JACCARD_SQL
 from keyloop.llm.ngram_jaccard import jaccard_digest
 from keyloop.llm.periodic_runs import runs_digest
+from keyloop.llm.prefix_trie import ORACLE as TRIE_SQL
+from keyloop.llm.prefix_trie import prefix_trie
 from keyloop.llm.quality_classifier import quality_scores
 from keyloop.llm.quality_rules import rules_digest
 from keyloop.llm.source_mix import ORACLE as MIX_SQL
@@ -69,6 +71,10 @@ def op11_source_mix(spark, sf_dir):
     return mix_digest(tables(spark, sf_dir, "documents"))
 
 
+def op12_prefix_trie(spark, sf_dir):
+    return prefix_trie(tables(spark, sf_dir, "conversations"))
+
+
 def op13_periodic_runs(spark, sf_dir):
     return runs_digest(tables(spark, sf_dir, "documents"))
 
@@ -77,7 +83,7 @@ QUERIES = {f.__name__: f for f in (
     op1_line_dedup, op2_decontaminate, op3_html_extract, op4_byte_bpe,
     op5_quality_rules, op6_ngram_jaccard,
     op7_quality_classifier, op8_lm_scoring, op9_toxicity, op10_substring_dedup,
-    op11_source_mix, op13_periodic_runs)}
+    op11_source_mix, op12_prefix_trie, op13_periodic_runs)}
 ORACLE = {"op1_line_dedup": LINE_SQL, "op2_decontaminate": DECONTAMINATE_SQL,
           "op6_ngram_jaccard": JACCARD_SQL, "op10_substring_dedup": SUBSTRING_SQL,
-          "op11_source_mix": MIX_SQL}
+          "op11_source_mix": MIX_SQL, "op12_prefix_trie": TRIE_SQL}

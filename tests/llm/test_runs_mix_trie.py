@@ -223,3 +223,98 @@ def test_running_sums_over_many_ranges(spark, many_ranges):
         sums[g] = sums.get(g, 0) + v
     assert len(got) == 900 and all(r.before == sums[(r.g, r.i)] for r in got)
     assert len({r["__range"] for r in got if r.g == "hot"}) > 1
+
+
+# ---------------------------------------------------------------- prefix trie
+def brute_trie(rows):
+    """The nodes of op12's contract, by plain dictionaries, of (conv_id, turn, role, text) rows."""
+    convs = {}
+    for c, turn, role, text in rows:
+        if c is not None:
+            convs.setdefault(c, []).append((turn is not None, turn or 0, role or "", hashlib.md5(
+                (text or "").encode()).hexdigest(), text or ""))
+    convs = {c: [(r, t) for _, _, r, _, t in sorted(v)] for c, v in convs.items()}
+    built = {}
+    for c, own in convs.items():
+        h = zlib.crc32(str(c).encode()) % 6
+        built[c] = tuple(convs.get(c - int(np.fmod(c, 100)), [])[:h] + own[h:])
+    members, ends = {}, {}
+    for c, p in built.items():
+        for d in range(len(p) + 1):
+            members.setdefault(p[:d], []).append(c)
+        ends.setdefault(p, []).append(c)
+    leaves, saved, kids = {}, {}, {}
+    for k in members:
+        kids.setdefault(k, 0)
+        if k:
+            kids[k[:-1]] = kids.get(k[:-1], 0) + 1
+    for k in sorted(members, key=len, reverse=True):
+        leaves[k] = leaves.get(k, 0) or 1
+        saved[k] = saved.get(k, 0) + ((len(members[k]) - 1) * len(k[-1][1]) if k else 0)
+        if k:
+            leaves[k[:-1]] = leaves.get(k[:-1], 0) + leaves[k]
+            saved[k[:-1]] = saved.get(k[:-1], 0) + saved[k]
+    return [(min(m), len(k), min(members[k[:-1]]) if k else None, len(m), kids[k], leaves[k], saved[k],
+             sha(",".join(map(str, sorted(ends.get(k, [])))))) for k, m in members.items()]
+
+
+def conversations(seed=1, n=400):
+    rng = random.Random(seed)
+    rows = []
+    for c in range(-20, n):
+        if c % 100 == 0 and rng.random() < 0.3:
+            continue                                       # no template
+        for turn in range(rng.choice([1, 1, 2, 3, 5, 8])):
+            rows.append((c, turn, rng.choice(["user", "assistant", None]), rng.choice(["a", "", None, "naïve 漢", "hello"])))
+    rows += [(350, None, "user", "first"), (350, None, "user", "first"), (350, 0, None, None)]
+    rows += [(None, 1, "user", "nobody"), (None, None, None, None)]
+    rows += [(1 << 40, i, "user", f"turn {i % 3}") for i in range(700)]     # one long chain
+    rows += [((1 << 40) + 7, i, "user", f"turn {i % 3}") for i in range(650)]
+    rows += [(5_000_000 + i * 70_000, 0, "user", "the same") for i in range(60)]   # ids of many chunks
+    rng.shuffle(rows)
+    return rows
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_trie_against_brute_force(spark, seed, many_ranges):
+    from keyloop.llm import prefix_trie as T
+    rows = conversations(seed)
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").withColumns(
+        {"depth": F.lit("own"), "n_convs": F.lit(0)})
+    got = T.prefix_trie(df)
+    assert got.columns == ["conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens",
+                           "ends_sha256"]
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(brute_trie(rows), key=str)
+
+
+def test_trie_of_empty_and_turnless(spark):
+    from keyloop.llm import prefix_trie as T
+    schema = "conv_id long, turn long, role string, text string"
+    assert T.prefix_trie(spark.createDataFrame([], schema)).count() == 0
+    assert T.prefix_trie(spark.createDataFrame([(None, 1, "user", "x")], schema)).count() == 0
+    rows = [(c, 0, "user", "x") for c in range(101, 111)]     # no template; most lose their only turn
+    assert sorted(map(tuple, T.prefix_trie(spark.createDataFrame(rows, schema)).collect()), key=str) == sorted(
+        brute_trie(rows), key=str)
+
+
+def test_tree_contraction_of_chains_stars_and_random_trees(spark):
+    from keyloop.llm.tree_contraction import subtree_totals
+    rng = random.Random(8)
+    parent = {0: None}
+    parent |= {i: i - 1 for i in range(1, 600)}                       # a chain, and a star at its middle
+    parent |= {i: 300 for i in range(600, 1500)}
+    parent |= {i: rng.randrange(1500, i) if i > 1500 else None for i in range(1500, 2200)}   # another tree
+    depth, kids = {}, dict.fromkeys(parent, 0)
+    for v in sorted(parent):
+        depth[v] = 0 if parent[v] is None else depth[parent[v]] + 1
+        if parent[v] is not None:
+            kids[parent[v]] += 1
+    total = {v: [1, v] for v in parent}
+    for v in sorted(parent, reverse=True):
+        if parent[v] is not None:
+            total[parent[v]] = [a + b for a, b in zip(total[parent[v]], total[v])]
+    df = spark.createDataFrame([(v, p, depth[v], kids[v], 1, v) for v, p in parent.items()],
+                               "v long, p long, d long, k long, one long, w long")
+    got = subtree_totals(df, ["v"], ["p"], "d", "k", ["one", "w"])
+    assert {r.v: [r.one, r.w] for r in got.collect()} == total
+    assert subtree_totals(df.limit(0), ["v"], ["p"], "d", "k", ["one"]).count() == 0

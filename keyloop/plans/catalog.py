@@ -22,8 +22,7 @@ from keyloop.session import scratch_path
 from keyloop.sources import tables as V
 from keyloop.streaming import capture as SC
 from keyloop.streaming import live as SL
-from keyloop.streaming.state import (AdditiveState, KeyedState, continuous_sync,
-                                     suggest_layout)
+from keyloop.streaming.state import KeyedState, continuous_sync, suggest_partitions
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -775,34 +774,31 @@ def q_stream_capture(spark, sf):
 
 @register("stream_current_state", O.with_(O.LOG, _NR) + _CURRENT)
 def q_stream_current_state(spark, sf):
-    root = scratch_path(spark, "state", "entity_log")
-    b, f = suggest_layout(estimated_bytes(V.table(spark, sf, "events")))
-    state = KeyedState(spark, f"{root}/state", LOG_PK, buckets=b, files_per_bucket=f)
+    state = KeyedState(spark, scratch_path(spark, "state", "entity_log"), LOG_PK,
+                       partitions=suggest_partitions(estimated_bytes(V.table(spark, sf, "events"))))
     src = V.change_log_of(SC.file_stream(spark, sf, "events.parquet"))
-    continuous_sync(src, state, f"{root}/_checkpoint").awaitTermination()
+    continuous_sync(src, state).awaitTermination()
     return state.current(_LOG_ROW).select("entity_id", "value", "props")
 
 
 @register("stream_live_queue", _Q1_SQL)
 def q_stream_live_queue(spark, sf):
-    root = scratch_path(spark, "state", "latest_action")
-    b, f = suggest_layout(estimated_bytes(V.table(spark, sf, "lineitem")))
-    state = KeyedState(spark, f"{root}/state", ["ticket_id"], order=["performed_at"],
-                       tie=["line_no", "amount"], nulls_first=True, buckets=b,
-                       files_per_bucket=f)
+    """The latest action per ticket kept as state, the queue read over it."""
+    state = KeyedState(spark, scratch_path(spark, "state", "latest_action"), ["ticket_id"],
+                       order=["performed_at"], tie=["line_no", "amount"], nulls_first=True,
+                       partitions=suggest_partitions(estimated_bytes(V.table(spark, sf, "lineitem"))))
     src = V.actions_of(SC.file_stream(spark, sf, "lineitem.parquet")).select(
         "ticket_id", "performed_at", "performed_by", "status", "line_no", "amount")
-    SL.track_latest(src, state, f"{root}/_checkpoint").awaitTermination()
+    continuous_sync(src, state).awaitTermination()
     return SL.live_open_alerts(V.tickets(spark, sf, status="open"), V.machines(spark, sf),
                                state)
 
 
 @register("stream_daily_counts", ORACLE["actions_per_day"])
 def q_stream_daily_counts(spark, sf):
-    root = scratch_path(spark, "state", "daily_counts")
-    state = AdditiveState(spark, f"{root}/state", ["day"], ["n_actions"], buckets=8)
+    state = SL.DailyCounts(spark, scratch_path(spark, "state", "daily_counts"), "completed_at")
     src = V.actions_of(SC.file_stream(spark, sf, "lineitem.parquet"))
-    SL.live_daily_counts(src, "completed_at", state, f"{root}/_checkpoint").awaitTermination()
+    SL.live_daily_counts(src, state).awaitTermination()
     return state.current(_DAYS)
 
 
@@ -812,62 +808,45 @@ _DAYS = "day timestamp_ntz, n_actions bigint"
 STREAM_FILES = 12
 
 
-def _in_files(spark, df, order: str, root: str):
-    """The whole frame written again in STREAM_FILES parts, the rows latest by ``order`` first,
-    and a stream over these files in that order, about one part a micro-batch."""
-    path = f"{root}/input"
-    first, last = df.agg(F.min(order), F.max(order)).first()
-    step = max(1, ((last or 0) - (first or 0)) // STREAM_FILES + 1)
-    part = F.lit(STREAM_FILES - 1) - F.floor((F.col(order) - F.lit(first or 0)) / F.lit(step))
-    parts = df.withColumn("__part", F.coalesce(part, F.lit(0)).cast("int"))
-    for i in range(STREAM_FILES):   # one write after the other: file times give the order
-        parts.filter(F.col("__part") == i).drop("__part").write.mode("append").parquet(path)
-    files = len(spark.read.parquet(path).inputFiles())
-    return (spark.readStream.schema(df.schema)
-            .option("maxFilesPerTrigger", max(1, files // STREAM_FILES)).parquet(path))
+def _in_files(df, order: str, path: str, times: int = 1):
+    """The whole frame written again as STREAM_FILES files, each a range of ``order``, the latest
+    rows first (``times`` over: replays), and a stream over them, one file a micro-batch."""
+    for _ in range(times):
+        df.repartitionByRange(STREAM_FILES, F.desc(order)).write.mode("append").parquet(path)
+    return df.sparkSession.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(path)
 
 
 @register("stream_state_batches", ORACLE["stream_current_state"])
 def q_stream_state_batches(spark, sf):
-    """Deletes, late and replayed changes, compactions and a consolidation on the way."""
+    """Deletes and late changes in many micro-batches; then every file again, to the same query:
+    replays change nothing."""
     root = scratch_path(spark, "state", "entity_log_batches")
-    options = dict(buckets=4, max_deltas=4, consolidate_after=6)
-    reader = KeyedState(spark, f"{root}/state", LOG_PK, **options)   # opened before the stream
+    reader = KeyedState(spark, f"{root}/state", LOG_PK)     # opened before the stream
     reader.current()
-    state = KeyedState(spark, f"{root}/state", LOG_PK, **options)
-    src = V.change_log_of(_in_files(spark, V.table(spark, sf, "events"), "event_id", root))
-    continuous_sync(src, state, f"{root}/_checkpoint").awaitTermination()
-    # everything once more, from a new checkpoint: replays change nothing
-    continuous_sync(src, state, f"{root}/_checkpoint2").awaitTermination()
-    state.vacuum(retain_seconds=0)
+    state = KeyedState(spark, f"{root}/state", LOG_PK, partitions=4)
+    log = V.table(spark, sf, "events")
+    for _ in range(2):
+        src = V.change_log_of(_in_files(log, "event_id", f"{root}/input"))
+        continuous_sync(src, state).awaitTermination()
     return reader.current(_LOG_ROW).select("entity_id", "value", "props")
 
 
 @register("stream_daily_counts_batches", ORACLE["actions_per_day"])
 def q_stream_daily_counts_batches(spark, sf):
     root = scratch_path(spark, "state", "daily_counts_batches")
-    options = dict(buckets=4, max_deltas=4, consolidate_after=6)
-    reader = AdditiveState(spark, f"{root}/state", ["day"], ["n_actions"], **options)
+    reader = SL.DailyCounts(spark, f"{root}/state", "completed_at")
     reader.current()
-    state = AdditiveState(spark, f"{root}/state", ["day"], ["n_actions"], **options)
-    li = V.table(spark, sf, "lineitem").withColumn(
-        "__at", F.unix_timestamp(F.col("l_shipdate")))
-    src = V.actions_of(_in_files(spark, li, "__at", root))
-    SL.live_daily_counts(src, "completed_at", state, f"{root}/_checkpoint").awaitTermination()
-    state.vacuum(retain_seconds=0)
+    src = V.actions_of(_in_files(V.table(spark, sf, "lineitem"), "l_shipdate", f"{root}/input"))
+    SL.live_daily_counts(src, SL.DailyCounts(spark, f"{root}/state", "completed_at")).awaitTermination()
     return reader.current(_DAYS)
 
 
 @register("stream_live_queue_batches", _Q1_SQL)
 def q_stream_live_queue_batches(spark, sf):
-    """The queue published after every micro-batch; the last one published."""
-    root = scratch_path(spark, "state", "latest_action_batches")
-    state = KeyedState(spark, f"{root}/state", ["ticket_id"], order=["performed_at"],
-                       tie=["line_no", "amount"], nulls_first=True, buckets=4, max_deltas=6)
-    li = V.table(spark, sf, "lineitem").withColumn("__at", F.unix_timestamp(F.col("l_shipdate")))
-    src = V.actions_of(_in_files(spark, li, "__at", root)).select(
+    """What every micro-batch adds to and removes from the queue, summed up."""
+    root = scratch_path(spark, "state", "queue_batches")
+    src = V.actions_of(_in_files(V.table(spark, sf, "lineitem"), "l_shipdate", f"{root}/input")).select(
         "ticket_id", "performed_at", "performed_by", "status", "line_no", "amount")
-    SL.live_queue(src, state, f"{root}/_checkpoint", V.tickets(spark, sf, status="open"),
-                  V.machines(spark, sf),
-                  lambda queue, _b: queue.write.mode("overwrite").parquet(f"{root}/queue")).awaitTermination()
-    return spark.read.parquet(f"{root}/queue")
+    SL.live_queue(src, V.tickets(spark, sf, status="open"), V.machines(spark, sf), f"{root}/_checkpoint",
+                  SL.queue_sink(f"{root}/changes")).awaitTermination()
+    return SL.summed_queue(spark.read.parquet(f"{root}/changes"))

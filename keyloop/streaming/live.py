@@ -6,65 +6,229 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor
 
-from keyloop.operators.history import CT, INSERT, TS, VER
+from keyloop.functions.rows import status_is
+from keyloop.operators.history import CT, DELETE, POSTIMAGE, PREIMAGE, VER
+from keyloop.operators.keyed import _all_not_null, join_dim
 from keyloop.plans.metrics import actions_per_day
 from keyloop.plans.queues import open_alerts
-from keyloop.streaming.state import AdditiveState, KeyedState, start_sync
+from keyloop.streaming.state import STORE, AdditiveState, KeyedState, _settings
 
-
-def _stamp(df: DataFrame, change_type: str, batch_id: int) -> DataFrame:
-    return df.select(*df.columns, F.lit(change_type).alias(CT),
-                     F.lit(batch_id).cast("bigint").alias(VER),
-                     F.current_timestamp().alias(TS))
-
-
-def track_latest(stream: DataFrame, state: KeyedState, checkpoint: str,
-                 available_now: bool = True, processing_time: str = "15 seconds"):
-    """ST3 (state part): keep the newest row per key of an append-only stream (e.g. the
-    latest action per ticket, ordered by ``state.order`` / ``state.tie``)."""
-    return start_sync(stream, state, checkpoint, lambda df, bid: _stamp(df, INSERT, bid),
-                      available_now, processing_time)
-
-
-def live_queue(stream: DataFrame, state: KeyedState, checkpoint: str, tickets: DataFrame,
-               machines: DataFrame, publish, available_now: bool = True,
-               processing_time: str = "15 seconds", **queue_options):
-    """ST3: the alert queue refreshed after every micro-batch: the batch goes into the
-    latest-action state, then ``publish(queue, batch_id)`` gets the queue over that state
-    (write it to a table, say).  A replayed batch changes nothing and publishes again."""
-    from keyloop.streaming.state import stream_id
-
-    def apply(df: DataFrame, batch_id: int) -> None:
-        state.apply_batch(_stamp(df, INSERT, int(batch_id)), int(batch_id),
-                          stream_id(df.sparkSession, checkpoint))
-        publish(live_open_alerts(tickets, machines, state, **queue_options), int(batch_id))
-
-    w = stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
-    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time)
-    return w.start()
+#: The ticket columns that the queue shows or decides by, and the columns of a queue row.
+TICKET = ("machine_id", "priority", "description", "opened_at", "status")
+#: Ticket ids that share an entry of the state.
+CELL = 32
+QUEUE = ("ticket_id", "machine_id", "model", "line", "priority", "description", "actioned_by", "action_status")
 
 
 def live_open_alerts(tickets: DataFrame, machines: DataFrame, latest_actions: KeyedState,
                      sort: str = "priority", priority: str | None = None,
                      tie: Sequence[str] = ("line_no", "amount")) -> DataFrame:
-    """ST3 (read part): the alert queue over the maintained latest-action state; a lazy
-    query, so every read sees the latest committed micro-batch."""
-    current = latest_actions.current()
-    if current is None:
-        current = latest_actions.spark.createDataFrame(
-            [], "ticket_id bigint, performed_at timestamp, performed_by string, status string, "
-                "line_no int, amount double")
+    """The alert queue read over a maintained latest-action state, as of its last commit."""
+    current = latest_actions.current(
+        "ticket_id bigint, performed_at timestamp_ntz, performed_by string, status string, line_no int, amount double")
     return open_alerts(tickets, machines, current, sort=sort, priority=priority, tie=tie,
                        actions_are_latest=True)
 
 
-def live_daily_counts(stream: DataFrame, ts_col: str, state: AdditiveState, checkpoint: str,
-                      available_now: bool = True, processing_time: str = "15 seconds"):
-    """ST4: rows per day of ``ts_col`` (null excluded).  Each micro-batch is reduced to (day,
-    n_actions) and added to ``state`` (key ``day``, value ``n_actions``) exactly once, so the
-    counts equal those of one pass over all rows however late or out of order a row arrives.
-    ``day`` is the wall-clock midnight, as in the batch query.
+# ------------------------------------------------------------------ ST3: changes of the queue
+def _redecide(snapshot: bool):
+    """The stateful processor of ``queue_changes``: what the rows of a micro-batch change in the queue.
+
+    Tickets are handled in buckets, one call a bucket; the state is a map of cells of at most
+    CELL tickets of neighbouring ids, of which a call reads and writes the cells it touches, once each.  Of a
+    ticket it holds the image and version, the latest action and the row that stands in the
+    queue.  The class is local, so it travels to executors by value.
+    """
+    size = CELL
+
+    class Redecide(StatefulProcessor):
+        def init(self, handle):
+            self.held = handle.getMapState("held", "cell long", "tickets string")
+
+        def handleInputRows(self, key, rows, timerValues):
+            import json
+
+            import pandas as pd
+
+            def standing(s):
+                t, a = s["t"], s["a"]
+                if t is None or t.get("status") != "open" or (a and a["status"] == "completed"):
+                    return None
+                return {**t, "actioned_by": a and a["by"], "action_status": a and a["status"]}
+
+            cells, touched = {}, {}
+            for frame in rows:
+                for ticket, text in zip(frame["ticket_id"].tolist(), frame["body"]):
+                    r = json.loads(text)
+                    t, a = r.get("t"), r.get("a")
+                    s = touched.get(ticket)
+                    if s is None:
+                        cell = cells.get(ticket // size)
+                        if cell is None:
+                            old = self.held.getValue((ticket // size,))
+                            cell = cells[ticket // size] = json.loads(old[0]) if old else {}
+                        s = cell.get(str(ticket))
+                        if s is None:
+                            s = cell[str(ticket)] = {"t": None, "v": None, "a": None, "q": None}
+                            if snapshot:   # it stands in the first image of the queue
+                                s["q"] = standing({"t": t, "a": None})
+                        touched[ticket] = s
+                    if t is not None and (s["v"] is None or r["v"] >= s["v"]):
+                        s["t"], s["v"] = (None if r.get("gone") else t), r["v"]
+                    if a is not None:
+                        rank = [*a["rank"].values(), a.get("by") or "", a.get("status") or ""]
+                        if s["a"] is None or rank > s["a"]["rank"]:
+                            s["a"] = {"rank": rank, "by": a.get("by"), "status": a.get("status")}
+            out = []
+            for ticket, s in touched.items():
+                before, s["q"] = s["q"], standing(s)
+                if before != s["q"]:
+                    out += [(ticket, json.dumps(row), n) for row, n in ((before, -1), (s["q"], 1)) if row is not None]
+            for number, cell in cells.items():
+                self.held.updateValue((number,), (json.dumps(cell),))
+            yield pd.DataFrame(out, columns=["ticket_id", "body", "change"]).astype(
+                {"ticket_id": "int64", "change": "int32"})
+
+        def close(self):
+            pass
+
+    return Redecide()
+
+
+def _ticket_image(df: DataFrame) -> F.Column:
+    """The ticket's columns as text (null fields included), to be cast back where a row is published."""
+    return F.struct(*[F.col(c).cast("string").alias(c) for c in TICKET])
+
+
+def queue_changes(actions: DataFrame, tickets: DataFrame, tie: Sequence[str] = ("line_no", "amount"),
+                  buckets: int = 8) -> DataFrame:
+    """ST3: the stream of changes of the alert queue: rows (ticket_id, body, change), where only the
+    tickets that a micro-batch touches are decided again and an unchanged row gives nothing.
+
+    ``actions``: a stream (ticket_id, performed_at, performed_by, status and ``tie``).  ``tickets``: a table, of which
+    the open tickets stand in ``first_queue`` before any action; or a stream of ticket changes with
+    ``_change_type`` and ``_commit_version``, whose tickets enter, change and leave as it says.
+    Of a ticket's actions the latest counts (null ``performed_at`` first), however late a row arrives.
+    ``buckets`` of tickets are the units of work of a micro-batch; the number is fixed with the state.
+    """
+    # what orders as the columns do: a null time wins, null ties lose; a wall-clock time by its text
+    at = F.col("performed_at")
+    zoned = dict(actions.dtypes)["performed_at"] == "timestamp"
+    order = [at.isNull(), F.unix_micros(at) if zoned else at.cast("string")]
+    for c in tie:
+        order += [F.col(c).isNotNull(), F.col(c)]
+    action = F.struct(F.struct(*[x.alias(f"r{i}") for i, x in enumerate(order)]).alias("rank"),
+                      F.col("performed_by").alias("by"), F.col("status").alias("status"))
+    keep = {"ignoreNullFields": "false"}
+    acts = actions.filter(_all_not_null(["ticket_id"])).select("ticket_id", action.alias("a"))
+    if tickets.isStreaming:
+        image = tickets.filter(_all_not_null(["ticket_id"]) & ~F.col(CT).eqNullSafe(PREIMAGE)).select(
+            "ticket_id", F.to_json(F.struct(_ticket_image(tickets).alias("t"), F.col(VER).alias("v"),
+                                            F.col(CT).eqNullSafe(DELETE).alias("gone")), keep).alias("body"))
+        rows = image.unionByName(acts.select("ticket_id", F.to_json(F.struct("a"), keep).alias("body")))
+    else:
+        opened = tickets.filter(status_is("status", "open")).select(
+            "ticket_id", _ticket_image(tickets).alias("t"), F.lit(0).alias("v"))
+        rows = join_dim(acts, opened, "ticket_id").select(
+            "ticket_id", F.to_json(F.struct("t", "v", "a"), keep).alias("body"))
+    bucket = F.pmod(F.xxhash64(F.floor(F.col("ticket_id") / CELL)), F.lit(buckets))
+    return (rows.withColumn("bucket", bucket).groupBy("bucket")
+            .transformWithStateInPandas(_redecide(not tickets.isStreaming), "ticket_id long, body string, change int",
+                                        "Update", "None"))
+
+
+def _published(changes: DataFrame, tickets: DataFrame, machines: DataFrame) -> DataFrame:
+    types = {f.name: f.dataType.simpleString() for f in tickets.schema.fields}
+    fields = ", ".join(f"{c} string" for c in (*TICKET, "actioned_by", "action_status"))
+    body = F.from_json("body", fields)
+    rows = changes.select("ticket_id", *[body[c].cast(types[c]).alias(c) for c in TICKET[:4]],
+                          body["actioned_by"].alias("actioned_by"), body["action_status"].alias("action_status"), "change")
+    return join_dim(rows, machines.select("machine_id", "model", "line"), "machine_id").select(*QUEUE, "change")
+
+
+def first_queue(tickets: DataFrame, machines: DataFrame) -> DataFrame:
+    """What ``queue_changes`` over a table of tickets adds up from: all its open tickets, no action."""
+    none = F.lit(None).cast("string")
+    rows = tickets.filter(status_is("status", "open")).select(
+        "ticket_id", *TICKET[:4], none.alias("actioned_by"), none.alias("action_status"), F.lit(1).alias("change"))
+    return join_dim(rows, machines.select("machine_id", "model", "line"), "machine_id").select(*QUEUE, "change")
+
+
+def live_queue(actions: DataFrame, tickets: DataFrame, machines: DataFrame, checkpoint: str, publish,
+               available_now: bool = True, processing_time: str = "15 seconds",
+               tie: Sequence[str] = ("line_no", "amount"), partitions: int = 8, buckets: int = 8):
+    """ST3: ``publish(changes, batch_id)`` gets what each micro-batch changes in the alert queue (columns
+    of the queue, and change: +1 added, -1 removed).  Where ``tickets`` is a table, its ``first_queue`` is published
+    first, as batch -1.  A batch that is run again publishes the same changes under the same id, so
+    a sink that replaces a batch by its id (``queue_sink``) holds each exactly once.
     """
-    return start_sync(stream, state, checkpoint, lambda df, _bid: actions_per_day(df, ts_col),
-                      available_now, processing_time)
+    if not tickets.isStreaming:
+        publish(first_queue(tickets, machines), -1)
+    stream = queue_changes(actions, tickets, tie, buckets)
+    writer = (stream.writeStream.outputMode("update").option("checkpointLocation", checkpoint)
+              .foreachBatch(lambda df, batch_id: publish(_published(df, tickets, machines), int(batch_id))))
+    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=processing_time)
+    with _settings(stream.sparkSession, STORE | {"spark.sql.shuffle.partitions": str(partitions)}):
+        return writer.start()
+
+
+def queue_sink(path: str):
+    """A ``publish`` for ``live_queue`` that keeps each batch's changes as a folder of ``path``."""
+    def publish(changes: DataFrame, batch_id: int) -> None:
+        changes.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+    return publish
+
+
+def summed_queue(changes: DataFrame) -> DataFrame:
+    """The queue that a sequence of changes adds up to."""
+    return (changes.groupBy(*QUEUE).agg(F.sum("change").alias("__n")).filter("__n > 0").drop("__n"))
+
+
+# ------------------------------------------------------------------ ST4: counts
+class DailyCounts(AdditiveState):
+    """ST4: rows per day of ``ts_col`` (null excluded).  The counts equal those of one pass over all
+    rows however late or out of order a row arrives; ``day`` is the wall-clock midnight, as in the
+    batch query."""
+
+    def __init__(self, spark, root: str, ts_col: str, partitions: int = 4):
+        super().__init__(spark, root, ["day"], ["n_actions"], partitions)
+        self.ts_col = ts_col
+
+    def aggregate(self, stream: DataFrame) -> DataFrame:
+        return actions_per_day(stream, self.ts_col)
+
+
+class SignedAverages(AdditiveState):
+    """ST4 / A4 with retractions: count, sum and average of ``value`` per ``pk`` over a change log whose rows
+    carry their images: inserts and postimages add, preimages and deletes take away, so the
+    averages are those of the net table after every batch, in whatever order the rows come.
+    Values are rounded to ``scale`` places, their sums are exact; null values count in neither, groups whose rows are all gone
+    are left out."""
+
+    def __init__(self, spark, root: str, pk: Sequence[str], value: str, scale: int = 6, partitions: int = 8):
+        super().__init__(spark, root, pk, ["n", "total"], partitions)
+        self.value, self.scale = value, scale
+
+    def aggregate(self, stream: DataFrame) -> DataFrame:
+        taken = F.coalesce(F.col(CT).isin(PREIMAGE, DELETE), F.lit(False))
+        sign = F.when(F.col(self.value).isNull(), 0).when(taken, -1).otherwise(1)
+        # whole units of 10**-scale: sums of longs do not depend on the order of the rows
+        units = F.coalesce(F.round(F.col(self.value) * F.lit(10 ** self.scale)), F.lit(0)).cast("long")
+        return (stream.select(*self.pk, sign.cast("long").alias("__n"), (sign * units).alias("__u"))
+                .groupBy(*self.pk).agg(F.sum("__n").alias("n"), F.sum("__u").alias("total")))
+
+    def averages(self, batch_id: int | None = None) -> DataFrame | None:
+        """(*pk, n, total, average) of the groups that have rows."""
+        df = self.read(batch_id)
+        if df is None:
+            return None
+        total = F.col("total") / F.lit(float(10 ** self.scale))
+        return df.filter("n > 0").select(*self.pk, "n", total.alias("total"), (total / F.col("n")).alias("average"))
+
+
+def live_daily_counts(stream: DataFrame, state: DailyCounts, available_now: bool = True,
+                      processing_time: str = "15 seconds"):
+    """ST4: keep the daily counts current; a day's new count is what a micro-batch updates."""
+    return state.start(stream, None, available_now, processing_time)

@@ -1,309 +1,169 @@
-"""Keyed state maintained by Structured Streaming without MERGE (ST2 / S7, ST5).
-
-Layout under ``root`` (a folder on shared storage, below ``spark.checkpoint.dir``)::
-
-    data/batch=<seq>/__bucket=<b>/  delta: what one micro-batch leaves per key
-    data/base=<seq>/__bucket=<b>/   base: the whole bucket, compacted at <seq>
-    manifest/epoch=<e>/             parquet rows (seq, bucket, kind, stream, batch_id), appended
-                                    as one file after the files they name are complete
-
-``seq`` is the state's own running number.  A micro-batch is known by its stream's id and its
-batch id together, so a second stream, or a stream restarted with a new checkpoint, is never
-mistaken for one already applied.
-
-Every ``consolidate_after`` appends, the live rows of the manifest (each bucket's base and
-later deltas), the last batch of each stream and a 'mark' row are written as one file into the
-next epoch; from then on only that epoch is appended to.  The newest epoch with a mark is the
-current one; it is looked up on every read, so any reader sees the latest committed batch, and
-older epochs may be gone (``vacuum``).
-
-A bucket's current content is its newest base plus the deltas written after it, merged by
-version (latest row per key).  So a micro-batch writes only its own changes (O(batch), not
-O(state)); a bucket is compacted into a new base once it has enough deltas (a limit staggered by
-bucket, so that not all are rewritten in the same batch); a read merges only the buckets that
-have deltas and reads the others as they are.  Lineage never grows, as every batch reads files.
-
-Replay safety: a batch already in the manifest is skipped; files written by a batch that
-failed before its manifest entry are invisible and simply rewritten on the retry.  Order
-safety: rows carry their version; the merge keeps the highest version per key and keeps
-deleted keys as tombstones, so a late, older change can neither overwrite a newer row nor
-resurrect a deleted key.  One writer at a time; any number of readers.
+"""Keyed tables kept current by Structured Streaming in Spark's own state store (ST2 / S7, ST5).
+
+A table is a streaming aggregate in update mode over the RocksDB state store, and its folder is
+the checkpoint of that query: a micro-batch writes only the keys it touches (change logs, with
+snapshots now and then), commits atomically and exactly once, and a restarted query goes on
+where the last commit ended.  Reading is a batch scan of the committed state (the
+``statestore`` source), also of an earlier batch that the store still holds; any number of
+readers, none of which the query has to know.  There are no files beside Spark's own.
+
+Order safety: rows carry their version and the aggregate keeps the greatest image per key, so
+late, repeated or reordered changes can neither overwrite a newer row nor bring a deleted key
+back: deletes stay in the state as tombstones.
 """
 
 from __future__ import annotations
 
-import re
 from collections.abc import Sequence
+from contextlib import contextmanager
 
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StringType, StructField, StructType
-from pyspark.sql.utils import AnalysisException
 
 from keyloop.operators.history import CT, DELETE, META, VER, not_preimage
-from keyloop.operators.keyed import latest_per_key
-
-MANIFEST_SCHEMA = StructType([StructField("seq", LongType()),
-                              StructField("bucket", LongType()),
-                              StructField("kind", StringType()),
-                              StructField("stream", StringType()),
-                              StructField("batch_id", LongType())])
-BUCKET = "__bucket"
-_BUCKET_IN_PATH = re.compile(rf"/{BUCKET}=(\d+)/")
-
-
-def suggest_layout(size_bytes: int | None, target_bytes: int = 128 << 20,
-                   min_buckets: int = 8, max_buckets: int = 4096) -> tuple[int, int]:
-    """(buckets, files_per_bucket) so that one state file holds about ``target_bytes``:
-    enough buckets that a compaction rewrites a small slice of the state, few enough that the
-    manifest stays small; very large states get several files per bucket instead."""
-    if not size_bytes or size_bytes <= 0:
-        return min_buckets, 1
-    files = max(1, -(-size_bytes // target_bytes))
-    buckets = min(max(files, min_buckets), max_buckets)
-    per_bucket = min(256, max(1, -(-files // buckets)))
-    return int(buckets), int(per_bucket)
-
-
-class KeyedState:
-    """A versioned, bucketed, merge-on-read keyed table (see module docstring)."""
-
-    def __init__(self, spark: SparkSession, root: str, pk: Sequence[str],
-                 order: Sequence[str] = (VER,), tie: Sequence[str] = (), buckets: int = 64,
-                 nulls_first: bool = False, files_per_bucket: int = 1, max_deltas: int = 8,
-                 consolidate_after: int = 64):
+from keyloop.operators.keyed import _all_not_null
+
+#: The state store of the tables; a query takes these settings into its checkpoint.
+STORE = {
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
+
+
+def suggest_partitions(size_bytes: int | None, target_bytes: int = 128 << 20, least: int = 4,
+                       most: int = 1 << 16) -> int:
+    """State partitions for about ``target_bytes`` each (fixed once a table's query has run)."""
+    return int(min(most, max(least, -(-(size_bytes or 0) // target_bytes))))
+
+
+@contextmanager
+def _settings(spark: SparkSession, settings: dict):
+    """Session settings for as long as a query is started; it keeps its own copy of them."""
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+class StateTable:
+    """What a streaming aggregate by ``pk`` holds; ``values`` name its aggregates in order."""
+
+    def __init__(self, spark: SparkSession, root: str, pk: Sequence[str], values: Sequence[str],
+                 partitions: int = 8):
         self.spark, self.root = spark, root.rstrip("/")
-        self.pk, self.order, self.tie, self.buckets = list(pk), list(order), list(tie), buckets
-        self.nulls_first = nulls_first
-        # At scale: many buckets (a compaction rewrites one bucket) and several files per
-        # bucket (no single task writes a whole bucket).
-        self.files_per_bucket = files_per_bucket
-        self.max_deltas = max_deltas
-        self.consolidate_after = consolidate_after
-
-    # -------------------------------------------------------------- manifest
-    def _manifest(self) -> tuple[int, DataFrame]:
-        """(current epoch, its rows).  The newest epoch that holds a mark counts, else epoch 0;
-        which epochs exist is read from the folder, so old ones may be missing."""
-        schema = StructType([*MANIFEST_SCHEMA.fields, StructField("epoch", LongType())])
+        self.pk, self.values, self.partitions = list(pk), list(values), partitions
+
+    def aggregate(self, stream: DataFrame) -> DataFrame:
+        raise NotImplementedError
+
+    def read(self, batch_id: int | None = None) -> DataFrame | None:
+        """The committed state: the keys and the values; after ``batch_id``, or the last batch.
+        None while no batch is committed."""
+        source = self.spark.read.format("statestore")
+        if batch_id is not None:
+            source = source.option("batchId", batch_id)
+        try:
+            state = source.load(self.root)
+        except (AnalysisException, PySparkException) as e:
+            if batch_id is None and not self._committed():
+                return None
+            raise e
+        # the store names fields after functions and expressions: name them by place
+        for part, names in (("key", self.pk), ("value", self.values)):
+            fields = zip(names, state.schema[part].dataType.fields, strict=True)
+            named = ", ".join(f"`{n}`: {f.dataType.simpleString()}" for n, f in fields)
+            state = state.withColumn(part, F.col(part).cast(f"struct<{named}>"))
+        return state.select("key.*", "value.*")
+
+    def _committed(self) -> bool:
+        """Whether the query's log names a committed batch."""
         try:
-            rows = self.spark.read.schema(schema).parquet(f"{self.root}/manifest")
+            return not self.spark.read.text(f"{self.root}/commits").isEmpty()
         except AnalysisException:
-            return 0, self.spark.createDataFrame([], MANIFEST_SCHEMA)
-        top = rows.filter(F.col("kind") == "mark").agg(F.max("epoch")).first()[0]
-        epoch = 0 if top is None else int(top)
-        return epoch, self.spark.read.schema(MANIFEST_SCHEMA).parquet(
-            f"{self.root}/manifest/epoch={epoch}")
-
-    def _layout(self) -> tuple[int, int, dict[int, tuple[int, list[int]]], dict[str, int]]:
-        """(epoch, last seq, {bucket: (base seq or -1, [delta seqs after it])}, {stream: last
-        batch id}).  At most buckets x max_deltas small rows reach the driver (bounded by the
-        layout, not by the data)."""
-        epoch, m = self._manifest()
-        per_bucket = m.groupBy("bucket").agg(
-            F.max(F.when(F.col("kind") == "base", F.col("seq"))).alias("base"),
-            F.collect_set(F.when(F.col("kind") == "delta", F.col("seq"))).alias("deltas"),
-            F.max("seq").alias("seq")).collect()
-        last = {r["stream"]: int(r["b"]) for r in m.filter(F.col("kind") == "commit")
-                .groupBy("stream").agg(F.max("batch_id").alias("b")).collect()}
-        layout, seq = {}, -1
-        for r in per_bucket:
-            seq = max(seq, int(r["seq"]))
-            if int(r["bucket"]) < 0:       # commits and marks name no bucket
-                continue
-            base = -1 if r["base"] is None else int(r["base"])
-            layout[int(r["bucket"])] = (base, sorted(int(d) for d in r["deltas"] if d > base))
-        return epoch, seq, layout, last
-
-    def committed(self, batch_id: int, stream: str = "") -> bool:
-        """Whether micro-batch ``batch_id`` of ``stream`` was applied."""
-        return batch_id <= self._layout()[3].get(stream, -1)
-
-    def _append_manifest(self, epoch: int, entries: list[tuple]) -> None:
-        if entries:
-            self.spark.createDataFrame(entries, MANIFEST_SCHEMA).coalesce(1) \
-                .write.mode("append").parquet(f"{self.root}/manifest/epoch={epoch}")
-
-    def consolidate(self) -> None:
-        """Write the live manifest rows, each stream's last batch and the mark as one file into
-        the next epoch (a single-file write: it appears complete or not at all)."""
-        epoch, seq, layout, last = self._layout()
-        rows = [(base, b, "base", "", -1) for b, (base, _ds) in layout.items() if base >= 0]
-        rows += [(d, b, "delta", "", -1) for b, (_base, ds) in layout.items() for d in ds]
-        rows += [(seq, -1, "commit", s, i) for s, i in last.items()]
-        rows.append((seq, -1, "mark", "", -1))
-        self.spark.createDataFrame(rows, MANIFEST_SCHEMA).coalesce(1) \
-            .write.mode("overwrite").parquet(f"{self.root}/manifest/epoch={epoch + 1}")
-
-    def vacuum(self, retain_seconds: float = 7 * 86400) -> int:
-        """Delete files that no read of the current state needs and that are older than
-        ``retain_seconds`` (readers that began earlier may still use them): bucket folders of
-        superseded deltas and bases, and manifest epochs before the current one.  Returns the
-        number of folders deleted."""
-        epoch, _seq, layout, _last = self._layout()
-        live = {self._path("base", base, b) for b, (base, _d) in layout.items() if base >= 0}
-        live |= {self._path("batch", d, b) for b, (_base, ds) in layout.items() for d in ds}
-        sc = self.spark.sparkContext
-        path = sc._jvm.org.apache.hadoop.fs.Path
-        fs = path(self.root).getFileSystem(sc._jsc.hadoopConfiguration())
-        before = sc._jvm.System.currentTimeMillis() - 1000 * retain_seconds
-        gone = 0
-
-        def folders(at: str) -> list:
-            p = path(at)
-            return [f for f in fs.listStatus(p) if f.isDirectory()] if fs.exists(p) else []
-
-        for top in folders(f"{self.root}/data"):
-            for f in folders(f"{self.root}/data/{top.getPath().getName()}"):
-                own = f"{self.root}/data/{top.getPath().getName()}/{f.getPath().getName()}"
-                if own not in live and f.getModificationTime() <= before:
-                    gone += bool(fs.delete(f.getPath(), True))
-        for f in folders(f"{self.root}/manifest"):
-            if (int(f.getPath().getName().rpartition("=")[2]) < epoch
-                    and f.getModificationTime() <= before):
-                gone += bool(fs.delete(f.getPath(), True))
-        return gone
-
-    def _path(self, kind: str, seq: int, bucket: int) -> str:
-        return f"{self.root}/data/{kind}={seq}/{BUCKET}={bucket}"
-
-    def bucket_of(self) -> F.Column:
-        """The state bucket of a row: pmod(xxhash64(pk), buckets)."""
-        return F.pmod(F.xxhash64(*[F.col(k) for k in self.pk]), F.lit(self.buckets))
-
-    def _merge(self, df: DataFrame) -> DataFrame:
-        """One row per key out of several images of it."""
-        return latest_per_key(df, self.pk, self.order, self.tie, self.nulls_first)
-
-    def _limit(self, bucket: int) -> int:
-        """Deltas from which a bucket is compacted; staggered, so buckets take turns."""
-        return max(1, self.max_deltas - bucket % max(1, self.max_deltas // 2))
-
-    # -------------------------------------------------------------- read
-    def read(self, include_tombstones: bool = False, buckets: Sequence[int] | None = None,
-             layout: dict | None = None) -> DataFrame | None:
-        """The state rows (with change metadata); buckets with pending deltas are merged by
-        key, the others are read as they are.  None while the state is empty."""
-        layout = layout if layout is not None else self._layout()[2]
-        if buckets is not None:
-            wanted = set(buckets)
-            layout = {b: v for b, v in layout.items() if b in wanted}
-        clean = [self._path("base", base, b) for b, (base, ds) in layout.items()
-                 if base >= 0 and not ds]
-        dirty = [p for b, (base, ds) in layout.items() if ds
-                 for p in ([self._path("base", base, b)] if base >= 0 else [])
-                 + [self._path("batch", d, b) for d in ds]]
-        parts = []
-        if clean:
-            parts.append(self.spark.read.parquet(*clean))
-        if dirty:
-            parts.append(self._merge(self.spark.read.parquet(*dirty)))
-        if not parts:
-            return None
-        df = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
-        if not include_tombstones and CT in df.columns:
-            df = df.filter(~F.col(CT).eqNullSafe(DELETE))
-        return df
+            return False
 
-    def current(self, schema: str | None = None) -> DataFrame | None:
-        """The net table: live rows, change metadata dropped.  While the state is empty: an
-        empty table of ``schema`` (DDL), or None without one."""
-        df = self.read()
+    def current(self, schema: str | None = None, batch_id: int | None = None) -> DataFrame | None:
+        """The table; while it is empty, an empty one of ``schema`` (DDL), or None without one."""
+        df = self.read(batch_id=batch_id)
         if df is None:
             return None if schema is None else self.spark.createDataFrame([], schema)
-        return df.drop(*[c for c in META if c in df.columns])
-
-    # -------------------------------------------------------------- write
-    def _write(self, df: DataFrame, path: str) -> list[int]:
-        """Write ``df`` partitioned by bucket; returns the buckets written (from the file
-        listing, no extra pass over the data)."""
-        spread = F.pmod(F.xxhash64(*[F.col(k) for k in self.pk], F.lit(7)),
-                        F.lit(self.files_per_bucket))
-        (df.repartition(BUCKET, spread).write.mode("overwrite").partitionBy(BUCKET)
-           .option("partitionOverwriteMode", "dynamic").parquet(path))
-        try:
-            files = self.spark.read.parquet(path).inputFiles()
-        except AnalysisException:      # an empty batch writes no data files
-            return []
-        return sorted({int(m.group(1)) for f in files for m in [_BUCKET_IN_PATH.search(f)] if m})
-
-    def _changes(self, changes: DataFrame) -> DataFrame:
-        return not_preimage(changes)
-
-    def apply_batch(self, changes: DataFrame, batch_id: int, stream: str = "") -> None:
-        """Merge one micro-batch of change rows (any order, any duplicates): write what it
-        leaves per key as a delta, then compact the buckets that have enough deltas.
-
-        The batch ids of one ``stream`` must increase, as Structured Streaming's do: ids up to
-        the stream's last committed one are taken for replays and skipped."""
-        epoch, seq, layout, last = self._layout()
-        if batch_id <= last.get(stream, -1):
-            return
-        seq += 1
-        rows = self._merge(self._changes(changes)).withColumn(BUCKET, self.bucket_of())
-        touched = self._write(rows, f"{self.root}/data/batch={seq}")
-        self._append_manifest(epoch, [(seq, b, "delta", stream, batch_id) for b in touched]
-                              + [(seq, -1, "commit", stream, batch_id)])
-        for b in touched:
-            base, ds = layout.get(b, (-1, []))
-            layout[b] = (base, ds + [seq])
-        full = [b for b in touched if len(layout[b][1]) >= self._limit(b)]
-        if full:
-            self.compact(full)
-        if len(self._manifest()[1].inputFiles()) >= self.consolidate_after:
-            self.consolidate()
-
-    def compact(self, buckets: Sequence[int]) -> None:
-        """Fold the deltas of ``buckets`` into a new base (tombstones kept)."""
-        epoch, seq, layout, _last = self._layout()
-        buckets = [b for b in buckets if layout.get(b, (-1, []))[1]]
-        merged = self.read(include_tombstones=True, buckets=buckets, layout=layout)
-        if merged is None:
-            return
-        written = self._write(merged.drop(BUCKET).withColumn(BUCKET, self.bucket_of()),
-                              f"{self.root}/data/base={seq}")
-        self._append_manifest(epoch, [(seq, b, "base", "", -1) for b in written])
-
-
-class AdditiveState(KeyedState):
-    """State whose value columns are sums: a batch adds to them, in any order, exactly once."""
-
-    def __init__(self, spark: SparkSession, root: str, pk: Sequence[str], values: Sequence[str],
-                 **options):
-        super().__init__(spark, root, pk, order=(), **options)
-        self.values = list(values)
-
-    def _changes(self, changes: DataFrame) -> DataFrame:
-        return changes
+        return df
 
-    def _merge(self, df: DataFrame) -> DataFrame:
-        return df.groupBy(*self.pk).agg(*[F.sum(v).alias(v) for v in self.values])
+    def start(self, stream: DataFrame, publish=None, available_now: bool = True,
+              processing_time: str | None = None):
+        """Keep the table current from a stream.  ``publish(rows, batch_id)``, if given, gets what each
+        micro-batch changed: the touched keys with their new values."""
+        writer = self.aggregate(stream).writeStream.outputMode("update").option("checkpointLocation", self.root)
+        if publish:
+            writer = writer.foreachBatch(lambda df, batch_id: publish(df, int(batch_id)))
+        else:
+            writer = writer.format("noop")
+        writer = (writer.trigger(availableNow=True) if available_now or not processing_time
+                  else writer.trigger(processingTime=processing_time))
+        with _settings(self.spark, STORE | {"spark.sql.shuffle.partitions": str(self.partitions)}):
+            return writer.start()
+
+
+class KeyedState(StateTable):
+    """The latest row of each key of a change stream, by ``order``, then ``tie`` (descending), then
+    the other columns, so that the choice never depends on arrival.  ``nulls_first``: a null order
+    value wins.  Preimages and rows with a null key are left out."""
+
+    def __init__(self, spark: SparkSession, root: str, pk: Sequence[str], order: Sequence[str] = (VER,),
+                 tie: Sequence[str] = (), nulls_first: bool = False, partitions: int = 8):
+        super().__init__(spark, root, pk, ["row"], partitions)
+        self.order, self.tie, self.nulls_first = list(order), list(tie), nulls_first
+
+    def aggregate(self, stream: DataFrame) -> DataFrame:
+        if CT in stream.columns:
+            stream = not_preimage(stream)
+        own = [c for c in stream.columns if c not in {*self.pk, *self.order, *self.tie}]
+        if CT in own:      # of two images of one version a delete comes last
+            own = [CT, *[c for c in own if c != CT]]
+        rank = [x for c in self.order for x in ([F.col(c).isNull().alias(f"__null_{c}")] if self.nulls_first else [])
+                + [F.col(c)]]
+        return (stream.filter(_all_not_null(self.pk)).groupBy(*self.pk)
+                .agg(F.max(F.struct(*rank, *self.tie, *own)).alias("row")))
+
+    def read(self, include_tombstones: bool = False, batch_id: int | None = None) -> DataFrame | None:
+        """The latest rows with their change metadata."""
+        state = super().read(batch_id)
+        if state is None:
+            return None
+        df = state.select(*self.pk, "row.*")
+        df = df.drop(*[c for c in df.columns if c.startswith("__null_")])
+        if not include_tombstones and CT in df.columns:
+            df = df.filter(~F.col(CT).eqNullSafe(DELETE))
+        return df
 
+    def current(self, schema: str | None = None, batch_id: int | None = None) -> DataFrame | None:
+        """The net table: live rows, change metadata dropped."""
+        df = super().current(schema, batch_id)
+        return None if df is None else df.drop(*[c for c in META if c in df.columns])
 
-def stream_id(spark: SparkSession, checkpoint: str) -> str:
-    """The id that Structured Streaming gave the query of this checkpoint: another for each
-    checkpoint, also for one that was deleted and begun again at the same place."""
-    return spark.read.text(f"{checkpoint.rstrip('/')}/metadata").first()[0]
 
+class AdditiveState(StateTable):
+    """Sums per key: each batch adds to them exactly once, in any order; a negative value takes away."""
 
-def start_sync(stream: DataFrame, state: KeyedState, checkpoint: str, prepare=None,
-               available_now: bool = True, processing_time: str | None = None):
-    """Start a query that applies each micro-batch, after ``prepare(batch, batch_id)``, to the state."""
-    def apply(df: DataFrame, batch_id: int) -> None:
-        rows = prepare(df, int(batch_id)) if prepare else df
-        state.apply_batch(rows, int(batch_id), stream_id(df.sparkSession, checkpoint))
+    def __init__(self, spark: SparkSession, root: str, pk: Sequence[str], values: Sequence[str],
+                 partitions: int = 8):
+        super().__init__(spark, root, pk, values, partitions)
 
-    writer = stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
-    writer = (writer.trigger(availableNow=True) if available_now or not processing_time
-              else writer.trigger(processingTime=processing_time))
-    return writer.start()
+    def aggregate(self, stream: DataFrame) -> DataFrame:
+        return stream.groupBy(*self.pk).agg(*[F.sum(v).alias(v) for v in self.values])
 
 
-def continuous_sync(changes_stream: DataFrame, state: KeyedState, checkpoint: str,
+def continuous_sync(changes_stream: DataFrame, state: StateTable, publish=None,
                     available_now: bool = True, processing_time: str | None = None):
-    """S7 / ST2: keep ``state`` up to date from a change stream (``foreachBatch``).
+    """S7 / ST2: keep ``state`` up to date from a change stream.
 
     ``available_now`` processes what is there and stops (tests, scheduled runs); otherwise
     ``processing_time`` (e.g. '15 seconds') runs continuously.
     """
-    return start_sync(changes_stream, state, checkpoint, None, available_now, processing_time)
+    return state.start(changes_stream, publish, available_now, processing_time)

@@ -123,13 +123,12 @@ def test_diff_then_apply_gives_new(spark, old, new):
 @given(rows=histories(), order=st.permutations([0, 1, 2]))
 def test_state_batches_in_any_order(spark, rows, order):
     log = spark.createDataFrame(rows, LOG_SCHEMA)
-    parts = [log.filter(f"_commit_version % 3 = {i}") for i in range(3)]
-    state = KeyedState(spark, tempfile.mkdtemp(prefix="keyloop-prop-"), ["k"], buckets=3,
-                       max_deltas=2,     # compaction after every second delta of a bucket
-                       consolidate_after=2)   # and a new manifest epoch every second append
-    for bid, i in enumerate(order):
-        state.apply_batch(parts[i], bid)
-    state.apply_batch(parts[order[0]], 99)            # a late replay of old changes
+    root = tempfile.mkdtemp(prefix="keyloop-prop-")
+    for i in [*order, order[0]]:                      # the last one: a late replay of old changes
+        log.filter(f"_commit_version % 3 = {i}").coalesce(1).write.mode("append").parquet(f"{root}/in")
+    state = KeyedState(spark, f"{root}/state", ["k"], partitions=2)
+    stream = spark.readStream.schema(log.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/in")
+    state.start(stream).awaitTermination()
     cur = state.current()
     got = sorted(cur.select("k", "v").collect()) if cur is not None else []
     assert got == sorted(H.current_state(log, ["k"]).select("k", "v").collect())

@@ -1,206 +1,276 @@
-"""Streaming = batch, also out of order and replayed."""
+"""Streaming = batch, also out of order, replayed and restarted."""
 
+import random
 import tempfile
 
+import pytest
 from pyspark.sql import functions as F
 
 from keyloop.operators import history as H
+from keyloop.plans import queues as Q
 from keyloop.sources import tables as V
 from keyloop.streaming import capture as SC
-from keyloop.streaming.state import AdditiveState, KeyedState, continuous_sync
+from keyloop.streaming import live as SL
+from keyloop.streaming.state import AdditiveState, KeyedState, continuous_sync, suggest_partitions
 
+LOG = "entity_id long, v string, _change_type string, _commit_version long, _commit_timestamp timestamp_ntz"
 
-def _split_log(spark, sf_small, parts=4):
-    """Write the change log of sf0.001 as several files, newest versions first."""
-    d = tempfile.mkdtemp(prefix="keyloop-log-")
-    log = V.change_log(spark, sf_small)
-    for i in reversed(range(parts)):
-        (log.filter(F.col("_commit_version") % parts == i)
-            .coalesce(1).write.parquet(f"{d}/part{i}"))
-    flat = tempfile.mkdtemp(prefix="keyloop-flat-")
-    # one flat directory of files for the file stream
-    for i in range(parts):
-        spark.read.parquet(f"{d}/part{i}").coalesce(1).write.mode("append").parquet(flat)
-    return log, flat
 
+def folder(name):
+    return tempfile.mkdtemp(prefix=f"keyloop-{name}-")
 
-def test_stream_equals_batch_out_of_order(spark, sf_small):
-    log, flat = _split_log(spark, sf_small)
-    root = tempfile.mkdtemp(prefix="keyloop-state-")
-    state = KeyedState(spark, f"{root}/state", ["entity_id"], buckets=8, max_deltas=2,
-                       consolidate_after=2)
-    src = SC.file_stream(spark, flat, "*.parquet", max_files_per_trigger=1)
-    continuous_sync(src, state, f"{root}/_chk").awaitTermination()
-    want = sorted(H.current_state(log, ["entity_id"]).collect())
-    got = sorted(state.current().select("entity_id", "value", "props").collect())
-    assert got == want
-    # replaying an old batch (new batch id, older versions) changes nothing
-    state.apply_batch(log.filter(F.col("_commit_version") < 300), 999)
-    got2 = sorted(state.current().select("entity_id", "value", "props").collect())
-    assert got2 == want
-    # a committed batch id is skipped
-    state.apply_batch(log.limit(0), 999)
-    assert sorted(state.current().select("entity_id", "value", "props").collect()) == want
 
+def stream_of(spark, schema, path):
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(path)
 
-def test_capture_is_exactly_once(spark, sf_small):
-    root = tempfile.mkdtemp(prefix="keyloop-cap-")
-    src = V.change_log_of(SC.file_stream(spark, sf_small, "events.parquet"))
-    SC.capture_changes(src, f"{root}/h", f"{root}/c").awaitTermination()
-    # restarting with the same checkpoint appends nothing
-    src2 = V.change_log_of(SC.file_stream(spark, sf_small, "events.parquet"))
-    SC.capture_changes(src2, f"{root}/h", f"{root}/c").awaitTermination()
-    assert spark.read.parquet(f"{root}/h").count() == 1000
 
+def in_files(df, path, parts, order=None):
+    """The rows in ``parts`` files, written one after the other."""
+    for i in parts:
+        df.filter(F.col(order or "_commit_version") % len(parts) == i).coalesce(1).write.mode("append").parquet(path)
 
-def test_daily_counts_independent_of_session_zone(spark, sf_small):
-    from keyloop.plans import metrics as M
-    from keyloop.streaming import live as SL
-    old = spark.conf.get("spark.sql.session.timeZone")
-    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
-    try:
-        root = tempfile.mkdtemp(prefix="keyloop-daily-")
-        state = AdditiveState(spark, f"{root}/state", ["day"], ["n_actions"], buckets=4)
-        src = V.actions_of(SC.file_stream(spark, sf_small, "lineitem.parquet"))
-        SL.live_daily_counts(src, "completed_at", state, f"{root}/c").awaitTermination()
-        got = sorted((str(r.day), r.n_actions) for r in state.current().collect())
-        want = sorted((str(r.day), r.n_actions)
-                      for r in M.actions_per_day(V.actions(spark, sf_small)).collect())
-        assert got == want
-    finally:
-        spark.conf.set("spark.sql.session.timeZone", old)
+
+def rows(df, *cols):
+    return sorted(map(tuple, df.select(*cols).collect()), key=str)
 
 
-def test_state_survives_crash_before_manifest(spark, sf_small, monkeypatch):
+def test_stream_equals_batch_out_of_order(spark, sf_small):
     log = V.change_log(spark, sf_small)
-    root = tempfile.mkdtemp(prefix="keyloop-crash-")
-    state = KeyedState(spark, f"{root}/state", ["entity_id"], buckets=4)
-    state.apply_batch(log.filter("_commit_version < 500"), 0)
-    calls = {"n": 0}
-    real = state.spark.createDataFrame
-
-    def boom(*a, **k):               # fail when the manifest entry is about to be written
-        calls["n"] += 1
-        raise RuntimeError("lost the driver before the manifest was written")
-    monkeypatch.setattr(state.spark, "createDataFrame", boom)
-    try:
-        state.apply_batch(log.filter("_commit_version >= 500"), 1)
-    except RuntimeError:
-        pass
-    monkeypatch.setattr(state.spark, "createDataFrame", real)
-    assert calls["n"] == 1 and not state.committed(1)
-    # the half-written batch is invisible; re-running it completes the state
-    state.apply_batch(log.filter("_commit_version >= 500"), 1)
-    got = sorted(state.current().select("entity_id", "value", "props").collect())
-    assert got == sorted(H.current_state(log, ["entity_id"]).collect())
-
-
-def test_stream_resumes_from_checkpoint(spark, sf_small):
-    log, flat = _split_log(spark, sf_small)
-    root = tempfile.mkdtemp(prefix="keyloop-resume-")
-    state = KeyedState(spark, f"{root}/state", ["entity_id"], buckets=4)
-    src = SC.file_stream(spark, flat, "*.parquet", max_files_per_trigger=1)
-    q = (src.writeStream.foreachBatch(lambda df, bid: state.apply_batch(df, int(bid)))
-         .option("checkpointLocation", f"{root}/_chk").trigger(once=True).start())
-    q.awaitTermination()                       # one file only, then "crash"
-    src2 = SC.file_stream(spark, flat, "*.parquet", max_files_per_trigger=1)
-    continuous_sync(src2, state, f"{root}/_chk").awaitTermination()
-    got = sorted(state.current().select("entity_id", "value", "props").collect())
-    assert got == sorted(H.current_state(log, ["entity_id"]).collect())
-
-
-def test_suggest_layout_bounds():
-    from keyloop.streaming.state import suggest_layout
-    assert suggest_layout(None) == (8, 1)
-    assert suggest_layout(10 << 20) == (8, 1)
-    assert suggest_layout(1 << 40) == (4096, 2)            # 1 TiB: 8192 files of 128 MiB
-    b, f = suggest_layout(100 << 40)                       # 100 TiB
-    assert b == 4096 and f == 200
-
-
-def test_manifest_epochs_found_again_and_bounded(spark, sf_small):
+    root = folder("state")
+    in_files(log, f"{root}/in", [3, 1, 0, 2])
+    state = KeyedState(spark, f"{root}/state", ["entity_id"], partitions=4)
+    reader = KeyedState(spark, f"{root}/state", ["entity_id"])      # opened before anything was written
+    assert reader.current() is None
+    seen = []
+    src = stream_of(spark, log.schema, f"{root}/in")
+    continuous_sync(src, state, publish=lambda df, b: seen.append((b, df.count()))).awaitTermination()
+    cols = ["entity_id", "value", "props"]
+    want = rows(H.current_state(log, ["entity_id"]), *cols)
+    assert rows(reader.current(), *cols) == want
+    keys = log.select("entity_id").distinct().count()
+    assert [b for b, _ in seen] == [0, 1, 2, 3] and all(0 < n <= keys for _, n in seen)
+    # every batch again through the same query: replays change nothing
+    in_files(log, f"{root}/in", [1, 2, 0, 3])
+    continuous_sync(stream_of(spark, log.schema, f"{root}/in"), state).awaitTermination()
+    assert rows(reader.current(), *cols) == want
+    # an earlier batch is still there to read
+    first = H.current_state(log.filter("_commit_version % 4 = 3"), ["entity_id"])
+    assert rows(reader.current(batch_id=0), *cols) == rows(first, *cols)
+
+
+def test_late_changes_and_deletes(spark):
+    """Older changes after newer ones, a delete and what comes late for its key, nulls, empty batches."""
+    log = [(1, "new", "update_postimage", 5, None), (1, "old", "insert", 1, None),
+           (2, "x", "insert", 1, None), (2, "x", "delete", 4, None), (2, "late", "update_postimage", 3, None),
+           (3, "pre", "update_preimage", 9, None), (3, None, "insert", 2, None), (None, "no key", "insert", 7, None),
+           (4, "a", "insert", 1, None), (4, "b", "insert", 1, None)]
+    root = folder("late")
+    for i, one in enumerate([*log, log[1]]):
+        spark.createDataFrame([one], LOG).coalesce(1).write.mode("append").parquet(f"{root}/in")
+        if i % 4 == 0:
+            spark.createDataFrame([], LOG).coalesce(1).write.mode("append").parquet(f"{root}/in")
+    state = KeyedState(spark, f"{root}/state", ["entity_id"], partitions=2)
+    continuous_sync(stream_of(spark, LOG, f"{root}/in"), state).awaitTermination()
+    assert rows(state.current(), "entity_id", "v") == [(1, "new"), (3, None), (4, "b")]
+    assert (2, "delete") in rows(state.read(include_tombstones=True), "entity_id", "_change_type")
+
+
+def test_state_survives_a_failing_batch(spark, sf_small):
     log = V.change_log(spark, sf_small)
-    root = tempfile.mkdtemp(prefix="keyloop-epochs-")
-    state = KeyedState(spark, f"{root}/state", ["entity_id"], buckets=4, max_deltas=3,
-                       consolidate_after=3)
-    for bid in range(10):
-        state.apply_batch(log.filter(F.col("_commit_version") % 10 == bid), bid)
-    assert state._manifest()[0] >= 2
-    assert len(state._manifest()[1].inputFiles()) < 3 + 1
-    # a new object on the same folder finds the newest epoch and the committed batches
-    again = KeyedState(spark, f"{root}/state", ["entity_id"], buckets=4, max_deltas=3,
-                       consolidate_after=3)
-    assert again._manifest()[0] == state._manifest()[0]
-    assert again.committed(0) and again.committed(9) and not again.committed(10)
-    want = sorted(H.current_state(log, ["entity_id"]).collect())
-    assert sorted(again.current().select("entity_id", "value", "props").collect()) == want
-    # an epoch whose consolidation file never completed does not count
-    spark.createDataFrame([(5, 1, "delta", "", 5)],
-                          "seq long, bucket long, kind string, stream string, batch_id long") \
-        .write.parquet(f"{root}/state/manifest/epoch={state._manifest()[0] + 1}")
-    third = KeyedState(spark, f"{root}/state", ["entity_id"], buckets=4)
-    assert third._manifest()[0] == state._manifest()[0]
+    root = folder("crash")
+    in_files(log, f"{root}/in", [0, 1, 2])
+    state = KeyedState(spark, f"{root}/state", ["entity_id"], partitions=2)
+    added = AdditiveState(spark, f"{root}/sums", ["entity_id"], ["one"], partitions=2)
+    numbered = log.withColumn("one", F.lit(1).cast("long"))
+
+    def boom(df, batch_id):
+        df.count()
+        if batch_id == 1:
+            raise RuntimeError("lost the driver before the batch was committed")
+    for table, frame in ((state, log), (added, numbered)):
+        stream = stream_of(spark, log.schema, f"{root}/in")
+        stream = stream.withColumn("one", F.lit(1).cast("long")) if table is added else stream
+        with pytest.raises(Exception):  # noqa: B017 - whatever the query is ended by
+            table.start(stream, boom).awaitTermination()
+        table.start(stream).awaitTermination()          # goes on from the last commit
+    assert rows(state.current(), "entity_id", "value") == rows(H.current_state(log, ["entity_id"]), "entity_id", "value")
+    want = numbered.groupBy("entity_id").agg(F.sum("one").alias("one"))
+    assert rows(added.current(), "entity_id", "one") == rows(want, "entity_id", "one")
 
 
 def test_continuous_trigger_mode(spark, sf_small):
     """S7 with a processing-time trigger: run, drain what is there, stop."""
-    root = tempfile.mkdtemp(prefix="keyloop-cont-")
-    state = KeyedState(spark, f"{root}/state", ["entity_id"], buckets=4)
+    state = KeyedState(spark, folder("cont"), ["entity_id"], partitions=2)
     src = V.change_log_of(SC.file_stream(spark, sf_small, "events.parquet"))
-    q = continuous_sync(src, state, f"{root}/_chk", available_now=False,
-                        processing_time="1 second")
+    q = continuous_sync(src, state, available_now=False, processing_time="1 second")
     try:
         q.processAllAvailable()
     finally:
         q.stop()
-    log = V.change_log(spark, sf_small)
-    got = sorted(state.current().select("entity_id", "value", "props").collect())
-    assert got == sorted(H.current_state(log, ["entity_id"]).collect())
-
-
-def test_a_new_checkpoint_is_another_stream(spark, sf_small):
-    """Batch ids start at 0 again with a new checkpoint; nothing of it is taken for a replay."""
-    log, _ = _split_log(spark, sf_small)
-    root = tempfile.mkdtemp(prefix="keyloop-restart-")
-    state = KeyedState(spark, f"{root}/state", ["entity_id"], buckets=4, max_deltas=2,
-                       consolidate_after=3)
-    reader = KeyedState(spark, f"{root}/state", ["entity_id"], buckets=4)
-    assert reader.current() is None            # opened before anything was written
-    for i in range(3):
-        log.filter(F.col("_commit_version") % 3 == i).write.parquet(f"{root}/in{i}")
-        src = spark.readStream.schema(log.schema).parquet(f"{root}/in{i}")
-        continuous_sync(src, state, f"{root}/checkpoint{i}").awaitTermination()
-    want = sorted(H.current_state(log, ["entity_id"]).collect())
-    assert sorted(reader.current().select("entity_id", "value", "props").collect()) == want
-
-
-def test_vacuum_leaves_what_is_read(spark, sf_small):
-    log = V.change_log(spark, sf_small)
-    root = tempfile.mkdtemp(prefix="keyloop-vacuum-")
-    state = KeyedState(spark, f"{root}/state", ["entity_id"], buckets=4, max_deltas=2,
-                       consolidate_after=2)
-    for bid in range(6):
-        state.apply_batch(log.filter(F.col("_commit_version") % 6 == bid), bid)
-    assert state.vacuum(retain_seconds=3600) == 0
-    assert state.vacuum(retain_seconds=0) > 0 and state.vacuum(retain_seconds=0) == 0
-    again = KeyedState(spark, f"{root}/state", ["entity_id"], buckets=4, max_deltas=2)
-    again.apply_batch(log.limit(0), 6)         # and goes on from there
-    assert again.committed(6) and not again.committed(7)
-    got = sorted(again.current().select("entity_id", "value", "props").collect())
-    assert got == sorted(H.current_state(log, ["entity_id"]).collect())
-
-
-def test_sums_are_added_once(spark):
-    root = tempfile.mkdtemp(prefix="keyloop-sums-")
-    state = AdditiveState(spark, f"{root}/state", ["day"], ["n"], buckets=2, max_deltas=2,
-                          consolidate_after=3)
-    batch = spark.createDataFrame([("a", 1), ("b", 2), ("a", 3)], "day string, n long")
-    for bid in (0, 1, 1, 0, 2, 3):             # replays among them
-        state.apply_batch(batch, bid, "s")
-    state.apply_batch(batch, 0, "another stream")
-    assert sorted((r.day, r.n) for r in state.current().collect()) == [("a", 20), ("b", 10)]
-
-
-def test_empty_state_has_its_schema(spark):
-    root = tempfile.mkdtemp(prefix="keyloop-none-")
-    assert KeyedState(spark, root, ["k"]).current("k long, v string").columns == ["k", "v"]
+    want = H.current_state(V.change_log(spark, sf_small), ["entity_id"])
+    assert rows(state.current(), "entity_id", "value") == rows(want, "entity_id", "value")
+
+
+def test_settings_are_those_of_the_session_again(spark):
+    name = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(name, None)
+    root = folder("conf")
+    spark.createDataFrame([(1, "a", "insert", 1, None)], LOG).write.parquet(f"{root}/in")
+    state = KeyedState(spark, f"{root}/state", ["entity_id"], partitions=3)
+    continuous_sync(stream_of(spark, LOG, f"{root}/in"), state).awaitTermination()
+    assert spark.conf.get(name, None) == before and spark.conf.get("spark.sql.shuffle.partitions") == "4"
+    assert KeyedState(spark, folder("none"), ["k"]).current("k long, v string").columns == ["k", "v"]
+
+
+def test_suggest_partitions_bounds():
+    assert suggest_partitions(None) == 4 and suggest_partitions(10 << 20) == 4
+    assert suggest_partitions(1 << 40) == 8192 and suggest_partitions(1 << 60) == 1 << 16
+
+
+def test_capture_is_exactly_once(spark, sf_small):
+    root = folder("cap")
+    for _ in range(2):      # restarting with the same checkpoint appends nothing
+        src = V.change_log_of(SC.file_stream(spark, sf_small, "events.parquet"))
+        SC.capture_changes(src, f"{root}/h", f"{root}/c").awaitTermination()
+    assert spark.read.parquet(f"{root}/h").count() == 1000
+
+
+# ---------------------------------------------------------------- ST3
+ACTION = "ticket_id long, performed_at timestamp_ntz, performed_by string, status string, line_no int, amount double"
+
+
+def some_actions(spark, seed, n, tickets):
+    rng = random.Random(seed)
+    rows_ = [(rng.choice([None, *range(tickets)]), rng.choice([None] + [f"2024-01-{d:02d} 00:00:00.{d:03d}" for d in range(1, 9)]),
+              rng.choice(["ann", "bob", None]), rng.choice(["completed", "in_progress", None]),
+              rng.choice([None, 1, 2, 3]), rng.choice([None, 0.5, 2.25])) for _ in range(n)]
+    # one row for each (ticket, time, place), so that the latest is one row
+    rows_ = list({(r[0], r[1], r[4], r[5]): r for r in rows_}.values())
+    return spark.createDataFrame(rows_, ACTION.replace("timestamp_ntz", "string")).withColumn(
+        "performed_at", F.col("performed_at").cast("timestamp_ntz"))
+
+
+def test_queue_changes_add_up_after_every_batch(spark, sf_small):
+    """On the driver tables: sums of changes equal the queue over the rows so far; a batch touches its own
+    tickets only, and rows that come again change nothing."""
+    tickets, machines = V.tickets(spark, sf_small), V.machines(spark, sf_small)
+    actions = V.actions(spark, sf_small).select("ticket_id", "performed_at", "performed_by", "status", "line_no", "amount")
+    root = folder("queue")
+    in_files(actions, f"{root}/in", [4, 2, 0, 3, 1], order="line_no")
+    parts = [4, 2, 0, 3, 1]
+    sizes = {}
+    sink = SL.queue_sink(f"{root}/changes")
+
+    def publish(df, b):
+        sink(df, b)
+        sizes[b] = spark.read.parquet(f"{root}/changes/batch={b}").count()
+    run = lambda: SL.live_queue(stream_of(spark, actions.schema, f"{root}/in"), tickets, machines,
+                                f"{root}/_c", publish, partitions=4).awaitTermination()
+    run()
+    changes = spark.read.parquet(f"{root}/changes")
+    assert changes.groupBy("batch", *SL.QUEUE).agg(F.sum("change").alias("n")).filter("abs(n) > 1").isEmpty()
+    for b in range(-1, 5):
+        so_far = actions.filter((F.col("line_no") % 5).isin(parts[:b + 1]))
+        want = Q.open_alerts(tickets, machines, so_far)
+        assert rows(SL.summed_queue(changes.filter(f"batch <= {b}")), *SL.QUEUE) == rows(want, *SL.QUEUE)
+        if b >= 0:
+            touched = actions.filter(F.col("line_no") % 5 == parts[b]).select("ticket_id").distinct().count()
+            assert 0 < sizes[b] <= 2 * touched
+    in_files(actions, f"{root}/in", [2], order="line_no")
+    actions.filter("line_no = 2").coalesce(1).write.mode("append").parquet(f"{root}/in")
+    run()
+    assert sizes[5] == sizes[6] == 0
+
+
+def test_queue_of_changing_tickets(spark):
+    """Tickets as a stream of changes: opened, closed, moved, deleted, late and repeated."""
+    machines = spark.createDataFrame([(1, "A", 10), (2, "B", 20)], "machine_id long, model string, line int")
+    schema = ("ticket_id long, machine_id long, priority string, description string, opened_at timestamp_ntz, status string, "
+              "_change_type string, _commit_version long")
+    image = lambda t, m, p, s, ct, v: (t, m, p, "d", None, s, ct, v)
+    feeds = [[image(1, 1, "high", "open", "insert", 1), image(2, 2, "low", "open", "insert", 2),
+              image(3, 9, "low", "open", "insert", 3), image(4, None, None, "open", "insert", 4)],
+             [image(1, 1, "high", "open", "update_preimage", 5), image(1, 2, "high", "open", "update_postimage", 5),
+              image(2, 2, "low", "open", "delete", 6), image(None, 1, "low", "open", "insert", 7)],
+             [image(1, 1, "low", "closed", "update_postimage", 4), image(5, 1, "low", "closed", "insert", 8)],
+             [image(2, 2, "low", "open", "insert", 9), image(1, 2, "high", "closed", "update_postimage", 10)],
+             [image(5, 1, "low", "open", "update_postimage", 11), image(1, 2, "high", "open", "update_postimage", 12)]]
+    actions = some_actions(spark, 2, 60, 7)
+    root = folder("tickets")
+    in_files(actions.withColumn("g", F.pmod(F.xxhash64(*actions.columns), F.lit(5))), f"{root}/a", [0, 1, 2, 3, 4], "g")
+    for f in feeds:
+        spark.createDataFrame(f, schema).coalesce(1).write.mode("append").parquet(f"{root}/t")
+    SL.live_queue(stream_of(spark, actions.schema, f"{root}/a"), stream_of(spark, schema, f"{root}/t"), machines,
+                  f"{root}/_c", SL.queue_sink(f"{root}/changes"), partitions=2, buckets=3).awaitTermination()
+    log = spark.createDataFrame([r for f in feeds for r in f], schema).withColumn(
+        "_commit_timestamp", F.lit(None).cast("timestamp_ntz"))
+    want = Q.open_alerts(H.current_state(log, ["ticket_id"]), machines, actions)
+    got = SL.summed_queue(spark.read.parquet(f"{root}/changes"))
+    assert rows(got, *SL.QUEUE) == rows(want, *SL.QUEUE)
+
+
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York"])
+def test_queue_of_odd_actions(spark, zone):
+    """Null times win, null ties lose, unknown tickets and machines give no row."""
+    tickets = spark.createDataFrame(
+        [(i, 1 + i % 3, "low", f'say "{i}"', None, "open" if i % 4 else "closed") for i in range(9)],
+        "ticket_id long, machine_id long, priority string, description string, opened_at timestamp_ntz, status string")
+    machines = spark.createDataFrame([(1, "A", 10), (2, None, None)], "machine_id long, model string, line int")
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        actions = some_actions(spark, 5, 200, 12).cache()
+        root = folder("odd")
+        in_files(actions.withColumn("g", F.pmod(F.xxhash64(*actions.columns), F.lit(3))), f"{root}/a", [0, 1, 2], "g")
+        SL.live_queue(stream_of(spark, actions.schema, f"{root}/a"), tickets, machines, f"{root}/_c",
+                      SL.queue_sink(f"{root}/changes"), partitions=2).awaitTermination()
+        want = Q.open_alerts(tickets, machines, actions)
+        assert rows(SL.summed_queue(spark.read.parquet(f"{root}/changes")), *SL.QUEUE) == rows(want, *SL.QUEUE)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+
+
+# ---------------------------------------------------------------- ST4
+def test_daily_counts_independent_of_session_zone(spark, sf_small):
+    from keyloop.plans import metrics as M
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        state = SL.DailyCounts(spark, folder("daily"), "completed_at")
+        src = V.actions_of(SC.file_stream(spark, sf_small, "lineitem.parquet"))
+        SL.live_daily_counts(src, state).awaitTermination()
+        got = rows(state.current(), F.col("day").cast("string"), "n_actions")
+        assert got == rows(M.actions_per_day(V.actions(spark, sf_small)), F.col("day").cast("string"), "n_actions")
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_signed_averages_follow_updates_and_deletes(spark):
+    """After every batch the averages are those of the net table, whatever order the changes come in."""
+    rng = random.Random(9)
+    live, log = {}, []
+    for v in range(120):
+        k = rng.randrange(15)
+        value = rng.choice([None, 1.25, -3.5, 40.0, 0.1])
+        group = rng.choice(["a", "b", None])
+        if k in live and rng.random() < 0.3:
+            log.append((k, *live.pop(k), "delete", v))
+        elif k in live:
+            log += [(k, *live[k], "update_preimage", v), (k, group, value, "update_postimage", v)]
+            live[k] = (group, value)
+        else:
+            log.append((k, group, value, "insert", v))
+            live[k] = (group, value)
+    schema = "k long, g string, x double, _change_type string, _commit_version long"
+    root = folder("signed")
+    for i in range(0, 120, 30):
+        part = [r for r in log if i <= r[4] < i + 30]
+        rng.shuffle(part)
+        spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(f"{root}/in")
+    state = SL.SignedAverages(spark, f"{root}/state", ["g"], "x", partitions=2)
+    state.start(stream_of(spark, schema, f"{root}/in")).awaitTermination()
+    full = spark.createDataFrame(log, schema).withColumn("_commit_timestamp", F.lit(None).cast("timestamp_ntz"))
+    for batch, upto in enumerate((30, 60, 90, 120)):
+        net = H.current_state(full.filter(f"_commit_version < {upto}"), ["k"])
+        want = net.filter("x is not null").groupBy("g").agg(F.count("x").alias("n"), F.round(F.avg("x"), 9).alias("a"))
+        assert rows(state.averages(batch), "g", "n", F.round("average", 9)) == rows(want, "g", "n", "a")

@@ -21,6 +21,8 @@ from keyloop.plans import oracle as O
 from keyloop.session import scratch_path
 from keyloop.sources import tables as V
 from keyloop.streaming import capture as SC
+from keyloop.streaming import deltas as SD
+from keyloop.streaming import history as SH
 from keyloop.streaming import live as SL
 from keyloop.streaming.state import KeyedState, continuous_sync, suggest_partitions
 
@@ -808,11 +810,17 @@ _DAYS = "day timestamp_ntz, n_actions bigint"
 STREAM_FILES = 12
 
 
-def _in_files(df, order: str, path: str, times: int = 1):
-    """The whole frame written again as STREAM_FILES files, each a range of ``order``, the latest
-    rows first (``times`` over: replays), and a stream over them, one file a micro-batch."""
-    for _ in range(times):
-        df.repartitionByRange(STREAM_FILES, F.desc(order)).write.mode("append").parquet(path)
+def _in_files(df, order: str, path: str, latest_first: bool = True):
+    """The whole frame written again as about STREAM_FILES files, each a range of ``order``, and a stream over
+    them, one file a micro-batch: of the latest rows first, or written in order, one after the other."""
+    ranges = df.repartitionByRange(STREAM_FILES, F.desc(order) if latest_first else F.asc(order))
+    if latest_first:
+        ranges.write.mode("append").parquet(path)
+    else:       # files are taken by time, so one job writes one; the frame is dealt out once
+        ranges.write.parquet(f"{path}-dealt")
+        names = sorted(df.sparkSession.read.parquet(f"{path}-dealt").inputFiles())
+        for name in names:
+            df.sparkSession.read.schema(df.schema).parquet(name).coalesce(1).write.mode("append").parquet(path)
     return df.sparkSession.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(path)
 
 
@@ -848,5 +856,62 @@ def q_stream_live_queue_batches(spark, sf):
     src = V.actions_of(_in_files(V.table(spark, sf, "lineitem"), "l_shipdate", f"{root}/input")).select(
         "ticket_id", "performed_at", "performed_by", "status", "line_no", "amount")
     SL.live_queue(src, V.tickets(spark, sf, status="open"), V.machines(spark, sf), f"{root}/_checkpoint",
-                  SL.queue_sink(f"{root}/changes")).awaitTermination()
-    return SL.summed_queue(spark.read.parquet(f"{root}/changes"))
+                  SD.delta_sink(f"{root}/changes")).awaitTermination()
+    return SD.summed(spark.read.parquet(f"{root}/changes"))
+
+
+@register("stream_intervals_batches", ORACLE["validity_intervals"])
+def q_stream_intervals_batches(spark, sf):
+    """H4 maintained, newest changes first: each batch splices the intervals of the keys it touches."""
+    root = scratch_path(spark, "state", "interval_batches")
+    stream = V.change_log_of(_in_files(V.table(spark, sf, "events"), "event_id", f"{root}/input"))
+    SD.start_deltas(SH.interval_changes(stream, LOG_PK), f"{root}/_checkpoint",
+                    SD.delta_sink(f"{root}/changes")).awaitTermination()
+    bounds = SD.summed(spark.read.parquet(f"{root}/changes"))
+    return SH.intervals_of(V.change_log(spark, sf), bounds, LOG_PK)
+
+
+# ---- row states without change types: captured as a log with images, averaged with retractions
+_STATES = """st AS (SELECT user_id, event_id, event_type = 'error' AS gone, value, props,
+  lag(CASE WHEN event_type <> 'error' THEN value END) OVER w AS old_value,
+  lag(CASE WHEN event_type <> 'error' THEN props END) OVER w AS old_props,
+  coalesce(lag(event_type <> 'error') OVER w, FALSE) AS had
+  FROM events WHERE user_id IS NOT NULL WINDOW w AS (PARTITION BY user_id ORDER BY event_id))"""
+
+
+def _captured(spark, sf, root):
+    """The change log, captured in batches from the events taken as states of their user: an error
+    event is the end of the row, any other its value and props."""
+    events = V.table(spark, sf, "events").select("user_id", "event_id", "event_type", "value", "props")
+    stream = _in_files(events, "event_id", f"{root}/input", latest_first=False)
+    changes = SH.captured_changes(stream, ["user_id"], "event_id", F.col("event_type") == "error", ["value", "props"])
+    SD.start_deltas(changes, f"{root}/_checkpoint", SD.delta_sink(f"{root}/log")).awaitTermination()
+    return spark.read.parquet(f"{root}/log")
+
+
+@register("stream_capture_states", f"""WITH {_STATES}
+SELECT user_id, old_value AS value, old_props AS props, 'delete' AS _change_type, event_id AS _commit_version
+FROM st WHERE gone AND had
+UNION ALL SELECT user_id, value, props, 'insert', event_id FROM st WHERE NOT gone AND NOT had
+UNION ALL SELECT user_id, unnest([old_value, value]), unnest([old_props, props]),
+  unnest(['update_preimage', 'update_postimage']), event_id
+FROM st WHERE NOT gone AND had AND (value IS DISTINCT FROM old_value OR props IS DISTINCT FROM old_props)
+""")
+def q_stream_capture_states(spark, sf):
+    log = _captured(spark, sf, scratch_path(spark, "state", "captured"))
+    return log.select("user_id", "value", "props", H.CT, H.VER)
+
+
+@register("stream_signed_averages", """
+SELECT props, count(value) AS n, avg(round(value, 6)) AS average FROM (
+  SELECT * FROM events WHERE user_id IS NOT NULL
+  QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) = 1)
+WHERE event_type <> 'error' AND value IS NOT NULL GROUP BY props
+""")
+def q_stream_signed_averages(spark, sf):
+    """ST4 / A4 with retractions over the captured log: averages of the rows that are there now."""
+    root = scratch_path(spark, "state", "signed")
+    log = _captured(spark, sf, root)
+    state = SL.SignedAverages(spark, f"{root}/averages", ["props"], "value")
+    state.start(spark.readStream.schema(log.schema).parquet(f"{root}/log")).awaitTermination()
+    return state.averages().select("props", "n", "average")

@@ -13,7 +13,8 @@ from keyloop.operators.history import CT, DELETE, POSTIMAGE, PREIMAGE, VER
 from keyloop.operators.keyed import _all_not_null, join_dim
 from keyloop.plans.metrics import actions_per_day
 from keyloop.plans.queues import open_alerts
-from keyloop.streaming.state import STORE, AdditiveState, KeyedState, _settings
+from keyloop.streaming.deltas import start_deltas
+from keyloop.streaming.state import AdditiveState, KeyedState
 
 #: The ticket columns that the queue shows or decides by, and the columns of a queue row.
 TICKET = ("machine_id", "priority", "description", "opened_at", "status")
@@ -162,28 +163,14 @@ def live_queue(actions: DataFrame, tickets: DataFrame, machines: DataFrame, chec
     """ST3: ``publish(changes, batch_id)`` gets what each micro-batch changes in the alert queue (columns
     of the queue, and change: +1 added, -1 removed).  Where ``tickets`` is a table, its ``first_queue`` is published
     first, as batch -1.  A batch that is run again publishes the same changes under the same id, so
-    a sink that replaces a batch by its id (``queue_sink``) holds each exactly once.
+    a sink that replaces a batch by its id (``deltas.delta_sink``) holds each exactly once; ``deltas.summed``
+    is the queue.
     """
     if not tickets.isStreaming:
         publish(first_queue(tickets, machines), -1)
     stream = queue_changes(actions, tickets, tie, buckets)
-    writer = (stream.writeStream.outputMode("update").option("checkpointLocation", checkpoint)
-              .foreachBatch(lambda df, batch_id: publish(_published(df, tickets, machines), int(batch_id))))
-    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=processing_time)
-    with _settings(stream.sparkSession, STORE | {"spark.sql.shuffle.partitions": str(partitions)}):
-        return writer.start()
-
-
-def queue_sink(path: str):
-    """A ``publish`` for ``live_queue`` that keeps each batch's changes as a folder of ``path``."""
-    def publish(changes: DataFrame, batch_id: int) -> None:
-        changes.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
-    return publish
-
-
-def summed_queue(changes: DataFrame) -> DataFrame:
-    """The queue that a sequence of changes adds up to."""
-    return (changes.groupBy(*QUEUE).agg(F.sum("change").alias("__n")).filter("__n > 0").drop("__n"))
+    return start_deltas(stream, checkpoint, lambda df, b: publish(_published(df, tickets, machines), b),
+                        available_now, processing_time, partitions)
 
 
 # ------------------------------------------------------------------ ST4: counts

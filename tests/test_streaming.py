@@ -10,6 +10,8 @@ from keyloop.operators import history as H
 from keyloop.plans import queues as Q
 from keyloop.sources import tables as V
 from keyloop.streaming import capture as SC
+from keyloop.streaming import deltas as SD
+from keyloop.streaming import history as SH
 from keyloop.streaming import live as SL
 from keyloop.streaming.state import AdditiveState, KeyedState, continuous_sync, suggest_partitions
 
@@ -159,7 +161,7 @@ def test_queue_changes_add_up_after_every_batch(spark, sf_small):
     in_files(actions, f"{root}/in", [4, 2, 0, 3, 1], order="line_no")
     parts = [4, 2, 0, 3, 1]
     sizes = {}
-    sink = SL.queue_sink(f"{root}/changes")
+    sink = SD.delta_sink(f"{root}/changes")
 
     def publish(df, b):
         sink(df, b)
@@ -172,7 +174,7 @@ def test_queue_changes_add_up_after_every_batch(spark, sf_small):
     for b in range(-1, 5):
         so_far = actions.filter((F.col("line_no") % 5).isin(parts[:b + 1]))
         want = Q.open_alerts(tickets, machines, so_far)
-        assert rows(SL.summed_queue(changes.filter(f"batch <= {b}")), *SL.QUEUE) == rows(want, *SL.QUEUE)
+        assert rows(SD.summed(changes.filter(f"batch <= {b}")), *SL.QUEUE) == rows(want, *SL.QUEUE)
         if b >= 0:
             touched = actions.filter(F.col("line_no") % 5 == parts[b]).select("ticket_id").distinct().count()
             assert 0 < sizes[b] <= 2 * touched
@@ -201,11 +203,11 @@ def test_queue_of_changing_tickets(spark):
     for f in feeds:
         spark.createDataFrame(f, schema).coalesce(1).write.mode("append").parquet(f"{root}/t")
     SL.live_queue(stream_of(spark, actions.schema, f"{root}/a"), stream_of(spark, schema, f"{root}/t"), machines,
-                  f"{root}/_c", SL.queue_sink(f"{root}/changes"), partitions=2, buckets=3).awaitTermination()
+                  f"{root}/_c", SD.delta_sink(f"{root}/changes"), partitions=2, buckets=3).awaitTermination()
     log = spark.createDataFrame([r for f in feeds for r in f], schema).withColumn(
         "_commit_timestamp", F.lit(None).cast("timestamp_ntz"))
     want = Q.open_alerts(H.current_state(log, ["ticket_id"]), machines, actions)
-    got = SL.summed_queue(spark.read.parquet(f"{root}/changes"))
+    got = SD.summed(spark.read.parquet(f"{root}/changes"))
     assert rows(got, *SL.QUEUE) == rows(want, *SL.QUEUE)
 
 
@@ -223,13 +225,59 @@ def test_queue_of_odd_actions(spark, zone):
         root = folder("odd")
         in_files(actions.withColumn("g", F.pmod(F.xxhash64(*actions.columns), F.lit(3))), f"{root}/a", [0, 1, 2], "g")
         SL.live_queue(stream_of(spark, actions.schema, f"{root}/a"), tickets, machines, f"{root}/_c",
-                      SL.queue_sink(f"{root}/changes"), partitions=2).awaitTermination()
+                      SD.delta_sink(f"{root}/changes"), partitions=2).awaitTermination()
         want = Q.open_alerts(tickets, machines, actions)
-        assert rows(SL.summed_queue(spark.read.parquet(f"{root}/changes")), *SL.QUEUE) == rows(want, *SL.QUEUE)
+        assert rows(SD.summed(spark.read.parquet(f"{root}/changes")), *SL.QUEUE) == rows(want, *SL.QUEUE)
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
 
 
+# ---------------------------------------------------------------- H4, S8
+@pytest.mark.parametrize("width", [1, 7, 1 << 16])
+def test_intervals_are_spliced_in_any_order(spark, width):
+    """New, late and repeated changes, deletes, null times: the sums equal the batch result after every batch."""
+    rng = random.Random(width)
+    log = [(rng.choice(["a", "b", "hot", "hot", "hot", None]), str(v), rng.choice(
+        ["insert", "update_postimage", "update_postimage", "delete"]), v, rng.choice([None, f"2024-01-{1 + v % 28:02d} 01:02:03.000{abs(v):03d}"]))
+        for v in range(-20, 90)]
+    log += [(k, x, "update_preimage", v, t) for k, x, ct, v, t in log if ct == "update_postimage"]
+    schema = LOG.replace("entity_id long", "entity_id string").replace("timestamp_ntz", "string")
+    df = spark.createDataFrame(log, schema).withColumn("_commit_timestamp", F.col("_commit_timestamp").cast("timestamp_ntz"))
+    root, order = folder("splice"), [2, 0, 3, 1, 0]
+    for i in order:
+        df.filter(F.pmod(F.xxhash64("_commit_version"), F.lit(4)) == i).coalesce(1).write.mode("append").parquet(f"{root}/in")
+    SD.start_deltas(SH.interval_changes(stream_of(spark, df.schema, f"{root}/in"), ["entity_id"], width=width),
+                    f"{root}/c", SD.delta_sink(f"{root}/changes"), partitions=2).awaitTermination()
+    changes = spark.read.parquet(f"{root}/changes")
+    cols = ["entity_id", "v", "_change_type", "_commit_version", "valid_from", "valid_to", "is_current"]
+    for b in range(5):
+        so_far = df.filter(F.pmod(F.xxhash64("_commit_version"), F.lit(4)).isin(order[:b + 1]))
+        want = H.validity_intervals(so_far, ["entity_id"])
+        got = SH.intervals_of(so_far, SD.summed(changes.filter(f"batch <= {b}")), ["entity_id"])
+        assert rows(got, *cols) == rows(want, *cols), b
+    assert changes.filter("batch = 4").isEmpty()         # replays
+
+
+def test_capture_from_states(spark):
+    """States without change types: inserts, updates with both images, deletes; equal, late and repeated ones give nothing."""
+    schema = "a long, b string, x double, y string, ver long, gone boolean"
+    batches = [[(1, "k", 1.5, None, 1, False), (1, "k", 2.5, "q", 3, None), (2, "k", None, None, 2, False), (3, "k", 1.0, "", 2, True)],
+               [(1, "k", 2.5, "q", 4, False), (2, "k", 0.1, 'say "x"', 5, False), (1, "k", 9.0, "late", 2, False), (None, "k", 1.0, "", 6, False)],
+               [(1, "k", None, None, 7, True), (2, "k", 0.1, 'say "x"', 5, False), (3, "k", 1.0, "", 7, False)],
+               [(1, "k", 3.5, "again", 8, False), (2, "k", None, None, 8, True), (2, "k", None, None, 9, True)]]
+    root = folder("states")
+    for b in batches:
+        spark.createDataFrame(b, schema).coalesce(1).write.mode("append").parquet(f"{root}/in")
+    changes = SH.captured_changes(stream_of(spark, schema, f"{root}/in"), ["a", "b"], "ver", F.col("gone"), ["x", "y"], buckets=3)
+    SD.start_deltas(changes, f"{root}/c", SD.delta_sink(f"{root}/log"), partitions=2).awaitTermination()
+    got = rows(spark.read.parquet(f"{root}/log"), "batch", "a", "x", "y", H.CT, H.VER)
+    assert got == sorted([
+        (0, 1, 1.5, None, "insert", 1), (0, 1, 1.5, None, "update_preimage", 3), (0, 1, 2.5, "q", "update_postimage", 3),
+        (0, 2, None, None, "insert", 2), (1, 2, None, None, "update_preimage", 5), (1, 2, 0.1, 'say "x"', "update_postimage", 5),
+        (2, 1, 2.5, "q", "delete", 7), (2, 3, 1.0, "", "insert", 7), (3, 1, 3.5, "again", "insert", 8),
+        (3, 2, 0.1, 'say "x"', "delete", 8)], key=str)
+
+
 # ---------------------------------------------------------------- ST4
 def test_daily_counts_independent_of_session_zone(spark, sf_small):
     from keyloop.plans import metrics as M

@@ -25,7 +25,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from keyloop.llm.text import ddl, slices, without
+from keyloop.llm.text import Shared, ddl, slices, without
 
 CHUNK = 1 << 15
 OVERLAP = 1 << 9
@@ -271,7 +271,7 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text: str = "
     if chunk < 1 or overlap <= LOOK_AHEAD:
         raise ValueError("chunk must be positive and overlap over LOOK_AHEAD")
     docs = without(docs, "ids", "__key")
-    vocabulary = docs.sparkSession.sparkContext.broadcast(Vocabulary(ranks))
+    vocabulary = Shared(docs.sparkSession, Vocabulary(ranks))
     is_long = F.coalesce(F.length(text) > chunk + overlap, F.lit(False))
     short = docs.where(~is_long).mapInArrow(
         _whole(text, pattern, vocabulary), ddl(docs) + ", ids array<int>")
@@ -296,7 +296,7 @@ def decode(docs: DataFrame, ranks: dict[bytes, int], ids: str = "ids", into: str
     table = [b""] * (max(ranks.values(), default=-1) + 1)
     for token, rank in ranks.items():
         table[rank] = token
-    tokens = docs.sparkSession.sparkContext.broadcast(table)
+    tokens = Shared(docs.sparkSession, table)
 
     def run(batches):
         known = pa.array(tokens.value, pa.large_binary())

@@ -20,7 +20,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from keyloop.llm.text import ddl, inside, owners, slices, split_words, stored, without
+from keyloop.llm.text import Shared, ddl, inside, owners, slices, split_words, stored, without
 
 #: Characters of benchmark text in one broadcast block; the rest takes further passes.
 BLOCK_CHARS = 16 << 20
@@ -176,7 +176,7 @@ def find_matches(docs: DataFrame, items: DataFrame, window: int = 10, text: str
     for b in range(n_blocks):
         rows = items.where(block == b).toArrow()
         ids = rows.column("id").combine_chunks()
-        test = spark.sparkContext.broadcast(
+        test = Shared(spark,
             Suffixes(ids, rows.column("text").combine_chunks(), window))
         schema = f"{ddl(docs)}, __found {_MATCH.format(kind)}, __words long"
         out = out.mapInArrow(_scan(text, test, ids.type), schema)

@@ -13,6 +13,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
+from keyloop.llm.text import Shared
+
 BLOCK_SHIFT = 54  # 64 - log2(BLOCKS)
 BLOCKS = 1024
 BLOCK_BITS = 1 << 18
@@ -130,5 +132,5 @@ def seen_filter(payload_rows: DataFrame, levels: tuple[int, ...] = (2,)):
     n = min(BLOCKS, max(1, int(spark.conf.get("spark.sql.shuffle.partitions"))))
     rows = (payload_rows.repartition(n, "block").sortWithinPartitions("block")
             .mapInArrow(_fill(levels), "block int, layers array<binary>").collect())
-    return spark.sparkContext.broadcast(SeenFilter(rows, len(levels)))
+    return Shared(spark, SeenFilter(rows, len(levels)))
 

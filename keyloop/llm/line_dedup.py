@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from keyloop.llm.frequency import PAYLOAD, payloads, seen_filter
-from keyloop.llm.text import (ascii_lower_table, ddl, raw_bytes, slices, stored, without)
+from keyloop.llm.text import (Shared, ascii_lower_table, ddl, raw_bytes, slices, stored, without)
 
 #: Confirmed lines that are broadcast at most (16 bytes each); more go by a join.
 BROADCAST_LINES = 1 << 21
@@ -175,7 +175,7 @@ def dedup_lines(docs: DataFrame, min_docs: int = 2, keep: str = "first", ident:
     if found.count() <= broadcast_lines:
         if not first:
             found = found.withColumn("doc", F.lit(None).cast(kind))
-        small = spark.sparkContext.broadcast(_table(found.collect()))
+        small = Shared(spark, _table(found.collect()))
 
         def by_broadcast(batches):
             bad_of = _lookup(*small.value)

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from keyloop.llm.learning import vector_sum
-from keyloop.llm.text import ascii_lower_table, slices, split_words, stored
+from keyloop.llm.text import Shared, ascii_lower_table, slices, split_words, stored
 
 SHORT, GROUPS = 319, 64
 CLASSES = 1 + SHORT + GROUPS
@@ -249,7 +249,7 @@ def fit(docs: DataFrame):
         mass[g] += m
     share = mass / mass.sum()
     start = Parameters.start(share)
-    shared = spark.sparkContext.broadcast((head, share, start))
+    shared = Shared(spark, (head, share, start))
 
     def learn(batches):
         head, share, start = shared.value
@@ -273,7 +273,7 @@ def fit(docs: DataFrame):
 def score_texts(docs: DataFrame, model: LanguageModel, counts: DataFrame) -> DataFrame:
     """(doc_id, n_tokens, n_known, base_score, score) of each row; log10 of probabilities."""
     spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast(model)
+    shared = Shared(spark, model)
     kind = docs.schema["doc_id"].dataType.simpleString()
     end_known = int(model.total > 0)
 

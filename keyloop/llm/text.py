@@ -6,6 +6,7 @@ longest single text), never the partition.
 
 from __future__ import annotations
 
+import pickle
 import uuid
 from collections.abc import Iterator
 
@@ -13,6 +14,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 
 #: Bytes of text that are split into words at once.
@@ -110,6 +112,25 @@ def covered(starts: np.ndarray, k: int, n: int) -> np.ndarray:
     return np.cumsum(step)[:n] > 0
 
 
+class Shared:
+    """A broadcast of any object: its classes travel with it, so executors need no copy of the package."""
+
+    def __init__(self, spark: SparkSession, value):
+        self._sent = spark.sparkContext.broadcast(cloudpickle.dumps(value))
+
+    def __getstate__(self):
+        return {"_sent": self._sent}
+
+    @property
+    def value(self):
+        if "_own" not in self.__dict__:
+            self._own = pickle.loads(self._sent.value)
+        return self._own
+
+    def unpersist(self) -> None:
+        self._sent.unpersist()
+
+
 def shared_path(spark: SparkSession, name: str) -> str:
     """A new path below the folder that driver and executors share (``spark.checkpoint.dir``).
 

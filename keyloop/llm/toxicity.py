@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from keyloop.llm.learning import fit_sparse, labelled_sample, sigmoid, vector_sum
-from keyloop.llm.text import ddl, raw_bytes, slices, without
+from keyloop.llm.text import Shared, ddl, raw_bytes, slices, without
 
 #: Labelled rows that are learned from at most: the stated bound of the sample.
 SAMPLE = 20_000
@@ -117,7 +117,7 @@ def fit(docs: DataFrame, labels: DataFrame, learn=None, sample: int = SAMPLE) ->
     best = np.argsort(-telling, kind="stable")[:FEATURES]
     best = best[telling[best] > 0]
     slot[best] = np.arange(len(best))
-    shared = spark.sparkContext.broadcast(slot)
+    shared = Shared(spark, slot)
     got = rows.mapInArrow(_sample_hits(shared), "label int, features array<int>").toArrow()
     features = got.column("features").combine_chunks()
     cols = features.flatten().to_numpy().astype(np.int64)
@@ -133,7 +133,7 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel, text: str = "text",
     """``docs`` plus score (double, 0 to 1) and predicted (int); columns of these names are
     replaced, others pass through."""
     docs = without(docs, "score", "predicted")
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = Shared(docs.sparkSession, model)
 
     def run(batches):
         for part in slices(batches, text):

@@ -47,6 +47,8 @@ FREQUENT = 64
 SIGNATURE_BITS = 1024
 #: Nodes of a large component that one task compares with others at once.
 CHUNK = 512
+#: Bytes of text that are hashed at once.
+SLICE = 1 << 20
 #: Pairs that a task holds before it drops repeated ones.
 GATHER = 1 << 22
 
@@ -76,7 +78,7 @@ def shingle_sets(col: pa.Array, k: int) -> tuple[np.ndarray, np.ndarray]:
 def _sketch(text: str, k: int):
     def run(batches):
         def hashes():
-            for part in slices(batches, text):
+            for part in slices(batches, text, SLICE):
                 flat, _ = shingle_sets(part.column(text), k)
                 yield mix(flat[flat < _FILTERED])
         yield from payloads(hashes())
@@ -93,7 +95,7 @@ def signature(grams: np.ndarray) -> np.ndarray:
 def _prefixes(text: str, k: int, num: int, den: int, filt):
     """One row a text; prefix, signature and shingles only where a tile may need them."""
     def run(batches):
-        for part in slices(batches, text):
+        for part in slices(batches, text, SLICE):
             flat, offsets = shingle_sets(part.column(text), k)
             size = np.diff(offsets)
             rank = np.full(len(flat), 2, np.uint8)

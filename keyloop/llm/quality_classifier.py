@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from keyloop.llm.learning import fit_dense, labelled_sample, sigmoid, vector_sum
-from keyloop.llm.text import (ascii_lower_table, ddl, owners, raw_bytes, slices, split_words,
+from keyloop.llm.text import (Shared, ascii_lower_table, ddl, owners, raw_bytes, slices, split_words,
                               stored, without, word_hashes)
 
 #: Rows of the labelled sample at most.
@@ -41,6 +41,8 @@ STEPS = 8
 #: Bins of the log-odds from -30 to 30.
 BINS = 1 << 14
 THRESHOLD = 0.5
+#: Bytes of text whose features are computed at once: the temporary arrays are some 70 times as large.
+SLICE = 1 << 20
 _PAIRS = 256
 _LANGS, _SOURCES = 8, 16
 _LOWER = ascii_lower_table()
@@ -53,7 +55,7 @@ _ODD_SIGN = _SIGN & ~np.isin(_RAW, np.frombuffer(b".,;:'\"()-?", np.uint8))
 
 
 def _sums(flags: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    return np.diff(np.concatenate([[0], np.cumsum(flags)])[ends])
+    return np.diff(np.concatenate([[0], np.cumsum(flags, dtype=np.int32)])[ends])
 
 
 def features(part: pa.RecordBatch, text: str = "text") -> tuple[np.ndarray, np.ndarray]:
@@ -119,7 +121,7 @@ def _odds(x, view):
 def _vectors(rows: DataFrame) -> DataFrame:
     """id, label and both views of each row."""
     def run(batches):
-        for part in slices(batches):
+        for part in slices(batches, most=SLICE):
             a, b = features(part)
             yield pa.RecordBatch.from_arrays(
                 [part.column("id"), part.column("label").cast(pa.int32()),
@@ -261,7 +263,7 @@ def fit(docs: DataFrame, labels: DataFrame, learn=None, sample: int = SAMPLE) ->
     labelled = [(np.hstack([x[train], np.ones((train.sum(), 1))]), y[train]) for x in scaled]
     met = 0
     for turn in range(ROUNDS):
-        shared = docs.sparkSession.sparkContext.broadcast((views, weights))
+        shared = Shared(docs.sparkSession, (views, weights))
         counts = _summed(rows, shared, _histogram)
         shared.unpersist()
         if not len(counts):
@@ -296,10 +298,10 @@ def score_quality(docs: DataFrame, model: QualityModel, text: str = "text",
     """``docs`` plus quality, content_score, page_score (double, 0 to 1) and kept (quality at
     least the threshold); columns of these names are replaced, others pass through."""
     docs = without(docs, "quality", "content_score", "page_score", "kept")
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = Shared(docs.sparkSession, model)
 
     def run(batches):
-        for part in slices(batches, text):
+        for part in slices(batches, text, SLICE):
             both, a, b = shared.value.score(part, text)
             for name, values in (("quality", both), ("content_score", a), ("page_score", b),
                                  ("kept", both >= threshold)):

@@ -16,7 +16,7 @@ from keyloop.functions import rows as R
 from keyloop.operators import history as H
 from keyloop.operators import writes as Wr
 from keyloop.operators.keyed import compare_keys, estimated_bytes, join_dim
-from keyloop.plans import metrics, queues, sync
+from keyloop.plans import metrics, queues, replicas, sync
 from keyloop.plans import oracle as O
 from keyloop.session import scratch_path
 from keyloop.sources import tables as V
@@ -445,8 +445,30 @@ def q_reconcile_tables(spark, sf):
     source = H.current_state(log, LOG_PK)
     replica = sync.triggered_sync(H.as_of(log, LOG_PK, version=SYNC_VERSION), log, LOG_PK,
                                   SYNC_VERSION)
-    return sync.reconcile_tables({"orders": (old, new, ["o_orderkey"]),
-                                  "entity_state": (source, replica, LOG_PK)})
+    return replicas.reconcile_by_sums({"orders": (old, new, ["o_orderkey"]),
+                                       "entity_state": (source, replica, LOG_PK)})
+
+
+@register("as_of_from_snapshot", ORACLE["as_of_version"])
+def q_as_of_from_snapshot(spark, sf):
+    """The log in ranges, snapshots before and after the version asked for."""
+    log = V.change_log(spark, sf)
+    kept = replicas.SnapshotLog(spark, scratch_path(spark, "snapshots", "entity_log"), LOG_PK, width=SYNC_VERSION // 4)
+    kept.append(log)
+    kept.record(SYNC_VERSION // 2)
+    kept.record(SYNC_VERSION * 2)
+    return kept.as_of(SYNC_VERSION)
+
+
+@register("bucket_sync", O.with_(O.LOG, _NR) + _CURRENT)
+def q_bucket_sync(spark, sf):
+    """A replica in buckets brought up to date; only the buckets that changes hit are written."""
+    log = V.change_log(spark, sf)
+    old = H.as_of(log, LOG_PK, version=SYNC_VERSION)
+    replica = replicas.BucketReplica(spark, scratch_path(spark, "replicas", "entity_buckets"), LOG_PK, buckets=16)
+    replica.write(old)
+    replica.refresh(log, SYNC_VERSION, old.schema)
+    return replica.read(old.schema)
 
 
 @register("compare_keys", O.with_(O.SNAP) + """

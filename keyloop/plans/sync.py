@@ -73,15 +73,19 @@ def snapshot_sync(df: DataFrame, pk: Sequence[str], target: str | None,
     if verify and replica.count() != n:
         raise RuntimeError(f"replica has {replica.count()} rows, source {n}")
     if target is not None:
+        try:      # versions are numbered: a clock that goes back cannot bring an old replica back
+            last = spark.read.parquet(f"{target}/_current").agg(F.max("number")).first()[0]
+        except AnalysisException:
+            last = None
         spark.range(1).select(F.lit(version).alias("version"), F.lit(fmt).alias("fmt"),
-                              F.current_timestamp().alias("at")).coalesce(1) \
+                              F.lit(0 if last is None else last + 1).cast("long").alias("number")).coalesce(1) \
             .write.mode("append").parquet(f"{target}/_current")
     return replica
 
 
 def read_replica(spark: SparkSession, target: str, options: dict | None = None) -> DataFrame:
     """The replica that the pointer of ``snapshot_sync`` names: the newest complete version."""
-    last = spark.read.parquet(f"{target}/_current").orderBy(F.desc("at"), F.desc("version")).first()
+    last = spark.read.parquet(f"{target}/_current").orderBy(F.desc("number")).first()
     return spark.read.format(last["fmt"]).options(**(options or {})).load(f"{target}/{last['version']}")
 
 

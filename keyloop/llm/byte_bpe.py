@@ -28,6 +28,8 @@ from pyspark.sql import functions as F
 from keyloop.llm.text import Shared, ddl, slices, without
 
 CHUNK = 1 << 15
+#: Bytes of text whose pieces are merged side by side.
+SLICE = 2 << 20
 OVERLAP = 1 << 9
 #: Longest literal of the pattern and one more: a match may depend on so much behind it.
 LOOK_AHEAD = 4
@@ -161,7 +163,7 @@ class _Ids(dict):
 def _whole(text: str, pattern: str, ranks):
     def run(batches):
         split, known = regex.compile(pattern), _Ids(ranks.value)
-        for part in slices(batches, text):
+        for part in slices(batches, text, SLICE):
             pieces = [split.findall(t or "") for t in part.column(text).to_pylist()]
             known.learn(set().union(*pieces))
             ids = [b"".join(map(known.__getitem__, p)) for p in pieces]
@@ -176,7 +178,7 @@ def _chunks(pattern: str, ranks):
     """Ids of each chunk's pieces, where the pieces start, and how many ids each has."""
     def run(batches):
         split, known = regex.compile(pattern), _Ids(ranks.value)
-        for part in slices(batches, "part"):
+        for part in slices(batches, "part", SLICE):
             starts, counts, ids = [], [], []
             for t in part.column("part").to_pylist():
                 pieces = split.findall(t)

@@ -6,6 +6,7 @@ longest single text), never the partition.
 
 from __future__ import annotations
 
+import ctypes
 import pickle
 import uuid
 from collections.abc import Iterator
@@ -36,6 +37,16 @@ def raw_bytes(col: pa.Array) -> tuple[np.ndarray, memoryview]:
     return offsets - (offsets[0] if len(col) else 0), data
 
 
+def release() -> None:
+    """Hand freed memory back to the system: a worker serves many tasks, and what one of them
+    once needed would otherwise stay with it."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
 def slices(batches, column: str = "text", most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """The batches cut so that each has at most ``most`` bytes in the column, or one row."""
     for batch in batches:
@@ -47,6 +58,8 @@ def slices(batches, column: str = "text", most: int = SLICE_BYTES) -> Iterator[p
             to = max(at + 1, int(np.searchsorted(ends, ends[at] + most, "right")) - 1)
             yield batch.slice(at, to - at)
             at = to
+        del batch
+        release()
 
 
 def split_words(col: pa.Array, table: bytes | None = None) -> tuple[pa.Array, np.ndarray]:

@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 from keyloop.llm.components import components
 from keyloop.llm.frequency import PAYLOAD, payloads, seen_filter
 from keyloop.llm.text import (ascii_lower_table, bucketed, inside, mix, ngram_hashes, owners,
-                              slices, split_words, stored, word_hashes)
+                              release, slices, split_words, stored, word_hashes)
 
 _LOWER = ascii_lower_table()
 _FILTERED = np.uint64(1 << 62)  # hashes below are in the filter
@@ -50,7 +50,7 @@ CHUNK = 512
 #: Bytes of text that are hashed at once.
 SLICE = 1 << 20
 #: Pairs that a task holds before it drops repeated ones.
-GATHER = 1 << 22
+GATHER = 1 << 20
 
 
 def shingle_sets(col: pa.Array, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -134,14 +134,16 @@ def _exact(num: int, den: int):
     def run(batches):
         for batch in batches:
             keep = []
-            for i, (x, y) in enumerate(zip(batch.column("xa").to_pylist(), batch.column("xb").to_pylist())):
-                x, y = np.frombuffer(x, "<u8"), np.frombuffer(y, "<u8")
+            for i, (x, y) in enumerate(zip(batch.column("xa"), batch.column("xb"))):   # no copy of the arrays
+                x, y = (np.frombuffer(v.as_buffer(), "<u8") for v in (x, y))
                 at = np.searchsorted(x, y)
                 at[at == len(x)] = 0
                 both = int((x[at] == y).sum())
                 if den * both >= num * (len(x) + len(y) - both):
                     keep.append(i)
             yield batch.select(["a", "b"]).take(pa.array(keep, pa.int64()))
+            del batch
+            release()
     return run
 
 
@@ -168,7 +170,7 @@ def _across(num: int, den: int, nearest: bool):
     the chunk's share of it; the others are in every chunk and paired with each other in the first."""
     def candidates(key, node, label, n, main, first):
         cuts = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
-        found, size = [], 0
+        found, size, most = [], 0, GATHER
         for a, b in zip(cuts.tolist(), np.append(cuts[1:], len(key)).tolist()):
             at = np.arange(a, b)
             for other in np.array_split(at[~main[a:b]], max(1, (b - a) ** 2 // GATHER)):
@@ -179,9 +181,10 @@ def _across(num: int, den: int, nearest: bool):
                 x, y = node[other[i]], node[at[j]]
                 found.append(np.minimum(x, y) << 32 | np.maximum(x, y))
                 size += len(i)
-            if size > GATHER:
+            if size > most:      # twice what is distinct, so that the work stays in proportion
                 found = [np.unique(np.concatenate(found))]
                 size = len(found[0])
+                most = max(GATHER, 2 * size)
         return np.unique(np.concatenate(found)) if found else np.zeros(0, np.int64)
 
     def out(parts):
@@ -231,6 +234,7 @@ def _across(num: int, den: int, nearest: bool):
                         now, parts = (most[i], chunk[i]), []
         if parts:
             yield out(parts)
+        release()
     return run
 
 

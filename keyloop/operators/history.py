@@ -15,8 +15,8 @@ Scale notes
   is known to be unique, one left join that leaves the replica where it is.
 * Rows with a null key take part in no keyed operator (a null key matches nothing).
 * ``next_in_key`` / ``prev_in_key`` (validity intervals, audit trail) split every key into
-  version buckets: the window runs per (key, bucket), and only one summary row per bucket
-  goes through the per-key window that links buckets.  A hot key is therefore spread over
+  version buckets: the window runs per (key, bucket), and one edge row per bucket is carried to the
+  neighbouring bucket before it.  The whole rows are shuffled once, and a hot key is spread over
   many tasks instead of being sorted in one.
 * ``diff_snapshots`` is one full outer join on the (unique) primary key, comparing a row
   hash first and the columns (null-safe) to confirm equality.
@@ -163,11 +163,14 @@ def _bucket_of(order: Sequence[str], width: int) -> Column:
     return F.floor(F.col(order[0]) / F.lit(width))
 
 
-def _null_safe(keys: Sequence[str], prefix: str) -> Column:
-    on = F.lit(True)
-    for k in keys:
-        on = on & F.col(k).eqNullSafe(F.col(prefix + k))
-    return on
+def _carried(edges: DataFrame, keys: Sequence[str], target: str) -> DataFrame:
+    """The edge rows of (key, bucket), each moved to the key's neighbouring bucket that has rows
+    (``target``: the window function ``lag`` or ``lead``) and marked; the last one goes nowhere."""
+    b = "__bucket"
+    near = getattr(F, target)(F.struct(F.col(b).alias("b"))).over(
+        Window.partitionBy(*keys).orderBy(F.asc_nulls_first(b)))
+    return (edges.withColumn("__to", near).filter(F.col("__to").isNotNull())
+            .withColumn(b, F.col("__to")["b"]).drop("__to").withColumn("__carried", F.lit(True)))
 
 
 def _neighbour(df: DataFrame, keys: Sequence[str], order: Sequence[str],
@@ -177,33 +180,28 @@ def _neighbour(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     then ``tie`` (nulls first), and ``prefix + "has"`` = whether there is one.  Null keys are
     a key like any other; the result does not depend on ``bucket_width``.
 
-    ``order[0]`` must be an integral version; rows are bucketed by ``order[0] // width``.
+    ``order[0]`` must be an integral version; rows are bucketed by ``order[0] // width``.  The whole
+    rows are shuffled once: the row of each (key, bucket) that a neighbouring bucket sees, cut down
+    before its shuffle, joins that bucket's rows as one more row of the window and leaves after it.
     """
     keys, order, values, tie = list(keys), list(order), list(values), list(tie)
     b = "__bucket"
     sort = _order_by(order, tie)
-    w_in = Window.partitionBy(*keys, b).orderBy(*sort)
-    fn = F.lead if direction == "next" else F.lag
+    fn, target = (F.lead, "lag") if direction == "next" else (F.lag, "lead")
     d = df.withColumn(b, _bucket_of(order, bucket_width))
-    # the row of each (key, bucket) that a neighbouring bucket sees: its first or last in the
-    # same order as the rows, cut down before the shuffle (WindowGroupLimit)
+    # the first or last row of a bucket in the same order as the rows (WindowGroupLimit)
     outer = sort if direction == "next" else [F.desc_nulls_last(c) for c in (*order, *tie)]
-    edge = (d.select(*keys, b, *dict.fromkeys([*order, *tie, *values]))
-            .withColumn("__rn", F.row_number().over(Window.partitionBy(*keys, b).orderBy(*outer)))
-            .filter("__rn = 1")
-            .select(*keys, b, F.struct(F.lit(True).alias("__has"), *[F.col(v).alias(f"__e_{v}") for v in values])
-                    .alias("__edge")))
-    w_b = Window.partitionBy(*keys).orderBy(F.asc_nulls_first(b))
-    summ = edge.select(*[F.col(k).alias(f"__s_{k}") for k in keys], F.col(b).alias(f"__s_{b}"),
-                       fn(F.col("__edge")).over(w_b).alias("__nb"))
-    d = d.withColumn("__in", fn(F.struct(F.lit(True).alias("__has"), *[
-        F.col(v).alias(f"__e_{v}") for v in values])).over(w_in))
-    out = d.join(summ, _null_safe([*keys, b], "__s_"), "left")
-    near = F.coalesce(F.col("__in"), F.col("__nb"))
+    edges = (d.select(*keys, b, *[c for c in dict.fromkeys([*order, *tie, *values]) if c not in keys])
+             .withColumn("__rn", F.row_number().over(Window.partitionBy(*keys, b).orderBy(*outer)))
+             .filter("__rn = 1").drop("__rn"))
+    rows = d.withColumn("__carried", F.lit(False)).unionByName(
+        _carried(edges, keys, target), allowMissingColumns=True)
+    near = fn(F.struct(F.lit(True).alias("has"), *[F.col(v).alias(f"v_{v}") for v in values])).over(
+        Window.partitionBy(*keys, b).orderBy(*sort))
+    out = rows.withColumn("__near", near).filter(~F.col("__carried"))
     for v in values:
-        out = out.withColumn(prefix + v, near[f"__e_{v}"])
-    return out.withColumn(prefix + "has", near.isNotNull()).drop(
-        b, "__in", "__nb", *[f"__s_{k}" for k in (*keys, b)])
+        out = out.withColumn(prefix + v, F.col("__near")[f"v_{v}"])
+    return out.withColumn(prefix + "has", F.col("__near").isNotNull()).drop(b, "__near", "__carried")
 
 
 def next_in_key(df: DataFrame, keys: Sequence[str], order: Sequence[str],
@@ -256,14 +254,21 @@ def audit_trail(history: DataFrame, pk: str | Sequence[str], payload: Sequence[s
     (its preimage comes first).
 
     The previous image is found in the (key, version bucket) layout of ``prev_in_key``: the
-    window runs per bucket, only the first row of a bucket looks at the bucket before.
+    window runs per bucket, into which the last image of the key's bucket before is carried as one more
+    row.  The whole rows are shuffled once.
     """
     pk, order, tie = _cols(pk), list(order), list(tie)
     b = "__bucket"
     is_pre = F.col(CT).eqNullSafe(PREIMAGE)
     img = F.struct(*[F.col(c) for c in payload], F.col(CT).alias(CT))
-    d = (history.filter(_all_not_null(pk)).withColumn(b, _bucket_of(order, bucket_width))
-                .withColumn("__pre", is_pre.cast("int")))
+    d = history.filter(_all_not_null(pk)).withColumn(b, _bucket_of(order, bucket_width))
+    # the last non-preimage row of every (key, bucket) in the same order, seen by the next one
+    last = Window.partitionBy(*pk, b).orderBy(*[F.desc_nulls_last(c) for c in (*order, *tie)])
+    needed = dict.fromkeys([*order, *tie, *payload, CT])
+    edges = (not_preimage(d).select(*pk, b, *[c for c in needed if c not in pk])
+             .withColumn("__rn", F.row_number().over(last)).filter("__rn = 1").drop("__rn"))
+    d = d.withColumn("__carried", F.lit(False)).unionByName(
+        _carried(edges, pk, "lead"), allowMissingColumns=True).withColumn("__pre", is_pre.cast("int"))
     first = [F.asc_nulls_first(c) for c in order] + [F.desc("__pre")] + _order_by((), tie)
     w = Window.partitionBy(*pk, b).orderBy(*first)
     rows = (d.withColumn("__lag_pre", F.lag("__pre").over(w))
@@ -271,17 +276,8 @@ def audit_trail(history: DataFrame, pk: str | Sequence[str], payload: Sequence[s
              .withColumn("__lag_img", F.lag(img).over(w))
              .withColumn("__last_np", F.last(F.when(~is_pre, img), ignorenulls=True)
                          .over(w.rowsBetween(Window.unboundedPreceding, -1)))
-             .filter(~is_pre))
-    # the last non-preimage row of every (key, bucket) in the same order, seen by the next one
-    last = Window.partitionBy(*pk, b).orderBy(*[F.desc_nulls_last(c) for c in (*order, *tie)])
-    edge = (not_preimage(d).select(*pk, b, *dict.fromkeys([*order, *tie, *payload, CT]))
-            .withColumn("__rn", F.row_number().over(last)).filter("__rn = 1")
-            .select(*pk, b, img.alias("__edge")))
-    summ = edge.select(*[F.col(k).alias(f"__s_{k}") for k in pk], F.col(b).alias(f"__s_{b}"),
-                       F.lag("__edge").over(Window.partitionBy(*pk).orderBy(F.asc_nulls_first(b)))
-                       .alias("__nb"))
-    rows = rows.join(summ, _null_safe([*pk, b], "__s_"), "left")
-    prev = F.coalesce(F.col("__last_np"), F.col("__nb"))
+             .filter(~is_pre & ~F.col("__carried")))
+    prev = F.col("__last_np")
     has_pre = (F.col("__lag_pre") == 1) & F.col("__lag_ver").eqNullSafe(F.col(order[0]))
     gone = prev.isNull() | prev[CT].eqNullSafe(DELETE)
     is_del = F.col(CT).eqNullSafe(DELETE)

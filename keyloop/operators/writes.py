@@ -14,6 +14,9 @@ from pyspark.sql import functions as F
 from keyloop.functions.rows import short_name
 from keyloop.operators.history import DELETE, INSERT, POSTIMAGE, PREIMAGE, with_meta
 
+#: Bits of the filter of orphaned references: 4 MB, whatever the tables.
+ORPHAN_BITS = 1 << 25
+
 
 def assign_keys(new: DataFrame, key: str, start_after: int | Column = 0) -> DataFrame:
     """SERIAL-like ids for new rows: unique, above ``start_after``, gaps allowed.
@@ -105,11 +108,14 @@ def delete_where(current: DataFrame, predicate: Column, version: int,
 
 
 def validate_rows(df: DataFrame, required: Sequence[str] = (),
-                  domains: Mapping[str, Sequence[str]] | None = None
+                  domains: Mapping[str, Sequence[str]] | None = None,
+                  references: Mapping[str, tuple[DataFrame, Sequence[str]]] | None = None
                   ) -> tuple[DataFrame, DataFrame]:
     """Split into (accepted, rejected); rejected rows carry ``reasons`` (a
     '; '-joined list).  A required column fails when null or empty; a domain check fails
-    when the value is not null and not in the list."""
+    when the value is not null and not in the list; a reference, name -> (table, columns of both),
+    fails when no value of it is null and the table has no such row ('<columns> not in <name>')."""
+    references = dict(references or {})
     checks = []
     for c in required:
         checks.append(F.when(F.col(c).isNull() | (F.col(c).cast("string") == ""),
@@ -117,12 +123,47 @@ def validate_rows(df: DataFrame, required: Sequence[str] = (),
     for c, allowed in (domains or {}).items():
         checks.append(F.when(F.col(c).isNotNull() & ~F.col(c).isin(list(allowed)),
                              F.lit(f"{c} not in domain")))
+    for i, (name, (table, columns)) in enumerate(references.items()):
+        df = mark_orphans(df, table, columns, f"__orphan_{i}")
+        checks.append(F.when(F.col(f"__orphan_{i}"), F.lit(f"{', '.join(columns)} not in {name}")))
     reasons = F.concat_ws("; ", *checks) if checks else F.lit("")
-    tagged = df.withColumn("reasons", reasons)
+    tagged = df.withColumn("reasons", reasons).drop(*[f"__orphan_{i}" for i in range(len(references))])
     return (tagged.filter(F.col("reasons") == "").drop("reasons"),
             tagged.filter(F.col("reasons") != ""))
 
 
+def mark_orphans(df: DataFrame, table: DataFrame, columns: Sequence[str], into: str,
+                 bits: int = ORPHAN_BITS) -> DataFrame:
+    """``df`` plus a boolean: the values of ``columns`` are all known, and ``table`` has no such row.
+
+    The distinct values of the rows (a hot one is one per map task) are anti-joined with the table; the
+    values left over, the orphans, set bits of a Bloom filter of fixed size (one hash, ``bits`` bits, at
+    most ``bits / 8`` bytes broadcast).  Rows whose bit is not set are fine and stay where they are.  Only
+    the others meet the orphans in a join, which decides exactly; a hot orphan is split by adaptive
+    execution.  A filter that is full sends more rows there, with the same result.
+    """
+    columns = list(columns)
+    known = F.lit(True)
+    for c in columns:
+        known = known & F.col(c).isNotNull()
+    orphans = (df.filter(known).select(*columns).distinct()
+               .join(table.select(*columns), columns, "left_anti"))
+    place = F.pmod(F.xxhash64(*columns), F.lit(bits))
+    # bitmaps of 32,768 bits, each bit a place
+    maps = (orphans.select(F.bitmap_bucket_number(place).alias("__map"), F.bitmap_bit_position(place).alias("bit"))
+            .groupBy("__map").agg(F.bitmap_construct_agg("bit").alias("__bits")))
+    bit = F.bitmap_bit_position(place)
+    byte = F.conv(F.hex(F.substring("__bits", (bit / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    flag = F.element_at(F.array(*[F.lit(1 << i) for i in range(8)]), (bit % 8).cast("int") + 1)
+    is_set = F.coalesce(byte.bitwiseAND(flag) != 0, F.lit(False))
+    seen = (df.withColumn("__map", F.when(known, F.bitmap_bucket_number(place)))
+            .join(F.broadcast(maps), "__map", "left").withColumn("__suspect", is_set))
+    fine = seen.filter(~F.col("__suspect")).select(*df.columns, F.lit(False).alias(into))
+    suspects = seen.filter("__suspect").select(*df.columns).join(
+        orphans.withColumn(into, F.lit(True)), columns, "left")
+    return fine.unionByName(suspects.select(*df.columns, F.coalesce(into, F.lit(False)).alias(into)))
+
+
 def stamp_actor(df: DataFrame, email: str | Column, column: str = "changed_by") -> DataFrame:
     """The rows with who wrote them: the part of the e-mail before ``@`` (all of a name
     without one).  ``email`` is a column expression, or a value (the signed-in user's)."""

@@ -678,6 +678,22 @@ def q_validate_notes(spark, sf):
     return rejected
 
 
+@register("validate_references", O.with_(O.N, O.M) + """
+SELECT n.*, concat_ws('; ', CASE WHEN content IS NULL OR content = '' THEN 'content is required' END,
+         CASE WHEN machine_id IS NOT NULL AND machine_id NOT IN (SELECT machine_id FROM m WHERE machine_id IS NOT NULL)
+              THEN 'machine_id not in machines' END) AS reasons
+FROM n
+WHERE content IS NULL OR content = ''
+   OR (machine_id IS NOT NULL AND machine_id NOT IN (SELECT machine_id FROM m WHERE machine_id IS NOT NULL))
+""")
+def q_validate_references(spark, sf):
+    """Notes without content or of a machine that there is not."""
+    _, rejected = Wr.validate_rows(
+        V.operator_notes(spark, sf), required=["content"],
+        references={"machines": (V.machines(spark, sf).select("machine_id"), ["machine_id"])})
+    return rejected
+
+
 @register("insert_quality_checks", O.with_(O.QC) + f"""
 SELECT check_id, order_id, machine_id, check_type, result, defect_code, notes, inspector,
        TIMESTAMP '{FIXED_TS}' AS checked_at,
@@ -723,31 +739,41 @@ def q_insert_notes(spark, sf):
             (F.col("low") > 7).alias("above_current")))
 
 
-@register("audit_histories", O.with_(O.LOG, _NR, O.OH) + """,
+_OLD = "pct IS NOT NULL AND pct <> 'delete' AND (pp IS NOT NULL OR pv IS NOT NULL)"
+_NEW = "_change_type <> 'delete' AND (props IS NOT NULL OR value IS NOT NULL)"
+
+
+@register("audit_histories", O.with_(O.LOG, _NR, O.OH) + f""",
 x AS (SELECT nr.*, lag(_change_type) OVER (PARTITION BY entity_id ORDER BY _commit_version) AS pct,
              lag(props) OVER (PARTITION BY entity_id ORDER BY _commit_version) AS pp,
              lag(value) OVER (PARTITION BY entity_id ORDER BY _commit_version) AS pv
       FROM nr WHERE entity_id IS NOT NULL)
 SELECT 'entity_log' AS table_name, CAST(entity_id AS VARCHAR) AS row_key,
        'svc-' || _change_type AS actor, _commit_version, _commit_timestamp, _change_type,
-       pct IS NOT NULL AND pct <> 'delete' AND (pp IS NOT NULL OR pv IS NOT NULL) AS has_old,
-       _change_type <> 'delete' AND (props IS NOT NULL OR value IS NOT NULL) AS has_new
+       {_OLD} AS has_old, {_NEW} AS has_new,
+       CASE WHEN {_OLD} THEN pv END AS old_value, CASE WHEN {_OLD} THEN pp END AS old_props,
+       CASE WHEN {_NEW} THEN value END AS new_value, CASE WHEN {_NEW} THEN props END AS new_props
 FROM x
 UNION ALL
 SELECT 'orders', CAST(order_id AS VARCHAR), NULL, _commit_version, _commit_timestamp, _change_type,
-       FALSE, _change_type <> 'delete' AND total IS NOT NULL
+       FALSE, _change_type <> 'delete' AND total IS NOT NULL,
+       NULL, NULL, CASE WHEN _change_type <> 'delete' THEN total END, NULL
 FROM oh
 """)
 def q_audit_histories(spark, sf):
+    """Every change with its images, read back from their JSON (``total`` as the value of orders)."""
     log = V.change_log(spark, sf)
     log = Wr.stamp_actor(log, F.concat(F.lit("svc-"), F.col(H.CT), F.lit("@plant.example")))
     # events carry no preimage of the same version, so the previous image is the old one
     trail = H.audit_histories({
         "entity_log": (log, LOG_PK, ["value", "props"], "changed_by"),
         "orders": (V.order_history(spark, sf), ["order_id"], ["total"], None)})
+    image = {side: F.from_json(f"{side}_row", "value double, total double, props string") for side in ("old", "new")}
     return trail.select("table_name", "row_key", "actor", H.VER, H.TS, H.CT,
-                        F.col("old_row").isNotNull().alias("has_old"),
-                        F.col("new_row").isNotNull().alias("has_new"))
+                        *[c for side, i in image.items() for c in (
+                            F.col(f"{side}_row").isNotNull().alias(f"has_{side}"),
+                            F.coalesce(i["value"], i["total"]).alias(f"{side}_value"),
+                            i["props"].alias(f"{side}_props"))])
 
 
 # ---- the orders themselves (O1, O2, O4): each row with its place in the sorted result

@@ -87,3 +87,30 @@ def test_hot_ticket_is_split(spark):
     finally:
         for k, v in old.items():
             spark.conf.set(k, v)
+
+
+def test_history_rows_are_shuffled_once(spark):
+    """The payload goes through one exchange and no join; only edge rows take further ones."""
+    log = _hot_log(spark).withColumn("payload", F.concat("v", F.lit("-payload")))
+    frames = {
+        "intervals": H.validity_intervals(log, ["k"], bucket_width=256),
+        "next": H.next_in_key(log, ["k"], ["_commit_version"], ["_commit_timestamp"], "n_", bucket_width=256),
+    }
+    for name, df in frames.items():
+        plan = df._jdf.queryExecution().explainString(
+            spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+        assert "Join" not in plan, name
+        wide = [part for part in plan.split("\n\n")
+                if part.lstrip().startswith("(") and ") Exchange" in part.split("\n")[0] and "payload#" in part]
+        assert len(wide) == 1, (name, plan)
+
+
+def test_audit_trail_does_not_depend_on_buckets(spark):
+    """Preimages, deletes, null versions and buckets of preimages alone, at any width."""
+    log = _hot_log(spark, 6_000).withColumn(
+        "_change_type", F.when(F.col("_commit_version") % 5 == 0, "update_preimage")
+        .when(F.col("_commit_version") % 13 == 0, F.lit(None)).otherwise(F.col("_change_type")))
+    trails = [H.audit_trail(log, ["k"], ["v"], bucket_width=w) for w in (1, 64, 1 << 40)]
+    for t in trails[:-1]:
+        assert t.exceptAll(trails[-1]).count() == 0 and trails[-1].exceptAll(t).count() == 0
+    assert "Join" not in trails[0]._jdf.queryExecution().toString()

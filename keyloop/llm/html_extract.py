@@ -63,6 +63,8 @@ MARKS = re.compile(
 KEPT = frozenset("html body main article".split())
 WRAPPERS = frozenset("form header fieldset dialog".split())
 ARTICLE = re.compile(r"(?:^|[\s_-])(?:article|articlebody|post|entry|story|main|content)(?=$|[\s_-])", re.I)
+TEXT_BLOCKS = frozenset(
+    "blockquote dd dl dt figcaption figure h1 h2 h3 h4 h5 h6 li ol p pre table tbody td th tr ul".split())
 #: Which open elements a start tag ends.
 ENDS = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"},
         "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
@@ -285,49 +287,101 @@ class Template:
             else:
                 self.by_text[c["texts"][0]] = c
 
-    def of(self, tokens: dict) -> tuple[str | None, frozenset, list[frozenset]]:
-        """(path of the article's slot, boilerplate texts, texts of classes without an element) by the classes
-        that a page holds: all tokens there, elements once and in order."""
+    def of(self, tokens: dict) -> tuple[str | None, list[tuple], list[frozenset]]:
+        """(path of the article's slot, (elements, texts) of each class with elements, texts of classes
+        without) by the classes that a page holds: all tokens there, elements once and in order."""
         at = {t: v[3] for (t, is_text), v in tokens.items() if not is_text and v[0] == 1}
         texts = {_key(t) for t, is_text in tokens if is_text}
-        slots, plain, alone = [], set(), []
+        slots, groups, alone = [], [], []
         for path in at:
             if c := self.by_element.get(path):
                 places = [at.get(e["path"], -1) for e in c["once"]]
                 if places[0] >= 0 and all(a < b for a, b in zip(places, places[1:])) and texts.issuperset(c["texts"]):
                     slots += c["once"]
-                    plain.update(c["texts"])
+                    groups.append(([e["path"] for e in c["once"]], frozenset(c["texts"])))
         for key in texts:
             if (c := self.by_text.get(key)) and texts.issuperset(c["texts"]):
                 alone.append(frozenset(c["texts"]))
-        return main_slot(slots), frozenset(plain), alone
+        return main_slot(slots), groups, alone
+
+
+def _under(path: str, top: str) -> bool:
+    return not top or path == top or path.startswith(top + "/")
+
+
+def _tag(path: str) -> str:
+    return path.rpartition("/")[2].partition(".")[0]
+
+
+def _text_key(node: Node, text: str) -> int:
+    return _key(f"{node.path}\0{' '.join(text.split())}")
+
+
+def _linked(node: Node) -> bool:
+    while node.tag in INLINE and node.tag != "a":
+        node = node.up
+    return node.tag == "a"
+
+
+def widen(slot: str, events: list, tokens: dict, known: frozenset) -> str:
+    """The slot, or the element around it whose other text belongs to the article too: text that is no
+    class's (``known``), not taken out and no link.  Never beyond what is an article by its tag or a word;
+    beyond the page's body's children only from a single block such as a paragraph."""
+    level = {node.path: node.article for node, text in events if node and text is None and node.tag not in INLINE}
+    own = [node.path for node, text in events if text is not None and not node.out and text.strip()
+           and not _linked(node) and _text_key(node, text) not in known]
+    block, top, around = _tag(slot) in TEXT_BLOCKS, level.get(slot, 0), slot
+    while around:
+        around = around.rpartition("/")[0]
+        whole = _tag(around) in ("", "html", "body")
+        if whole and not block or level.get(around, 0) < top:
+            break
+        if (whole or tokens.get((around, False), [0])[0] == 1) and any(
+                _under(path, around) and not _under(path, slot) for path in own):
+            slot = around
+    return slot
 
 
 def extract(html: str, template: Template | None = None) -> str:
-    """The article's text of one page, given its host's template."""
+    """The article's text of one page, given its host's template.  Template text leaves the slot if its
+    class holds the slot, or lies in an element of its class within the slot; texts that repeat together
+    without an element leave only what lies outside a slot (they may be shared paragraphs)."""
     events = walk(html)
-    main, plain, alone = template.of(page_tokens(html, events)) if template else (None, frozenset(), [])
+    main, groups, alone = None, [], []
+    if template:
+        tokens = page_tokens(html, events)
+        main, groups, alone = template.of(tokens)
+        if main is not None:
+            main = widen(main, events, tokens, frozenset().union(*(texts for _, texts in groups)))
+    whole = main is None or _tag(main) in ("", "html", "body")
+    plain, nested = set(), []
+    for paths, texts in groups:
+        if whole or any(_under(main, path) for path in paths):
+            plain |= texts
+        elif texts:
+            nested.append((paths, texts))
     # texts under the slot: (key, is marked, text), None at the end of a block
     kept: list = []
     for node, text in events:
         if node is None:
             kept.append(None)
-        elif text is not None and not node.out and (
-                main is None or node.path == main or node.path.startswith(main + "/")):
-            key = _key(f"{node.path}\0{' '.join(text.split())}") if (plain or alone) and node.article < 2 else None
+        elif text is not None and not node.out and (main is None or _under(node.path, main)):
+            key = _text_key(node, text) if (plain or nested or alone) and node.article < 2 else None
+            if any(key in texts and any(_under(node.path, path) for path in paths) for paths, texts in nested):
+                continue
             kept.append((key, node.article, text))
     # tags and words only choose where the template leaves the whole page
-    if main is None or main.rpartition("/")[2].partition(".")[0] in ("html", "body"):
+    if whole:
         size = [sum(len(k[2].strip()) for k in kept if k and k[1] >= least) for least in (0, 1, 2)]
         if size[2]:
             kept = [k for k in kept if not k or k[1] == 2]
         elif 2 * size[1] >= size[0]:
             kept = [k for k in kept if not k or k[1]]
-    # texts repeated together, without an element of their own, may be a copied article: not if they are most
-    length = sum(len(k[2].strip()) for k in kept if k and k[0] not in plain)
-    for texts in alone:
-        if 2 * sum(len(k[2].strip()) for k in kept if k and k[0] in texts) < length:
-            plain |= texts
+        # texts repeated together, without an element of their own, may be a copied article: not if they are most
+        length = sum(len(k[2].strip()) for k in kept if k and k[0] not in plain)
+        for texts in alone:
+            if 2 * sum(len(k[2].strip()) for k in kept if k and k[0] in texts) < length:
+                plain |= texts
     return _blocks([k for k in kept if not k or k[0] not in plain]) or _blocks(kept)
 
 

@@ -158,3 +158,47 @@ def test_layouts_that_differ_by_texts_only(spark):
     got = {r.page_id: r.text for r in extract_pages(df).collect()}
     assert all(got[i] == f"Story {i} tells much about {i * 7} and a lot of other things" for i in range(12))
     assert all(got[100 + i] == "One text\n\ncopied whole" for i in range(4))
+
+
+def _story(i, n):
+    return " ".join(f"word{i}x{j}" for j in range(n))
+
+
+@pytest.mark.parametrize("page, want", [
+    # heading and quotation beside a long paragraph
+    (lambda i: (f"<div id=wrap><h1>Title {i}</h1><p>{_story(i, 14)}</p><blockquote>{_story(-i - 1, 5)}</blockquote></div>"),
+     lambda i: f"Title {i}\n\n{_story(i, 14)}\n\n{_story(-i - 1, 5)}"),
+    # two parts of one post
+    (lambda i: (f"<div class=post><h1>Title {i}</h1><div class=body>{_story(i, 14)}</div>"
+                f"<div class=part>{_story(-i - 1, 6)}</div></div>"),
+     lambda i: f"Title {i}\n\n{_story(i, 14)}\n\n{_story(-i - 1, 6)}"),
+    # paragraphs that three stories share
+    (lambda i: (f"<div class=post><p>{_story(i, 14)}</p><p>{_story(i + 50, 9)}</p>"
+                + ("<p>A shared passage</p><p>and its second half</p>" if i < 3 else "") + "</div>"),
+     lambda i: f"{_story(i, 14)}\n\n{_story(i + 50, 9)}" + (
+         "\n\nA shared passage\n\nand its second half" if i < 3 else "")),
+    # no element around the article at all
+    (lambda i: f"<h1>Title {i}</h1><p>{_story(i, 14)}</p><pre>{_story(-i - 1, 5)}</pre>",
+     lambda i: f"Title {i}\n\n{_story(i, 14)}\n\n{_story(-i - 1, 5)}"),
+    # a notice of some pages, with its own element, within the slot goes
+    (lambda i: (f"<div id=wrap><p>{_story(i, 14)}</p>" + ("<section><b>Read our letter</b></section>" if i % 2 else "")
+                + f"<p>{_story(i + 50, 9)}</p></div>"),
+     lambda i: f"{_story(i, 14)}\n\n{_story(i + 50, 9)}"),
+])
+def test_the_article_is_whole(spark, page, want):
+    """Menu and footer of the host go, every block of the article stays."""
+    rows = [(i, f"http://host.example/{i}", f"<html><body><div id=top>Home and news</div>{page(i)}"
+             "<div id=end>All rights reserved</div></body></html>") for i in range(12)]
+    got = {r.page_id: r.text for r in extract_pages(
+        spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == {i: want(i) for i in range(12)}
+
+
+def test_the_slot_stays_within_an_article_and_ignores_links(spark):
+    rows = [(i, f"http://host.example/{i}", f"<html><body><div id=w><div class=content><p>{_story(i, 20)}</p></div>"
+             f"<div id=x>Other {i}</div></div></body></html>") for i in range(6)]
+    rows += [(10 + i, f"http://other.example/{i}", f"<html><body><div id=w><div id=c><p>{_story(i, 20)}</p><p>x{i}</p></div>"
+              f"<div id=x><a href=/>Next {i}</a></div></div></body></html>") for i in range(6)]
+    got = {r.page_id: r.text for r in extract_pages(
+        spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == {i: _story(i, 20) for i in range(6)} | {10 + i: f"{_story(i, 20)}\n\nx{i}" for i in range(6)}

@@ -2,7 +2,8 @@
 
 Every task builds a suffix array over each slice of its documents (a shard) and binary-searches
 all benchmark suffixes in it.  The range a suffix hits gives all its locations; hits along a
-diagonal join into the longest verbatim matches.  The array holds only suffixes whose first words open some
+diagonal join into the longest verbatim matches.  Equal windows of an item are searched once; where an item
+repeats words, each match is the longest from its start, and the next starts after it.  The array holds only suffixes whose first words open some
 benchmark window, as no other can match.  Nothing is shuffled.  The benchmark is the query
 set: it is broadcast in blocks of at most ``BLOCK_CHARS`` characters, one pass a block.
 
@@ -50,15 +51,24 @@ class Suffixes:
         own, at = owners(offsets), np.arange(len(codes))
         start, stop = offsets[:-1][own] if len(own) else at, offsets[1:][own] if len(own) else at
         opens = np.where(size[own] >= window, at + window <= stop, at == start) if len(own) else at > 0
-        self.start, self.item = at[opens], own[opens]
-        self.length = np.minimum(window, stop[opens] - self.start)
-        self.within = self.start - start[opens]
-        self.head = int(min(2, self.length.min())) if len(self.length) else 1
-        self.opening = self.heads(codes, self.start)
+        begin, item = at[opens], own[opens]
+        length = np.minimum(window, stop[opens] - begin)
+        within = begin - start[opens]
+        self.head = int(min(2, length.min())) if len(length) else 1
+        low = _keys(codes, begin, begin + length, window, 0)
+        # equal windows of an item are one window with several places in it
+        same = np.unique(low, return_inverse=True)[1]
+        order = np.lexsort((within, same, item))
+        item, same, self.places = item[order], same[order], within[order]
+        new = np.ones(len(order), bool)
+        new[1:] = (item[1:] != item[:-1]) | (same[1:] != same[:-1])
+        one = order[new]
+        self.place_at = np.append(np.flatnonzero(new), len(order))
+        self.item, self.length, begin = item[new], length[one], begin[one]
+        self.opening = self.heads(codes, begin)
         self.opening_set = np.unique(self.opening)
-        ends = self.start + self.length
-        self.low = _keys(codes, self.start, ends, window, 0)
-        self.high = _keys(codes, self.start, ends, window, 0xFFFFFFFF)
+        self.low = low[one]
+        self.high = _keys(codes, begin, begin + self.length, window, 0xFFFFFFFF)
 
     def code(self, words: pa.Array) -> np.ndarray:
         """1, 2, ... for words of the vocabulary, else 0."""
@@ -99,17 +109,64 @@ class Suffixes:
 
 
 def _longest(test: Suffixes, which, at, text_of):
-    """(text, item, start, length, start in item) of maximal matches from window hits."""
-    item, within = test.item[which], test.within[which]
-    text = text_of[at]
-    order = np.lexsort((at, at - within, item, text))
-    item, within, at, text, size = (x[order] for x in (item, within, at, text, test.length[which]))
-    new = np.ones(len(at), bool)
-    new[1:] = ((item[1:] != item[:-1]) | (text[1:] != text[:-1]) | (at[1:] != at[:-1] + 1)
-               | (within[1:] != within[:-1] + 1))
+    """(text, item, start, length, start in item) of verbatim matches from window hits, in this order.
+
+    An item has one hit at most at a position, as equal windows are one.  Along hits at consecutive positions
+    a match goes on while a diagonal does; if it ends, the next starts with the window after."""
+    item, text = test.item[which], text_of[at]
+    order = np.lexsort((at, item, text))
+    which, item, text, at = (x[order] for x in (which, item, text, at))
+    place = test.places[test.place_at[which]]
+    several = test.place_at[which + 1] - test.place_at[which] > 1
+    broken = np.ones(len(at), bool)
+    broken[1:] = (item[1:] != item[:-1]) | (text[1:] != text[:-1]) | (at[1:] != at[:-1] + 1)
+    new = broken.copy()
+    new[1:] |= place[1:] != place[:-1] + 1
+    first = place.copy()
+    if several.any():
+        run = np.cumsum(broken) - 1
+        cut = np.append(np.flatnonzero(broken), len(at))
+        for r in np.unique(run[several]).tolist():
+            a, b = int(cut[r]), int(cut[r + 1])
+            new[a:b], first[a:b] = _diagonals(test, which[a:b])
     begin = np.flatnonzero(new)
     end = np.append(begin[1:], len(at)) - 1 if len(at) else begin
-    return text[begin], item[begin], at[begin], at[end] + size[end] - at[begin], within[begin]
+    return text[begin], item[begin], at[begin], at[end] + test.length[which][end] - at[begin], first[begin]
+
+
+#: Bytes of place sets that are kept for further use.
+_SETS = 32 << 20
+
+
+def _diagonals(test: Suffixes, which: np.ndarray):
+    """(whether a match starts here, its first place in the item) for windows at consecutive positions.
+
+    The places of a window are the bits of a number, so one shift and one AND follow all
+    diagonals at once; each match is the longest from its start."""
+    new, first = np.zeros(len(which), bool), np.zeros(len(which), np.int64)
+    known, held, alive, since = {}, 0, 0, 0
+    for i, w in enumerate(which.tolist()):
+        if (own := known.get(w)) is None:
+            bits = test.places[test.place_at[w]:test.place_at[w + 1]]
+            flags = np.zeros(bits[-1] + 1, np.uint8)
+            flags[bits] = 1
+            own = int.from_bytes(np.packbits(flags, bitorder="little").tobytes(), "little")
+            held += len(flags) >> 3
+            if held > _SETS:
+                known, held = {}, len(flags) >> 3
+            known[w] = own
+        on = alive << 1 & own
+        if not on:
+            if i:
+                first[since] = _lowest(alive) - (i - 1 - since)
+            new[i], since, on = True, i, own
+        alive = on
+    first[since] = _lowest(alive) - (len(which) - 1 - since)
+    return new, first
+
+
+def _lowest(bits: int) -> int:
+    return (bits & -bits).bit_length() - 1
 
 
 _MATCH = "array<struct<item_id:{0},start:int,length:int,item_start:int>>"

@@ -1,15 +1,21 @@
 """Line dedup, decontamination, near copies and substrings against brute force."""
 
+import random
+import tracemalloc
+
+import numpy as np
+import pyarrow as pa
 import pytest
 from llm_data import (brute_components, brute_hits, brute_lines, brute_substrings, docs, empty)
 from pyspark.sql import functions as F
 
 from keyloop.llm.components import components
-from keyloop.llm.decontaminate import decontaminate, find_matches
+from keyloop.llm.decontaminate import _WORD_BYTES, Suffixes, _longest, decontaminate, find_matches
 from keyloop.llm.frequency import PAYLOAD, payloads, seen_filter
 from keyloop.llm.line_dedup import dedup_lines
 from keyloop.llm.ngram_jaccard import jaccard_components, keep_one
 from keyloop.llm.substring_dedup import dedup_substrings
+from keyloop.llm.text import split_words
 
 
 def _pairs(df):
@@ -150,3 +156,40 @@ def test_filter_never_misses(spark):
     filt = seen_filter(spark.range(1, numPartitions=1).mapInArrow(rows, PAYLOAD), (1, 2, 3)).value
     assert filt.seen(once, 0).all() and filt.seen(twice, 1).all()
     assert filt.seen(once, 1).mean() < 0.05 and filt.seen(twice, 2).mean() < 0.05
+
+
+def test_repeated_words_in_items_and_texts(spark):
+    """Items and texts of few words that repeat: hits as in brute force, matches verbatim and the
+    longest from their start."""
+    rng = random.Random(5)
+    text = lambda n, letters: " ".join(rng.choice(letters) for _ in range(n))
+    items = [(1, "a " * 40), (2, "a b " * 15), (3, text(60, "ab")), (4, text(80, "abc")), (5, "b"), (6, "a " * 12 + "c")]
+    rows = [(i, text(rng.randrange(60), letters)) for i in range(60) for letters in ("ab", "abc")]
+    rows += [(900, "a " * 200), (901, "a b " * 100), (902, "c " + "a " * 13 + "c c"), (903, items[3][1] * 2)]
+    found = find_matches(spark.createDataFrame(rows, "doc_id long, text string"),
+                         spark.createDataFrame(items, "item_id long, text string"), window=4).collect()
+    want = {(i, t): brute_hits(t, items, 4) for i, t in rows}
+    assert len(found) == len(rows)
+    item_words = {i: t.split() for i, t in items}
+    for r in found:
+        n, hit, ids = want[r.doc_id, r.text]
+        assert (r.n_words, r.n_hit, {m.item_id for m in r.matches}) == (n, hit, set(ids))
+        words = r.text.split()
+        for m in r.matches:
+            whole = item_words[m.item_id]
+            assert words[m.start:m.start + m.length] == whole[m.item_start:m.item_start + m.length]
+            longer = words[m.start:m.start + m.length + 1]
+            assert len(longer) == m.length or not any(
+                whole[p:p + len(longer)] == longer for p in range(len(whole)))
+
+
+def test_equal_words_take_little_memory():
+    test = Suffixes(pa.array([1]), pa.array(["the " * 2_000]), 10)
+    tracemalloc.start()
+    words, offsets = split_words(pa.array(["the " * 200_000]), _WORD_BYTES)
+    which, at = test.search(test.code(words), offsets)
+    text, item, start, length, place = _longest(test, which, at, np.zeros(200_000, np.int64))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(which) == 200_000 - 9 and peak < 300 << 20
+    assert length.tolist()[:-1] == [2_000] * (len(length) - 1) and start[0] == 0 and place[0] == 0

@@ -3,7 +3,8 @@
 Documents with equal sets are one node.  Two nodes of Jaccard similarity t must share one of
 their first ``floor((1 - t) n) + 1`` shingles in any fixed order of all shingles (n: set size).
 The order puts shingles first that a two-layer Bloom filter proves to be in one row only:
-these need no tile, so text without copies leaves no trace.  Shingles of many rows come last.
+these need no tile, so text without copies leaves no trace.  Shingles of many rows come last, above all
+those counted as the most frequent of all (slices give counts of what repeats in them).
 
 1. Tiles: a shared prefix shingle and a size band (sizes of linked sets differ by at most t).
    Each node is paired with the smallest node of its tiles only.
@@ -36,17 +37,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from keyloop.llm.components import components
-from keyloop.llm.frequency import PAYLOAD, payloads, seen_filter
-from keyloop.llm.text import (ascii_lower_table, bucketed, inside, mix, ngram_hashes, owners,
+from keyloop.llm.frequency import BLOCKS, PAYLOAD, SeenFilter, _fill, payloads
+from keyloop.llm.text import (Shared, ascii_lower_table, bucketed, inside, mix, ngram_hashes, owners,
                               release, slices, split_words, stored, word_hashes)
 
 _LOWER = ascii_lower_table()
 _FILTERED = np.uint64(1 << 62)  # hashes below are in the filter
 #: Rows from which a shingle counts as frequent (it then comes last in the order).
 FREQUENT = 64
+#: Sightings in one slice from which a shingle is counted, and how many of the most frequent ones are known.
+LOCAL = 3
+HEAVY = 1 << 18
+HEAVY_BLOCKS = 64
 SIGNATURE_BITS = 1024
-#: Nodes of a large component that one task compares with others at once.
-CHUNK = 512
+#: Nodes of a block; a cell of the open tiles compares two blocks.
+CHUNK = 2048
 #: Bytes of text that are hashed at once.
 SLICE = 1 << 20
 #: Pairs that a task holds before it drops repeated ones.
@@ -76,15 +81,81 @@ def shingle_sets(col: pa.Array, k: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _sketch(text: str, k: int):
+    """Payloads of the filtered hashes, and of (hash, count) for what a slice holds several times."""
     def run(batches):
+        often, size = [], 0
+
         def hashes():
+            nonlocal size
             for part in slices(batches, text, SLICE):
                 flat, _ = shingle_sets(part.column(text), k)
+                values, counts = np.unique(flat, return_counts=True)
+                take = counts >= LOCAL
+                often.append(np.stack([values[take], counts[take].astype(np.uint64)], axis=1))
+                size += len(often[-1])
+                if size > HEAVY:
+                    often[:] = [_summed(often)[:HEAVY // 2]]
+                    size = len(often[0])
                 yield mix(flat[flat < _FILTERED])
         yield from payloads(hashes())
+        if size:
+            rows = _summed(often)
+            block = (mix(rows[:, 0]) & np.uint64(HEAVY_BLOCKS - 1)).astype(np.int32)
+            full = np.unique(block)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(full + BLOCKS, pa.int32()), pa.array([rows[block == b].tobytes() for b in full], pa.binary())],
+                names=["block", "payload"])
+    return run
+
+
+def _summed(parts: list[np.ndarray]) -> np.ndarray:
+    """(hash, count) rows with the counts of equal hashes added up, largest first."""
+    rows = np.concatenate(parts)
+    values, where = np.unique(rows[:, 0], return_inverse=True)
+    counts = np.bincount(where, weights=rows[:, 1], minlength=len(values)).astype(np.uint64)
+    order = np.lexsort((values, -counts.astype(np.int64)))
+    return np.stack([values[order], counts[order]], axis=1)
+
+
+def _layers(levels: tuple[int, ...]):
+    """Task code: the filter's layers of each block; of the blocks behind them the most frequent hashes."""
+    fill = _fill(levels)
+
+    def run(batches):
+        heavy: dict[int, list] = {}
+
+        def plain():
+            for batch in batches:
+                behind = batch.column(0).to_numpy() >= BLOCKS
+                for block, payload in zip(*(c.to_pylist() for c in batch.filter(pa.array(behind)).columns)):
+                    own = heavy.setdefault(block, [])
+                    own.append(np.frombuffer(payload, np.uint64).reshape(-1, 2))
+                    if sum(map(len, own)) > HEAVY:
+                        own[:] = [_summed(own)[:HEAVY // 2]]
+                if not behind.all():
+                    yield batch.filter(pa.array(~behind))
+        yield from fill(plain())
+        if heavy:
+            top = {b: _summed(own)[:HEAVY // HEAVY_BLOCKS] for b, own in heavy.items()}
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(list(top), pa.int32()),
+                 pa.array([[rows[rows[:, 1] >= FREQUENT, 0].tobytes()] for rows in top.values()], pa.list_(pa.binary()))],
+                names=["block", "layers"])
     return run
 
 
+def _order_of(slim: DataFrame, k: int):
+    """Broadcast (filter, sorted heavy hashes): of these at most ``HEAVY``, 2 MB, reach the driver."""
+    spark = slim.sparkSession
+    n = min(BLOCKS, max(1, int(spark.conf.get("spark.sql.shuffle.partitions"))))
+    levels = (2, FREQUENT)
+    rows = (slim.select("text").mapInArrow(_sketch("text", k), PAYLOAD)
+            .repartition(n, "block").sortWithinPartitions("block")
+            .mapInArrow(_layers(levels), "block int, layers array<binary>").collect())
+    heavy = np.frombuffer(b"".join(bytes(r.layers[0]) for r in rows if r.block >= BLOCKS), np.uint64)
+    return Shared(spark, (SeenFilter([r for r in rows if r.block < BLOCKS], len(levels)), np.sort(heavy)))
+
+
 def signature(grams: np.ndarray) -> np.ndarray:
     """SIGNATURE_BITS parities as int64 words."""
     bits = np.bincount((mix(grams) & np.uint64(SIGNATURE_BITS - 1)).astype(np.int64),
@@ -92,16 +163,19 @@ def signature(grams: np.ndarray) -> np.ndarray:
     return np.packbits(bits.astype(np.uint8), bitorder="little").view(np.int64)
 
 
-def _prefixes(text: str, k: int, num: int, den: int, filt):
+def _prefixes(text: str, k: int, num: int, den: int, order_of):
     """One row a text; prefix, signature and shingles only where a tile may need them."""
     def run(batches):
+        filt, heavy = order_of.value
         for part in slices(batches, text, SLICE):
             flat, offsets = shingle_sets(part.column(text), k)
             size = np.diff(offsets)
             rank = np.full(len(flat), 2, np.uint8)
             known = np.flatnonzero(flat < _FILTERED)
             key = mix(flat[known])
-            rank[known] = np.where(filt.value.seen(key, 1), 3, np.where(filt.value.seen(key, 0), 1, 0))
+            rank[known] = np.where(filt.seen(key, 1), 3, np.where(filt.seen(key, 0), 1, 0))
+            if len(heavy):
+                rank[heavy[np.minimum(np.searchsorted(heavy, flat), len(heavy) - 1)] == flat] = 4
             alone = np.concatenate([[0], np.cumsum(rank == 0)])[offsets]
             need = size - -(-num * size // den) + 1
             prefix, sigs, grams, digests = [], [], [], []
@@ -163,75 +237,83 @@ def _links(pairs: DataFrame, column, num: int, den: int) -> DataFrame:
 
 
 def _across(num: int, den: int, nearest: bool):
-    """Distinct pairs across components within a chunk's tiles that sizes and signatures allow;
+    """Distinct pairs across components within a cell's tiles that sizes and signatures allow;
     with ``nearest`` only the likeliest of each node outside the largest component.
 
-    Rows come sorted by (most, chunk, key): ``main`` rows are of the tiles' largest component,
-    the chunk's share of it; the others are in every chunk and paired with each other in the first."""
-    def candidates(key, node, label, n, main, first):
-        cuts = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
-        found, size, most = [], 0, GATHER
-        for a, b in zip(cuts.tolist(), np.append(cuts[1:], len(key)).tolist()):
-            at = np.arange(a, b)
-            for other in np.array_split(at[~main[a:b]], max(1, (b - a) ** 2 // GATHER)):
-                to = (label[other][:, None] != label[a:b]) & (
-                    den * np.minimum(n[other][:, None], n[a:b]) >= num * np.maximum(n[other][:, None], n[a:b]))
-                to &= main[a:b] | (first & (at > other[:, None]))
-                i, j = np.nonzero(to)
-                x, y = node[other[i]], node[at[j]]
-                found.append(np.minimum(x, y) << 32 | np.maximum(x, y))
-                size += len(i)
-            if size > most:      # twice what is distinct, so that the work stays in proportion
-                found = [np.unique(np.concatenate(found))]
-                size = len(found[0])
-                most = max(GATHER, 2 * size)
-        return np.unique(np.concatenate(found)) if found else np.zeros(0, np.int64)
-
+    Rows come sorted by (most, x, y, key): the cell compares block x with block y (within one if
+    they are the same); ``main`` rows are of the tiles' largest component."""
     def out(parts):
         rows = pa.Table.from_batches(parts).combine_chunks()
         names = rows.column("node").combine_chunks().dictionary_encode()
         node = names.indices.to_numpy().astype(np.int64)
         label = rows.column("label").combine_chunks().dictionary_encode().indices.to_numpy()
-        n = rows.column("n").to_numpy()
-        main = rows.column("main").to_numpy()
-        pairs = candidates(rows.column("key").to_numpy(), node, label, n, main, rows.column("chunk")[0].as_py() == 0)
+        n, main, key = (rows.column(c).to_numpy() for c in ("n", "main", "key"))
+        block, x, y = rows.column("block").to_numpy(), rows.column("x")[0].as_py(), rows.column("y")[0].as_py()
         where = np.zeros(len(names.dictionary), np.int64)
         where[node] = np.arange(len(node))
         sig = rows.column("sig").combine_chunks().flatten().to_numpy().view(np.uint64).reshape(len(n), -1)
-        x, y = where[pairs >> 32], where[pairs & 0xFFFFFFFF]
-        keep, score = [np.zeros(0, np.int64)], [np.zeros(0)]
-        for a in range(0, len(pairs), 1 << 16):
-            i, j = x[a:a + (1 << 16)], y[a:a + (1 << 16)]
-            over = (n[i] + n[j] - np.bitwise_count(sig[i] ^ sig[j]).sum(axis=1, dtype=np.int64)) // 2
-            ok = np.flatnonzero(den * over >= num * (n[i] + n[j] - over))
-            keep.append(a + ok)
-            score.append(over[ok] / (n[i] + n[j] - over)[ok])
-        keep = np.concatenate(keep)
-        x, y = x[keep], y[keep]
-        if nearest and len(x):
-            outside = np.where(main[x], y, x)
-            order = np.lexsort((-np.concatenate(score), outside))
+
+        def near(found):
+            """Pairs of ``found`` that the signatures leave, and what overlap they allow."""
+            pairs = np.unique(np.concatenate(found))
+            i, j = where[pairs >> 32], where[pairs & 0xFFFFFFFF]
+            keep, score = [np.zeros(0, np.int64)], [np.zeros(0)]
+            for a in range(0, len(pairs), 1 << 16):
+                p, q = i[a:a + (1 << 16)], j[a:a + (1 << 16)]
+                over = (n[p] + n[q] - np.bitwise_count(sig[p] ^ sig[q]).sum(axis=1, dtype=np.int64)) // 2
+                ok = np.flatnonzero(den * over >= num * (n[p] + n[q] - over))
+                keep.append(a + ok)
+                score.append(over[ok] / (n[p] + n[q] - over)[ok])
+            return pairs[np.concatenate(keep)], np.concatenate(score)
+
+        kept, scores, found, size = [np.zeros(0, np.int64)], [np.zeros(0)], [], 0
+        cuts = np.append(np.flatnonzero(np.append(True, key[1:] != key[:-1])), len(key))
+        for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+            at = np.arange(a, b)
+            left, right = at[block[a:b] == x], at[block[a:b] == y]
+            for some in np.array_split(left, max(1, len(left) * len(right) // GATHER)):
+                to = (label[some][:, None] != label[right]) & (
+                    den * np.minimum(n[some][:, None], n[right]) >= num * np.maximum(n[some][:, None], n[right]))
+                if x == y:
+                    to &= right > some[:, None]
+                i, j = np.nonzero(to)
+                p, q = node[some[i]], node[right[j]]
+                found.append(np.minimum(p, q) << 32 | np.maximum(p, q))
+                size += len(i)
+                if size > GATHER:
+                    for both, more in zip((kept, scores), near(found)):
+                        both.append(more)
+                    found, size = [], 0
+        if found:
+            for both, more in zip((kept, scores), near(found)):
+                both.append(more)
+        pairs, first = np.unique(np.concatenate(kept), return_index=True)
+        score = np.concatenate(scores)[first]
+        i, j = where[pairs >> 32], where[pairs & 0xFFFFFFFF]
+        if nearest and len(i):
+            outside = np.where(main[i], j, i)
+            order = np.lexsort((-score, outside))
             first = order[np.append(True, outside[order][1:] != outside[order][:-1])]
-            x, y = x[first], y[first]
+            i, j = i[first], j[first]
         take = rows.column("node").combine_chunks().take
         return pa.RecordBatch.from_arrays(
-            [take(pa.array(x)), take(pa.array(y)), pa.array(n[x]), pa.array(n[y])],
+            [take(pa.array(i)), take(pa.array(j)), pa.array(n[i]), pa.array(n[j])],
             names=["a", "b", "na", "nb"])
 
     def run(batches):
         now, parts = None, []
         for batch in batches:
-            most, chunk = batch.column("most").to_pylist(), batch.column("chunk").to_pylist()
+            cells = list(zip(*(batch.column(c).to_pylist() for c in ("most", "x", "y"))))
             a = 0
             for i in range(batch.num_rows + 1):
-                if i == batch.num_rows or (most[i], chunk[i]) != now:
+                if i == batch.num_rows or cells[i] != now:
                     if i > a:
                         parts.append(batch.slice(a, i - a))
                     a = i
                     if i < batch.num_rows:
                         if parts:
                             yield out(parts)
-                        now, parts = (most[i], chunk[i]), []
+                        now, parts = cells[i], []
         if parts:
             yield out(parts)
         release()
@@ -242,25 +324,37 @@ def _open_pairs(tiles: DataFrame, labels: DataFrame, column, num: int, den: int,
                 nearest: bool) -> DataFrame:
     """(a, b, na, nb) of tiles that hold several components of ``labels(node, label)``.
 
-    A component that is large is dealt out in chunks of nodes, the tiles' other nodes go to all
-    chunks of the component that is most frequent there; all tiles of it meet in these tasks,
-    so a pair that shares many tiles comes out once."""
+    All tiles in which the same component is the most frequent are worked on together, so a pair that shares
+    many tiles comes out once.  Their nodes are dealt into blocks of some ``CHUNK``, those of that
+    component first, and every cell of two blocks is one piece of work: none holds more than two
+    blocks, whatever links there are."""
     named = tiles.join(labels, "node", "left").select(
         "key", "node", "n", F.coalesce("label", "node").alias("label"))
     counts = named.groupBy("key", "label").agg(F.count("*").alias("c"))
-    sizes = labels.groupBy("label").agg(F.ceil(F.count("*") / CHUNK).cast("int").alias("chunks"))
     mixed = (counts.groupBy("key").agg(F.max(F.struct("c", "label")).alias("top"),
                                        F.count("*").alias("labels")).where("labels > 1")
-             .select("key", F.col("top.label").alias("most"))
-             .join(sizes.withColumnRenamed("label", "most"), "most", "left").fillna(1, ["chunks"]))
-    rows = (named.join(mixed, "key").withColumn("main", F.col("label") == F.col("most"))
-            .withColumn("chunk", F.explode(F.when(
-                F.col("main"), F.array(F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int")))
-                .otherwise(F.sequence(F.lit(0), F.col("chunks") - 1))))
+             .select("key", F.col("top.label").alias("most")))
+    rows = named.join(mixed, "key").withColumn("main", F.col("label") == F.col("most"))
+    # how many blocks of the component and of other nodes; few nodes are one block
+    many = lambda main: F.ceil(F.approx_count_distinct(
+        F.when(F.col("main") == main, F.col("node"))) / CHUNK).cast("int")
+    sizes = (rows.groupBy("most").agg(many(True).alias("c"), many(False).alias("g"))
+             .select("most", F.when((F.col("c") == 1) & (F.col("g") == 1), 0).otherwise(F.col("c")).alias("c"),
+                     F.greatest("g", F.lit(1)).alias("g")))
+    at = F.xxhash64("node")
+    block = F.when(F.col("main") & (F.col("c") > 0), F.pmod(at, F.col("c"))).otherwise(
+        F.col("c") + F.pmod(at, F.col("g"))).cast("int")
+    last = F.col("c") + F.col("g") - 1
+    cell = lambda x, y: F.struct(x.cast("int").alias("x"), y.cast("int").alias("y"))
+    own = F.col("block")
+    cells = F.when(own < F.col("c"), F.transform(F.sequence(F.col("c"), last), lambda i: cell(own, i))).otherwise(
+        F.transform(F.sequence(F.lit(0), last), lambda i: cell(F.least(i, own), F.greatest(i, own))))
+    rows = (rows.join(sizes, "most").withColumn("block", block).withColumn("cell", F.explode(cells))
+            .select("key", "node", "n", "label", "most", "main", "block", "cell.x", "cell.y")
             .join(column("sig"), "node"))
     swap = F.col("a") > F.col("b")
-    return (rows.repartition("most", "chunk").sortWithinPartitions("most", "chunk", "key")
-            .select("most", "chunk", "key", "node", "n", "label", "main", "sig")
+    return (rows.repartition("most", "x", "y").sortWithinPartitions("most", "x", "y", "key")
+            .select("most", "x", "y", "key", "node", "n", "label", "main", "block", "sig")
             .mapInArrow(_across(num, den, nearest), "a binary, b binary, na long, nb long")
             .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"),
                     F.when(swap, F.col("nb")).otherwise(F.col("na")).alias("na"),
@@ -281,9 +375,9 @@ def jaccard_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 10
     kind = docs.schema[ident].dataType.simpleString()
     slim = docs.select(F.col(ident).alias("id"), F.col(text).alias("text"),
                        F.xxhash64(F.col(text)).alias("fp"))
-    filt = seen_filter(slim.select("text").mapInArrow(_sketch("text", k), PAYLOAD), (2, FREQUENT))
+    order_of = _order_of(slim, k)
     sets = bucketed(slim.mapInArrow(
-        _prefixes("text", k, num, den, filt),
+        _prefixes("text", k, num, den, order_of),
         f"id {kind}, fp long, n long, node binary, prefix array<long>, sig array<long>, grams binary"),
         "sets", "node")
 

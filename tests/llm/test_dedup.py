@@ -9,11 +9,12 @@ import pytest
 from llm_data import (brute_components, brute_hits, brute_lines, brute_substrings, docs, empty)
 from pyspark.sql import functions as F
 
+from keyloop.llm import ngram_jaccard
 from keyloop.llm.components import components
 from keyloop.llm.decontaminate import _WORD_BYTES, Suffixes, _longest, decontaminate, find_matches
 from keyloop.llm.frequency import PAYLOAD, payloads, seen_filter
 from keyloop.llm.line_dedup import dedup_lines
-from keyloop.llm.ngram_jaccard import jaccard_components, keep_one
+from keyloop.llm.ngram_jaccard import _order_of, _prefixes, jaccard_components, keep_one, shingle_sets
 from keyloop.llm.substring_dedup import dedup_substrings
 from keyloop.llm.text import split_words
 
@@ -193,3 +194,42 @@ def test_equal_words_take_little_memory():
     tracemalloc.stop()
     assert len(which) == 200_000 - 9 and peak < 300 << 20
     assert length.tolist()[:-1] == [2_000] * (len(length) - 1) and start[0] == 0 and place[0] == 0
+
+
+def _common_head(spark, n, own=40):
+    head = F.lit(" ".join(f"head{i}" for i in range(60)))
+    return spark.range(n).select(F.col("id").alias("doc_id"), F.concat_ws(
+        " ", head, F.transform(F.sequence(F.lit(0), F.lit(own - 1)),
+                               lambda i: F.concat(F.lit("own"), F.col("id"), F.lit("x"), i))).alias("text"))
+
+
+def test_frequent_shingles_rank_last_and_make_no_tile(spark):
+    """Texts of a common head, none linked: the head's shingles are in nobody's prefix."""
+    slim = _common_head(spark, 500).withColumnRenamed("doc_id", "id").withColumn("fp", F.xxhash64("text"))
+    order_of = _order_of(slim, 4)
+    heavy = set(order_of.value[1].tolist())
+    head, _ = shingle_sets(pa.array([" ".join(f"head{i}" for i in range(60))]), 4)
+    assert heavy == set(head.tolist())
+    prefixes = slim.mapInArrow(
+        _prefixes("text", 4, 85, 100, order_of),
+        "id long, fp long, n long, node binary, prefix array<long>, sig array<long>, grams binary").collect()
+    assert len(prefixes) == 500
+    assert not any(heavy & {x & (1 << 64) - 1 for x in r.prefix or []} for r in prefixes)
+
+
+@pytest.mark.parametrize("chunk", [2, 5, 2048])
+def test_many_unlinked_members_of_a_tile(spark, monkeypatch, chunk):
+    """Texts of few frequent passages: most are linked with nothing, some in chains, whatever the blocks."""
+    monkeypatch.setattr(ngram_jaccard, "CHUNK", chunk)
+    rng = random.Random(9)
+    passages = [" ".join(f"p{i}w{j}" for j in range(8)) for i in range(7)]
+    rows = []
+    for i in range(120):
+        text = rng.sample(passages, 4) + [" ".join(f"own{rng.randrange(40)}" for _ in range(rng.randrange(8)))]
+        rows.append((i, " ".join(text)))
+        if i % 4 == 0:
+            rows.append((1_000 + i, rows[-1][1] + " tail"))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = jaccard_components(df, 2, 60, 100).collect()
+    want = brute_components(rows, 2, 60, 100)
+    _same([(r.doc_id, r.n_shingles, r.component_id) for r in got], [(r[0], *w) for r, w in zip(rows, want)])

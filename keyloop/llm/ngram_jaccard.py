@@ -6,7 +6,8 @@ The order puts shingles first that a two-layer Bloom filter proves to be in one
 these need no tile, so text without copies leaves no trace.  Shingles of many rows come last, above all
 those counted as the most frequent of all (slices give counts of what repeats in them).
 
-1. Tiles: a shared prefix shingle and a size band (sizes of linked sets differ by at most t).
+1. Tiles: a shared prefix shingle and a size band (sizes of linked sets differ by at most t).  Shingles that
+   a Bloom filter of all prefixes proves to be in one node's only are left out.
    Each node is paired with the smallest node of its tiles only.
 2. A pair is dropped if its bitmap signatures exclude it: each shingle flips one bit, so the bits
    that differ bound the symmetric difference from below, hence the overlap from above.  What
@@ -32,12 +33,13 @@ import math
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from keyloop.llm.components import components
-from keyloop.llm.frequency import BLOCKS, PAYLOAD, SeenFilter, _fill, payloads
+from keyloop.llm.frequency import BLOCKS, PAYLOAD, SeenFilter, _fill, payloads, seen_filter
 from keyloop.llm.text import (Shared, ascii_lower_table, bucketed, inside, mix, ngram_hashes, owners,
                               release, slices, split_words, stored, word_hashes)
 
@@ -221,16 +223,40 @@ def _exact(num: int, den: int):
     return run
 
 
-def _links(pairs: DataFrame, column, num: int, den: int) -> DataFrame:
-    """Those of ``pairs(a, b, na, nb)`` that link: signatures first, then sorted arrays.
+def _keys(batches):
+    """Payloads of the prefix shingles."""
+    def hashes():
+        for batch in batches:
+            yield mix(pc.list_flatten(batch.column("prefix")).to_numpy(zero_copy_only=False).view(np.uint64))
+    yield from payloads(hashes())
+
+
+def _shared_keys(filt):
+    """(key, node, n) of the prefix shingles that the filter saw in several nodes."""
+    def run(batches):
+        for batch in batches:
+            prefix = batch.column("prefix")
+            key = pc.list_flatten(prefix).to_numpy(zero_copy_only=False)
+            of = pc.list_parent_indices(prefix).to_numpy(zero_copy_only=False)
+            keep = np.flatnonzero(filt.value.seen(mix(key.view(np.uint64))))
+            of = pa.array(of[keep])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(key[keep]), batch.column("node").take(of), batch.column("n").take(of)],
+                names=["key", "node", "n"])
+            release()
+    return run
+
+
+def _links(pairs: DataFrame, column, num: int, den: int, compared: bool = False) -> DataFrame:
+    """Those of ``pairs(a, b, na, nb)`` that link: signatures first (unless ``compared``), then sorted arrays.
 
     ``column(name, *more)`` gives (node, ...) without moving the nodes.  Only the arrays of b
     travel, with their pair, to those of the few a; a hot a is split by adaptive execution."""
-    near = stored(
-        pairs.join(column("sig").toDF("a", "sa"), "a").join(column("sig").toDF("b", "sb"), "b")
-        .where(_may_link(num, den, F.aggregate(
-            F.zip_with("sa", "sb", lambda x, y: F.bit_count(x.bitwiseXOR(y))),
-            F.lit(0), lambda s, x: s + x))).select("a", "b"), "near")
+    if not compared:
+        pairs = pairs.join(column("sig").toDF("a", "sa"), "a").join(column("sig").toDF("b", "sb"), "b").where(
+            _may_link(num, den, F.aggregate(
+                F.zip_with("sa", "sb", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)))
+    near = stored(pairs.select("a", "b"), "near")
     firsts = near.select(F.col("a").alias("node")).distinct().join(column("grams"), "node").toDF("a", "xa")
     both = near.join(column("grams").toDF("b", "xb"), "b").join(firsts, "a")
     return both.select("a", "b", "xa", "xb").mapInArrow(_exact(num, den), "a binary, b binary")
@@ -387,8 +413,11 @@ def jaccard_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 10
                 .agg(*[F.first(c).alias(c) for c in names]))
 
     band = F.floor(F.log("n") / math.log(den / num)) if num < den else F.col("n")
-    tiles = stored(column("n", "prefix").select(F.explode("prefix").alias("key"), "node", "n",
-                                                band.cast("long").alias("band")), "tiles")
+    # prefix shingles of one node make no tile: most go without moving
+    prefixes = column("n", "prefix").select("node", "n", "prefix")
+    several = seen_filter(prefixes.select("prefix").mapInArrow(_keys, PAYLOAD))
+    tiles = stored(prefixes.mapInArrow(_shared_keys(several), "key long, node binary, n long")
+                   .select("key", "node", "n", band.cast("long").alias("band")), "tiles")
 
     # 1: each node with the smallest of its tile
     pivots = (tiles.groupBy("key", "band")
@@ -400,7 +429,7 @@ def jaccard_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 10
 
     # 2: pairs across components, in tiles that hold several
     for nearest in (True, False):
-        late = stored(_links(_open_pairs(tiles, labels, column, num, den, nearest), column, num, den),
+        late = stored(_links(_open_pairs(tiles, labels, column, num, den, nearest), column, num, den, True),
                       "links")
         if not late.isEmpty():
             labels = components(late.union(labels.toDF("a", "b")))

@@ -25,6 +25,8 @@ from keyloop.llm.text import Shared, ddl, inside, owners, slices, split_words, s
 
 #: Characters of benchmark text in one broadcast block; the rest takes further passes.
 BLOCK_CHARS = 16 << 20
+#: Bytes of text in one suffix array.
+SHARD = 2 << 20
 #: Byte map: A-Z lower-cased, every other byte that is no word byte to a space.
 _WORD_BYTES = bytes(
     b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32
@@ -178,7 +180,7 @@ def _scan(text: str, test_of, item_type: pa.DataType):
 
     def run(batches):
         test = test_of.value
-        for part in slices(batches, text):
+        for part in slices(batches, text, SHARD):
             words, offsets = split_words(part.column(text), _WORD_BYTES)
             which, at = test.search(test.code(words), offsets)
             own, item, start, length, within = _longest(test, which, at, owners(offsets))

@@ -29,6 +29,20 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, most: int, l
     return stored(one.select("id", "r.*"), f"sample-{label}")
 
 
+def labelled(docs: DataFrame, labels: DataFrame, label: str, ident: str = "doc_id",
+             columns: tuple[str, ...] = ("text",)) -> DataFrame:
+    """All labelled documents: id, label and ``columns``, dealt by id.
+
+    Repeated ids count once, with the largest label and the least text; null ids and labels are left out.
+    """
+    known = labels.select(F.col(ident).alias("id"), F.col(label).alias("label")).where(
+        "id IS NOT NULL AND label IS NOT NULL")
+    ids = known.groupBy("id").agg(F.max("label").alias("label"))
+    rows = docs.select(F.col(ident).alias("id"), *columns).join(ids, "id")
+    one = rows.groupBy("id").agg(F.min(F.struct("label", *columns)).alias("r"))
+    return stored(one.select("id", "r.*"), f"labelled-{label}")
+
+
 def vector_sum(rows: DataFrame, parts: int = 16) -> np.ndarray:
     """Sum of equally long float64 vectors, ``rows(v binary)``, added up in ``parts`` tasks."""
     def add(batches):

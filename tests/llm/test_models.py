@@ -60,6 +60,37 @@ def test_rules_ratio(spark):
         assert r.ratio == pytest.approx(want) and r.kept == (not r.base_failed and r.ratio >= model.threshold)
 
 
+def _threshold(good, bad):
+    """The documented threshold, by all ratios in one place."""
+    most = np.sort(good)[int(rules.TARGET_LOSS * len(good))]
+    if not len(bad):
+        return most
+    tries = np.unique(np.concatenate([good, bad]))
+    right = [int((bad < t).sum()) * len(good) - int((good < t).sum()) * len(bad) for t in tries]
+    best = int(np.argmax(right))
+    return min((tries[best] + tries[max(0, best - 1)]) / 2, most)
+
+
+@pytest.mark.parametrize("most_bad", [9, 0])
+def test_rules_learn_from_all_labelled_rows(spark, most_bad):
+    """More labelled rows than any sample held: the target counts and the threshold come from every one."""
+    from keyloop.llm.text import split_words
+    df = spark.range(24_000).selectExpr(
+        "id AS doc_id", "concat('w', id % 7, ' x', id % 11, IF(id % 10 < 3, ' buy | now', ' and more')) AS text")
+    labels = df.selectExpr("doc_id", f"int(NOT (doc_id % 10 < 4 AND doc_id % 10 < {most_bad})) AS quality")
+    model = rules.fit(df, labels)
+    got = df.join(labels, "doc_id").toPandas()
+
+    def buckets(texts):
+        return rules._buckets(*split_words(pa.array(texts, pa.string())))[0]
+    counts = [np.bincount(buckets(t), minlength=rules.BUCKETS) for t in (got.text[got.quality == 1], got.text)]
+    share = [np.log((c + rules.SMOOTHING) / (c.sum() + rules.SMOOTHING * rules.BUCKETS)) for c in counts]
+    assert model.weights == pytest.approx(share[0] - share[1], abs=1e-12)
+    ratio = rules.ratios(*split_words(pa.array(got.text, pa.string())), model.weights)
+    good = (got.quality == 1).to_numpy()
+    assert model.threshold == pytest.approx(_threshold(ratio[good], ratio[~good]), abs=1e-12)
+
+
 def test_rules_separate(spark):
     got = QUERIES["op5_quality_rules"](spark, SF).join(tables(spark, SF, "labels"), "doc_id").toPandas()
     good = got[(got.quality == 1) & ~got.base_failed]

@@ -40,6 +40,8 @@ CONTEXT, WIDTH = 4, 16
 HASHED = 2048
 INPUTS = CLASSES + HASHED + 1
 BATCH, NOISE, RATE = 2048, 64, 0.08
+#: Tokens that are scored at once: their scores of all classes stay in a core's cache.
+SCORED = 512
 ALPHA = 0.1  # added to each count
 _LOWER = ascii_lower_table()
 
@@ -119,10 +121,14 @@ class Parameters:
             rng.normal(0, 0.1, CLASSES * WIDTH), np.log(share), rng.normal(0, 0.1, INPUTS * WIDTH),
             np.full(CONTEXT * WIDTH, 0.5)])
 
-    def context(self, inputs: np.ndarray) -> np.ndarray:
-        out = self.q[inputs[:, 0]] * self.c[0]
+    def gathered(self, inputs: np.ndarray) -> list[np.ndarray]:
+        """The input rows of each place of the context."""
+        return [self.q.take(inputs[:, j], axis=0) for j in range(CONTEXT)]
+
+    def context(self, rows: list[np.ndarray]) -> np.ndarray:
+        out = rows[0] * self.c[0]
         for j in range(1, CONTEXT):
-            out += self.q.take(inputs[:, j], axis=0) * self.c[j]
+            out += rows[j] * self.c[j]
         return out
 
 
@@ -131,12 +137,12 @@ def _logistic(x: np.ndarray) -> np.ndarray:
         return 1 / (1 + np.exp(-x))
 
 
-def _add_rows(rows: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Sums of the values of equal rows: (distinct rows, sums)."""
+def _equal_rows(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(distinct rows, an order that brings equal ones together, where each begins in it)."""
     order = np.argsort(rows.astype(np.uint16), kind="stable")
     rows = rows[order]
     first = np.flatnonzero(np.append(True, rows[1:] != rows[:-1]))
-    return rows[first], np.add.reduceat(values[order], first, axis=0)
+    return rows[first], order, first
 
 
 def _train(share: np.ndarray, start: np.ndarray):
@@ -154,25 +160,28 @@ def _train(share: np.ndarray, start: np.ndarray):
                 acc += grad * grad
                 getattr(p, name)[...] -= RATE * grad / np.sqrt(acc)
             else:
-                rows, grad = _add_rows(rows, grad)
-                acc[rows] += grad * grad
-                getattr(p, name)[rows] -= RATE * grad / np.sqrt(acc[rows])
+                rows, order, first = rows
+                grad = np.add.reduceat(grad.take(order, axis=0), first, axis=0)
+                own = acc[rows] + grad * grad
+                acc[rows] = own
+                getattr(p, name)[rows] -= RATE * grad / np.sqrt(own)
 
         for classes, inputs in token_slices:
             for a in range(0, len(classes), BATCH):
                 y, x = classes[a:a + BATCH], inputs[a:a + BATCH]
                 noise = np.minimum(np.searchsorted(cdf, rng.random(NOISE)), CLASSES - 1)
-                h = p.context(x)
-                true = (h * p.r[y]).sum(axis=1) + p.bias[y] - log_noise[y]
-                false = h @ p.r[noise].T + (p.bias[noise] - log_noise[noise])
+                q, r_y, r_noise = p.gathered(x), p.r.take(y, axis=0), p.r[noise]
+                h = p.context(q)
+                true = (h * r_y).sum(axis=1) + p.bias[y] - log_noise[y]
+                false = h @ r_noise.T + (p.bias[noise] - log_noise[noise])
                 g_true = _logistic(true) - 1
                 g_false = _logistic(false)
-                g_h = g_true[:, None] * p.r[y] + g_false @ p.r[noise]
-                rows = np.concatenate([y, noise])
+                g_h = g_true[:, None] * r_y + g_false @ r_noise
+                rows = _equal_rows(np.concatenate([y, noise]))
                 step("r", rows, np.concatenate([g_true[:, None] * h, g_false.T @ h]))
                 step("bias", rows, np.concatenate([g_true, g_false.sum(axis=0)]))
-                g_c = np.stack([(g_h * p.q[x[:, j]]).sum(axis=0) for j in range(CONTEXT)])
-                step("q", x.T.ravel(), np.concatenate([g_h * p.c[j] for j in range(CONTEXT)]))
+                g_c = np.stack([(g_h * q[j]).sum(axis=0) for j in range(CONTEXT)])
+                step("q", _equal_rows(x.T.ravel()), np.concatenate([g_h * p.c[j] for j in range(CONTEXT)]))
                 step("c", None, g_c)
                 seen += len(y)
         return p.flat() * seen, seen
@@ -191,16 +200,18 @@ class LanguageModel:
         """Exact log10 probabilities of the classes."""
         out, one = np.empty(len(classes)), np.ones(CLASSES, np.float32)
         rows = np.ascontiguousarray(np.hstack([self.p.r, self.p.bias[:, None]]).T)
-        for a in range(0, len(classes), BATCH):
-            y = classes[a:a + BATCH]
+        longest = float(np.sqrt((rows.astype(float) ** 2).sum(axis=0).max()))
+        for a in range(0, len(classes), SCORED):
+            y = classes[a:a + SCORED]
             h = np.ones((len(y), WIDTH + 1), np.float32)
-            h[:, :WIDTH] = self.p.context(inputs[a:a + BATCH])
+            h[:, :WIDTH] = self.p.context(self.p.gathered(inputs[a:a + SCORED]))
             s = h @ rows
-            if s.max() > 60:  # exp would leave the range of float32
+            # exp may leave the range of float32 (no score is over the product of the lengths)
+            if longest * float(np.sqrt(np.einsum("ij,ij->i", h, h).max())) > 60 and s.max() > 60:
                 s -= s.max(axis=1, keepdims=True)
             own = s[np.arange(len(y)), y].astype(float)
             np.exp(s, out=s)
-            out[a:a + BATCH] = (own - np.log((s @ one).astype(float))) / np.log(10)
+            out[a:a + SCORED] = (own - np.log((s @ one).astype(float))) / np.log(10)
         return out
 
 

@@ -856,6 +856,14 @@ def q_stream_daily_counts(spark, sf):
 _LOG_ROW = "entity_id bigint, value double, props string"
 _DAYS = "day timestamp_ntz, n_actions bigint"
 STREAM_FILES = 12
+#: A file's row groups are what the tasks of a batch read it by.
+_ROW_GROUP = 8 << 20
+
+
+def _state_parts(spark, sf, table: str) -> dict:
+    """State partitions for about 32 MB of the table each, 8 at least, and 8 buckets in each."""
+    n = suggest_partitions(estimated_bytes(V.table(spark, sf, table)), 32 << 20, least=8)
+    return {"partitions": n, "buckets": 8 * n}
 
 
 def _in_files(df, order: str, path: str, latest_first: bool = True):
@@ -863,12 +871,13 @@ def _in_files(df, order: str, path: str, latest_first: bool = True):
     them, one file a micro-batch: of the latest rows first, or written in order, one after the other."""
     ranges = df.repartitionByRange(STREAM_FILES, F.desc(order) if latest_first else F.asc(order))
     if latest_first:
-        ranges.write.mode("append").parquet(path)
+        ranges.write.option("parquet.block.size", _ROW_GROUP).mode("append").parquet(path)
     else:       # files are taken by time, so one job writes one; the frame is dealt out once
         ranges.write.parquet(f"{path}-dealt")
         names = sorted(df.sparkSession.read.parquet(f"{path}-dealt").inputFiles())
         for name in names:
-            df.sparkSession.read.schema(df.schema).parquet(name).coalesce(1).write.mode("append").parquet(path)
+            (df.sparkSession.read.schema(df.schema).parquet(name).coalesce(1)
+             .write.option("parquet.block.size", _ROW_GROUP).mode("append").parquet(path))
     return df.sparkSession.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(path)
 
 
@@ -904,7 +913,7 @@ def q_stream_live_queue_batches(spark, sf):
     src = V.actions_of(_in_files(V.table(spark, sf, "lineitem"), "l_shipdate", f"{root}/input")).select(
         "ticket_id", "performed_at", "performed_by", "status", "line_no", "amount")
     SL.live_queue(src, V.tickets(spark, sf, status="open"), V.machines(spark, sf), f"{root}/_checkpoint",
-                  SD.delta_sink(f"{root}/changes")).awaitTermination()
+                  SD.delta_sink(f"{root}/changes"), **_state_parts(spark, sf, "lineitem")).awaitTermination()
     return SD.summed(spark.read.parquet(f"{root}/changes"))
 
 

@@ -13,13 +13,13 @@ from keyloop.operators.history import CT, DELETE, POSTIMAGE, PREIMAGE, VER
 from keyloop.operators.keyed import _all_not_null, join_dim
 from keyloop.plans.metrics import actions_per_day
 from keyloop.plans.queues import open_alerts
-from keyloop.streaming.deltas import start_deltas
+from keyloop.streaming.deltas import PUBLISHED, held_entries, start_deltas
 from keyloop.streaming.state import AdditiveState, KeyedState
 
 #: The ticket columns that the queue shows or decides by, and the columns of a queue row.
 TICKET = ("machine_id", "priority", "description", "opened_at", "status")
 #: Ticket ids that share an entry of the state.
-CELL = 32
+CELL = 256
 QUEUE = ("ticket_id", "machine_id", "model", "line", "priority", "description", "actioned_by", "action_status")
 
 
@@ -34,63 +34,65 @@ def live_open_alerts(tickets: DataFrame, machines: DataFrame, latest_actions: Ke
 
 
 # ------------------------------------------------------------------ ST3: changes of the queue
-def _redecide(snapshot: bool):
+def _redecide():
     """The stateful processor of ``queue_changes``: what the rows of a micro-batch change in the queue.
 
     Tickets are handled in buckets, one call a bucket; the state is a map of cells of at most
-    CELL tickets of neighbouring ids, of which a call reads and writes the cells it touches, once each.  Of a
-    ticket it holds the image and version, the latest action and the row that stands in the
-    queue.  The class is local, so it travels to executors by value.
+    CELL tickets of neighbouring ids, of which a call reads and writes the cells it touches, once each and one
+    after the other.  Of a ticket it holds the image and version and the latest action; they say which row
+    stands in the queue.  The class is local, so it travels to executors by value.
     """
-    size = CELL
+    size, entries, most = CELL, held_entries(), PUBLISHED
 
     class Redecide(StatefulProcessor):
         def init(self, handle):
-            self.held = handle.getMapState("held", "cell long", "tickets string")
+            self.held = entries(handle.getMapState("held", "cell long", entries.FORMAT), "int64")
 
         def handleInputRows(self, key, rows, timerValues):
             import json
 
             import pandas as pd
 
-            def standing(s):
-                t, a = s["t"], s["a"]
-                if t is None or t.get("status") != "open" or (a and a["status"] == "completed"):
+            def standing(image, is_open, action):
+                if image is None or not is_open or (action and action[2] == "completed"):
                     return None
-                return {**t, "actioned_by": a and a["by"], "action_status": a and a["status"]}
+                by, status = (action[1], action[2]) if action else (None, None)
+                return f'{image[:-1]},"actioned_by":{json.dumps(by)},"action_status":{json.dumps(status)}}}'
 
-            cells, touched = {}, {}
+            def changes(out):
+                return pd.DataFrame(out, columns=["ticket_id", "body", "change"]).astype(
+                    {"ticket_id": "int64", "change": "int32"})
+
+            cells, out = {}, []
             for frame in rows:
-                for ticket, text in zip(frame["ticket_id"].tolist(), frame["body"]):
-                    r = json.loads(text)
-                    t, a = r.get("t"), r.get("a")
-                    s = touched.get(ticket)
-                    if s is None:
-                        cell = cells.get(ticket // size)
-                        if cell is None:
-                            old = self.held.getValue((ticket // size,))
-                            cell = cells[ticket // size] = json.loads(old[0]) if old else {}
-                        s = cell.get(str(ticket))
-                        if s is None:
-                            s = cell[str(ticket)] = {"t": None, "v": None, "a": None, "q": None}
-                            if snapshot:   # it stands in the first image of the queue
-                                s["q"] = standing({"t": t, "a": None})
-                        touched[ticket] = s
-                    if t is not None and (s["v"] is None or r["v"] >= s["v"]):
-                        s["t"], s["v"] = (None if r.get("gone") else t), r["v"]
-                    if a is not None:
-                        rank = [*a["rank"].values(), a.get("by") or "", a.get("status") or ""]
-                        if s["a"] is None or rank > s["a"]["rank"]:
-                            s["a"] = {"rank": rank, "by": a.get("by"), "status": a.get("status")}
-            out = []
-            for ticket, s in touched.items():
-                before, s["q"] = s["q"], standing(s)
-                if before != s["q"]:
-                    out += [(ticket, json.dumps(row), n) for row, n in ((before, -1), (s["q"], 1)) if row is not None]
-            for number, cell in cells.items():
-                self.held.updateValue((number,), (json.dumps(cell),))
-            yield pd.DataFrame(out, columns=["ticket_id", "body", "change"]).astype(
-                {"ticket_id": "int64", "change": "int32"})
+                for row in zip(*(frame[c].tolist() for c in (
+                        "ticket_id", "image", "is_open", "version", "gone", "first", "rank", "by", "status"))):
+                    cells.setdefault(row[0] // size, {}).setdefault(row[0], []).append(row[1:])
+            while cells:
+                number, tickets = cells.popitem()
+                cell = self.held.read((number,))
+                for ticket, arrived in tickets.items():
+                    old = cell.get(ticket)
+                    image, is_open, version, action = json.loads(old) if old else (None, False, None, None)
+                    before = standing(image, is_open, action)
+                    for t, t_open, v, gone, first, rank, by, status in arrived:
+                        if t is not None and (version is None or v >= version):
+                            if first and version is None:   # it stands in the first image of the queue
+                                before = standing(t, t_open, None)
+                            image, is_open, version = (None if gone else t), t_open, v
+                        if rank is not None:
+                            rank = [*json.loads(rank).values(), by or "", status or ""]
+                            if action is None or rank > action[0]:
+                                action = [rank, by, status]
+                    after = standing(image, is_open, action)
+                    if before != after:
+                        out += [(ticket, body, n) for body, n in ((before, -1), (after, 1)) if body is not None]
+                    cell[ticket] = json.dumps([image, is_open, version, action])
+                self.held.write((number,), cell)
+                if len(out) > most:
+                    yield changes(out)
+                    out = []
+            yield changes(out)
 
         def close(self):
             pass
@@ -104,7 +106,7 @@ def _ticket_image(df: DataFrame) -> F.Column:
 
 
 def queue_changes(actions: DataFrame, tickets: DataFrame, tie: Sequence[str] = ("line_no", "amount"),
-                  buckets: int = 8) -> DataFrame:
+                  buckets: int = 64) -> DataFrame:
     """ST3: the stream of changes of the alert queue: rows (ticket_id, body, change), where only the
     tickets that a micro-batch touches are decided again and an unchanged row gives nothing.
 
@@ -112,7 +114,8 @@ def queue_changes(actions: DataFrame, tickets: DataFrame, tie: Sequence[str] = (
     the open tickets stand in ``first_queue`` before any action; or a stream of ticket changes with
     ``_change_type`` and ``_commit_version``, whose tickets enter, change and leave as it says.
     Of a ticket's actions the latest counts (null ``performed_at`` first), however late a row arrives.
-    ``buckets`` of tickets are the units of work of a micro-batch; the number is fixed with the state.
+    ``buckets`` of tickets are the units of work of a micro-batch: several a state partition even these out, and a
+    task holds one bucket's rows; the number is fixed with the state.
     """
     # what orders as the columns do: a null time wins, null ties lose; a wall-clock time by its text
     at = F.col("performed_at")
@@ -123,21 +126,30 @@ def queue_changes(actions: DataFrame, tickets: DataFrame, tie: Sequence[str] = (
     action = F.struct(F.struct(*[x.alias(f"r{i}") for i, x in enumerate(order)]).alias("rank"),
                       F.col("performed_by").alias("by"), F.col("status").alias("status"))
     keep = {"ignoreNullFields": "false"}
-    acts = actions.filter(_all_not_null(["ticket_id"])).select("ticket_id", action.alias("a"))
+    none = F.lit(None).cast("string")
+    act = (F.to_json(action["rank"], keep).alias("rank"), action["by"].alias("by"), action["status"].alias("status"))
+    image = F.to_json(_ticket_image(tickets), keep)
+    is_open = F.col("status").cast("string").eqNullSafe("open")
+
+    def row(image, is_open, version, gone, first, act):
+        return ["ticket_id", image.alias("image"), is_open.alias("is_open"), version.alias("version"),
+                gone.alias("gone"), F.lit(first).alias("first"), *act]
+    acts = actions.filter(_all_not_null(["ticket_id"]))
     if tickets.isStreaming:
-        image = tickets.filter(_all_not_null(["ticket_id"]) & ~F.col(CT).eqNullSafe(PREIMAGE)).select(
-            "ticket_id", F.to_json(F.struct(_ticket_image(tickets).alias("t"), F.col(VER).alias("v"),
-                                            F.col(CT).eqNullSafe(DELETE).alias("gone")), keep).alias("body"))
-        rows = image.unionByName(acts.select("ticket_id", F.to_json(F.struct("a"), keep).alias("body")))
+        version = F.coalesce(F.col(VER).cast("long"), F.lit(-1 << 63))      # none is below all
+        images = tickets.filter(_all_not_null(["ticket_id"]) & ~F.col(CT).eqNullSafe(PREIMAGE)).select(
+            row(image, is_open, version, F.col(CT).eqNullSafe(DELETE), False,
+                [none.alias(c) for c in ("rank", "by", "status")]))
+        rows = images.unionByName(acts.select(
+            row(none, F.lit(False), F.lit(0).cast("long"), F.lit(False), False, act)))
     else:
         opened = tickets.filter(status_is("status", "open")).select(
-            "ticket_id", _ticket_image(tickets).alias("t"), F.lit(0).alias("v"))
-        rows = join_dim(acts, opened, "ticket_id").select(
-            "ticket_id", F.to_json(F.struct("t", "v", "a"), keep).alias("body"))
+            "ticket_id", image.alias("image"), is_open.alias("is_open"))
+        rows = join_dim(acts.select("ticket_id", *act), opened, "ticket_id").select(
+            row(F.col("image"), F.col("is_open"), F.lit(0).cast("long"), F.lit(False), True, ["rank", "by", "status"]))
     bucket = F.pmod(F.xxhash64(F.floor(F.col("ticket_id") / CELL)), F.lit(buckets))
     return (rows.withColumn("bucket", bucket).groupBy("bucket")
-            .transformWithStateInPandas(_redecide(not tickets.isStreaming), "ticket_id long, body string, change int",
-                                        "Update", "None"))
+            .transformWithStateInPandas(_redecide(), "ticket_id long, body string, change int", "Update", "None"))
 
 
 def _published(changes: DataFrame, tickets: DataFrame, machines: DataFrame) -> DataFrame:
@@ -159,7 +171,7 @@ def first_queue(tickets: DataFrame, machines: DataFrame) -> DataFrame:
 
 def live_queue(actions: DataFrame, tickets: DataFrame, machines: DataFrame, checkpoint: str, publish,
                available_now: bool = True, processing_time: str = "15 seconds",
-               tie: Sequence[str] = ("line_no", "amount"), partitions: int = 8, buckets: int = 8):
+               tie: Sequence[str] = ("line_no", "amount"), partitions: int = 8, buckets: int = 64):
     """ST3: ``publish(changes, batch_id)`` gets what each micro-batch changes in the alert queue (columns
     of the queue, and change: +1 added, -1 removed).  Where ``tickets`` is a table, its ``first_queue`` is published
     first, as batch -1.  A batch that is run again publishes the same changes under the same id, so

@@ -922,8 +922,9 @@ def q_stream_intervals_batches(spark, sf):
     """H4 maintained, newest changes first: each batch splices the intervals of the keys it touches."""
     root = scratch_path(spark, "state", "interval_batches")
     stream = V.change_log_of(_in_files(V.table(spark, sf, "events"), "event_id", f"{root}/input"))
-    SD.start_deltas(SH.interval_changes(stream, LOG_PK), f"{root}/_checkpoint",
-                    SD.delta_sink(f"{root}/changes")).awaitTermination()
+    parts = _state_parts(spark, sf, "events")
+    SD.start_deltas(SH.interval_changes(stream, LOG_PK, parts["buckets"]), f"{root}/_checkpoint",
+                    SD.delta_sink(f"{root}/changes"), partitions=parts["partitions"]).awaitTermination()
     bounds = SD.summed(spark.read.parquet(f"{root}/changes"))
     return SH.intervals_of(V.change_log(spark, sf), bounds, LOG_PK)
 

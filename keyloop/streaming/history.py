@@ -12,6 +12,7 @@ from pyspark.sql.streaming.stateful_processor import StatefulProcessor
 from keyloop.operators.history import (CT, DEFAULT_BUCKET_WIDTH, DELETE, INSERT, POSTIMAGE, PREIMAGE, TS, VER,
                                        not_preimage)
 from keyloop.operators.keyed import _all_not_null
+from keyloop.streaming.deltas import PUBLISHED, held_entries
 
 _KEEP = {"ignoreNullFields": "false"}
 
@@ -27,19 +28,28 @@ def _from_text(text: Column, df: DataFrame, cols: Sequence[str]) -> list[Column]
     return [parsed[f"c{i}"].cast(types[c]).alias(c) for i, c in enumerate(cols)]
 
 
+#: Entries of the state that the keys of a bucket share.
+SLOTS = 16
+
+
 def _by_bucket(rows: DataFrame, buckets: int) -> DataFrame:
-    return rows.withColumn("bucket", F.pmod(F.xxhash64("key"), F.lit(buckets)))
+    """The rows with their bucket, the unit of work of a batch, and the slot of their key in it."""
+    slot = F.pmod(F.xxhash64("key"), F.lit(buckets * SLOTS))
+    return rows.withColumn("slot", slot).withColumn("bucket", F.col("slot") % buckets)
 
 
 # ------------------------------------------------------------------ H4
 def _splice(width: int):
     """The processor of ``interval_changes``.  State: per key and window of versions the sorted rows
-    [version, time, deleted], and per key the windows that have rows.  A batch loads the windows of
-    its versions and, where a neighbour lies outside, the nearest window that has one."""
+    [version, time, deleted], and per key the windows that have rows.  Keys of a slot share an entry of
+    a window.  A batch loads the windows of its versions and, where a neighbour lies outside, the
+    nearest window that has one, slot after slot."""
+    entries, most = held_entries(), PUBLISHED
+
     class Splice(StatefulProcessor):
         def init(self, handle):
-            self.cells = handle.getMapState("cells", "key string, cell long", "rows string")
-            self.index = handle.getMapState("windows", "key string", "cells string")
+            self.cells = entries(handle.getMapState("cells", "slot long, cell long", entries.FORMAT), "string")
+            self.index = entries(handle.getMapState("windows", "slot long", entries.FORMAT), "string")
 
         def handleInputRows(self, key, rows, timerValues):
             import json
@@ -47,65 +57,79 @@ def _splice(width: int):
 
             import pandas as pd
 
-            new = {}
+            def changes(out):
+                return pd.DataFrame(
+                    out, columns=["key", "version", "valid_from", "valid_to", "is_current", "change"]).astype(
+                    {"version": "int64", "is_current": "bool", "change": "int32"})
+
+            slots, out = {}, []
             for frame in rows:
-                for k, v, ts, gone in zip(frame["key"], frame["version"].tolist(), frame["at"], frame["gone"].tolist()):
-                    new.setdefault(k, {}).setdefault(v, [v, ts, bool(gone)])
-            out = []
-            for k, arrived in new.items():
-                held = self.index.getValue((k,))
-                windows = json.loads(held[0]) if held else []
-                loaded, dirty = {}, set()
-
-                def cell(c, k=k, loaded=loaded):
-                    if c not in loaded:
-                        held = self.cells.getValue((k, c))
-                        loaded[c] = json.loads(held[0]) if held else []
-                    return loaded[c]
-
-                def near(v, step, cell=cell, windows=windows):
-                    """The row before (step -1) or after version v."""
-                    rows_ = cell(v // width)
-                    at = bisect_left(rows_, [v]) - 1 if step < 0 else bisect_right(rows_, v, key=lambda r: r[0])
-                    if 0 <= at < len(rows_):
-                        return rows_[at]
-                    w = bisect_left(windows, v // width) - 1 if step < 0 else bisect_right(windows, v // width)
-                    return cell(windows[w])[-1 if step < 0 else 0] if 0 <= w < len(windows) else None
-
-                def bounds(row, near=near):
-                    if row[2]:
-                        return None
-                    then = near(row[0], 1)
-                    return (row[1], then and then[1], then is None)
-
-                def has(v, cell=cell):
-                    rows_ = cell(v // width)
-                    at = bisect_left(rows_, [v])
-                    return at < len(rows_) and rows_[at][0] == v
-
-                fresh = [arrived[v] for v in sorted(arrived) if not has(v)]   # versions known are replays
-                touched = {row[0]: (row, None) for row in fresh}
-                for row in fresh:
-                    left = near(row[0], -1)
-                    if left is not None and left[0] not in touched:
-                        touched[left[0]] = (left, bounds(left))
-                for row in fresh:
-                    c = row[0] // width
-                    rows_ = cell(c)
-                    rows_.insert(bisect_left(rows_, [row[0]]), row)
-                    dirty.add(c)
-                    if len(rows_) == 1 and c not in windows:
-                        windows.insert(bisect_left(windows, c), c)
-                for row, before in touched.values():
-                    after = bounds(row)
-                    if before != after:
-                        out += [(k, row[0], *b, n) for b, n in ((before, -1), (after, 1)) if b is not None]
-                for c in dirty:
-                    self.cells.updateValue((k, c), (json.dumps(loaded[c]),))
-                if fresh:
-                    self.index.updateValue((k,), (json.dumps(windows),))
-            yield pd.DataFrame(out, columns=["key", "version", "valid_from", "valid_to", "is_current", "change"]).astype(
-                {"version": "int64", "is_current": "bool", "change": "int32"})
+                for slot, k, v, ts, gone in zip(*(frame[c].tolist() for c in ("slot", "key", "version", "at", "gone"))):
+                    slots.setdefault(slot, {}).setdefault(k, {}).setdefault(v, [v, ts, bool(gone)])
+            while slots:
+                slot, new = slots.popitem()
+                index, held, changed = self.index.read((slot,)), {}, set()
+                for k, arrived in new.items():
+                    windows = json.loads(index[k]) if k in index else []
+                    loaded, dirty = {}, set()
+
+                    def cell(c, k=k, loaded=loaded, slot=slot, held=held):
+                        if c not in loaded:
+                            if c not in held:
+                                held[c] = self.cells.read((slot, c))
+                            loaded[c] = json.loads(held[c][k]) if k in held[c] else []
+                        return loaded[c]
+
+                    def near(v, step, cell=cell, windows=windows):
+                        """The row before (step -1) or after version v."""
+                        rows_ = cell(v // width)
+                        at = bisect_left(rows_, [v]) - 1 if step < 0 else bisect_right(rows_, v, key=lambda r: r[0])
+                        if 0 <= at < len(rows_):
+                            return rows_[at]
+                        w = bisect_left(windows, v // width) - 1 if step < 0 else bisect_right(windows, v // width)
+                        return cell(windows[w])[-1 if step < 0 else 0] if 0 <= w < len(windows) else None
+
+                    def bounds(row, near=near):
+                        if row[2]:
+                            return None
+                        then = near(row[0], 1)
+                        return (row[1], then and then[1], then is None)
+
+                    def has(v, cell=cell):
+                        rows_ = cell(v // width)
+                        at = bisect_left(rows_, [v])
+                        return at < len(rows_) and rows_[at][0] == v
+
+                    fresh = [arrived[v] for v in sorted(arrived) if not has(v)]   # versions known are replays
+                    touched = {row[0]: (row, None) for row in fresh}
+                    for row in fresh:
+                        left = near(row[0], -1)
+                        if left is not None and left[0] not in touched:
+                            touched[left[0]] = (left, bounds(left))
+                    for row in fresh:
+                        c = row[0] // width
+                        rows_ = cell(c)
+                        rows_.insert(bisect_left(rows_, [row[0]]), row)
+                        dirty.add(c)
+                        if len(rows_) == 1 and c not in windows:
+                            windows.insert(bisect_left(windows, c), c)
+                    for row, before in touched.values():
+                        after = bounds(row)
+                        if before != after:
+                            out += [(k, row[0], *b, n) for b, n in ((before, -1), (after, 1)) if b is not None]
+                    for c in dirty:
+                        held[c][k] = json.dumps(loaded[c])
+                    if fresh:
+                        index[k] = json.dumps(windows)
+                    changed |= dirty
+                for c in changed:
+                    self.cells.write((slot, c), held[c])
+                if changed:
+                    self.index.write((slot,), index)
+                if len(out) > most:
+                    yield changes(out)
+                    out = []
+            yield changes(out)
 
         def close(self):
             pass
@@ -113,7 +137,7 @@ def _splice(width: int):
     return Splice()
 
 
-def interval_changes(history: DataFrame, pk: Sequence[str], buckets: int = 8, width: int = DEFAULT_BUCKET_WIDTH
+def interval_changes(history: DataFrame, pk: Sequence[str], buckets: int = 64, width: int = DEFAULT_BUCKET_WIDTH
                      ) -> DataFrame:
     """H4 maintained: the stream of changes of the validity intervals of a history stream, signed rows
     (pk, _commit_version, valid_from, valid_to, is_current, change).

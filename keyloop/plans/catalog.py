@@ -942,8 +942,11 @@ def _captured(spark, sf, root):
     event is the end of the row, any other its value and props."""
     events = V.table(spark, sf, "events").select("user_id", "event_id", "event_type", "value", "props")
     stream = _in_files(events, "event_id", f"{root}/input", latest_first=False)
-    changes = SH.captured_changes(stream, ["user_id"], "event_id", F.col("event_type") == "error", ["value", "props"])
-    SD.start_deltas(changes, f"{root}/_checkpoint", SD.delta_sink(f"{root}/log")).awaitTermination()
+    parts = _state_parts(spark, sf, "events")
+    changes = SH.captured_changes(stream, ["user_id"], "event_id", F.col("event_type") == "error", ["value", "props"],
+                                  parts["buckets"])
+    SD.start_deltas(changes, f"{root}/_checkpoint", SD.delta_sink(f"{root}/log"),
+                    partitions=parts["partitions"]).awaitTermination()
     return spark.read.parquet(f"{root}/log")
 
 

@@ -167,34 +167,48 @@ def intervals_of(history: DataFrame, bounds: DataFrame, pk: Sequence[str]) -> Da
 
 # ------------------------------------------------------------------ S8 / ST1
 def _diff_states():
-    """The processor of ``captured_changes``.  State: per key the last version seen and the image."""
+    """The processor of ``captured_changes``.  State: per key the last version seen and the image;
+    keys of a slot share an entry."""
+    entries, most = held_entries(), PUBLISHED
+
     class Diff(StatefulProcessor):
         def init(self, handle):
-            self.held = handle.getMapState("images", "key string", "version long, image string")
+            self.held = entries(handle.getMapState("images", "slot long", entries.FORMAT), "string")
 
         def handleInputRows(self, key, rows, timerValues):
             import pandas as pd
 
-            new = {}
+            def changes(out):
+                return pd.DataFrame(out, columns=["key", "version", "image", "kind"]).astype(
+                    {"version": "int64", "kind": "int32"})
+
+            slots, out = {}, []
             for frame in rows:
-                for k, v, image in zip(frame["key"], frame["version"].tolist(), frame["image"]):
-                    new.setdefault(k, []).append((v, image or ""))
-            out = []
-            for k, states in new.items():
-                held = self.held.getValue((k,))
-                last, image = held if held else (None, "")
-                image = image or ""
-                for v, now in sorted(states):
-                    if last is not None and v <= last:      # late or repeated: the log is past it
-                        continue
-                    if now != image:
-                        if image:
-                            out.append((k, v, image, 1 if now else 3))
-                        if now:
-                            out.append((k, v, now, 2 if image else 0))
-                    last, image = v, now
-                self.held.updateValue((k,), (last, image))
-            yield pd.DataFrame(out, columns=["key", "version", "image", "kind"]).astype({"version": "int64", "kind": "int32"})
+                for slot, k, v, image in zip(*(frame[c].tolist() for c in ("slot", "key", "version", "image"))):
+                    slots.setdefault(slot, {}).setdefault(k, []).append((v, image or ""))
+            while slots:
+                slot, new = slots.popitem()
+                held = self.held.read((slot,))
+                for k, states in new.items():
+                    last, image = None, ""
+                    if k in held:
+                        last, _, image = held[k].partition(" ")
+                        last = int(last)
+                    for v, now in sorted(states):
+                        if last is not None and v <= last:      # late or repeated: the log is past it
+                            continue
+                        if now != image:
+                            if image:
+                                out.append((k, v, image, 1 if now else 3))
+                            if now:
+                                out.append((k, v, now, 2 if image else 0))
+                        last, image = v, now
+                    held[k] = f"{last} {image}"
+                self.held.write((slot,), held)
+                if len(out) > most:
+                    yield changes(out)
+                    out = []
+            yield changes(out)
 
         def close(self):
             pass
@@ -203,7 +217,7 @@ def _diff_states():
 
 
 def captured_changes(states: DataFrame, pk: Sequence[str], version: str, deleted: Column, payload: Sequence[str],
-                     buckets: int = 8) -> DataFrame:
+                     buckets: int = 64) -> DataFrame:
     """S8 / ST1: change rows with images from a stream of row states that holds no change type.
 
     Each state (``pk``, ``payload``, at ``version``; ``deleted``: the row is gone) is compared with the key's

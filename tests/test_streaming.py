@@ -322,3 +322,42 @@ def test_signed_averages_follow_updates_and_deletes(spark):
         net = H.current_state(full.filter(f"_commit_version < {upto}"), ["k"])
         want = net.filter("x is not null").groupBy("g").agg(F.count("x").alias("n"), F.round(F.avg("x"), 9).alias("a"))
         assert rows(state.averages(batch), "g", "n", F.round("average", 9)) == rows(want, "g", "n", "a")
+
+
+# ---------------------------------------------------------------- what a batch asks of the state store
+def entries(spark, checkpoint, name):
+    return spark.read.format("statestore").option("stateVarName", name).load(checkpoint).count()
+
+
+def test_neighbours_share_entries_of_the_state(spark):
+    """A call to the state store a key and batch is what took the time: keys and tickets go many to an entry."""
+    root, n = folder("entries"), 1500
+    machines = spark.createDataFrame([(1, "A", 10)], "machine_id long, model string, line int")
+    tickets = spark.range(n).selectExpr(
+        "id AS ticket_id", "1L AS machine_id", "'low' AS priority", "'d' AS description",
+        "timestamp_ntz'2024-01-01 00:00:00' AS opened_at", "'open' AS status")
+    acts = spark.range(n).selectExpr(
+        "id AS ticket_id", "timestamp_ntz'2024-01-02 00:00:00' AS performed_at", "'ann' AS performed_by",
+        "IF(id % 3 = 0, 'completed', 'in_progress') AS status", "1 AS line_no", "0.5D AS amount")
+    in_files(acts, f"{root}/a", [1, 0], "ticket_id")
+    SL.live_queue(stream_of(spark, acts.schema, f"{root}/a"), tickets, machines, f"{root}/ac",
+                  SD.delta_sink(f"{root}/ach"), partitions=2, buckets=2).awaitTermination()
+    assert rows(SD.summed(spark.read.parquet(f"{root}/ach")), *SL.QUEUE) == rows(
+        Q.open_alerts(tickets, machines, acts), *SL.QUEUE)
+    assert entries(spark, f"{root}/ac", "held") <= 10
+
+    log = spark.range(2 * n).selectExpr(
+        f"id % {n} AS entity_id", "string(id) AS v", "'insert' AS _change_type", "id AS _commit_version",
+        "timestamp_ntz'2024-01-02 00:00:00' AS _commit_timestamp")
+    in_files(log, f"{root}/h", [1, 0])
+    SD.start_deltas(SH.interval_changes(stream_of(spark, log.schema, f"{root}/h"), ["entity_id"], buckets=2),
+                    f"{root}/hc", SD.delta_sink(f"{root}/hch"), partitions=2).awaitTermination()
+    got = SH.intervals_of(log, SD.summed(spark.read.parquet(f"{root}/hch")), ["entity_id"])
+    cols = ["entity_id", "v", "valid_from", "valid_to", "is_current"]
+    assert rows(got, *cols) == rows(H.validity_intervals(log, ["entity_id"]), *cols)
+    assert entries(spark, f"{root}/hc", "windows") <= 32 and entries(spark, f"{root}/hc", "cells") <= 32
+
+    changes = SH.captured_changes(stream_of(spark, log.schema, f"{root}/h"), ["entity_id"], "_commit_version",
+                                  F.lit(False), ["v"], buckets=2)
+    SD.start_deltas(changes, f"{root}/cc", SD.delta_sink(f"{root}/cch"), partitions=2).awaitTermination()
+    assert entries(spark, f"{root}/cc", "images") <= 32

@@ -836,7 +836,7 @@ def q_stream_live_queue(spark, sf):
     """The latest action per ticket kept as state, the queue read over it."""
     state = KeyedState(spark, scratch_path(spark, "state", "latest_action"), ["ticket_id"],
                        order=["performed_at"], tie=["line_no", "amount"], nulls_first=True,
-                       partitions=suggest_partitions(estimated_bytes(V.table(spark, sf, "lineitem"))))
+                       partitions=suggest_partitions(estimated_bytes(V.table(spark, sf, "lineitem")), 8 << 20))
     src = V.actions_of(SC.file_stream(spark, sf, "lineitem.parquet")).select(
         "ticket_id", "performed_at", "performed_by", "status", "line_no", "amount")
     continuous_sync(src, state).awaitTermination()

@@ -361,3 +361,20 @@ def test_neighbours_share_entries_of_the_state(spark):
                                   F.lit(False), ["v"], buckets=2)
     SD.start_deltas(changes, f"{root}/cc", SD.delta_sink(f"{root}/cch"), partitions=2).awaitTermination()
     assert entries(spark, f"{root}/cc", "images") <= 32
+
+
+def test_live_queue_state_grows_with_the_table(spark, sf_small, monkeypatch):
+    """A task holds the rows of one state partition, so their number follows the table."""
+    from keyloop.plans import catalog
+
+    seen = []
+
+    class Seen(KeyedState):
+        def __init__(self, *args, partitions, **kwargs):
+            seen.append(partitions)
+            super().__init__(*args, partitions=4, **kwargs)
+    monkeypatch.setattr(catalog, "KeyedState", Seen)
+    for size in (100 << 20, 800 << 20):
+        monkeypatch.setattr(catalog, "estimated_bytes", lambda df, size=size: size)
+        catalog.QUERIES["stream_live_queue"](spark, sf_small)
+    assert 7 <= seen[0] and 8 * seen[0] - 8 <= seen[1]

@@ -21,7 +21,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from keyloop.llm.text import Shared, ddl, inside, owners, slices, split_words, stored, without
+from keyloop.llm.text import (Shared, back, beside, ddl, inside, owners, slices, split_words, stored,
+                              without)
 
 #: Characters of benchmark text in one broadcast block; the rest takes further passes.
 BLOCK_CHARS = 16 << 20
@@ -171,10 +172,13 @@ def _lowest(bits: int) -> int:
     return (bits & -bits).bit_length() - 1
 
 
+#: Columns that ``find_matches`` adds or needs for itself.
+ADDED = ("n_words", "n_hit", "matches", "__found", "__words")
 _MATCH = "array<struct<item_id:{0},start:int,length:int,item_start:int>>"
 
 
-def _scan(text: str, test_of, item_type: pa.DataType):
+def _scan(text: str, test_of, item_type: pa.DataType, last: bool):
+    """Adds a block's matches and the number of words; with the ``last`` block also the words hit."""
     match_type = pa.struct([("item_id", item_type), ("start", pa.int32()), ("length", pa.int32()),
                             ("item_start", pa.int32())])
 
@@ -196,17 +200,15 @@ def _scan(text: str, test_of, item_type: pa.DataType):
                 found = pa.array([a + b for a, b in zip(
                     part.column("__found").to_pylist(), found.to_pylist())], pa.list_(match_type))
             names = [n for n in part.schema.names if n not in ("__found", "__words")]
-            yield pa.RecordBatch.from_arrays(
+            out = pa.RecordBatch.from_arrays(
                 [*kept, found, pa.array(np.diff(offsets))], names=[*names, "__found", "__words"])
+            if last:
+                n_hit = [int(_union(m)) for m in found.to_pylist()]
+                out = out.append_column("n_hit", pa.array(n_hit, pa.int64()))
+            yield out
     return run
 
 
-def _count_hits(batches):
-    for batch in batches:
-        n_hit = [int(_union(m)) for m in batch.column("matches").to_pylist()]
-        yield batch.append_column("n_hit", pa.array(n_hit, pa.int64()))
-
-
 def _union(matches: list[dict]) -> int:
     """Words in any of the matches."""
     total, upto = 0, -1
@@ -225,7 +227,7 @@ def find_matches(docs: DataFrame, items: DataFrame, window: int = 10, text: str
     Whole texts are searched for every window of every item.  Columns of these names are
     replaced, others pass through.  Empty tables are fine on either side.
     """
-    docs = without(docs, "n_words", "n_hit", "matches", "__found", "__words")
+    docs = without(docs, *ADDED)
     spark = docs.sparkSession
     items = items.select(F.col(item_id).alias("id"), F.col(item_text).alias("text"))
     n_blocks = max(1, -(-(items.agg(F.sum(F.length("text"))).first()[0] or 0) // block_chars))
@@ -237,21 +239,18 @@ def find_matches(docs: DataFrame, items: DataFrame, window: int = 10, text: str
         ids = rows.column("id").combine_chunks()
         test = Shared(spark,
             Suffixes(ids, rows.column("text").combine_chunks(), window))
-        schema = f"{ddl(docs)}, __found {_MATCH.format(kind)}, __words long"
-        out = out.mapInArrow(_scan(text, test, ids.type), schema)
-        if b < n_blocks - 1:
+        last = b == n_blocks - 1
+        schema = f"{ddl(docs)}, __found {_MATCH.format(kind)}, __words long" + ", n_hit long" * last
+        out = out.mapInArrow(_scan(text, test, ids.type, last), schema)
+        if not last:
             out = stored(out, "benchmark-block")
-    out = out.withColumnsRenamed({"__found": "matches", "__words": "n_words"})
-    return out.mapInArrow(_count_hits, f"{ddl(out)}, n_hit long")
+    return out.withColumnsRenamed({"__found": "matches", "__words": "n_words"})
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
     """``docs`` without the rows that hold any window of a benchmark item; columns unchanged."""
-    columns = docs.columns
-    found = find_matches(docs.withColumns({f"__own_{i}": F.col(f"`{c}`") for i, c in enumerate(columns)}),
-                         items, **options)
-    return found.where("n_hit = 0").select(
-        *[F.col(f"__own_{i}").alias(c) for i, c in enumerate(columns)])
+    found = find_matches(beside(docs, *ADDED), items, **options)
+    return back(found.where("n_hit = 0"), docs.columns, *ADDED)
 
 
 def contamination_digest(docs: DataFrame, items: DataFrame) -> DataFrame:

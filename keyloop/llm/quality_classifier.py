@@ -26,8 +26,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from keyloop.llm.learning import fit_dense, labelled_sample, sigmoid, vector_sum
-from keyloop.llm.text import (Shared, ascii_lower_table, ddl, owners, raw_bytes, slices, split_words,
-                              stored, without, word_hashes)
+from keyloop.llm.text import (Shared, ascii_lower_table, back, beside, ddl, owners, raw_bytes, slices,
+                              split_words, stored, without, word_hashes)
 
 #: Rows of the labelled sample at most.
 SAMPLE = 8_000
@@ -41,6 +41,8 @@ STEPS = 8
 #: Bins of the log-odds from -30 to 30.
 BINS = 1 << 14
 THRESHOLD = 0.5
+#: Columns that ``score_quality`` adds.
+ADDED = ("quality", "content_score", "page_score", "kept")
 #: Bytes of text whose features are computed at once: the temporary arrays are some 70 times as large.
 SLICE = 1 << 20
 _PAIRS = 256
@@ -297,7 +299,7 @@ def score_quality(docs: DataFrame, model: QualityModel, text: str = "text",
                   threshold: float = THRESHOLD) -> DataFrame:
     """``docs`` plus quality, content_score, page_score (double, 0 to 1) and kept (quality at
     least the threshold); columns of these names are replaced, others pass through."""
-    docs = without(docs, "quality", "content_score", "page_score", "kept")
+    docs = without(docs, *ADDED)
     shared = Shared(docs.sparkSession, model)
 
     def run(batches):
@@ -314,9 +316,8 @@ def score_quality(docs: DataFrame, model: QualityModel, text: str = "text",
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """``docs`` less the rows that the classifier, fitted on them, rejects; columns unchanged."""
-    names = {f"__own_{i}": F.col(f"`{c}`") for i, c in enumerate(docs.columns)}
-    scored = score_quality(docs.withColumns(names), fit(docs, labels))
-    return scored.where("kept").select(*[F.col(k).alias(c) for k, c in zip(names, docs.columns)])
+    scored = score_quality(beside(docs, *ADDED), fit(docs, labels))
+    return back(scored.where("kept"), docs.columns, *ADDED)
 
 
 def quality_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:

@@ -17,6 +17,7 @@ import pyarrow.compute as pc
 import xxhash
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: Bytes of text that are split into words at once.
 SLICE_BYTES = 4 << 20
@@ -125,20 +126,27 @@ def covered(starts: np.ndarray, k: int, n: int) -> np.ndarray:
     return np.cumsum(step)[:n] > 0
 
 
+class _Packed:
+    """Pickled bytes that unpickle to the object itself, so a worker does not keep them beside it."""
+
+    def __init__(self, value):
+        self.blob = cloudpickle.dumps(value)
+
+    def __reduce__(self):
+        return pickle.loads, (self.blob,)
+
+
 class Shared:
-    """A broadcast of any object: its classes travel with it, so executors need no copy of the package."""
+    """A broadcast of any object: its classes travel with it, so executors need no copy of the package.
 
-    def __init__(self, spark: SparkSession, value):
-        self._sent = spark.sparkContext.broadcast(cloudpickle.dumps(value))
+    A worker holds the object once, for all tasks that use it; they must not change it."""
 
-    def __getstate__(self):
-        return {"_sent": self._sent}
+    def __init__(self, spark: SparkSession, value):
+        self._sent = spark.sparkContext.broadcast(_Packed(value))
 
     @property
     def value(self):
-        if "_own" not in self.__dict__:
-            self._own = pickle.loads(self._sent.value)
-        return self._own
+        return self._sent.value
 
     def unpersist(self) -> None:
         self._sent.unpersist()
@@ -191,6 +199,23 @@ def without(df: DataFrame, *names: str) -> DataFrame:
     return df.select(*[df[f"`{c}`"] for c in df.columns if c.lower() not in gone])
 
 
+def _aside(columns: list[str], names: tuple[str, ...]) -> dict[str, str]:
+    taken = {n.lower() for n in names}
+    return {c: f"__own_{i}" for i, c in enumerate(columns) if c.lower() in taken}
+
+
+def beside(df: DataFrame, *names: str) -> DataFrame:
+    """The frame with a copy of those of its columns that an operator adding ``names`` replaces."""
+    copies = _aside(df.columns, names)
+    return df.withColumns({own: F.col(f"`{c}`") for c, own in copies.items()}) if copies else df
+
+
+def back(df: DataFrame, columns: list[str], *names: str) -> DataFrame:
+    """The ``columns`` that went into ``beside``, under their own names."""
+    copies = _aside(columns, names)
+    return df.select(*[F.col(f"`{copies.get(c, c)}`").alias(c) for c in columns])
+
+
 def ddl(df: DataFrame) -> str:
     """The frame's schema as DDL text, for mapInArrow."""
     return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)

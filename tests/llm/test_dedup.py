@@ -233,3 +233,17 @@ def test_many_unlinked_members_of_a_tile(spark, monkeypatch, chunk):
     got = jaccard_components(df, 2, 60, 100).collect()
     want = brute_components(rows, 2, 60, 100)
     _same([(r.doc_id, r.n_shingles, r.component_id) for r in got], [(r[0], *w) for r, w in zip(rows, want)])
+
+
+def test_decontaminate_is_one_pass_with_the_text_once(spark):
+    """One Python worker a task; only columns that the operator would replace are copied."""
+    rows = [(1, "a b c d", 5, "x"), (2, "a b", 6, None), (3, None, None, "z")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, N_words int, `own col` string")
+    items = spark.createDataFrame([("i", "b c d")], "item_id string, text string")
+    out = decontaminate(df, items, window=3)
+    assert out.columns == df.columns and out.dtypes == df.dtypes
+    assert sorted(map(tuple, out.collect())) == rows[1:]
+    plan = out._jdf.queryExecution().executedPlan()
+    assert plan.toString().count("MapInArrow") == 1
+    lines = [x for x in plan.toString().split("\n") if "Project" in x and "__own" in x]
+    assert all(x.count("text#") == 1 for x in lines)

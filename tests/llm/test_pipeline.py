@@ -49,3 +49,17 @@ def test_run_is_the_stages_in_order(spark):
     assert corpus_pipeline.run(spark, SF).count() > 0
     assert [n for n, _ in corpus_pipeline.STAGES] == [
         "quality classifier", "line dedup", "n-gram Jaccard join", "benchmark decontamination", "byte-level BPE"]
+
+
+def test_stages_hand_python_small_batches(spark):
+    """Whole batches are held on both sides; a session's own smaller number stays."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    docs = tables(spark, SF, "documents").limit(5)
+    before = spark.conf.get(key)
+    try:
+        for own, want in (("10000", corpus_pipeline.BATCH_ROWS), ("0", corpus_pipeline.BATCH_ROWS), ("7", 7)):
+            spark.conf.set(key, own)
+            corpus_pipeline.clean_of_benchmarks(spark, docs, SF)
+            assert int(spark.conf.get(key)) == want
+    finally:
+        spark.conf.set(key, before)

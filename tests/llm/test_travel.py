@@ -9,7 +9,7 @@ import tracemalloc
 import pyarrow as pa
 
 from keyloop.llm.quality_classifier import SLICE, features
-from keyloop.llm.text import slices
+from keyloop.llm.text import Shared, slices
 
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
@@ -48,3 +48,15 @@ def test_features_of_short_texts_stay_small():
     peak = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert peak < 120 << 20
+
+
+def test_workers_hold_a_broadcast_object_without_its_pickled_bytes(spark):
+    shared = Shared(spark, {"a": list(range(5))})
+
+    def run(batches):
+        sent = shared._sent.value
+        for batch in batches:
+            yield batch.append_column("same", pa.array([sent == shared.value == {"a": list(range(5))}] * batch.num_rows))
+
+    assert all(r.same for r in spark.range(4).mapInArrow(run, "id long, same boolean").collect())
+    assert shared.value == {"a": list(range(5))}

@@ -12,8 +12,9 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from keyloop.llm.text import Shared
+from keyloop.llm.text import Shared, ddl
 
 BLOCK_SHIFT = 54  # 64 - log2(BLOCKS)
 BLOCKS = 1024
@@ -98,6 +99,25 @@ def _fill(levels: tuple[int, ...]):
     return run
 
 
+def _hashes(batches):
+    """Payloads of a column of longs."""
+    yield from payloads(b.column(0).to_numpy().view(np.uint64) for b in batches)
+
+
+def among(rows: DataFrame, keys: DataFrame, key: str) -> DataFrame:
+    """``rows`` less most of those whose key is not in ``keys``, and none whose key is: what a join by
+    the key would drop goes without moving."""
+    own = F.xxhash64(key)
+    filt = seen_filter(keys.select(own).mapInArrow(_hashes, PAYLOAD), (1,))
+
+    def run(batches):
+        for batch in batches:
+            h = batch.column("__h").to_numpy().view(np.uint64)
+            yield batch.drop_columns(["__h"]).filter(pa.array(filt.value.seen(h)))
+
+    return rows.withColumn("__h", own).mapInArrow(run, ddl(rows))
+
+
 class SeenFilter:
     """Membership of hashes in a layer: never wrong for a hash seen often enough."""
 

@@ -7,6 +7,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from keyloop.llm.frequency import among
 from keyloop.llm.text import stored
 
 
@@ -31,14 +32,17 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, most: int, l
 
 def labelled(docs: DataFrame, labels: DataFrame, label: str, ident: str = "doc_id",
              columns: tuple[str, ...] = ("text",)) -> DataFrame:
-    """All labelled documents: id, label and ``columns``, dealt by id.
+    """All labelled documents: id, label and ``columns``, dealt by id; texts of other documents do not move.
 
     Repeated ids count once, with the largest label and the least text; null ids and labels are left out.
     """
     known = labels.select(F.col(ident).alias("id"), F.col(label).alias("label")).where(
         "id IS NOT NULL AND label IS NOT NULL")
     ids = known.groupBy("id").agg(F.max("label").alias("label"))
-    rows = docs.select(F.col(ident).alias("id"), *columns).join(ids, "id")
+    rows = docs.select(F.col(ident).alias("id"), *columns)
+    if rows.schema["id"].dataType == known.schema["id"].dataType:  # else hashes of equal ids may differ
+        rows = among(rows, known, "id")
+    rows = rows.join(ids, "id")
     one = rows.groupBy("id").agg(F.min(F.struct("label", *columns)).alias("r"))
     return stored(one.select("id", "r.*"), f"labelled-{label}")
 

@@ -91,6 +91,26 @@ def test_rules_learn_from_all_labelled_rows(spark, most_bad):
     assert model.threshold == pytest.approx(_threshold(ratio[good], ratio[~good]), abs=1e-12)
 
 
+@pytest.mark.parametrize("kind", ["long", "int", "string"])
+def test_labelled_moves_few_other_texts(spark, kind, monkeypatch):
+    """All labelled rows, of repeated ids one, whatever the type of the ids; other texts mostly stay where they are."""
+    from keyloop.llm import learning
+    df = spark.range(20_000).selectExpr(f"CAST(IF(id % 1000 = 7, NULL, id) AS {kind}) AS doc_id", "concat('t', id) AS text")
+    df = df.union(df.where("doc_id < 100").selectExpr("doc_id", "concat('u', text)"))
+    labels = spark.range(0, 20_100, 5).selectExpr("id AS doc_id", "IF(id % 3 = 0, NULL, int(id % 2)) AS quality")
+    want = {i: (i % 2, f"t{i}") for i in range(0, 20_000, 5) if i % 3 and i % 1000 != 7}
+    got = [(int(r.id), (r.label, r.text)) for r in learning.labelled(df, labels, "quality").collect()]
+    assert len(got) == len(want) and dict(got) == want
+    moved = []
+    among = learning.among
+    monkeypatch.setattr(learning, "among", lambda *a: moved.append(among(*a)) or moved[-1])
+    learning.labelled(df, labels, "quality")
+    if kind == "long":  # hashes of ids of other types are not comparable
+        assert len(want) <= moved[0].count() < 8_000
+    else:
+        assert not moved
+
+
 def test_rules_separate(spark):
     got = QUERIES["op5_quality_rules"](spark, SF).join(tables(spark, SF, "labels"), "doc_id").toPandas()
     good = got[(got.quality == 1) & ~got.base_failed]

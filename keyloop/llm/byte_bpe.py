@@ -29,7 +29,9 @@ from keyloop.llm.text import Shared, ddl, slices, without
 
 CHUNK = 1 << 15
 #: Bytes of text whose pieces are merged side by side.
-SLICE = 2 << 20
+SLICE = 1 << 20
+#: Places of a matrix of ids: each step of a merge holds several such arrays of 64-bit numbers.
+CELLS = 1 << 18
 OVERLAP = 1 << 9
 #: Longest literal of the pattern and one more: a match may depend on so much behind it.
 LOOK_AHEAD = 4
@@ -69,8 +71,9 @@ def merge(pieces: list[bytes], vocabulary: Vocabulary) -> list[bytes]:
     sizes = np.fromiter(map(len, pieces), np.int64, len(pieces))
     for low, high in ((0, 6), (6, 10), (10, 16), (16, 32), (32, 64)):
         own = np.flatnonzero((sizes > low) & (sizes <= high))
-        for a in range(0, len(own), 1 << 14):
-            _merge_matrix(own[a:a + (1 << 14)], pieces, sizes, high, vocabulary, out)
+        rows = CELLS // high
+        for a in range(0, len(own), rows):
+            _merge_matrix(own[a:a + rows], pieces, sizes, high, vocabulary, out)
     for i in np.flatnonzero((sizes > 64) | (sizes == 0)):
         out[i] = array("i", _merge_long(pieces[i], vocabulary.ranks) if pieces[i] else []).tobytes()
     return out

@@ -48,7 +48,16 @@ def labelled(docs: DataFrame, labels: DataFrame, label: str, ident: str = "doc_i
 
 
 def vector_sum(rows: DataFrame, parts: int = 16) -> np.ndarray:
-    """Sum of equally long float64 vectors, ``rows(v binary)``, added up in ``parts`` tasks."""
+    """Sum of equally long float64 vectors, ``rows(v binary)``, added up in ``parts`` tasks.
+
+    All rows move: a task that makes them should give one, the sum of its own."""
+    sums = _added(rows, parts).collect()
+    return np.sum([np.frombuffer(r.v, np.float64) for r in sums], axis=0) if sums else np.zeros(0)
+
+
+def _added(rows: DataFrame, parts: int) -> DataFrame:
+    """The sums of the ``parts`` tasks.  Nothing is added where the rows are made: a second Python
+    worker beside the one that makes them would stay for the session."""
     def add(batches):
         total = None
         for batch in batches:
@@ -58,8 +67,7 @@ def vector_sum(rows: DataFrame, parts: int = 16) -> np.ndarray:
         if total is not None:
             yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], names=["v"])
 
-    sums = rows.mapInArrow(add, "v binary").repartition(parts).mapInArrow(add, "v binary").collect()
-    return np.sum([np.frombuffer(r.v, np.float64) for r in sums], axis=0) if sums else np.zeros(0)
+    return rows.repartition(parts).mapInArrow(add, "v binary")
 
 
 def sigmoid(x):

@@ -16,6 +16,7 @@ from keyloop.llm import lm_scoring as lm
 from keyloop.llm import quality_classifier as qc
 from keyloop.llm import quality_rules as rules
 from keyloop.llm import toxicity as tox
+from keyloop.llm.learning import _added, vector_sum
 from keyloop.llm.queries import QUERIES
 from keyloop.llm.text import tables
 
@@ -245,3 +246,19 @@ def test_toxicity_counts_presence_only(spark):
     slot[bucket] = 3
     text, feature = tox._hits(pa.array(["an IDIOT idiot", "id", None, "x", "idiocy"]), slot)
     assert list(text) == [0, 4] and list(feature) == [3, 3]
+
+
+def test_vectors_are_summed_by_other_tasks_than_make_them(spark):
+    """One Python worker a task: no stage has two Python steps."""
+    def made(batches):
+        total = np.zeros(3)
+        for batch in batches:
+            for i in batch.column("id").to_pylist():
+                total += [1, i, 0.5]
+        yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], names=["v"])
+
+    rows = spark.range(0, 100, 1, 7).mapInArrow(made, "v binary")
+    assert vector_sum(rows, 2).tolist() == [100, 4950, 50]
+    assert vector_sum(rows.where("v IS NULL"), 2).tolist() == []
+    stages = _added(rows, 2)._jdf.queryExecution().sparkPlan().toString().split("Exchange")
+    assert [s.count("MapInArrow") for s in stages] == [1, 1]

@@ -5,6 +5,7 @@ import pytest
 from llm_data import brute_components, brute_hits, brute_lines
 from oracle_harness import compare
 
+from keyloop.llm.byte_bpe import decode, encode, load_ranks
 from keyloop.llm.queries import ORACLE, QUERIES
 from keyloop.llm.text import stored, tables
 
@@ -63,3 +64,17 @@ def test_stages_hand_python_small_batches(spark):
             assert int(spark.conf.get(key)) == want
     finally:
         spark.conf.set(key, before)
+
+
+def test_tokenise_needs_one_python_worker_a_task(spark):
+    """Encoding and decoding are stages of their own; ids and hashes are those of both in one."""
+    import public_tokenizers
+
+    rows = [(1, "en", "a", "one two  three"), (2, None, None, None), (2, "de", "b", "Grüße " * 9000), (None, "x", "c", "")]
+    docs = spark.createDataFrame(rows, "doc_id long, lang string, source string, text string")
+    out = corpus_pipeline.tokenise(spark, docs, SF)
+    assert out._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+    ranks = load_ranks(public_tokenizers.path(corpus_pipeline.VOCABULARY))
+    both = decode(encode(docs, ranks, public_tokenizers.PATTERN), ranks)
+    want = both.selectExpr("doc_id", "lang", "source", "cast(size(ids) as long) n_tokens", "ids", "sha2(decoded, 256)")
+    assert sorted(map(str, out.collect())) == sorted(map(str, want.toDF(*out.columns).collect()))

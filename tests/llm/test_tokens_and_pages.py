@@ -1,6 +1,7 @@
 """Byte-level BPE against the public library, and HTML extraction on made-up sites."""
 
 import random
+import tracemalloc
 from array import array
 
 import public_tokenizers
@@ -47,6 +48,19 @@ def test_merges():
         assert list(array("i", ids)) == LIBRARY._core_bpe.encode_single_piece(piece)
 
 
+def test_many_pieces_side_by_side_stay_small():
+    """The arrays of a merge are bounded by places, not by pieces."""
+    rng = random.Random(5)
+    pieces = [bytes(rng.choice(b"abcdthe ") for _ in range(60)) for _ in range(1 << 14)]
+    tracemalloc.start()
+    got = merge(pieces, VOCABULARY)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 40 << 20
+    for piece, ids in list(zip(pieces, got))[::500]:
+        assert list(array("i", ids)) == LIBRARY._core_bpe.encode_single_piece(piece)
+
+
 def test_empty_and_bad_settings(spark):
     assert encode(empty(spark), RANKS, public_tokenizers.PATTERN).count() == 0
     with pytest.raises(ValueError):

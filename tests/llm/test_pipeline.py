@@ -1,9 +1,13 @@
 """The pipeline's stages on the given tables, and the queries with SQL against it."""
 
+import os
+import time
+
 import corpus_pipeline
 import pytest
 from llm_data import brute_components, brute_hits, brute_lines
 from oracle_harness import compare
+from pyspark.sql import functions as F
 
 from keyloop.llm.byte_bpe import decode, encode, load_ranks
 from keyloop.llm.queries import ORACLE, QUERIES
@@ -78,3 +82,28 @@ def test_tokenise_needs_one_python_worker_a_task(spark):
     both = decode(encode(docs, ranks, public_tokenizers.PATTERN), ranks)
     want = both.selectExpr("doc_id", "lang", "source", "cast(size(ids) as long) n_tokens", "ids", "sha2(decoded, 256)")
     assert sorted(map(str, out.collect())) == sorted(map(str, want.toDF(*out.columns).collect()))
+
+
+def test_stages_leave_no_shuffle_files(spark):
+    """What an execution shuffled goes when it ends, not with the driver's garbage; a frame can run again."""
+    jvm = spark.sparkContext._jvm
+    dirs = [d.getPath() for d in jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()]
+
+    def files():
+        return {f for d in dirs for _, _, names in os.walk(d) for f in names if f.startswith("shuffle_")}
+
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key)
+    try:
+        corpus_pipeline.clean_of_benchmarks(spark, tables(spark, SF, "documents").limit(5), SF)
+        old = files()
+        counts = spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count()
+        kept = stored(counts, "counts")
+        rows = sorted(map(tuple, kept.collect()))
+        assert sorted(map(tuple, counts.collect())) == sorted(map(tuple, counts.collect())) == rows
+        end = time.time() + 20
+        while files() - old and time.time() < end:
+            time.sleep(0.2)
+        assert not files() - old
+    finally:
+        spark.conf.set(key, before)

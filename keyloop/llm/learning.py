@@ -78,7 +78,7 @@ def fit_dense(x: np.ndarray, y: np.ndarray, l2: float = 1e-2, steps: int = 30,
               weight: np.ndarray | None = None) -> np.ndarray:
     """Logistic regression by Newton steps; the last weight is the constant.  Without both
     labels the constant alone says so."""
-    x = np.hstack([x, np.ones((len(x), 1))]).astype(np.float64)
+    x = np.hstack([x, np.ones((len(x), 1))]).astype(np.float64, copy=False)
     w = np.zeros(x.shape[1])
     if not len(y) or y.min() == y.max():
         w[-1] = 0.0 if not len(y) else (4.0 if y[0] else -4.0)

@@ -26,8 +26,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from keyloop.llm.learning import fit_dense, labelled_sample, sigmoid, vector_sum
-from keyloop.llm.text import (Shared, ascii_lower_table, back, beside, ddl, owners, raw_bytes, slices,
-                              split_words, stored, without, word_hashes)
+from keyloop.llm.text import (Shared, ascii_lower_table, back, beside, ddl, owners, raw_bytes, release,
+                              slices, split_words, stored, without, word_hashes)
 
 #: Rows of the labelled sample at most.
 SAMPLE = 8_000
@@ -138,7 +138,8 @@ def _vectors(rows: DataFrame) -> DataFrame:
 def _collected(rows: DataFrame):
     """Feature matrices and labels of a bounded sample."""
     got = _vectors(rows.repartition(8)).orderBy(F.xxhash64("id"), "id").toArrow()
-    mats = [np.array([np.frombuffer(v, "<f4") for v in got.column(c).to_pylist()]) for c in ("a", "b")]
+    mats = [np.frombuffer(raw_bytes(got.column(c).combine_chunks())[1], "<f4").reshape(got.num_rows, -1)
+            if got.num_rows else np.zeros((0, 0), "<f4") for c in ("a", "b")]
     return mats, got.column("label").to_numpy().astype(float)
 
 
@@ -263,6 +264,9 @@ def fit(docs: DataFrame, labels: DataFrame, learn=None, sample: int = SAMPLE) ->
     scaled = [(x - centre) / scale for x, (centre, scale) in zip(mats, views)]
     weights = [fit_dense(x[train], y[train], L2) for x in scaled]
     labelled = [(np.hstack([x[train], np.ones((train.sum(), 1))]), y[train]) for x in scaled]
+    # the rounds below need no more of the sample than this: the driver's memory is small
+    mats, scaled = [x[test] for x in mats], [x[test] for x in scaled]
+    release()
     met = 0
     for turn in range(ROUNDS):
         shared = Shared(docs.sparkSession, (views, weights))
@@ -281,9 +285,11 @@ def fit(docs: DataFrame, labels: DataFrame, learn=None, sample: int = SAMPLE) ->
         weights = refit(rows, views, labelled, list(weights), given, factor, weights)
     done = []
     for (centre, scale), x, w in zip(views, scaled, weights):
-        margin = np.clip(np.hstack([x[test], np.ones((test.sum(), 1))]) @ w, -30, 30)
+        margin = np.clip(np.hstack([x, np.ones((len(x), 1))]) @ w, -30, 30)
         done.append((centre, scale, w, fit_dense(margin[:, None], y[test], 1e-3)))
-    odds = np.stack([_odds(x[test], v) for x, v in zip(mats, done)], axis=1)
+    odds = np.stack([_odds(x, v) for x, v in zip(mats, done)], axis=1)
+    del labelled
+    release()
     return QualityModel(done, fit_dense(odds, y[test], 1e-3), met)
 
 

@@ -16,7 +16,7 @@ from keyloop.llm.frequency import PAYLOAD, payloads, seen_filter
 from keyloop.llm.line_dedup import dedup_lines
 from keyloop.llm.ngram_jaccard import _order_of, _prefixes, jaccard_components, keep_one, shingle_sets
 from keyloop.llm.substring_dedup import dedup_substrings
-from keyloop.llm.text import split_words
+from keyloop.llm.text import split_words, stored
 
 
 def _pairs(df):
@@ -116,6 +116,34 @@ def test_components(spark):
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+def test_components_spend_no_round_on_stars(spark, monkeypatch):
+    """Each round costs the driver jobs, threads and memory."""
+    import keyloop.llm.components as module
+
+    rounds = []
+    monkeypatch.setattr(module, "stored", lambda df, name: rounds.append(name) or stored(df, name))
+    star = [(5, 1), (1, 6), (1, 7), (7, 1), (9, 8), (8, 8), (None, 1), (3, None)]
+    got = components(spark.createDataFrame(star, "a long, b long"))
+    assert {(r.node, r.label) for r in got.collect()} == {(1, 1), (5, 1), (6, 1), (7, 1), (8, 8), (9, 8)}
+    assert len(rounds) == 1
+    plan = module._small_star(spark.createDataFrame([(2, 1)], "a long, b long"))._jdf.queryExecution()
+    assert "Join" not in plan.optimizedPlan().toString()
+
+
+def test_components_of_random_graphs(spark):
+    rng = random.Random(5)
+    edges = [(rng.randrange(120), rng.randrange(120)) for _ in range(75)] + [(200 + i, 201 + i) for i in range(20)]
+    edges += edges[:9] + [(b, a) for a, b in edges[:9]]
+    low = {v: v for e in edges for v in e}
+    for _ in low:
+        for a, b in edges:
+            low[a] = low[b] = min(low[a], low[b])
+    linked = {v for a, b in edges if a != b for v in (a, b)}
+    rows = [(b"%03d" % a, b"%03d" % b) for a, b in edges]
+    got = components(spark.createDataFrame(rows, "a binary, b binary")).collect()
+    assert sorted((bytes(r.node), bytes(r.label)) for r in got) == sorted((b"%03d" % v, b"%03d" % low[v]) for v in linked)
+
+
 @pytest.mark.parametrize("window", [13, 3])
 def test_substrings(spark, window):
     df = docs(spark)
